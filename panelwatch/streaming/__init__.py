@@ -1,0 +1,5 @@
+"""The job is a daily batch; there are no streaming operators.
+
+Late data is handled in batch: new dates only (``operators.spine.append_new``),
+the look-back selector (``sources.landing.look_back``) and staleness decay.
+"""
