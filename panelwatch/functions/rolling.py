@@ -58,9 +58,13 @@ def rolling_z(x, n: int, w: WindowSpec, floor: float | None = None) -> Column:
     """(x - mean) / sample std over ``n`` rows; a zero std gives null unless floored."""
     x = _col(x)
     sigma = F.stddev_samp(x).over(frame(w, n))
-    if floor is not None:
-        sigma = clip_lower(sigma, floor)
-    z = F.try_divide(x - F.avg(x).over(frame(w, n)), sigma)
+    off = x - F.avg(x).over(frame(w, n))
+    if floor is None:
+        z = F.try_divide(off, sigma)
+    else:
+        # The mean of equal values may be off by a rounding step, which a tiny
+        # floor would blow up; their deviation is 0.
+        z = F.when(sigma == 0, F.lit(0.0)).otherwise(off / clip_lower(sigma, floor))
     return _guard(x, w, n, None, z)
 
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
+import numpy as np
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,23 +41,20 @@ def null_rates(
 def correlations(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Absolute Pearson correlation of every feature pair as rows (a, b, corr).
 
-    One aggregation for all pairs, rows where either side is null left out.  A
-    constant feature has no correlation (null).
+    Rows with a null feature are left out.  The matrix is summed up in two
+    distributed passes and only its cells come back; a constant feature has no
+    correlation (null).
     """
-    pairs = list(combinations(features, 2))
-    if not pairs:
-        return df.sparkSession.createDataFrame([], "a string, b string, corr double")
-    one = df.agg(*[F.corr(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-    rows = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.abs(F.col(f"p{i}")).alias("corr"))
-                for i, (a, b) in enumerate(pairs)
-            ]
-        )
+    features = list(features)
+    vectors = VectorAssembler(inputCols=features, outputCol="v", handleInvalid="skip").transform(
+        df.select(*features)
     )
-    out = one.select(rows.alias("r")).select("r.a", "r.b", "r.corr")
-    return out.withColumn("corr", F.nanvl("corr", F.lit(None).cast("double")))
+    matrix = Correlation.corr(vectors, "v").first()[0].toArray()
+    cells = [
+        (features[i], features[j], None if np.isnan(matrix[i, j]) else float(abs(matrix[i, j])))
+        for i, j in combinations(range(len(features)), 2)
+    ]
+    return df.sparkSession.createDataFrame(cells, "a string, b string, corr double")
 
 
 def prune_features(df: DataFrame, features: Sequence[str], limit: float = S.CORR_LIMIT) -> list[str]:

@@ -178,41 +178,64 @@ class _Trees:
         return total / len(self.roots)
 
     def leaf_paths(self, root: int) -> Iterator[tuple[float, dict]]:
-        """Per leaf its value and {feature: [low, high, cover share]} along the path."""
+        """Per leaf its value and {feature: [cover share, [(node, goes left), ...]]}."""
         stack = [(root, {})]
         while stack:
             node, path = stack.pop()
             if self.leaf[node]:
                 yield self.length[node], path
                 continue
-            f, cut = int(self.feature[node]), self.split[node]
-            low, high, share = path.get(f, (-np.inf, np.inf, 1.0))
-            left, right = self.left[node], self.right[node]
-            stack.append((left, {**path, f: (low, min(high, cut), share * self.n[left] / self.n[node])}))
-            stack.append((right, {**path, f: (max(low, cut), high, share * self.n[right] / self.n[node])}))
-
-    def shapley(self, x: np.ndarray) -> np.ndarray:
-        """Path-dependent Shapley values of the mean path length (Lundberg et al. 2020).
-
-        A leaf's contribution depends on a row only through which of the leaf's
-        features it satisfies, so it is tabulated per pattern and looked up.
-        """
-        phi = np.zeros(x.shape)
+            f = int(self.feature[node])
+            share, steps = path.get(f, (1.0, ()))
+            for child, side in ((self.left[node], True), (self.right[node], False)):
+                taken = (share * self.n[child] / self.n[node], (*steps, (node, side)))
+                stack.append((child, {**path, f: taken}))
+
+    def leaf_tables(self) -> list[tuple[int, list]]:
+        """Per tree its leaves as (features, steps, Shapley values by pattern)."""
+        out = []
         for root in self.roots:
             paths = sorted(self.leaf_paths(root), key=lambda p: len(p[1]))
+            leaves = []
             for d, same in groupby(paths, key=lambda p: len(p[1])):
                 if not d:
                     continue
-                value, feats, low, high, share = zip(
-                    *[(v, list(p), *zip(*p.values())) for v, p in same]
-                )
-                feats, share = np.array(feats), np.array(share)
-                table = _pattern_table(np.array(value), share)
-                for i, cols in enumerate(feats):
-                    part = x[:, cols]
-                    hit = (part > low[i]) & (part <= high[i])
-                    phi[:, cols] += table[i, hit @ (1 << np.arange(d))]
-        return phi / len(self.roots)
+                same = list(same)
+                share = np.array([[s for s, _ in p.values()] for _, p in same])
+                tables = _pattern_table(np.array([v for v, _ in same]), share)
+                for (_, p), table in zip(same, tables):
+                    leaves.append((list(p), [steps for _, steps in p.values()], np.ascontiguousarray(table.T)))
+            out.append((root, leaves))
+        return out
+
+    def shapley(self, x: np.ndarray, tables: list) -> np.ndarray:
+        """Path-dependent Shapley values of the mean path length (Lundberg et al. 2020).
+
+        A leaf's contribution depends on a row only through which of the leaf's
+        features the row satisfies, so it is tabulated per pattern and looked up.
+        """
+        columns = np.ascontiguousarray(x.T)
+        phi = np.zeros(columns.shape)
+        for root, leaves in tables:
+            below: dict[int, np.ndarray] = {}
+            stack = [root]
+            while stack:
+                node = stack.pop()
+                if not self.leaf[node]:
+                    below[node] = columns[self.feature[node]] <= self.split[node]
+                    stack += [self.left[node], self.right[node]]
+            above = {node: ~hit for node, hit in below.items()}
+            for feats, steps, table in leaves:
+                pattern = np.zeros(len(x), dtype=np.uint8 if len(feats) <= 8 else np.uint32)
+                for j, path in enumerate(steps):
+                    sides = [below[node] if left else above[node] for node, left in path]
+                    hit = sides[0]
+                    for other in sides[1:]:
+                        hit = hit & other
+                    pattern |= hit.astype(pattern.dtype) << j
+                for j, f in enumerate(feats):
+                    phi[f] += table[j].take(pattern)
+        return phi.T / len(self.roots)
 
 
 def _pattern_table(value: np.ndarray, share: np.ndarray) -> np.ndarray:
@@ -264,21 +287,27 @@ def score_forest(df: DataFrame, forest: Forest, name: str = "scores_if") -> Data
     return df.withColumn(name, score(*[F.col(f) for f in forest.features]))
 
 
-def forest_attribution(df: DataFrame, forest: Forest, prefix: str = "shap_") -> tuple[DataFrame, list[str]]:
+def forest_attribution(
+    df: DataFrame, forest: Forest, ids: Sequence[str] = ("series_key", "date"), prefix: str = "shap_"
+) -> tuple[DataFrame, list[str]]:
     """Adds one column per feature: the absolute Shapley value of its path length.
 
-    Costs rows x trees x leaves, so pass only the rows that are wanted.
+    Costs rows x trees x leaves, so pass only the rows that are wanted.  That is
+    far more than moving a row, so rows are first spread evenly over the cluster.
     """
     shared = _broadcast(forest)
+    spark = df.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    df = df.repartition(tasks, *ids)
     names = [prefix + f for f in forest.features]
     out = T.StructType([T.StructField(n, T.DoubleType()) for n in names])
 
     @F.pandas_udf(out)
     def attribute(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         trees = _Trees(shared.value)
+        tables = trees.leaf_tables()
         for cols in batches:
-            x = _matrix(cols)
-            yield pd.DataFrame(np.abs(trees.shapley(x)), columns=names)
+            yield pd.DataFrame(np.abs(trees.shapley(_matrix(cols), tables)), columns=names)
 
     with_values = df.withColumn("__shap", attribute(*[F.col(f) for f in forest.features]))
     return with_values.select(*df.columns, *[F.col("__shap")[n].alias(n) for n in names]), names

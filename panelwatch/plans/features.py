@@ -1,101 +1,133 @@
 """The three feature sets and their alignment.
 
-Inputs are wide daily panels keyed by (series_key, date).  Each set adds its
-columns in two or three ``select`` steps that share one window specification,
-so each frame is shuffled and sorted once.
+Inputs are wide daily panels keyed by (series_key, date).  Every feature is a
+window expression on one key, so ``build_features`` stacks the sources, shuffles
+once by key, folds them to one row per date, and runs all windows in that same
+stage.  A source's windows must see its own rows only: they partition by the key
+*and* by whether the row belongs to the source, which needs a sort but no shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelwatch import schemas as S
 from panelwatch.functions import rolling as R
 from panelwatch.functions import scalar as C
-from panelwatch.operators.series import on_non_null
-from panelwatch.operators.spine import align, reindex
+from panelwatch.operators.series import non_null_window
+from panelwatch.operators.spine import reindex
 
 KEYS = ("series_key",)
 
+# Column names of the price inputs inside the plan.
+_PRICE = {"BZ=F": "p_brent", "CL=F": "p_wti", "NG=F": "p_ng", "XLE": "p_xle", "^OVX": "p_ovx", "^VIX": "p_vix"}
+
+
+def _price_inputs(prices: DataFrame, on: Sequence[str]) -> DataFrame:
+    return prices.select(*on, *[F.col(f"`{t}`").cast("double").alias(n) for t, n in _PRICE.items()])
 
-def price_features(prices: DataFrame, macro: DataFrame, keys=KEYS, order: str = "date") -> DataFrame:
-    """Returns, spread, volatility, ratio and volatility-index z-scores (10 columns).
 
-    Brent takes the futures close and falls back to the macro series.  The
-    fallback is matched to price dates before it is filled, so a macro value on
-    a date without prices is lost.
+def _with_price_features(df: DataFrame, w: WindowSpec) -> DataFrame:
+    """Adds the 10 price features; ``m_brent`` is the macro Brent on price dates.
+
+    Brent takes the futures close and falls back to the macro series, which was
+    matched to price dates before it is filled: a macro value on a date without
+    prices is lost.
     """
-    w = W.partitionBy(*keys).orderBy(order)
-    on = [*keys, order]
-    names = {"CL=F": "wti", "NG=F": "ng", "XLE": "xle", "^OVX": "ovx", "^VIX": "vix"}
-    base = prices.select(
-        *on,
-        C.keep_above(C.clip_lower(F.col("`BZ=F`"))).alias("brent_close"),
-        *[C.clip_lower(F.col(f"`{t}`")).alias(n) for t, n in names.items()],
-    )
-    base = reindex(base, macro.select(*on, F.col("brent").alias("brent_macro")), keys, order)
-    base = base.withColumn(
-        "brent", F.coalesce("brent_close", C.clip_lower(R.ffill("brent_macro", w)))
-    )
-    base = base.withColumns(
+    df = df.withColumns({n: C.clip_lower(n) for n in _PRICE.values()})
+    fallback = C.clip_lower(R.ffill("m_brent", w))
+    df = df.withColumn("p_brent", F.coalesce(C.keep_above("p_brent"), fallback))
+    df = df.withColumns(
         {
-            "brent_ret_1d": R.log_return("brent", 1, w),
-            "brent_ret_5d": R.log_return("brent", 5, w),
-            "wti_ret_1d": R.log_return("wti", 1, w),
-            "brent_wti_spread": F.col("brent") - F.col("wti"),
-            "ng_ret_1d": R.log_return("ng", 1, w),
-            "xle_ret_1d": R.log_return("xle", 1, w),
-            "xle_brent_ratio": C.ratio("xle", "brent"),
-            "ovx_zscore": R.rolling_z("ovx", S.Z_WINDOW, w),
-            "vix_zscore": R.rolling_z("vix", S.Z_WINDOW, w),
+            "brent_ret_1d": R.log_return("p_brent", 1, w),
+            "brent_ret_5d": R.log_return("p_brent", 5, w),
+            "wti_ret_1d": R.log_return("p_wti", 1, w),
+            "brent_wti_spread": F.col("p_brent") - F.col("p_wti"),
+            "ng_ret_1d": R.log_return("p_ng", 1, w),
+            "xle_ret_1d": R.log_return("p_xle", 1, w),
+            "xle_brent_ratio": C.ratio("p_xle", "p_brent"),
+            "ovx_zscore": R.rolling_z("p_ovx", S.Z_WINDOW, w),
+            "vix_zscore": R.rolling_z("p_vix", S.Z_WINDOW, w),
         }
     )
-    return base.withColumn("brent_vol_20d", R.rolling_std("brent_ret_1d", 20, w)).select(
-        *on, *S.PRICE_BLOCK
-    )
+    return df.withColumn("brent_vol_20d", R.rolling_std("brent_ret_1d", 20, w))
 
 
-def macro_features(macro: DataFrame, keys=KEYS, order: str = "date") -> DataFrame:
-    """Levels, changes, yearly inflation and dollar z-score (7 columns).
+def _with_macro_features(df: DataFrame, w: WindowSpec, keys: Sequence[str], order: str) -> DataFrame:
+    """Adds the 7 macro features.
 
-    Changes count all rows of the frame; inflation and the dollar use their own
+    Changes count all rows of the source; inflation and the dollar use their own
     non-null rows and are carried forward from there.
     """
-    w = W.partitionBy(*keys).orderBy(order)
-    on = [*keys, order]
-    cpi = on_non_null(macro, "cpi", lambda v: R.pct_change("cpi", 12, v), "cpi_own", keys, order)
-    dxy = on_non_null(macro, "dxy", lambda v: R.rolling_z("dxy", S.Z_WINDOW, v), "dxy_own", keys, order)
-    wide = reindex(reindex(macro, cpi, keys, order), dxy, keys, order)
-    return wide.select(
-        *on,
-        "yield_curve",
-        R.diff("yield_curve", 20, w).alias("yield_curve_chg_20d"),
-        R.ffill("dxy_own", w).alias("dxy_zscore"),
-        "hy_spread",
-        R.diff("hy_spread", 5, w).alias("hy_spread_chg_5d"),
-        "fed_rate",
-        R.ffill("cpi_own", w).alias("cpi_yoy"),
+    df = df.withColumns(
+        {
+            "yield_curve_chg_20d": R.diff("yield_curve", 20, w),
+            "hy_spread_chg_5d": R.diff("hy_spread", 5, w),
+            "cpi_yoy": R.pct_change("cpi", 12, non_null_window("cpi", keys, order)),
+            "dxy_zscore": R.rolling_z("dxy", S.Z_WINDOW, non_null_window("dxy", keys, order)),
+        }
     )
+    return df.withColumns({c: R.ffill(c, w) for c in ("cpi_yoy", "dxy_zscore")})
 
 
-def geo_features(geo: DataFrame, ovx: DataFrame, keys=KEYS, order: str = "date") -> DataFrame:
-    """Staleness-decayed signal and oil z-score (2 columns), with the staleness columns.
+def _with_geo_features(df: DataFrame, w: WindowSpec) -> DataFrame:
+    """Adds the 2 geopolitical features.
 
-    ``ovx`` holds (keys, order, ovx_zscore).  The weight follows the key's
-    present staleness and applies to all its rows; a missing volatility z-score
-    leaves the signal missing even at weight 1.
+    The weight follows the key's present staleness and applies to all its rows.
+    The volatility z-score is the one of that very date, so a missing one leaves
+    the signal missing even at weight 1.
     """
+    weight = C.staleness_weight("gpr_days_stale")
+    return df.withColumns(
+        {
+            "geo_signal": C.decayed_signal("GPR_AI", "ovx_zscore", weight),
+            "gpr_oil_zscore": R.rolling_z("GPR_OIL", S.Z_WINDOW, w),
+        }
+    )
+
+
+def price_features(prices: DataFrame, macro: DataFrame, keys=KEYS, order: str = "date") -> DataFrame:
+    """(keys, order) and the 10 price features on the price dates."""
+    on = [*keys, order]
+    both = reindex(_price_inputs(prices, on), macro.select(*on, F.col("brent").alias("m_brent")), keys, order)
+    w = W.partitionBy(*keys).orderBy(order)
+    return _with_price_features(both, w).select(*on, *S.PRICE_BLOCK)
+
+
+def macro_features(macro: DataFrame, keys=KEYS, order: str = "date") -> DataFrame:
+    """(keys, order) and the 7 macro features on the macro dates."""
     w = W.partitionBy(*keys).orderBy(order)
+    return _with_macro_features(macro, w, keys, order).select(*keys, order, *S.MACRO_BLOCK)
+
+
+def geo_features(geo: DataFrame, ovx: DataFrame, keys=KEYS, order: str = "date") -> DataFrame:
+    """(keys, order) and the 2 geopolitical features on the index dates.
+
+    ``ovx`` holds (keys, order, ovx_zscore); ``geo`` carries its staleness.
+    """
     on = [*keys, order]
     both = reindex(geo, ovx.select(*on, "ovx_zscore"), keys, order)
-    weight = C.staleness_weight("gpr_days_stale")
-    return both.select(
-        *on,
-        C.decayed_signal("GPR_AI", "ovx_zscore", weight).alias("geo_signal"),
-        R.rolling_z("GPR_OIL", S.Z_WINDOW, w).alias("gpr_oil_zscore"),
-    )
+    w = W.partitionBy(*keys).orderBy(order)
+    return _with_geo_features(both, w).select(*on, *S.GEO_BLOCK)
+
+
+def stack(sources: dict[str, DataFrame], keys=KEYS, order: str = "date") -> DataFrame:
+    """Full outer alignment of sources with distinct columns, on one shuffle by key.
+
+    ``in_<source>`` tells whether the source has the date.
+    """
+    flagged = [df.withColumn(f"in_{name}", F.lit(True)) for name, df in sources.items()]
+    both = flagged[0]
+    for df in flagged[1:]:
+        both = both.unionByName(df, allowMissingColumns=True)
+    values = [c for c in both.columns if c not in (*keys, order)]
+    # At most one row per source and date: max picks the one present value.
+    rows = both.repartition(*keys).groupBy(*keys, order).agg(*[F.max(c).alias(c) for c in values])
+    return rows.fillna(False, [f"in_{name}" for name in sources])
 
 
 def build_features(
@@ -110,19 +142,32 @@ def build_features(
 
     ``geo`` carries its staleness (``sources.landing.with_staleness``).
     """
-    price = price_features(prices, macro, keys, order)
-    sets = [price, macro_features(macro, keys, order), geo_features(geo, price, keys, order)]
-    rows = align(sets, S.FEATURES, floor, keys, order)
-    stale = geo.groupBy(*keys).agg(
-        F.first("gpr_is_stale").alias("gpr_is_stale"), F.first("gpr_days_stale").alias("gpr_days_stale")
-    )
-    return rows.join(stale, list(keys), "left").select(
-        *keys,
+    on = [*keys, order]
+    macro_cols = [c for c in S.MACRO_SERIES if c != "brent"]
+    rows = stack(
+        {
+            "price": _price_inputs(prices, on),
+            "macro": macro.select(*on, *macro_cols, F.col("brent").alias("m_brent")),
+            "geo": geo.select(*on, "GPR_AI", "GPR_OIL", "gpr_days_stale", "gpr_is_stale"),
+        },
+        keys,
         order,
-        *S.FEATURES,
+    )
+    within = {s: W.partitionBy(*keys, f"in_{s}").orderBy(order) for s in ("price", "macro", "geo")}
+    rows = rows.withColumn("m_brent", F.when(F.col("in_price"), F.col("m_brent")))
+    rows = _with_price_features(rows, within["price"])
+    rows = _with_macro_features(rows, within["macro"], keys, order)
+    rows = _with_geo_features(rows, within["geo"])
+    w = W.partitionBy(*keys).orderBy(order)
+    whole_key = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    stale = {c: F.max(c).over(whole_key) for c in ("gpr_is_stale", "gpr_days_stale")}
+    rows = rows.select(
+        *on,
+        *[R.ffill(f, w).alias(f) for f in S.FEATURES],
         F.lit(True).alias("is_trading_day"),
         F.lit(1.0).alias("data_quality_score"),
         F.lit("").alias("data_quality_flags"),
-        "gpr_is_stale",
-        "gpr_days_stale",
+        *[c.alias(n) for n, c in stale.items()],
     )
+    # The floor comes after the fill, so that older values seed the first rows.
+    return rows if floor is None else rows.filter(F.col(order) >= F.to_date(F.lit(floor)))

@@ -38,8 +38,11 @@ def std(x: str, n: int, part="series_key", order="date") -> str:
 def zscore(x: str, n: int = 60, floor: str | None = None, part="series_key", order="date") -> str:
     o = over(part, order, n)
     sigma = f"stddev_samp({x}) {o}"
-    sigma = f"nullif({sigma}, 0)" if floor is None else f"greatest({sigma}, {floor})"
-    return guard(x, n, f"({x} - avg({x}) {o}) / {sigma}", None, part, order)
+    if floor is None:
+        z = f"({x} - avg({x}) {o}) / nullif({sigma}, 0)"
+    else:  # equal values: their mean may be off by a rounding step, their z-score is 0
+        z = f"CASE WHEN min({x}) {o} = max({x}) {o} THEN 0.0::DOUBLE ELSE ({x} - avg({x}) {o}) / greatest({sigma}, {floor}) END"
+    return guard(x, n, z, None, part, order)
 
 
 def quantile(x: str, n: int, q: float = 0.95, part="series_key", order="date") -> str:
@@ -138,7 +141,8 @@ zed AS (
   SELECT series_key, date, {", ".join(f"{zscore(f, 60, '1e-6')} AS z_{f}" for f in S.FEATURES)} FROM train
 ),
 signal AS (
-  SELECT *, least(({" + ".join(_TOPS)}) / 3.0::DOUBLE, 5.0::DOUBLE) / 5.0::DOUBLE AS scores_z,
+  SELECT *, CASE WHEN ({" + ".join(_TOPS)}) IS NOT NULL
+              THEN least(({" + ".join(_TOPS)}) / 3.0::DOUBLE, 5.0::DOUBLE) / 5.0::DOUBLE END AS scores_z,
          greatest({", ".join(_TOPS)}) AS peak
   FROM zed
 )"""

@@ -9,7 +9,6 @@ from panelwatch import schemas as S
 from panelwatch.functions import rolling as R
 from panelwatch.operators import series as X
 from panelwatch.operators.series import Series
-from panelwatch.operators.spine import reindex
 from panelwatch.queries import sqltext as Q
 from panelwatch.queries.panels import EVT, EVT_ORDER, ORD, SHIP, evt, ord_, ship
 from panelwatch.queries.registry import query, r6, r6_sql, text, with_
@@ -92,10 +91,10 @@ SELECT s.series_key, CAST(s.date AS VARCHAR) AS date, {r6_sql(Q.ffill('o.pct', '
 FROM sparse s LEFT JOIN own o ON s.series_key = o.series_key AND s.date = o.date""",
 )
 def pct_change_compact(spark, sf):
-    """Change over 12 non-null rows, put back on the full spine and carried forward."""
+    """Change over 12 non-null rows, carried forward over the full spine."""
     sparse = ord_(spark, sf).withColumn("value", F.when(F.col("value") > 300000, F.col("value")))
-    own = X.on_non_null(sparse, "value", lambda w: R.pct_change("value", 12, w), "pct", ["series_key"], "date")
-    return reindex(sparse, own).select("series_key", text(), r6(R.ffill("pct", day()), "pct"))
+    own = sparse.withColumn("pct", R.pct_change("value", 12, X.non_null_window("value")))
+    return own.select("series_key", text(), r6(R.ffill("pct", day()), "pct"))
 
 
 @query(

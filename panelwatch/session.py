@@ -51,6 +51,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to reliable storage so that several jobs can read it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared folder and read it back, for use by several jobs.
+
+    The table outlives executors, later jobs read only the columns they need, and
+    its size is known, so Spark broadcasts it only if it is small.
+    """
+    path = scratch_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
