@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from panelwatch import schemas as S
 from panelwatch.operators.series import last_rows
+from panelwatch.session import settle
 
 KEYS = ("series_key",)
 
@@ -88,8 +89,9 @@ def normalise_scores(df: DataFrame, column: str, name: str, by: Sequence[str] =
     stats = [F.min(column).alias("__lo"), F.stddev_pop(column).alias("__sd")]
     scaled = F.try_divide(F.col(column) - F.col("__lo"), F.col("__sd"))
     if by:
+        # Stored first, so that the join knows the statistics' size.
         return (
-            df.join(df.groupBy(*by).agg(*stats), list(by))
+            df.join(settle(df.groupBy(*by).agg(*stats)), list(by))
             .withColumn(name, scaled)
             .drop("__lo", "__sd")
         )

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from panelwatch import schemas as S
 from panelwatch.functions.scalar import percent_text
 from panelwatch.operators.series import last_rows
+from panelwatch.session import settle
 
 KEYS = ("series_key",)
 CRITICAL, WARNING = "CRITICAL", "WARNING"
@@ -157,12 +158,15 @@ def quality_scores(found: DataFrame, keys=KEYS) -> DataFrame:
 
 
 def stamp(df: DataFrame, found: DataFrame, session_day: bool, keys=KEYS) -> DataFrame:
-    """The key's present score and flags on every one of its rows."""
+    """The key's present score and flags on every one of its rows.
+
+    The scores (one row per key) are stored first, so that the join knows their size.
+    """
     old = [c for c in ("data_quality_score", "data_quality_flags", "is_trading_day") if c in df.columns]
     columns = df.columns
     out = (
         df.drop(*old)
-        .join(quality_scores(found, keys), list(keys), "left")
+        .join(settle(quality_scores(found, keys)), list(keys), "left")
         .withColumns(
             {
                 "data_quality_score": F.coalesce("data_quality_score", F.lit(1.0)),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from panelwatch import schemas as S
 from panelwatch.functions import scalar as C
 from panelwatch.operators.series import latest_row
+from panelwatch.session import settle
 
 KEYS = ("series_key",)
 
@@ -48,7 +49,8 @@ def percentiles(scores: DataFrame, keys=KEYS) -> DataFrame:
 
     (keys, window, pct, threshold_pct): the share of scores strictly below, in
     percent to one decimal.  One pass for all windows: the join brings one row
-    per key and the ranks are partial aggregates.
+    per key (stored first, so that its size is known) and the ranks are partial
+    aggregates.
     """
     names = REPORT_WINDOWS
     now = latest_row(
@@ -59,7 +61,7 @@ def percentiles(scores: DataFrame, keys=KEYS) -> DataFrame:
         F.col("risk_score").alias("__score"),
         *[F.col(f"threshold_{n}").alias(f"__thr_{n}") for n in names.values()],
     )
-    joined = scores.select(*keys, "date", "risk_score").join(now, list(keys))
+    joined = scores.select(*keys, "date", "risk_score").join(settle(now), list(keys))
     below = lambda bound: F.coalesce(F.col("risk_score") < bound, F.lit(False)).cast("double")
     aggs = []
     for label, n in names.items():
@@ -134,7 +136,7 @@ def history(scores: DataFrame, window: str = "1y", end: str | None = None, keys=
     if end is not None:
         stop = F.to_date(F.lit(end))
         return scores.filter(F.col("date").between(F.date_sub(stop, days), stop))
-    stop = scores.groupBy(*keys).agg(F.max("date").alias("__end"))
+    stop = settle(scores.groupBy(*keys).agg(F.max("date").alias("__end")))
     return (
         scores.join(stop, list(keys))
         .filter(F.col("date") >= F.date_sub("__end", days))

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelwatch.session import settle
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -21,6 +23,32 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+_STAGED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def staged(name: str):
+    """Keep a table that many queries start from, as the daily job does.
+
+    It is written to the shared folder once per session and input folder; later
+    queries read that table.  ``forget_staged`` makes the next query start over.
+    """
+
+    def wrap(build):
+        def get(spark: SparkSession, sf: str) -> DataFrame:
+            at = (spark.sparkContext.applicationId, sf, name)
+            if at not in _STAGED:
+                _STAGED[at] = settle(build(spark, sf))
+            return _STAGED[at]
+
+        return get
+
+    return wrap
+
+
+def forget_staged() -> None:
+    _STAGED.clear()
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip().rstrip(",") for c in ctes)
 

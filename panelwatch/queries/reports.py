@@ -8,8 +8,7 @@ from panelwatch import schemas as S
 from panelwatch.plans import reports as R
 from panelwatch.queries import sqltext as Q
 from panelwatch.queries.registry import query, r6, r6_sql, text, with_
-from panelwatch.queries.stores import stored_scores
-from panelwatch.session import settle
+from panelwatch.queries.stores import kept_scores
 
 D = "CAST(date AS VARCHAR) AS date"
 KEY = "CAST(series_key AS VARCHAR) AS series_key"
@@ -30,10 +29,6 @@ RANKS_SQL = "ranks AS (" + " UNION ALL ".join(
 ) + ")"
 
 
-def _scores(spark, sf, drivers: bool = False):
-    return settle(stored_scores(spark, sf, drivers))
-
-
 @query(
     "report_latest",
     with_(Q.SCORES_SQL, NEWEST, STATUS_SQL)
@@ -42,7 +37,7 @@ SELECT {KEY}, {D}, {r6_sql('CAST(score AS DOUBLE)', 'score')}, win AS "window",
        {r6_sql('CAST(threshold AS DOUBLE)', 'threshold')}, flagged FROM status""",
 )
 def report_latest(spark, sf):
-    out = R.latest_status(_scores(spark, sf))
+    out = R.latest_status(kept_scores(spark, sf))
     return out.select("series_key", text(), r6("score"), "window", r6("threshold"), "flagged")
 
 
@@ -52,7 +47,7 @@ def report_latest(spark, sf):
     + f'\nSELECT {KEY}, win AS "window", {r6_sql("pct", "pct")}, {r6_sql("threshold_pct", "threshold_pct")} FROM ranks',
 )
 def report_percentiles(spark, sf):
-    return R.percentiles(_scores(spark, sf)).select("series_key", "window", r6("pct"), r6("threshold_pct"))
+    return R.percentiles(kept_scores(spark, sf)).select("series_key", "window", r6("pct"), r6("threshold_pct"))
 
 
 _BAND = """WHEN threshold_pct - pct <= threshold_pct * 0.1::DOUBLE THEN 'orange'
@@ -76,7 +71,7 @@ SELECT CAST(r.series_key AS VARCHAR) AS series_key, r.win AS "window", {r6_sql('
 FROM ranks r JOIN status s ON r.series_key = s.series_key AND r.win = s.win JOIN breach b ON r.series_key = b.series_key""",
 )
 def report_severity(spark, sf):
-    out = R.severities(_scores(spark, sf))
+    out = R.severities(kept_scores(spark, sf))
     return out.select(
         "series_key", "window", r6("pct"), r6("threshold_pct"), "flagged", "gauge", "tab", "breached"
     )
@@ -104,7 +99,7 @@ UNION ALL
 SELECT {KEY}, {D}, 'Others', {r6_sql('round_even(100 - sum(importance), 1)', 'importance')} FROM top GROUP BY series_key, date""",
 )
 def report_driver_shares(spark, sf):
-    return R.driver_shares(_scores(spark, sf, True)).select("series_key", text(), "feature", r6("importance"))
+    return R.driver_shares(kept_scores(spark, sf)).select("series_key", text(), "feature", r6("importance"))
 
 
 ENDS = "ends AS (SELECT series_key, max(date) AS stop FROM scores GROUP BY 1)"
@@ -123,7 +118,7 @@ UNION ALL
 SELECT 'points', CAST(series_key AS VARCHAR), {D}, {r6_sql('CAST(risk_score AS DOUBLE)', 'risk_score')} FROM scores WHERE anomaly_static""",
 )
 def report_history(spark, sf):
-    scores = _scores(spark, sf)
+    scores = kept_scores(spark, sf)
 
     def part(name, df):
         return df.select(
@@ -153,4 +148,4 @@ SELECT CAST(s.series_key AS VARCHAR) AS series_key, CAST(s.date AS VARCHAR) AS d
 FROM scores s LEFT JOIN lines l ON s.series_key = l.series_key AND s.date = l.date WHERE anomaly_static""",
 )
 def report_anomaly_log(spark, sf):
-    return R.anomaly_log(_scores(spark, sf, True))
+    return R.anomaly_log(kept_scores(spark, sf))

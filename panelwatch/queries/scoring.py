@@ -16,7 +16,7 @@ from panelwatch.operators.series import Series
 from panelwatch.plans import daily
 from panelwatch.queries import panels as P
 from panelwatch.queries import sqltext as Q
-from panelwatch.queries.registry import query, r6, r6_sql, text, with_
+from panelwatch.queries.registry import query, r6, r6_sql, staged, text, with_
 from panelwatch.queries.shapes import features
 from panelwatch.session import settle
 
@@ -99,6 +99,7 @@ def zscore_signal(spark, sf):
     )
 
 
+@staged("scored")
 def scored(spark, sf):
     """A scored panel whose forest part is the normalised peak |z|, which SQL can make too."""
     z = _signal(spark, sf)

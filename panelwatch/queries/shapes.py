@@ -13,7 +13,7 @@ from panelwatch.operators.series import Series, forward_fill
 from panelwatch.plans.features import build_features
 from panelwatch.queries import panels as P
 from panelwatch.queries import sqltext as Q
-from panelwatch.queries.registry import query, r6, r6_sql, text, with_
+from panelwatch.queries.registry import query, r6, r6_sql, staged, text, with_
 from panelwatch.session import settle
 from panelwatch.sources import landing as L
 
@@ -21,11 +21,16 @@ PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 D = "CAST(date AS VARCHAR) AS date"
 
 
+@staged("shipments")
+def shipments(spark, sf):
+    return P.shipments(spark, sf)
+
+
+@staged("features")
 def features(spark, sf):
-    """The feature table of the regional market; facts are read once each."""
-    shipped = settle(P.shipments(spark, sf))
-    orders = settle(P.macro(spark, sf))
-    return build_features(P.prices_of(shipped), orders, P.geo_of(shipped), P.FLOOR)
+    """The feature table of the regional market; each fact table is read once."""
+    shipped = shipments(spark, sf)
+    return build_features(P.prices_of(shipped), P.macro(spark, sf), P.geo_of(shipped), P.FLOOR)
 
 
 @query(

@@ -7,9 +7,10 @@ from pyspark.sql import types as T
 
 from panelwatch import schemas as S
 from panelwatch.operators import aggregates as A
+from panelwatch.operators import signals as G
 from panelwatch.queries import panels as P
 from panelwatch.queries import sqltext as Q
-from panelwatch.queries.registry import query, r6, r6_sql, text, with_
+from panelwatch.queries.registry import query, r6, r6_sql, staged, text, with_
 from panelwatch.queries.scoring import scored
 from panelwatch.queries.shapes import features
 from panelwatch.session import scratch_path, settle
@@ -80,18 +81,17 @@ def csv_source(spark, sf):
     )
 
 
-def stored_scores(spark, sf, with_drivers: bool = True):
+def stored_scores(spark, sf):
     """The scored panel after a trip through the score table."""
-    from panelwatch.operators import signals as G
-
-    rows = scored(spark, sf)
-    if with_drivers:
-        rows = G.attribute(rows, S.FEATURES)
+    rows = G.attribute(scored(spark, sf), S.FEATURES)
     path = scratch_path(spark, "scores")
     K.upsert_scores(spark, path, rows.withColumn("model_version", F.lit("v1")))
     return K.read_scores(spark, path)
 
 
+kept_scores = staged("scores")(stored_scores)
+
+
 SCORE_COLUMNS = ["risk_score", "scores_if", "scores_z", *[f"threshold_{k}" for k in S.THRESHOLD_NAMES]]
 FLAG_COLUMNS = [f"anomaly_{k}" for k in S.THRESHOLD_NAMES]
 
@@ -164,7 +164,7 @@ def latest_only_write(spark, sf):
 def feature_table_append(spark, sf):
     """A table stopped in mid-month, then all dates offered again: old rows stay, new come."""
     path = scratch_path(spark, "features")
-    whole = settle(features(spark, sf))
+    whole = features(spark, sf)
     schema = T.StructType([f if f.name != "series_key" else whole.schema["series_key"] for f in S.FEATURE_TABLE.fields])
     L.write_features(whole.filter(F.col("date") <= "2001-05-17"), path)
     L.append_features(spark, whole, path, schema)

@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 from panelwatch import schemas as S
 from panelwatch.functions.scalar import nan_to_null
 from panelwatch.operators.aggregates import staleness
+from panelwatch.operators.spine import append_new
+from panelwatch.session import settle
 
 RUN = "ingest_date"
 MONTH = "month"
@@ -99,7 +101,8 @@ def read_geo_csv(spark: SparkSession, path: str, as_of: str, series_key: str = "
 
 
 def with_staleness(geo: DataFrame, as_of: str, keys: Sequence[str] = ("series_key",)) -> DataFrame:
-    return geo.join(staleness(geo, as_of, keys), list(keys))
+    """Every row with its key's staleness; the one row per key is stored for its size."""
+    return geo.join(settle(staleness(geo, as_of, keys)), list(keys))
 
 
 def widen(
@@ -155,12 +158,25 @@ def write_features(df: DataFrame, path: str, order: str = "date") -> None:
     write_partitions(df.withColumn(MONTH, month_of(order)), path, MONTH)
 
 
-def append_features(spark: SparkSession, df: DataFrame, path: str, schema: T.StructType = S.FEATURE_TABLE,
-                    keys: Sequence[str] = ("series_key",), order: str = "date") -> None:
-    """Add the dates the table lacks; only the months concerned are read and rewritten."""
-    from panelwatch.operators.spine import append_new
+def touched_months(table: DataFrame, new: DataFrame) -> DataFrame:
+    """The table's rows in the months ``new`` has; the scan reads those partitions only.
 
+    The list of months is bounded by the calendar.  ``new`` should be a stored table.
+    """
+    months = [r[MONTH] for r in new.select(MONTH).distinct().collect()]
+    return table.filter(F.col(MONTH).isin(months)).select(*new.columns)
+
+
+def append_features(
+    spark: SparkSession,
+    df: DataFrame,
+    path: str,
+    schema: T.StructType = S.FEATURE_TABLE,
+    keys: Sequence[str] = ("series_key",),
+    order: str = "date",
+) -> None:
+    """Add the dates the table lacks; only the months concerned are rewritten."""
     table = read_parquet(spark, path, _with_month(schema))
-    df = df.select(*schema.names).withColumn(MONTH, month_of(order))
-    touched = table.join(df.select(MONTH).distinct(), MONTH, "left_semi").select(*df.columns)
-    write_partitions(append_new(touched, df, keys, order), path, MONTH)
+    fresh = df.select(*schema.names).join(table.select(*keys, order), [*keys, order], "left_anti")
+    fresh = settle(fresh.withColumn(MONTH, month_of(order)))
+    write_partitions(append_new(touched_months(table, fresh), fresh, keys, order), path, MONTH)

@@ -9,7 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelwatch import schemas as S
-from panelwatch.sources.landing import MONTH, _with_month, month_of, read_parquet, write_partitions
+from panelwatch.operators.spine import score_date
+from panelwatch.session import settle
+from panelwatch.sources.landing import (
+    MONTH,
+    _with_month,
+    month_of,
+    read_parquet,
+    touched_months,
+    write_partitions,
+)
 
 KEYS = ("series_key",)
 
@@ -57,10 +66,9 @@ def upsert_scores(
     Files written under an older schema read back with nulls in later columns.
     Rerunning the same batch leaves the same table.
     """
-    new = narrow(new, schema).withColumn(MONTH, month_of(order))
+    new = settle(narrow(new, schema).withColumn(MONTH, month_of(order)))
     table = read_parquet(spark, path, _with_month(schema))
-    touched = table.join(new.select(MONTH).distinct(), MONTH, "left_semi").select(*new.columns)
-    write_partitions(merge(touched, new, keys, order), path, MONTH)
+    write_partitions(merge(touched_months(table, new), new, keys, order), path, MONTH)
 
 
 def read_scores(spark: SparkSession, path: str, schema: T.StructType = S.SCORE_TABLE) -> DataFrame:
@@ -73,8 +81,6 @@ def rows_to_write(
     """All rows up to the last session, or the one row per key that is due."""
     if backfill:
         return scored.filter(F.col("date") <= F.to_date(F.lit(last_session)))
-    from panelwatch.operators.spine import score_date
-
     return scored.join(score_date(scored, last_session, keys), [*keys, "date"], "left_semi")
 
 
