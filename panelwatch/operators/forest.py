@@ -1,8 +1,7 @@
 """Isolation forest on Spark (Liu, Ting & Zhou 2008) with tree Shapley values.
 
-Training looks at a uniform sample whose size depends on the model alone, so it
-costs one filtered pass whatever the table's size; each tree grows in its own
-task.  Scoring and attribution run where the rows are, against a broadcast
+Training draws a sample whose size depends on the model alone, so it costs one
+filtered pass whatever the table's size; each tree grows in its own group.  Scoring and attribution run where the rows are, against a broadcast
 forest of at most ``trees * (2 * sample - 1)`` nodes.
 """
 
@@ -23,7 +22,6 @@ from pyspark.sql import types as T
 from panelwatch import schemas as S
 
 NODES = "tree_id int, node_id int, feature int, split double, left int, right int, n int, depth int"
-SLACK = 1.5  # oversampling of the hash filters, far beyond their random spread
 
 
 def average_path(n) -> np.ndarray:
@@ -44,12 +42,29 @@ class Forest:
 # -- sampling -----------------------------------------------------------------
 
 
-def _waiting(ids: Sequence[str], weight: Column | None, *salt: Column) -> Column:
+def _waiting(ids: Sequence[str], weight: Column, *salt: Column) -> Column:
     """-ln(u)/w with u a hash of the row's identity: the smallest k are a weighted sample."""
     h = F.shiftrightunsigned(F.xxhash64(*salt, *[F.col(c) for c in ids]), 11)
     u = (h.cast("double") + F.lit(0.5)) / F.lit(float(2**53))
-    wait = -F.ln(u)
-    return wait if weight is None else F.try_divide(wait, weight)
+    return F.try_divide(-F.ln(u), weight)
+
+
+def _wait_limit(df: DataFrame, weight: str | None, n: int, sample: int) -> float | None:
+    """A waiting time below which every tree is certain to find ``sample`` rows.
+
+    The expected number of rows below it is eight standard deviations too many.
+    None stands for no limit, where the table is hardly larger than the sample.
+    """
+    enough = sample + 8 * math.sqrt(sample) + 16
+    if n <= enough:
+        return None
+    if weight is None:
+        return -math.log1p(-enough / n)
+    base = enough / df.agg(F.sum(weight)).first()[0]
+    limits = [base * 4.0**k for k in range(32)]
+    w = F.col(weight)
+    below = df.agg(*[F.sum(F.lit(1.0) - F.exp(-w * t)).alias(f"t{i}") for i, t in enumerate(limits)]).first()
+    return next((t for t, rows in zip(limits, below) if rows >= enough), None)
 
 
 def tree_samples(
@@ -63,28 +78,35 @@ def tree_samples(
 ) -> tuple[DataFrame, int]:
     """(tree_id, features) with ``sample`` rows per tree, drawn without replacement.
 
-    First a pool of at most trees*sample rows, then an independent draw from it
-    per tree.  Draws hash the row's identity, so a recomputed task draws the same.
+    A row waits an exponential time for each tree; a tree takes the rows that
+    wait least.  Laid end to end, a row's waits up to the limit are one Poisson
+    process, so its first arrival, a single hash, tells for most rows that no
+    tree wants them.  Waits hash the row's identity: a recomputed task draws the
+    same, and the shuffle moves about trees * sample rows whatever the table.
     """
     df = df.select(*ids, *features, *([weight] if weight else []))
-    w = F.col(weight) if weight else None
+    w = F.lit(1.0)
     if weight:
-        df = df.filter(F.col(weight) > 0)
+        w = F.col(weight)
+        df = df.filter(w > 0)
     n = df.count()
     if n == 0:
         raise ValueError("no rows with positive weight to fit on")
-    pool_size = trees * sample
-    pool = df.withColumn("__wait", _waiting(ids, w, F.lit(seed)))
-    if n > pool_size:
-        if not weight and n > SLACK * pool_size:
-            pool = pool.filter(F.col("__wait") < -math.log1p(-SLACK * pool_size / n))
-        pool = pool.orderBy("__wait", *ids).limit(pool_size)
-        w = None  # the pool already follows the weights
-    drawn = pool.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    drawn = drawn.withColumn("__wait", _waiting(ids, w, F.lit(seed), F.col("tree_id")))
-    in_pool = min(n, pool_size)
-    if w is None and in_pool > 2 * SLACK * sample:
-        drawn = drawn.filter(F.col("__wait") < -math.log1p(-SLACK * sample / in_pool))
+    limit = _wait_limit(df, weight, n, sample)
+    rows = df.withColumn("__first", _waiting(ids, w, F.lit(seed)))
+    if limit is None:
+        rows = rows.withColumn("__from", F.lit(0))
+        wait = F.col("__first")
+    else:
+        rows = rows.filter(F.col("__first") < limit * trees)
+        at = F.floor(F.col("__first") / F.lit(limit)).cast("int")
+        rows = rows.withColumn("__from", F.least(at, F.lit(trees - 1)))
+        wait = F.col("__first") - F.col("__from") * F.lit(limit)
+    drawn = rows.withColumn("tree_id", F.explode(F.sequence("__from", F.lit(trees - 1))))
+    later = _waiting(ids, w, F.lit(seed), F.col("tree_id"))
+    drawn = drawn.withColumn("__wait", F.when(F.col("tree_id") == F.col("__from"), wait).otherwise(later))
+    if limit is not None:
+        drawn = drawn.filter(F.col("__wait") < limit)
     first = W.partitionBy("tree_id").orderBy("__wait", *ids)
     drawn = drawn.withColumn("__rn", F.row_number().over(first)).filter(F.col("__rn") <= sample)
     return drawn.select("tree_id", "__rn", *features), min(n, sample)
