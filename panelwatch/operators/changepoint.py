@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from panelwatch import schemas as S
 from panelwatch.operators.aggregates import weekly_last
+from panelwatch.session import task_count
 
 KEYS = ("series_key",)
 
@@ -119,6 +120,7 @@ def changepoints(
         hits = pelt_rbf(pdf["value"].to_numpy(dtype=float), penalty)
         return pdf.loc[hits, columns]
 
+    long = long.repartition(task_count(df.sparkSession), *keys, "feature")
     return long.groupBy(*keys, "feature").applyInPandas(find, schema)
 
 

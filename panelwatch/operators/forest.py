@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelwatch import schemas as S
+from panelwatch.session import task_count
 
 NODES = "tree_id int, node_id int, feature int, split double, left int, right int, n int, depth int"
 
@@ -164,6 +165,7 @@ def fit_forest(
         out.insert(0, "tree_id", tree)
         return out
 
+    drawn = drawn.repartition(min(trees, task_count(df.sparkSession)), "tree_id")
     return Forest(drawn.groupBy("tree_id").applyInPandas(grow, NODES), features, used)
 
 
@@ -318,9 +320,7 @@ def forest_attribution(
     far more than moving a row, so rows are first spread evenly over the cluster.
     """
     shared = _broadcast(forest)
-    spark = df.sparkSession
-    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    df = df.repartition(tasks, *ids)
+    df = df.repartition(task_count(df.sparkSession), *ids)
     names = [prefix + f for f in forest.features]
     out = T.StructType([T.StructField(n, T.DoubleType()) for n in names])
 

@@ -23,7 +23,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from panelwatch import schemas as S
 from panelwatch.functions import rolling as R
-from panelwatch.session import settle
+from panelwatch.session import settle, task_count
 
 BUCKET, CHUNK, HALO = "__bucket", "__chunk", "__halo"
 ROWS_PER_CHUNK = 500_000
@@ -69,8 +69,12 @@ class Series:
         order: str = "date",
         tie: Sequence[str] = (),
     ) -> Series:
-        """One window partition per key, for panels bounded by the calendar."""
-        return cls(df, keys, order, keys, False, tie)
+        """One window partition per key, for panels bounded by the calendar.
+
+        The one shuffle by key happens here; all later windows and passes reuse it.
+        """
+        laid_out = df.repartition(task_count(df.sparkSession), *keys)
+        return cls(laid_out, keys, order, keys, False, tie)
 
     @classmethod
     def split(
@@ -135,7 +139,8 @@ class Series:
             .withColumn(HALO, F.col(CHUNK) != F.col("own"))
             .drop("own", "last")
         )
-        return cls(cut, keys, order, [*keys, CHUNK], True, tie)
+        part = [*keys, CHUNK]
+        return cls(cut.repartition(task_count(df.sparkSession), *part), keys, order, part, True, tie)
 
     # -- use ----------------------------------------------------------------
 

@@ -20,6 +20,7 @@ from panelwatch.functions import rolling as R
 from panelwatch.functions import scalar as C
 from panelwatch.operators.series import non_null_window
 from panelwatch.operators.spine import reindex
+from panelwatch.session import task_count
 
 KEYS = ("series_key",)
 
@@ -126,7 +127,8 @@ def stack(sources: dict[str, DataFrame], keys=KEYS, order: str = "date") -> Data
         both = both.unionByName(df, allowMissingColumns=True)
     values = [c for c in both.columns if c not in (*keys, order)]
     # At most one row per source and date: max picks the one present value.
-    rows = both.repartition(*keys).groupBy(*keys, order).agg(*[F.max(c).alias(c) for c in values])
+    laid_out = both.repartition(task_count(both.sparkSession), *keys)
+    rows = laid_out.groupBy(*keys, order).agg(*[F.max(c).alias(c) for c in values])
     return rows.fillna(False, [f"in_{name}" for name in sources])
 
 

@@ -29,6 +29,15 @@ def build_session(app: str = "panelwatch", master: str | None = None, **conf) ->
     return b.getOrCreate()
 
 
+def task_count(spark: SparkSession) -> int:
+    """Partitions for a shuffle ahead of work that is heavy for its bytes.
+
+    Named in a ``repartition`` this number stays; partitions merged by size alone
+    would leave windows and Python steps over small rows to a few cores.
+    """
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, as the cluster names it.
 
