@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelwatch import schemas as S
-from panelwatch.session import task_count
 
+SMALL_TASK, LARGE_TASK = 2_000, 200_000  # rows per attribution task: worth a start; enough
 NODES = "tree_id int, node_id int, feature int, split double, left int, right int, n int, depth int"
 
 
@@ -165,7 +165,7 @@ def fit_forest(
         out.insert(0, "tree_id", tree)
         return out
 
-    drawn = drawn.repartition(min(trees, task_count(df.sparkSession)), "tree_id")
+    drawn = drawn.repartition(min(trees, df.sparkSession.sparkContext.defaultParallelism), "tree_id")
     return Forest(drawn.groupBy("tree_id").applyInPandas(grow, NODES), features, used)
 
 
@@ -320,7 +320,9 @@ def forest_attribution(
     far more than moving a row, so rows are first spread evenly over the cluster.
     """
     shared = _broadcast(forest)
-    df = df.repartition(task_count(df.sparkSession), *ids)
+    n, cores = df.count(), df.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(math.ceil(n / SMALL_TASK), max(4 * cores, n // LARGE_TASK)))
+    df = df.repartition(tasks, *ids)
     names = [prefix + f for f in forest.features]
     out = T.StructType([T.StructField(n, T.DoubleType()) for n in names])
 
