@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from panelwatch import schemas as S
 
+TIE_DIGITS = 1e10
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -77,11 +78,14 @@ def shares(cols: Sequence[Column], budget: float) -> list[Column]:
 
 
 def top_k(weights: dict[str, Column], k: int) -> Column:
-    """The ``k`` heaviest entries as array<struct<feature, weight>>, ties by name."""
+    """The ``k`` heaviest entries as array<struct<feature, weight>>, ties by name.
+
+    Weights that differ by rounding noise only count as tied.
+    """
     # Sorting on (-weight, name) needs no comparator lambda.
     entries = F.array(
         *[
-            F.struct((-w).alias("neg"), F.lit(name).alias("feature"), w.alias("weight"))
+            F.struct(F.rint(-w * F.lit(TIE_DIGITS)).alias("at"), F.lit(name).alias("feature"), w.alias("weight"))
             for name, w in weights.items()
         ]
     )

@@ -176,7 +176,7 @@ flagged AS (
 ),
 weights AS ({WEIGHTS_SQL}),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY series_key, date ORDER BY weight DESC, feature) AS place FROM weights
+  SELECT *, row_number() OVER (PARTITION BY series_key, date ORDER BY round(weight * 1e10) DESC, feature) AS place FROM weights
 ),
 scores AS (
   SELECT series_key, date, {", ".join(f"CAST({c} AS FLOAT) AS {c}" for c in ["risk_score", "scores_if", "scores_z", *[f"threshold_{k}" for k in S.THRESHOLD_NAMES]])},
