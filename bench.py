@@ -24,10 +24,6 @@ HEADLINE = [
     "score_normalise",
     "align_ffill",
     "feature_sets",
-    "quality_stamp",
-    "corr_pairs",
-    "zscore_signal",
-    "thresholds_flags",
     "z_attribution_top5",
     "iforest_scores",
     "changepoints",

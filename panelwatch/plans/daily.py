@@ -19,7 +19,7 @@ from panelwatch.operators import quality as Q
 from panelwatch.operators import signals as G
 from panelwatch.operators.changepoint import changepoint_density, changepoints
 from panelwatch.operators.forest import fit_forest, forest_attribution, score_forest
-from panelwatch.operators.series import Series, forward_fill
+from panelwatch.operators.series import Series, forward_fill, latest_row
 from panelwatch.operators.spine import is_session, previous_session
 from panelwatch.plans.features import build_features
 from panelwatch.session import settle
@@ -42,22 +42,48 @@ class Tables:
             setattr(self, name, f"{self.root}/{name}")
 
 
-def update_features(spark: SparkSession, t: Tables, as_of: str, floor: str | None = S.DATE_FLOOR) -> None:
-    """Extend the feature table from all landed history.
+HALO_DAYS = 600  # covers 60 rows of every daily source and 12 rows of a monthly one
 
-    Reading the whole history, not only today's snapshot, gives new dates the
-    rows their windows look back on, so a daily run equals a backfill.
+
+def update_features(
+    spark: SparkSession,
+    t: Tables,
+    as_of: str,
+    floor: str | None = S.DATE_FLOOR,
+    since: str | None = None,
+    halo_days: int = HALO_DAYS,
+) -> None:
+    """Add the dates the feature table lacks, from landed history.
+
+    New dates get the rows their windows look back on, so a daily run equals a
+    backfill.  Without ``since`` the whole history is read.  With it only dates
+    from ``since`` are added, and only the halo before them is read; values older
+    than the halo are carried on from the table's last row before ``since``.
     """
-    bars = L.read_history(spark, t.landed, "prices", S.PRICES_RAW, ["series_key", "date", "ticker"], as_of)
-    macro = L.read_history(spark, t.landed, "macro", S.MACRO_RAW, ["series_key", "date", "series"], as_of)
-    geo = L.read_history(
-        spark, t.landed, "geo", StructType(S.GEO_RAW.fields[:4]), ["series_key", "date"], as_of
-    )
-    if Q.on_empty_source(macro, L.read_features(spark, t.features)) is not None:
+    start = None if since is None else F.date_sub(F.to_date(F.lit(since)), halo_days)
+
+    def history(source, schema, ids):
+        rows = L.read_history(spark, t.landed, source, schema, ids, as_of, start)
+        return rows if start is None else rows.filter(F.col("date") >= start)
+
+    bars = history("prices", S.PRICES_RAW, ["series_key", "date", "ticker"])
+    macro = history("macro", S.MACRO_RAW, ["series_key", "date", "series"])
+    geo = history("geo", StructType(S.GEO_RAW.fields[:4]), ["series_key", "date"])
+    table = L.read_features(spark, t.features)
+    if Q.on_empty_source(macro, table) is not None:
         return
     if bars.isEmpty() or geo.isEmpty():
         raise Q.GateFailed("no landed prices or geopolitical data")
-    built = build_features(L.wide_prices(bars), L.wide_macro(macro), L.with_staleness(geo, as_of), floor)
+    built = build_features(
+        L.wide_prices(bars), L.wide_macro(macro), L.with_staleness(geo, as_of), since or floor
+    )
+    if since is not None:
+        before = table.filter(F.col("date") < F.to_date(F.lit(since)))
+        seed = latest_row(before.select(*KEYS, "date", *S.FEATURES)).drop("date")
+        seed = settle(seed.withColumnsRenamed({f: f"__{f}" for f in S.FEATURES}))  # one row per key
+        built = built.join(seed, list(KEYS), "left").select(
+            *[F.coalesce(c, f"__{c}").alias(c) if c in S.FEATURES else F.col(c) for c in built.columns]
+        )
     L.append_features(spark, settle(built), t.features)
 
 

@@ -72,11 +72,17 @@ def read_history(
     schema: T.StructType,
     ids: Sequence[str],
     until: str | None = None,
+    start: Column | None = None,
 ) -> DataFrame:
-    """All landed snapshots as one history: per identity the newest landed row."""
+    """All landed snapshots as one history: per identity the newest landed row.
+
+    ``start`` leaves out runs before that date, which hold no later observation.
+    """
     landed = read_parquet(spark, f"{root}/{source}", _with_run(schema))
     if until is not None:
         landed = landed.filter(F.col(RUN) <= F.to_date(F.lit(until)))
+    if start is not None:
+        landed = landed.filter(F.col(RUN) >= start)
     rest = [c for c in schema.names if c not in ids]
     newest = landed.groupBy(*ids).agg(F.max_by(F.struct(*rest), F.col(RUN)).alias("__row"))
     return newest.select(*[c if c in ids else F.col("__row")[c].alias(c) for c in schema.names])

@@ -85,12 +85,13 @@ def test_run_log_and_reports(spark, full):
     assert R.anomaly_log(scores).count() == scores.filter("anomaly_static").count()
 
 
-def test_incremental_equals_full(spark, sessions, full):
+@pytest.mark.parametrize("since", [None, str(day(N - 5))])
+def test_incremental_equals_full(spark, sessions, full, since):
     t = daily.Tables(scratch_path(spark, "job"))
     land(spark, t, N - 5, str(day(N - 5)))
     daily.update_features(spark, t, str(day(N - 5)))
     land(spark, t, N, str(day(N)))
-    daily.update_features(spark, t, str(day(N)))
+    daily.update_features(spark, t, str(day(N)), since=since, halo_days=450)
     cols = ["date", *[F.round(c, 9).alias(c) for c in S.FEATURES if c != "geo_signal"]]
     a, b = (L.read_features(spark, x.features).select(*cols) for x in (full, t))
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
