@@ -29,7 +29,7 @@ BUCKET, CHUNK, HALO = "__bucket", "__chunk", "__halo"
 ROWS_PER_CHUNK = 500_000
 BUCKETS_PER_CHUNK = 16
 MAX_BROADCAST_BUCKETS = 100_000
-WIDE = 4  # from this many columns on, one Arrow pass beats per-column sliding frames
+WIDE = 2  # from this many columns on, one Arrow pass beats per-column sliding frames
 
 
 def order_number(df: DataFrame, order: str) -> Column:
