@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwatch.llm import suffix_dedup
+from panelwatch.llm import near_dedup, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,3 +38,9 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2(suffix_dedup.kept_bytes(), 256).alias("kept_sha256"),
     )
+
+
+@query("op9_minhash_near_dedup")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    groups = near_dedup.near_groups(table(spark, sf, "documents").select("doc_id", "text"))
+    return groups.select("doc_id", "n_shingles", "component_id", "kept")
