@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwatch.llm import near_dedup, suffix_dedup
+from panelwatch.llm import near_dedup, quality, suffix_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,3 +44,24 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     groups = near_dedup.near_groups(table(spark, sf, "documents").select("doc_id", "text"))
     return groups.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+TOKEN_LIMIT = 4096
+
+
+@query("op10_token_counts")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    counts = token_counts.with_token_counts(table(spark, sf, "documents"), tokenizer("piece_bpe_32k.model"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+@query("op4_quality_trees")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    out = quality.judged(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return out.select("doc_id", *quality.BASE, "base_failed", "kept", "score")
