@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwatch.llm import near_dedup, quality, suffix_dedup, token_counts
+from panelwatch.llm import language, near_dedup, quality, suffix_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,3 +65,15 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     out = quality.judged(table(spark, sf, "documents"), table(spark, sf, "labels"))
     return out.select("doc_id", *quality.BASE, "base_failed", "kept", "score")
+
+
+def held_out(id_col: str = "doc_id"):
+    """Documents that no language model learns from."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+@query("op5_language_codes")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = language.train(docs.filter(~held_out()))
+    return language.with_language(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
