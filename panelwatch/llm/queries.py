@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwatch.llm import language, near_dedup, quality, suffix_dedup, token_counts
+from panelwatch.llm import decontamination, language, near_dedup, quality, suffix_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -77,3 +77,10 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     model = language.train(docs.filter(~held_out()))
     return language.with_language(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@query("op1_benchmark_tiling")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    out = decontamination.marked(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
+    tiles = F.coalesce(F.size("tiles"), F.lit(0)).cast("long").alias("n_tiles")
+    return out.select("doc_id", "contaminated", "item_id", "coverage", tiles, (~F.col("contaminated")).alias("kept"))

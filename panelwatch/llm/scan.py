@@ -87,9 +87,12 @@ class Rolling:
         return (self.sums[k:] - self.sums[:-k]) * self.down[:n] if n > 0 else np.empty(0, np.uint64)
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and the first word of each document (one more at the end)."""
-    space = _SPACE[data]
+def word_spans(data: np.ndarray, offsets: np.ndarray, apart: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, and the first word of each document (one more at the end).
+
+    ``apart`` tells for each byte value whether it separates words; white space if not given.
+    """
+    space = apart[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     before = np.ones(len(data), bool)
