@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwatch.llm import decontamination, language, near_dedup, quality, suffix_dedup, token_counts
+from panelwatch.llm import decontamination, language, near_dedup, packing, quality, suffix_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -84,3 +84,14 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
     out = decontamination.marked(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
     tiles = F.coalesce(F.size("tiles"), F.lit(0)).cast("long").alias("n_tiles")
     return out.select("doc_id", "contaminated", "item_id", "coverage", tiles, (~F.col("contaminated")).alias("kept"))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    import public_tokenizers
+
+    return packing.packed_rows(docs, tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, end_mark=50256)
+
+
+@query("op7_packed_ids")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    return packed(table(spark, sf, "documents"))
