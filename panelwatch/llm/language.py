@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelwatch.llm import scan
 
@@ -29,6 +30,7 @@ STEPS = 300
 #: Least difference in loss between the two nearest codewords of a clear text.
 CLEAR = 0.5
 UNKNOWN = "und"
+FOUND = ["lang_pred", "score", "ambiguous"]
 
 _LETTERS = scan._LOWER.copy()
 _LETTERS[[c for c in range(128) if not chr(c).isalpha()]] = 32
@@ -127,26 +129,24 @@ def fit(languages: list[str], shares: np.ndarray, which: np.ndarray) -> Model:
     return Model(languages, code, weights.astype(np.float32), bias - mean @ weights)
 
 
-def apply(model: Model):
-    """Arrow function over (id, lettered, text)."""
+def apply(model: Model, carry: bool):
+    """Arrow function over rows with ``text`` and, last, ``_lettered``; the other columns pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*model.languages, UNKNOWN], object)
         for b in batches:
             data, offsets = scan.column(b, "text")
-            lettered = b.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            lettered = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False).astype(bool)
+            rest = b.drop_columns(["_lettered"] if carry else ["_lettered", "text"])
             for i, j in scan.runs(offsets):
                 best, share, lead = model.decode(model.margins(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]))
                 known = lettered[i:j]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        b.column(0).slice(i, j - i),
-                        pa.array(names[np.where(known, best, -1)], pa.string()),
-                        pa.array(np.where(known, np.clip(share, 0, 1), 0.0)),
-                        pa.array(known & (lead < CLEAR)),
-                    ],
-                    names=["id", "lang_pred", "score", "ambiguous"],
-                )
+                found = [
+                    pa.array(names[np.where(known, best, -1)], pa.string()),
+                    pa.array(np.where(known, np.clip(share, 0, 1), 0.0)),
+                    pa.array(known & (lead < CLEAR)),
+                ]
+                yield pa.RecordBatch.from_arrays([*rest.slice(i, j - i).columns, *found], names=[*rest.schema.names, *FOUND])
 
     return run
 
@@ -170,17 +170,22 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return fit(languages, shares, np.searchsorted(languages, got["lang"].to_numpy(str)))
 
 
-def with_language(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The id of every row with ``lang_pred``, ``score`` (0 to 1) and ``ambiguous``.
+def with_language(docs: DataFrame, model: Model | None, text_col: str = "text", carry: bool = True) -> DataFrame:
+    """``docs`` with ``lang_pred``, ``score`` (0 to 1) and ``ambiguous``; without the text unless ``carry``.
 
     Null texts and texts without a letter get ``und`` and score 0; so do all without a
     model.  Rows that repeat are judged each, equal losses go to the language that sorts
-    first, ids may be null, other columns are not read, and an empty table gives an empty one.
+    first, and an empty table gives an empty one.  Columns of the new names are replaced,
+    others kept.
     """
-    lettered: Column = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
-    kind = docs.schema[id_col].dataType.simpleString()
+    docs = docs.drop(*FOUND)
     if model is None:
-        return docs.select(F.col(id_col), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(False).alias("ambiguous"))
-    rows = docs.select(F.col(id_col).alias("id"), lettered.alias("lettered"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    out = rows.mapInArrow(apply(model), f"id {kind}, lang_pred string, score double, ambiguous boolean")
-    return out.withColumnRenamed("id", id_col)
+        out = docs.withColumns(dict(zip(FOUND, (F.lit(UNKNOWN), F.lit(0.0), F.lit(False)))))
+        return out if carry else out.drop(text_col)
+    lettered: Column = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
+    others = [c for c in docs.columns if c != text_col]
+    rows = docs.select(*others, F.col(text_col).alias("text"), lettered.alias("_lettered"))
+    kept = T.StructType([f for f in rows.schema.fields if f.name != "_lettered" and (carry or f.name != "text")])
+    schema = kept.add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean")
+    out = rows.mapInArrow(apply(model, carry), schema)
+    return out.withColumnRenamed("text", text_col) if carry else out

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelwatch.llm.steps import settle
+
 WEIGHTS = (1, 2, 3)
 MOST = 3
 ROWS_PER_RANGE = 50_000
@@ -33,8 +35,9 @@ def random_key(id_col: str, text_col: str, seed: str = SEED) -> Column:
 def targets(sized: DataFrame, source: str = "source", size: str = "size", weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """(source, source_size, n_rows, weight, target) of every source; null is a source, the last.
 
-    Sources by how soon they are full: one is full if its share of what the fuller ones
-    leave exceeds its limit; the others share the rest by weight.
+    Sources by how soon they are full: one is full if its share of what those before leave
+    reaches its limit.  From the first that is not on, all share the rest by weight: the
+    level rises up to there and falls behind it.
     """
     per = sized.groupBy(F.col(source).alias("source")).agg(F.sum(size).alias("source_size"), F.count(F.lit(1)).alias("n_rows"))
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
@@ -46,15 +49,18 @@ def targets(sized: DataFrame, source: str = "source", size: str = "size", weight
     level = left("source_size", "cap").cast("double") / left("weight", "weight").cast("double")
     per = per.withColumn("level", level)
     per = per.withColumn("full", F.col("cap") <= F.col("weight") * F.col("level"))
-    shared = F.min(F.when(~F.col("full"), F.col("level"))).over(all_)
+    shared = F.max(F.when(~F.col("full"), F.col("level"))).over(all_)
     per = per.withColumn("target", F.when(F.col("full"), F.col("cap").cast("double")).otherwise(F.col("weight") * shared))
     return per.select("source", "source_size", "n_rows", "weight", "target")
 
 
 def with_taken(docs: DataFrame, source: str = "source", size: str = "size", key: str = "key", weights: tuple[int, ...] = WEIGHTS,
-               most: int = MOST) -> DataFrame:
+               most: int = MOST, narrow: DataFrame | None = None) -> DataFrame:
     """``docs`` (with word counts and keys) with ``source_size``, ``target`` and ``taken``.
 
+    ``narrow``, if given, has the source, size and key of the same rows; sums are taken of it,
+    so wide rows are read once.
+
     ``taken`` counts the words of a row that the mix has, over all rounds: whole rounds take
     every word, the last one only words before the budget's end, so the words taken of a
     source are its target rounded down.  Rows without words take none.  Rows of equal key
@@ -62,18 +68,21 @@ def with_taken(docs: DataFrame, source: str = "source", size: str = "size", key:
     ``docs`` are replaced, others kept; an empty table gives an empty table.
     """
     docs = docs.drop("source_size", "target", "taken")
-    plan = targets(docs, source, size, weights, most).select(
+    counted = docs if narrow is None else narrow
+    plan = targets(counted, source, size, weights, most).select(
         F.col("source").alias("_s"), "source_size", "target", F.ceil(F.col("n_rows") / ROWS_PER_RANGE).alias("_ranges")
     )
-    same = docs[source].eqNullSafe(F.col("_s"))
+    plan = settle(plan)
     range_ = F.expr(f"shiftright(cast(conv(substr({key}, 1, 10), 16, 10) as long) * _ranges, 40)")
-    rows = docs.join(plan, same).withColumn("_range", range_)
-    totals = rows.groupBy("_s", "_range").agg(F.sum(size).alias("_words"))
+    dealt = lambda df: df.join(plan, df[source].eqNullSafe(F.col("_s"))).withColumn("_range", range_)
+    rows = dealt(docs)
+    totals = dealt(counted).groupBy("_s", "_range").agg(F.sum(size).alias("_words"))
     before = Window.partitionBy("_s").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
     past = totals.select(
         F.col("_s").alias("_ps"), F.col("_range").alias("_pr"), F.coalesce(F.sum("_words").over(before), zero).alias("_past")
     )
+    past = settle(past)
     rows = rows.join(past, F.col("_s").eqNullSafe(F.col("_ps")) & (F.col("_range") == F.col("_pr")))
     inside = Window.partitionBy("_s", "_range").orderBy(key, size).rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("_past") + F.coalesce(F.sum(size).over(inside), zero)

@@ -323,19 +323,21 @@ def posting_lists(classes: DataFrame, matches: int) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, matches: int = MATCHES) -> DataFrame:
-    """One row per document row: rid, the id, n_shingles, component_id (smallest id of the group), kept.
+    """One row per document row: rid, the id, n_shingles, component_id (smallest id of the group), kept, stays.
 
     ``rid`` is ``xxhash64`` of id and text, to join back to the rows.  Null and empty texts
     and texts without words have no shingles and stay alone.  Rows that repeat share their
     class; a null id never names a group that has another id, and a group of null ids only
-    has a null component and is kept.  An empty table gives an empty table; columns other
+    has a null component and is kept.  ``stays`` marks one row of each group also where ids
+    repeat or are null (all rows of its ``rid``, if whole rows repeat).  An empty table gives an empty table; columns other
     than the two named are not read.
     """
     rid = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)).alias("rid")
     texts = docs.select(rid, F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     signed = settle(texts.mapInArrow(signatures, "rid long, id long, n long, node long, check long, sig binary"))
     some = signed.filter("n > 0")
-    names = some.groupBy("node", "check", "n").agg(F.min("rid").alias("rid"), F.min("id").alias("first"))
+    smallest = F.min(F.struct(F.col("id").isNull(), "id", "rid"))
+    names = some.groupBy("node", "check", "n").agg(smallest.alias("least")).select("node", "check", "n", "least", "least.rid")
     sigs = some.select("rid", "node", "sig").dropDuplicates(["rid", "node"]) if some.count() != some.select("rid").distinct().count() else some.select("rid", "node", "sig")
     classes = settle(names.join(sigs, ["rid", "node"]))
 
@@ -346,10 +348,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if not rest.isEmpty():
         found = settle(components(stars.unionByName(rest)))
 
-    groups = classes.select("node", "check", "first").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    groups = classes.select("node", "check", "least").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     groups = settle(groups)
-    least = groups.groupBy("component").agg(F.min("first").alias("component_id"))
-    groups = groups.join(least, "component").select("node", "check", "component_id")
+    least = groups.groupBy("component").agg(F.min("least").alias("one"))
+    groups = groups.join(least, "component").select("node", "check", F.col("one.id").alias("component_id"), F.col("one.rid").alias("stay"))
     out = signed.select("rid", "id", "n", "node", "check").join(groups, ["node", "check"], "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     return out.select(
@@ -358,4 +360,5 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.coalesce(F.col("id") == component, component.isNull()).alias("kept"),
+        F.coalesce(F.col("rid") == F.col("stay"), F.lit(True)).alias("stays"),
     )

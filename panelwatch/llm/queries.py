@@ -77,7 +77,8 @@ def held_out(id_col: str = "doc_id"):
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     model = language.train(docs.filter(~held_out()))
-    return language.with_language(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
+    rows = docs.select("doc_id", "text")
+    return language.with_language(rows, model, carry=False).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
 @query("op1_benchmark_tiling")

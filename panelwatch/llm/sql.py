@@ -49,7 +49,7 @@ WITH sized AS (
 ), targeted AS (
   SELECT source, source_size,
     CASE WHEN cap <= weight * level THEN cap::DOUBLE
-      ELSE weight * min(level) FILTER (cap > weight * level) OVER () END AS target
+      ELSE weight * max(level) FILTER (cap > weight * level) OVER () END AS target
   FROM leveled
 ), placed AS (
   SELECT doc_id, size, source_size, target, floor(target)::BIGINT AS budget,
