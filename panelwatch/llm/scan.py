@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-RUN_BYTES = 1 << 20
+RUN_BYTES = 1 << 18
 SHINGLE = 5
 
 _SPACE = np.zeros(256, bool)
@@ -62,7 +62,7 @@ class Powers:
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = max(n, 2 * RUN_BYTES)
+            size = max(n, RUN_BYTES + (RUN_BYTES >> 2))
             for name, base in (("up", BASE), ("down", BASE_INVERSE)):
                 table = np.full(size, base, np.uint64)
                 table[0] = 1

@@ -31,8 +31,8 @@ from panelwatch.llm.steps import deal, row_key, settle, slices, tasks
 
 WINDOW = 200
 ANCHOR = 40
-SHARD_BYTES = 1 << 20
-SHARD_PASSAGES = 2048
+SHARD_BYTES = 1 << 18
+SHARD_PASSAGES = 1024
 #: Anchors with more occurrences are counted by Spark's partial sums instead of in one task.
 OFTEN = 8192
 ROWS_PER_TASK = 250_000
