@@ -33,9 +33,9 @@ WINDOW = 200
 ANCHOR = 40
 SHARD_BYTES = 1 << 18
 SHARD_PASSAGES = 1024
-#: Anchors with more occurrences are counted by Spark's partial sums instead of in one task.
-OFTEN = 8192
 ROWS_PER_TASK = 250_000
+#: Anchors with more occurrences would fill a task alone; Spark's partial sums count them.
+OFTEN = ROWS_PER_TASK
 
 _PLACE = np.uint64((1 << 28) - 1)
 _MARK, _PASSAGE, _WINDOWS = 0, 1, 2
