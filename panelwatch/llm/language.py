@@ -25,6 +25,7 @@ from panelwatch.llm import scan
 PER_LANGUAGE = 400
 TRAIN_ROWS = 4_000
 BUCKETS = 1 << 12
+LOW = 3
 EXHAUSTIVE = 6
 STEPS = 300
 #: Least difference in loss between the two nearest codewords of a clear text.
@@ -155,12 +156,16 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """A model of the rows with a language; none if there are no such rows."""
     known = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     rows = known.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).alias("lang"))
-    n = known.select(F.countDistinct(lang_col)).first()[0]
-    if not n:
+    counts = rows.groupBy("lang").count().withColumn("n", F.count(F.lit(1)).over(Window.partitionBy()))
+    first = counts.select("n").first()
+    if first is None:
         return None
+    n = first["n"]
     each = max(1, min(PER_LANGUAGE, TRAIN_ROWS // n))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    chosen = rows.withColumn("rank", rank).filter(F.col("rank") <= each).select("id", "lang").distinct()
+    low = (F.lit(LOW * each) / F.col("count") - 0.5) * 2.0**64  # hashes below hold about LOW times as many rows as are wanted
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
+    few = rows.withColumn("h", F.xxhash64("id")).join(counts, "lang").filter(F.col("h") <= low)
+    chosen = few.withColumn("rank", rank).filter(F.col("rank") <= each).select("id", "lang").distinct()
     texts = known.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     # at most TRAIN_ROWS short rows, by the rank above
     sample = texts.join(F.broadcast(chosen), ["id", "lang"]).select("lang", "text").mapInArrow(vectors, "lang string, shares binary")

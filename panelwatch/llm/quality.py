@@ -22,6 +22,7 @@ from panelwatch.llm import scan
 from panelwatch.llm.steps import settle
 
 TRAIN_ROWS = 20_000
+LOW = 1.5
 TREES = 40
 DEPTH = 3
 BINS = 64
@@ -274,7 +275,9 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     kind = docs.schema[id_col].dataType.simpleString()
     counted = settle(texts.mapInArrow(count_statistics, ", ".join([f"id {kind}", *(f"{c} long" for c in COUNTS)])))
     known = labels.filter("quality is not null").groupBy(F.col(id_col).alias("id")).agg(F.min("quality").alias("quality"))
-    rows = counted.join(known, "id").orderBy(F.xxhash64(F.col("id").cast("string")), *COUNTS).limit(TRAIN_ROWS).toPandas()
+    known = settle(known.withColumn("h", F.xxhash64(F.col("id").cast("string"))))
+    low = (LOW * TRAIN_ROWS / max(1, known.count()) - 0.5) * 2.0**64  # below it lie about LOW times as many as are wanted
+    rows = counted.join(known.filter(F.col("h") <= low), "id").orderBy("h", *COUNTS).limit(TRAIN_ROWS).toPandas()
     model = fit(features(rows), rows["quality"].to_numpy(float))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     counted = counted.withColumn("base_failed", failed)
