@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelwatch.llm import scan
+from panelwatch.llm.steps import settle
 
 PER_LANGUAGE = 400
 TRAIN_ROWS = 4_000
@@ -153,23 +154,27 @@ def apply(model: Model, carry: bool):
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
-    """A model of the rows with a language; none if there are no such rows."""
-    known = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    """A model of the rows with a language and a text; none if there are no such rows."""
+    known = docs.filter(F.col(lang_col).isNotNull())
     rows = known.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).alias("lang"))
-    counts = rows.groupBy("lang").count().withColumn("n", F.count(F.lit(1)).over(Window.partitionBy()))
-    first = counts.select("n").first()
-    if first is None:
+    counts = settle(rows.groupBy("lang").count())
+    n = counts.count()
+    if not n:
         return None
-    n = first["n"]
+    if n > TRAIN_ROWS:
+        raise ValueError(f"{n} languages; at most {TRAIN_ROWS} can be learnt")
     each = max(1, min(PER_LANGUAGE, TRAIN_ROWS // n))
     low = (F.lit(LOW * each) / F.col("count") - 0.5) * 2.0**64  # hashes below hold about LOW times as many rows as are wanted
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
-    few = rows.withColumn("h", F.xxhash64("id")).join(counts, "lang").filter(F.col("h") <= low)
+    # at most TRAIN_ROWS languages, checked above
+    few = rows.withColumn("h", F.xxhash64("id")).join(F.broadcast(counts), "lang").filter(F.col("h") <= low)
     chosen = few.withColumn("rank", rank).filter(F.col("rank") <= each).select("id", "lang").distinct()
-    texts = known.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    texts = known.filter(F.col(text_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     # at most TRAIN_ROWS short rows, by the rank above
     sample = texts.join(F.broadcast(chosen), ["id", "lang"]).select("lang", "text").mapInArrow(vectors, "lang string, shares binary")
     got = sample.limit(2 * each * n).toPandas().sort_values(["lang", "shares"])
+    if got.empty:
+        return None
     languages = sorted(got["lang"].unique())
     shares = np.frombuffer(b"".join(got["shares"]), np.float32).reshape(-1, BUCKETS)
     return fit(languages, shares, np.searchsorted(languages, got["lang"].to_numpy(str)))
