@@ -16,7 +16,7 @@ from panelwatch.llm.steps import settle
 
 WEIGHTS = (1, 2, 3)
 MOST = 3
-ROWS_PER_RANGE = 50_000
+ROWS_PER_RANGE = 4_000
 SEED = "mix-1"
 _SPACES = r"[\x20\x09-\x0D]+"
 

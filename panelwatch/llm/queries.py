@@ -127,7 +127,8 @@ SHARDS = 16
 
 @query("op3_feistel_shards", sql.SHARD)
 def op3(spark: SparkSession, sf: str) -> DataFrame:
-    out = sharding.sharded(table(spark, sf, "documents").select("doc_id", "text"), SHARDS)
+    docs = sharding.with_size(table(spark, sf, "documents")).select("doc_id", "size", "text_crc32")
+    out = sharding.sharded(docs, SHARDS)
     law, grown = F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard")
     return out.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
 

@@ -81,17 +81,22 @@ def numbered(rows: DataFrame, *order: Column) -> tuple[DataFrame, int]:
     return out.drop("_part", "_first"), dealt.count()
 
 
-def sharded(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``size``, ``text_crc32``, ``row_number``, ``place``, ``shard`` and ``slot``.
+def with_size(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``size`` (UTF-8 bytes plus 1) and ``text_crc32``; null texts have 1 and 0."""
+    raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
+    return docs.withColumns({"size": (F.octet_length(raw) + 1).cast("long"), "text_crc32": F.crc32(raw)})
+
+
+def sharded(docs: DataFrame, shards: int, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` (with size and checksum) with ``row_number``, ``place``, ``shard`` and ``slot``.
 
     The order is id (null last), then checksum, then size; rows equal in all three take
     neighbouring numbers in any order, which no result tells apart unless their other
-    columns differ.  Null texts have size 1 and checksum 0.  Columns of these names in
-    ``docs`` are replaced, others kept.  An empty table gives an empty table.
+    columns differ.  Columns of these names in ``docs`` are replaced, others kept.  An empty
+    table gives an empty table.
     """
-    raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    sized = docs.withColumns({"size": (F.octet_length(raw) + 1).cast("long"), "text_crc32": F.crc32(raw)})
-    rows, n = numbered(sized, F.col(id_col).asc_nulls_last(), F.col("text_crc32").asc(), F.col("size").asc())
+    docs = docs.drop("row_number", "place", "shard", "slot")
+    rows, n = numbered(docs, F.col(id_col).asc_nulls_last(), F.col("text_crc32").asc(), F.col("size").asc())
     out = permuted(rows, "row_number", n)
     return out.withColumns({"shard": F.expr(f"cast(place % {shards} as int)"), "slot": F.expr(f"place div {shards}")})
 
