@@ -30,7 +30,7 @@ LOW = 3
 EXHAUSTIVE = 6
 STEPS = 300
 #: Least difference in loss between the two nearest codewords of a clear text.
-CLEAR = 0.5
+CLEAR = 0.2
 UNKNOWN = "und"
 FOUND = ["lang_pred", "score", "ambiguous"]
 

@@ -26,7 +26,7 @@ SELECT conv_id,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  sum(length('<s>') + length({_escaped('role')}) + 1 + length({_escaped('text')})
+  sum(length('<s>') + length(replace({_escaped('role')}, chr(10), '<\\n>')) + 1 + length({_escaped('text')})
       + CASE WHEN role = 'assistant' THEN length('</s>') ELSE length('[INST] ') + length(' [/INST]') END + 1)::BIGINT AS formatted_chars
 FROM turns GROUP BY conv_id
 """
