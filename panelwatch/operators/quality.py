@@ -27,6 +27,9 @@ class GateFailed(RuntimeError):
     """A critical check failed; nothing may be written."""
 
 
+EXAMPLES = 5  # messages in the error text; the findings table has all
+
+
 def _finding(severity: str, check: str, when: Column, message: Column) -> Column:
     entry = F.struct(
         F.lit(severity).alias("severity"), F.lit(check).alias("check"), message.alias("message")
@@ -179,11 +182,22 @@ def stamp(df: DataFrame, found: DataFrame, session_day: bool, keys=KEYS) -> Data
     return out.select(*columns, *added)
 
 
-def enforce(found: DataFrame) -> None:
-    """Raise if anything critical was found; call before any sink."""
-    worst = found.filter(F.col("severity") == CRITICAL).select("message").limit(20).collect()
-    if worst:
-        raise GateFailed("; ".join(r["message"] for r in worst))
+def enforce(found: DataFrame, path: str | None = None) -> None:
+    """Raise if anything critical was found; call before any sink.
+
+    With a ``path`` all findings are added to the table there first, so none is lost;
+    the error names their number and the first few.
+    """
+    worst = found.filter(F.col("severity") == CRITICAL)
+    if worst.isEmpty():
+        return
+    if path is not None:
+        found.write.mode("append").parquet(path)
+    n = worst.count()
+    keys = [c for c in found.columns if c not in ("severity", "check", "message", "position")]
+    first = worst.orderBy(*keys, "position").select("message").limit(EXAMPLES).collect()
+    where = "" if path is None else f", all in {path}"
+    raise GateFailed(f"{n} critical findings{where}: " + "; ".join(r["message"] for r in first))
 
 
 def on_empty_source(source: DataFrame, existing: DataFrame, policy: str = "keep_existing") -> DataFrame | None:

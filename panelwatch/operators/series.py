@@ -11,6 +11,8 @@ rows are exact and no task ever sees more than about a chunk.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -26,24 +28,16 @@ from panelwatch.functions import rolling as R
 from panelwatch.session import settle, task_count
 
 BUCKET, CHUNK, HALO = "__bucket", "__chunk", "__halo"
+PART, POSITION = "__part", "__position"
 ROWS_PER_CHUNK = 500_000
-BUCKETS_PER_CHUNK = 16
-MAX_BROADCAST_BUCKETS = 100_000
 WIDE = 2  # from this many columns on, one Arrow pass beats per-column sliding frames
 
 
-def order_number(df: DataFrame, order: str) -> Column:
-    """The order column as a long that grows with it (microseconds for timestamps)."""
-    c, t = F.col(order), df.schema[order].dataType
-    if isinstance(t, T.DateType):
-        return F.unix_date(c).cast("long")
-    if isinstance(t, T.TimestampNTZType):
-        # Built from the fields: a cast through the session zone would jump at DST.
-        whole = F.unix_date(c.cast("date")).cast("long") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60
-        return whole * 1_000_000 + (F.date_part(F.lit("SECOND"), c) * 1_000_000).cast("long")
-    if isinstance(t, T.TimestampType):
-        return F.unix_micros(c)
-    return c.cast("long")
+def _join_same(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """A join in which nulls equal each other; ``right`` gives only its other columns."""
+    renamed = right.withColumnsRenamed({c: f"__same_{c}" for c in on})
+    same = [F.col(c).eqNullSafe(F.col(f"__same_{c}")) for c in on]
+    return left.join(renamed, reduce(and_, same), how).drop(*[f"__same_{c}" for c in on])
 
 
 class Series:
@@ -91,56 +85,41 @@ class Series:
         ``tie`` orders rows that share an ``order`` value; together they must give
         a total order per key.
 
-        Sizes are measured first; if no key exceeds a chunk nothing is cut.  The
-        cut follows exact row counts per time bucket, so bursts in time do not
-        make a chunk grow, and it depends on the data alone, so a recomputed
-        task sees the same chunks.
+        Keys are counted first; if none exceeds a chunk nothing is cut.  Otherwise
+        rows are dealt by ranges of (keys, order, tie) and stored, and the counts
+        of the ranges give every row its position in its key.  Chunks are cut by
+        position, so neither bursts nor ties nor nulls make one grow, and no row
+        is lost: null keys are a key, null order values come first in it.
         """
         rows_per_chunk = max(rows_per_chunk, 2 * lookback, 2)
         keys = list(keys)
-        num = order_number(df, order)
-        longest, lo, hi = (
-            df.groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("n"), F.min(num).alias("lo"), F.max(num).alias("hi"))
-            .agg(F.max("n"), F.min("lo"), F.max("hi"))
-            .first()
-        )
+        longest, total = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
         if longest is None or longest <= rows_per_chunk:
             return cls.of(df, keys, order, tie)
 
-        width = max(1, (hi - lo + 1) * rows_per_chunk // (BUCKETS_PER_CHUNK * longest))
-        while True:
-            bucket = F.floor((num - F.lit(lo)) / F.lit(width)).cast("long")
-            counts = settle(
-                df.groupBy(*keys, bucket.alias(BUCKET)).agg(F.count(F.lit(1)).alias("n"))
-            )
-            fullest, n_buckets = counts.agg(F.max("n"), F.count(F.lit(1))).first()
-            if fullest <= rows_per_chunk or width == 1:
-                break
-            width = max(1, width // BUCKETS_PER_CHUNK)
-
-        # A bucket lies in the chunk its first row falls into, and is also sent to
-        # every later chunk that starts fewer than ``lookback`` rows after its end.
-        so_far = W.partitionBy(*keys).orderBy(BUCKET).rowsBetween(W.unboundedPreceding, W.currentRow)
-        end = F.sum("n").over(so_far)
-        size = F.lit(rows_per_chunk)
-        plan = counts.withColumn("end", end).select(
-            *keys,
-            BUCKET,
-            F.floor((F.col("end") - F.col("n")) / size).cast("long").alias("own"),
-            F.floor((F.col("end") + F.lit(lookback - 1)) / size).cast("long").alias("last"),
-        )
-        if n_buckets <= MAX_BROADCAST_BUCKETS:
-            plan = F.broadcast(plan)
+        dealt = df.repartitionByRange(*keys, order, *tie).withColumn(PART, F.spark_partition_id())
+        dealt = settle(dealt)
+        past = W.partitionBy(*keys).orderBy(PART).rowsBetween(W.unboundedPreceding, -1)
+        firsts = dealt.groupBy(*keys, PART).agg(F.count(F.lit(1)).alias("__n"))
+        firsts = settle(firsts.withColumn(POSITION, F.coalesce(F.sum("__n").over(past), F.lit(0))).drop("__n"))
+        rank = F.row_number().over(W.partitionBy(*keys, PART).orderBy(order, *tie)) - 1
+        at = dealt.withColumn("__rank", rank)
+        at = _join_same(at, firsts, [*keys, PART]).withColumn(POSITION, F.col(POSITION) + F.col("__rank"))
+
+        # The last ``lookback`` rows of a chunk are also sent to the next one.  A
+        # bucket is a chunk's part before these rows, or these rows.
+        own = F.floor(F.col(POSITION) / rows_per_chunk).cast("long")
+        halo = (F.col(POSITION) % rows_per_chunk >= rows_per_chunk - lookback).cast("long")
         cut = (
-            df.withColumn(BUCKET, bucket)
-            .join(plan, [*keys, BUCKET])
-            .withColumn(CHUNK, F.explode(F.sequence("own", F.greatest("own", "last"))))
-            .withColumn(HALO, F.col(CHUNK) != F.col("own"))
-            .drop("own", "last")
+            at.withColumns({"__own": own, "__shared": halo})
+            .withColumn(BUCKET, 2 * F.col("__own") + F.col("__shared"))
+            .withColumn(CHUNK, F.explode(F.sequence("__own", F.col("__own") + F.col("__shared"))))
+            .withColumn(HALO, F.col(CHUNK) != F.col("__own"))
+            .drop(PART, POSITION, "__rank", "__own", "__shared")
         )
         part = [*keys, CHUNK]
-        return cls(cut.repartition(task_count(df.sparkSession), *part), keys, order, part, True, tie)
+        n = max(task_count(df.sparkSession), -(-total // rows_per_chunk))
+        return cls(cut.repartition(n, *part), keys, order, part, True, tie)
 
     # -- use ----------------------------------------------------------------
 
@@ -217,7 +196,7 @@ def forward_fill(s: Series, columns: Sequence[str]) -> Series:
         .filter("is_bucket = 0")
         .drop("is_bucket")
     )
-    joined = filled.df.join(carry, s.part, "left")
+    joined = _join_same(filled.df, carry, s.part, "left")
     joined = joined.withColumns({c: F.coalesce(c, f"__carry_{c}") for c in columns})
     return s._with(joined.drop(*[f"__carry_{c}" for c in columns]))
 
@@ -289,18 +268,22 @@ def non_null_window(column: str, keys=("series_key",), order: str = "date") -> W
     return W.partitionBy(*keys, F.col(column).isNotNull()).orderBy(order)
 
 
-def last_rows(df: DataFrame, n: int, keys=("series_key",), order: str = "date") -> DataFrame:
-    """The newest ``n`` rows per key.
+def last_rows(
+    df: DataFrame, n: int, keys=("series_key",), order: str = "date", tie: Sequence[str] = ()
+) -> DataFrame:
+    """The newest ``n`` rows per key; of equal order values those with the greatest ``tie``.
 
     Filtering on row_number lets Spark cut every input partition to ``n`` rows
     per key before the shuffle, so a hot key never reaches one task whole.
     """
-    w = W.partitionBy(*keys).orderBy(F.desc(order))
+    w = W.partitionBy(*keys).orderBy(F.desc(order), *map(F.desc, tie))
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n).drop("__rn")
 
 
-def latest_row(df: DataFrame, keys=("series_key",), order: str = "date") -> DataFrame:
-    """The newest row per key, as a partial aggregate (no sort)."""
+def latest_row(
+    df: DataFrame, keys=("series_key",), order: str = "date", tie: Sequence[str] = ()
+) -> DataFrame:
+    """The newest row per key, as a partial aggregate (no sort); ``tie`` as in ``last_rows``."""
     rest = [c for c in df.columns if c not in keys]
-    newest = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(order)).alias("__row"))
+    newest = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(order, *tie)).alias("__row"))
     return newest.select(*keys, *[F.col("__row")[c].alias(c) for c in rest])

@@ -19,7 +19,7 @@ from panelwatch.operators import quality as Q
 from panelwatch.operators import signals as G
 from panelwatch.operators.changepoint import changepoint_density, changepoints
 from panelwatch.operators.forest import fit_forest, forest_attribution, score_forest
-from panelwatch.operators.series import Series, forward_fill, latest_row
+from panelwatch.operators.series import Series, forward_fill, last_rows
 from panelwatch.operators.spine import is_session, previous_session
 from panelwatch.plans.features import build_features
 from panelwatch.session import settle
@@ -36,13 +36,28 @@ class Tables:
     features: str = field(init=False)
     scores: str = field(init=False)
     runs: str = field(init=False)
+    findings: str = field(init=False)
 
     def __post_init__(self):
-        for name in ("landed", "features", "scores", "runs"):
+        for name in ("landed", "features", "scores", "runs", "findings"):
             setattr(self, name, f"{self.root}/{name}")
 
 
-HALO_DAYS = 600  # covers 60 rows of every daily source and 12 rows of a monthly one
+HALO_DAYS = 600  # first guess of how far back HALO_ROWS reach
+HALO_ROWS = 120  # values of a series that windows may look back on: 60 rows over differences of up to 20, doubled
+
+
+def _halo(rows: DataFrame, ids: list[str], value: str, since: str) -> DataFrame:
+    """Rows from ``since`` on, and of each series the newest HALO_ROWS values before it."""
+    day = F.to_date(F.lit(since))
+    old = rows.filter((F.col("date") < day) & F.col(value).isNotNull())
+    return rows.filter(F.col("date") >= day).unionByName(last_rows(old, HALO_ROWS, ids))
+
+
+def _reaches(rows: DataFrame, ids: list[str], value: str, since: str) -> bool:
+    """Whether every series has HALO_ROWS values before ``since``."""
+    old = rows.filter(F.col("date") < F.to_date(F.lit(since))).groupBy(*ids).agg(F.count(value).alias("n"))
+    return old.filter(F.col("n") < HALO_ROWS).isEmpty() and not old.isEmpty()
 
 
 def update_features(
@@ -55,20 +70,24 @@ def update_features(
 ) -> None:
     """Add the dates the feature table lacks, from landed history.
 
-    New dates get the rows their windows look back on, so a daily run equals a
-    backfill.  Without ``since`` the whole history is read.  With it only dates
-    from ``since`` are added, and only the halo before them is read; values older
-    than the halo are carried on from the table's last row before ``since``.
+    Without ``since`` the whole history is read.  With it only dates from ``since`` are
+    added, and every series brings the HALO_ROWS values before them, however many days
+    these take, so that a daily run equals a backfill.  ``halo_days`` only saves reading:
+    if some series has too few values in them, the whole history is read.
     """
-    start = None if since is None else F.date_sub(F.to_date(F.lit(since)), halo_days)
-
-    def history(source, schema, ids):
-        rows = L.read_history(spark, t.landed, source, schema, ids, as_of, start)
-        return rows if start is None else rows.filter(F.col("date") >= start)
 
-    bars = history("prices", S.PRICES_RAW, ["series_key", "date", "ticker"])
-    macro = history("macro", S.MACRO_RAW, ["series_key", "date", "series"])
-    geo = history("geo", StructType(S.GEO_RAW.fields[:4]), ["series_key", "date"])
+    def history(source, schema, ids, value, series):
+        whole = L.read_history(spark, t.landed, source, schema, ids, as_of)
+        if since is None:
+            return whole
+        start = F.date_sub(F.to_date(F.lit(since)), halo_days)
+        near = L.read_history(spark, t.landed, source, schema, ids, as_of, start).filter(F.col("date") >= start)
+        near = settle(near)
+        return _halo(near if _reaches(near, series, value, since) else whole, series, value, since)
+
+    bars = history("prices", S.PRICES_RAW, ["series_key", "date", "ticker"], "close", ["series_key", "ticker"])
+    macro = history("macro", S.MACRO_RAW, ["series_key", "date", "series"], "value", ["series_key", "series"])
+    geo = history("geo", StructType(S.GEO_RAW.fields[:4]), ["series_key", "date"], "GPR_OIL", ["series_key"])
     table = L.read_features(spark, t.features)
     if Q.on_empty_source(macro, table) is not None:
         return
@@ -77,13 +96,6 @@ def update_features(
     built = build_features(
         L.wide_prices(bars), L.wide_macro(macro), L.with_staleness(geo, as_of), since or floor
     )
-    if since is not None:
-        before = table.filter(F.col("date") < F.to_date(F.lit(since)))
-        seed = latest_row(before.select(*KEYS, "date", *S.FEATURES)).drop("date")
-        seed = settle(seed.withColumnsRenamed({f: f"__{f}" for f in S.FEATURES}))  # one row per key
-        built = built.join(seed, list(KEYS), "left").select(
-            *[F.coalesce(c, f"__{c}").alias(c) if c in S.FEATURES else F.col(c) for c in built.columns]
-        )
     L.append_features(spark, settle(built), t.features)
 
 
@@ -92,7 +104,7 @@ def gate_features(spark: SparkSession, t: Tables, sessions: DataFrame, as_of: st
     features = L.read_features(spark, t.features)
     session_day = is_session(sessions, as_of)
     found = settle(Q.findings(features, previous_session(sessions, as_of), session_day))
-    Q.enforce(found)
+    Q.enforce(found, t.findings)
     L.write_features(Q.stamp(features, found, session_day), t.features)
     return found
 

@@ -85,23 +85,45 @@ def read_history(
         landed = landed.filter(F.col(RUN) >= start)
     rest = [c for c in schema.names if c not in ids]
     newest = landed.groupBy(*ids).agg(F.max_by(F.struct(*rest), F.col(RUN)).alias("__row"))
-    return newest.select(*[c if c in ids else F.col("__row")[c].alias(c) for c in schema.names])
+    rows = newest.select(*[c if c in ids else F.col("__row")[c].alias(c) for c in schema.names])
+    return no_nan(rows)
 
 
-def as_date(c: Column | str) -> Column:
-    """Any date-like column as a date; a time zone is dropped, not converted."""
+def no_nan(df: DataFrame) -> DataFrame:
+    """NaN in any double is a missing value: null."""
+    doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
+    return df.withColumns({c: nan_to_null(c) for c in doubles})
+
+
+def as_date(c: Column | str, zone: str | None = None) -> Column:
+    """Any date-like column as a date.
+
+    Text and local timestamps keep their written day; a zone in text is dropped, not
+    converted.  An instant has a day only in a zone: pass the source's ``zone``, or the
+    session's counts.
+    """
     c = F.col(c) if isinstance(c, str) else c
+    if zone is not None:
+        return F.convert_timezone(F.current_timezone(), F.lit(zone), c.cast("timestamp_ntz")).cast("date")
     return c.cast("timestamp_ntz").cast("date")
 
 
 def read_geo_csv(spark: SparkSession, path: str, as_of: str, series_key: str = "all") -> DataFrame:
-    """The geopolitical index file with its staleness as of a date."""
-    raw = spark.read.schema(S.GEO_CSV).option("header", True).csv(path)
-    geo = raw.withColumnRenamed("Date", "date").select(
+    """The geopolitical index file with its staleness as of a date.
+
+    Columns are taken by the names in the header, wherever they stand; others are left
+    out.  A missing column or a value that is not a number fails the read.
+    """
+    raw = spark.read.option("header", True).csv(path)
+    missing = [n for n in S.GEO_CSV.names if n not in raw.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    number = lambda n: nan_to_null(F.trim(F.col(n)).cast("double")).alias(n)  # noqa: E731  (ANSI casts fail on other text)
+    geo = raw.select(
         F.lit(series_key).alias("series_key"),
-        as_date("date").alias("date"),
-        nan_to_null("GPR_AI").alias("GPR_AI"),
-        nan_to_null("GPR_OIL").alias("GPR_OIL"),
+        as_date("Date").alias("date"),
+        number("GPR_AI"),
+        number("GPR_OIL"),
     )
     return with_staleness(geo, as_of)
 
@@ -119,9 +141,9 @@ def widen(
     keys: Sequence[str] = ("series_key",),
     order: str = "date",
 ) -> DataFrame:
-    """One column per name on the union of dates, in one shuffle."""
+    """One column per name on the union of dates, in one shuffle; NaN counts as missing."""
     return (
-        long.select(*keys, order, name_col, value_col)
+        no_nan(long).select(*keys, order, name_col, value_col)
         .groupBy(*keys, order)
         .pivot(name_col, list(names))
         .agg(F.first(value_col, ignorenulls=True))
