@@ -103,7 +103,8 @@ def zscore_signal(spark, sf):
 def scored(spark, sf):
     """A scored panel whose forest part is the normalised peak |z|, which SQL can make too."""
     z = _signal(spark, sf)
-    rows = z.df.withColumn("peak", C.max_abs([G.zname(f) for f in S.FEATURES])).filter(F.col("peak").isNotNull())
+    peak = C.max_abs([G.zname(f) for f in S.FEATURES])
+    rows = z.df.withColumn("peak", F.coalesce(peak, F.lit(0.0)))  # warm-up rows are scored with z = 0
     rows = A.normalise_scores(settle(rows), "peak", "scores_if").withColumn("scores_cp", F.lit(0.0))
     return G.anomaly_flags(z._with(G.ensemble(rows))).df
 
@@ -163,19 +164,18 @@ def z_attribution_top5(spark, sf):
     "change_density",
     with_(
         P.SHIP,
-        f"hits AS (SELECT DISTINCT series_key, {WEEK} AS date FROM ship WHERE value > 200000)",
+        f"hits AS (SELECT series_key, {WEEK} AS date, count(*) AS n FROM ship WHERE value > 200000 GROUP BY 1, 2)",
     )
     + f"""
-SELECT s.series_key, CAST(s.date AS VARCHAR) AS date, {r6_sql("CASE WHEN h.date IS NULL THEN 0.0::DOUBLE ELSE 1.0::DOUBLE / 19.0::DOUBLE END", 'scores_cp')}
+SELECT s.series_key, CAST(s.date AS VARCHAR) AS date, {r6_sql("CASE WHEN h.date IS NULL THEN 0.0::DOUBLE ELSE n::DOUBLE / 19.0::DOUBLE END", 'scores_cp')}
 FROM ship s LEFT JOIN hits h ON s.series_key = h.series_key AND s.date = h.date""",
 )
 def change_density(spark, sf):
-    """The density step alone, on points that SQL can name: weeks with a large day."""
+    """The density step alone, on points that SQL can name: weeks with large days, one point for each."""
     daily_ = settle(P.ship(spark, sf))
     points = (
         daily_.filter(F.col("value") > 200000)
         .select("series_key", F.date_add(F.trunc("date", "week"), 6).alias("week_end"))
-        .distinct()
     )
     return changepoint_density(daily_, points, len(S.FEATURES)).select("series_key", text(), r6("scores_cp"))
 

@@ -160,7 +160,8 @@ SCORES_SQL = (
     SIGNAL_SQL
     + f""",
 peaks AS (
-  SELECT *, (peak - min(peak) OVER ()) / nullif(stddev_pop(peak) OVER (), 0) AS scores_if FROM signal WHERE peak IS NOT NULL
+  SELECT *, (peak - min(peak) OVER ()) / nullif(stddev_pop(peak) OVER (), 0) AS scores_if
+  FROM (SELECT * REPLACE (coalesce(peak, 0.0::DOUBLE) AS peak) FROM signal)
 ),
 blend AS (
   SELECT series_key, date, scores_if, scores_z,

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from panelwatch import schemas as S
 from panelwatch.operators import aggregates as A
 from panelwatch.operators import signals as G
+from panelwatch.plans import daily
 from panelwatch.queries import panels as P
 from panelwatch.queries import sqltext as Q
 from panelwatch.queries.registry import query, r6, r6_sql, staged, text, with_
@@ -173,6 +174,50 @@ def feature_table_append(spark, sf):
     )
 
 
+LAST_OLD = "2001-05-17"
+
+
+@query(
+    "incremental_features",
+    with_(Q.FEATURES_SQL)
+    + f"""
+SELECT CAST(series_key AS VARCHAR) AS series_key, {D}, {', '.join(r6_sql(f, f) for f in S.FEATURES if f != 'geo_signal')},
+       CASE WHEN date > DATE '{LAST_OLD}' THEN round(geo_signal, 6) + 0.0 END AS geo_signal FROM features""",
+)
+def incremental_features(spark, sf):
+    """The feature table built up to a date, then the later dates added from their halo.
+
+    Stored days keep the staleness weight of their own run, so their geo signal is not compared.
+    """
+    t = daily.Tables(scratch_path(spark, "job"))
+    shipped, orders = settle(P.shipments(spark, sf)), settle(P.macro(spark, sf))
+    key = F.col("series_key").cast("string").alias("series_key")
+
+    def long(wide, names, name, value):
+        cells = F.explode(F.array(*[F.struct(F.lit(n).alias(name), F.col(f"`{n}`").cast("double").alias(value)) for n in names]))
+        return wide.select(key, "date", cells.alias("c")).select("series_key", "date", f"c.{name}", f"c.{value}")
+
+    sources = {
+        "prices": long(shipped, S.TICKERS, "ticker", "close"),
+        "macro": long(orders, S.MACRO_SERIES, "series", "value"),
+        "geo": shipped.filter(F.col("GPR_AI").isNotNull()).select(
+            key, "date", F.col("GPR_AI").cast("double"), F.col("GPR_OIL").cast("double")
+        ),
+    }
+    for run, since in ((LAST_OLD, None), (P.AS_OF, "2001-05-18")):
+        for name, rows in sources.items():
+            known = rows if since else rows.filter(F.col("date") <= run)
+            L.write_snapshot(known, t.landed, name, run)
+        daily.update_features(spark, t, run, P.FLOOR, since, halo_days=200)
+    new = F.col("date") > LAST_OLD
+    return L.read_features(spark, t.features).select(
+        "series_key",
+        text(),
+        *[r6(f) for f in S.FEATURES if f != "geo_signal"],
+        F.when(new, r6("geo_signal")).alias("geo_signal"),
+    )
+
+
 @query(
     "run_record",
     with_(Q.SCORES_SQL)

@@ -13,6 +13,7 @@ from panelwatch.queries import sqltext as Q
 from panelwatch.queries.panels import EVT, EVT_ORDER, ORD, SHIP, evt, ord_, ship
 from panelwatch.queries.registry import query, r6, r6_sql, text, with_
 
+
 def day():
     return W.partitionBy("series_key").orderBy("date")
 
@@ -178,6 +179,44 @@ def rolling_std_halo(spark, sf):
     return s.with_columns(lambda w: {"std": R.rolling_std("value", 60, w)}).body().select("event_id", r6("std"))
 
 
+TIED = "tied AS (SELECT 'all' AS series_key, CAST(ts AS DATE) AS ts, event_id, value FROM events)"
+
+
+@query(
+    "rolling_std_ties",
+    with_(TIED) + f"\nSELECT event_id, {r6_sql(Q.std('value', 60, **EVT_ORDER), 'std')} FROM tied",
+)
+def rolling_std_ties(spark, sf):
+    """One series in chunks that cut through days, whose rows all share an order value."""
+    tied = evt(spark, sf).withColumns({"series_key": F.lit("all"), "ts": F.col("ts").cast("date")})
+    s = Series.split(tied, ["series_key"], "ts", 59, rows_per_chunk=500, tie=["event_id"])
+    return s.with_columns(lambda w: {"std": R.rolling_std("value", 60, w)}).body().select("event_id", r6("std"))
+
+
+HOLED = """
+holed AS (SELECT nullif(event_type, (SELECT min(event_type) FROM events)) AS series_key,
+                 CASE WHEN event_id % 7 <> 0 THEN ts END AS ts, event_id, value FROM events)"""
+
+
+@query(
+    "rolling_std_nulls",
+    with_(HOLED)
+    + f"\nSELECT event_id, {r6_sql(Q.std('value', 60, part='series_key', order='ts NULLS FIRST, event_id'), 'std')} FROM holed",
+)
+def rolling_std_nulls(spark, sf):
+    """Null keys are a series and null order values come first in theirs, also when cut."""
+    rows = evt(spark, sf)
+    least = rows.agg(F.min("series_key")).first()[0]
+    holed = rows.withColumns(
+        {
+            "series_key": F.when(F.col("series_key") != F.lit(least), F.col("series_key")),
+            "ts": F.when(F.col("event_id") % 7 != 0, F.col("ts")),
+        }
+    )
+    s = Series.split(holed, ["series_key"], "ts", 59, rows_per_chunk=500, tie=["event_id"])
+    return s.with_columns(lambda w: {"std": R.rolling_std("value", 60, w)}).body().select("event_id", r6("std"))
+
+
 GAPS = "gaps AS (SELECT 'all' AS series_key, ts, event_id, CASE WHEN value > 200 THEN value END AS value FROM events)"
 
 
