@@ -160,26 +160,40 @@ def quality_scores(found: DataFrame, keys=KEYS) -> DataFrame:
     )
 
 
-def stamp(df: DataFrame, found: DataFrame, session_day: bool, keys=KEYS) -> DataFrame:
-    """The key's present score and flags on every one of its rows.
+STAMPS = ("is_trading_day", "data_quality_score", "data_quality_flags")
+
+
+def stamps(df: DataFrame, found: DataFrame, session_day: bool, keys=KEYS) -> DataFrame:
+    """One row per key of ``df``: its present score and flags; clean keys have 1 and no flags."""
+    return (
+        df.select(*keys)
+        .distinct()
+        .join(quality_scores(found, keys), list(keys), "left")
+        .select(
+            *keys,
+            F.lit(session_day).alias("is_trading_day"),
+            F.coalesce("data_quality_score", F.lit(1.0)).alias("data_quality_score"),
+            F.coalesce("data_quality_flags", F.lit("")).alias("data_quality_flags"),
+        )
+    )
+
+
+def with_stamps(df: DataFrame, stamped: DataFrame, keys=KEYS) -> DataFrame:
+    """Every row of a key with the key's stamp; a key without one keeps its own values.
 
-    The scores (one row per key) are stored first, so that the join knows their size.
+    ``stamped`` should be a stored table, so that the join knows its size.
     """
-    old = [c for c in ("data_quality_score", "data_quality_flags", "is_trading_day") if c in df.columns]
     columns = df.columns
-    out = (
-        df.drop(*old)
-        .join(settle(quality_scores(found, keys)), list(keys), "left")
-        .withColumns(
-            {
-                "data_quality_score": F.coalesce("data_quality_score", F.lit(1.0)),
-                "data_quality_flags": F.coalesce("data_quality_flags", F.lit("")),
-                "is_trading_day": F.lit(session_day),
-            }
-        )
-    )
-    added = [c for c in ("is_trading_day", "data_quality_score", "data_quality_flags") if c not in columns]
-    return out.select(*columns, *added)
+    own = [c for c in STAMPS if c in columns]
+    new = stamped.withColumnsRenamed({c: f"__{c}" for c in STAMPS})
+    out = df.join(new, list(keys), "left")
+    values = {c: F.coalesce(f"__{c}", c) if c in own else F.col(f"__{c}") for c in STAMPS}
+    return out.withColumns(values).select(*columns, *[c for c in STAMPS if c not in columns])
+
+
+def stamp(df: DataFrame, found: DataFrame, session_day: bool, keys=KEYS) -> DataFrame:
+    """The key's present score and flags on every one of its rows."""
+    return with_stamps(df, settle(stamps(df, found, session_day, keys)), keys)
 
 
 def enforce(found: DataFrame, path: str | None = None) -> None:

@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
 from panelwatch import schemas as S
 from panelwatch.operators import aggregates as A
@@ -19,7 +19,7 @@ from panelwatch.operators import quality as Q
 from panelwatch.operators import signals as G
 from panelwatch.operators.changepoint import changepoint_density, changepoints
 from panelwatch.operators.forest import fit_forest, forest_attribution, score_forest
-from panelwatch.operators.series import Series, forward_fill, last_rows
+from panelwatch.operators.series import Series, forward_fill, last_rows, latest_row
 from panelwatch.operators.spine import is_session, previous_session
 from panelwatch.plans.features import build_features
 from panelwatch.session import settle
@@ -37,9 +37,10 @@ class Tables:
     scores: str = field(init=False)
     runs: str = field(init=False)
     findings: str = field(init=False)
+    stamps: str = field(init=False)
 
     def __post_init__(self):
-        for name in ("landed", "features", "scores", "runs", "findings"):
+        for name in ("landed", "features", "scores", "runs", "findings", "stamps"):
             setattr(self, name, f"{self.root}/{name}")
 
 
@@ -99,16 +100,31 @@ def update_features(
     L.append_features(spark, settle(built), t.features)
 
 
+AS_OF = "as_of"
+STAMP_TABLE = StructType([f for f in S.FEATURE_TABLE.fields if f.name in (*KEYS, *Q.STAMPS)] + [StructField(AS_OF, DateType())])
+
+
 def gate_features(spark: SparkSession, t: Tables, sessions: DataFrame, as_of: str) -> DataFrame:
-    """Check the feature table, halt on anything critical, else stamp it in place."""
+    """Check the feature table, halt on anything critical, else store the keys' stamps of the day.
+
+    One row per key is written, however long the history; ``stamped_features`` joins it.
+    """
     features = L.read_features(spark, t.features)
     session_day = is_session(sessions, as_of)
     found = settle(Q.findings(features, previous_session(sessions, as_of), session_day))
     Q.enforce(found, t.findings)
-    L.write_features(Q.stamp(features, found, session_day), t.features)
+    stamps = Q.stamps(features, found, session_day).withColumn(AS_OF, F.to_date(F.lit(as_of)))
+    L.write_partitions(stamps, t.stamps, AS_OF)
     return found
 
 
+def stamped_features(spark: SparkSession, t: Tables) -> DataFrame:
+    """The feature table with the newest stamp of each key on all its rows."""
+    stamps = L.read_parquet(spark, t.stamps, STAMP_TABLE)
+    newest = settle(latest_row(stamps, KEYS, AS_OF).drop(AS_OF))
+    return Q.with_stamps(L.read_features(spark, t.features), newest)
+
+
 def training_rows(features: DataFrame, names=S.FEATURES, keys=KEYS) -> DataFrame:
     """Forward-filled rows with every feature present."""
     return forward_fill(Series.of(features, keys), names).df.dropna(subset=list(names))
@@ -152,10 +168,11 @@ def train_and_score(
     run_id: str | None = None,
     **settings,
 ) -> str:
-    """Fit on the whole feature table and upsert the due rows of the score table."""
+    """Fit on the whole feature table, weighted by data quality, and upsert the due rows of the score table."""
     run_id = run_id or uuid.uuid4().hex
     last_session = str(previous_session(sessions, as_of))
-    features = L.read_features(spark, t.features)
+    features = stamped_features(spark, t)
+    settings = {"weight": "data_quality_score"} | settings
     scored, reduced, forest = score(training_rows(features), **settings)
     scored = settle(scored.withColumn("model_version", F.lit(run_id)))
     due = T.rows_to_write(scored, last_session, backfill)

@@ -22,6 +22,7 @@ from panelwatch.sources.landing import (
 
 KEYS = ("series_key",)
 
+# The column names of the stored run log.
 RUN_LOG = T.StructType(
     [
         T.StructField("run_id", T.StringType()),
@@ -64,9 +65,14 @@ def upsert_scores(
     """Merge ``new`` into the table: only the months it touches are read and rewritten.
 
     Files written under an older schema read back with nulls in later columns.
-    Rerunning the same batch leaves the same table.
+    Rerunning the same batch leaves the same table.  Of several rows of one (keys,
+    order) in a batch the greatest, column by column, is stored.
     """
-    new = settle(narrow(new, schema).withColumn(MONTH, month_of(order)))
+    new = narrow(new, schema)
+    rest = [c for c in new.columns if c not in (*keys, order)]
+    one = new.groupBy(*keys, order).agg(F.max(F.struct(*rest)).alias("__row"))
+    one = one.select(*[c if c in (*keys, order) else F.col("__row")[c].alias(c) for c in new.columns])
+    new = settle(one.withColumn(MONTH, month_of(order)))
     table = read_parquet(spark, path, _with_month(schema))
     write_partitions(merge(touched_months(table, new), new, keys, order), path, MONTH)
 

@@ -92,11 +92,46 @@ def test_incremental_equals_full(spark, sessions, full, since):
     daily.update_features(spark, t, str(day(N - 5)))
     land(spark, t, N, str(day(N)))
     daily.update_features(spark, t, str(day(N)), since=since, halo_days=450)
-    cols = ["date", *[F.round(c, 9).alias(c) for c in S.FEATURES if c != "geo_signal"]]
+    # Old days keep the weight of the run that stored them.
+    signal = F.when(F.col("date") >= str(day(N - 5)), F.round("geo_signal", 9)).alias("geo_signal")
+    cols = ["date", signal, *[F.round(c, 9).alias(c) for c in S.FEATURES if c != "geo_signal"]]
     a, b = (L.read_features(spark, x.features).select(*cols) for x in (full, t))
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
 
 
+def test_incremental_equals_full_with_a_sparse_source(spark, tmp_path):
+    """An index with a value every 30 days: 60 of its rows lie far beyond the first guess of the halo."""
+    rng = np.random.default_rng(1)
+    n, cut = 2600, 2530
+    walk = np.exp(rng.normal(0, 0.02, size=(n, len(S.TICKERS))).cumsum(axis=0)) * 50
+    bars = [("k", day(i), c, float(walk[i, j])) for i in range(n) for j, c in enumerate(S.TICKERS)]
+    macro = [("k", day(i), c, float(rng.normal(100, 1))) for i in range(0, n, 7) for c in S.MACRO_SERIES]
+    index = [("k", day(i), float(rng.normal(100, 20)), float(rng.normal(100, 20))) for i in range(0, n, 30)]
+    sources = {
+        "prices": spark.createDataFrame(bars, S.PRICES_RAW),
+        "macro": spark.createDataFrame(macro, S.MACRO_RAW),
+        "geo": spark.createDataFrame(index, S.T.StructType(S.GEO_RAW.fields[:4])),
+    }
+    built = {}
+    for name, runs in {"full": [(n, None)], "steps": [(cut, None), (n, str(day(cut)))]}.items():
+        t = daily.Tables(str(tmp_path / name))
+        for upto, since in runs:
+            for source, rows in sources.items():
+                L.write_snapshot(rows.filter(F.col("date") < str(day(upto))), t.landed, source, str(day(upto)))
+            daily.update_features(spark, t, str(day(upto)), since=since, halo_days=200)
+        new = L.read_features(spark, t.features).filter(F.col("date") >= str(day(cut)))
+        built[name] = new.select("date", *[F.round(c, 9).alias(c) for c in S.FEATURES])
+    assert built["full"].count() == n - cut
+    assert built["full"].exceptAll(built["steps"]).count() == 0
+
+
+def test_gate_writes_one_row_and_leaves_the_features(spark, sessions, full):
+    stamps = spark.read.parquet(full.stamps)
+    assert stamps.count() == 1
+    seen = daily.stamped_features(spark, full).select("data_quality_score", "is_trading_day").distinct().collect()
+    assert len(seen) == 1 and seen[0].data_quality_score == stamps.first().data_quality_score
+
+
 def test_daily_write_is_one_row(spark, sessions, full):
     t = daily.Tables(scratch_path(spark, "job"))
     t.features, t.landed = full.features, full.landed

@@ -122,3 +122,12 @@ def test_empty_source(table):
     for policy, existing in (("keep_existing", empty), ("fail", full)):
         with pytest.raises(Q.GateFailed):
             Q.on_empty_source(empty, existing, policy)
+
+
+def test_no_finding_is_lost(spark, tmp_path):
+    rows = [(f"k{i:03d}", "CRITICAL", "GAP", f"GAP: {i}", 0) for i in range(60)]
+    found = spark.createDataFrame(rows, "series_key string, severity string, check string, message string, position int")
+    path = str(tmp_path / "findings")
+    with pytest.raises(Q.GateFailed, match="60 critical findings"):
+        Q.enforce(found, path)
+    assert spark.read.parquet(path).select("message").distinct().count() == 60

@@ -94,6 +94,39 @@ def test_dates_drop_their_zone(spark):
     assert df.select(L.as_date("a"), L.as_date("b")).first()[:] == (D("2020-03-01"), D("2020-03-01"))
 
 
+@pytest.mark.parametrize("zone, first", [("America/Chicago", "2020-03-01"), ("Asia/Tokyo", "2020-03-02")])
+def test_instants_take_the_day_of_their_zone(spark, zone, first):
+    df = spark.sql("SELECT timestamp_ltz'2020-03-02 03:00:00 UTC' AS a, '2020-03-01T22:00:00-05:00' AS b")
+    assert df.select(L.as_date("a", zone), L.as_date("b")).first()[:] == (D(first), D("2020-03-01"))
+
+
+def test_csv_columns_are_taken_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Note,GPR_OIL,Date,GPR_AI\nx,1.5,2020-01-01,2\ny,NaN,2020-01-02, 3.25\n")
+    rows = L.read_geo_csv(spark, str(tmp_path / "a.csv"), "2020-01-03").orderBy("date").collect()
+    assert [(r.GPR_AI, r.GPR_OIL) for r in rows] == [(2.0, 1.5), (3.25, None)]
+    (tmp_path / "b.csv").write_text("Date,GPR_AI,GPR_OIL\n2020-01-01,abc,1\n")
+    with pytest.raises(Exception, match="abc"):
+        L.read_geo_csv(spark, str(tmp_path / "b.csv"), "2020-01-03").collect()
+    (tmp_path / "c.csv").write_text("Date,GPR_AI\n2020-01-01,1\n")
+    with pytest.raises(ValueError, match="GPR_OIL"):
+        L.read_geo_csv(spark, str(tmp_path / "c.csv"), "2020-01-03")
+
+
+def test_nan_is_missing_in_every_source(spark, tmp_path):
+    nan = float("nan")
+    bars = spark.createDataFrame([("k", D("2020-01-01"), "CL=F", nan), ("k", D("2020-01-02"), "CL=F", 5.0)], S.PRICES_RAW)
+    L.write_snapshot(bars, str(tmp_path), "prices", "2020-01-03")
+    got = L.read_history(spark, str(tmp_path), "prices", S.PRICES_RAW, ["series_key", "date", "ticker"])
+    assert {r.close for r in got.collect()} == {None, 5.0}
+    assert {r["CL=F"] for r in L.wide_prices(bars).collect()} == {None, 5.0}
+
+
+def test_a_batch_stores_one_row_per_key_and_date(spark, tmp_path):
+    rows = spark.createDataFrame([("k", D("2020-01-01"), 1.0), ("k", D("2020-01-01"), 2.0)], "series_key string, date date, risk_score double")
+    K.upsert_scores(spark, str(tmp_path), rows)
+    assert [r.risk_score for r in K.read_scores(spark, str(tmp_path)).collect()] == [2.0]
+
+
 def test_look_back(panel):
     df = panel({"a": range(10)})
     assert [r.x for r in L.look_back(df, "2010-01-08", False).orderBy("x").collect()] == [3, 4, 5, 6, 7]

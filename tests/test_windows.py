@@ -164,3 +164,31 @@ def test_last_and_latest_rows(panel):
     df = panel({"a": range(100), "b": range(5)})
     assert X.last_rows(df, 60).groupBy("series_key").count().orderBy("series_key").collect() == [("a", 60), ("b", 5)]
     assert {(r.series_key, r.x) for r in X.latest_row(df).collect()} == {("a", 99.0), ("b", 4.0)}
+
+
+def test_ties_are_broken_by_the_given_columns(spark):
+    df = spark.createDataFrame([("a", 1, i, float(i)) for i in range(50)], "series_key string, date int, id int, x double")
+    assert sorted(r.id for r in X.last_rows(df, 3, tie=["id"]).collect()) == [47, 48, 49]
+    assert X.latest_row(df, tie=["id"]).first().id == 49
+
+
+def test_split_returns_rows_with_null_keys_and_null_order(spark):
+    rows = [(None if i % 3 == 0 else "a", None if i % 5 == 0 else i // 4, i, float(i)) for i in range(400)]
+    df = spark.createDataFrame(rows, "series_key string, date int, id int, x double")
+    build = lambda w: {"l": F.lag("x", 7).over(w)}
+    s = Series.split(df, ["series_key"], "date", 7, 20, tie=["id"])
+    assert s.is_split
+    cut = s.with_columns(build).body()
+    whole = Series.of(df, tie=["id"]).with_columns(build).body()
+    assert cut.count() == 400
+    assert whole.select("id", "l").exceptAll(cut.select("id", "l")).count() == 0
+    biggest = s.df.groupBy(*s.part).count().agg(F.max("count")).first()[0]
+    assert biggest <= 20 + 7
+
+
+def test_split_fill_with_null_keys(spark):
+    rows = [(None, i, i, float(i) if i % 90 == 1 else None) for i in range(400)]
+    df = spark.createDataFrame(rows, "series_key string, date int, id int, x double")
+    cut = X.forward_fill(Series.split(df, ["series_key"], "date", 5, 20), ["x"]).body()
+    whole = X.forward_fill(Series.of(df), ["x"]).body()
+    assert whole.select("id", "x").exceptAll(cut.select("id", "x")).count() == 0
