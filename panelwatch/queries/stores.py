@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelwatch import schemas as S
 from panelwatch.operators import aggregates as A
+from panelwatch.operators import quality as Quality
 from panelwatch.operators import signals as G
 from panelwatch.plans import daily
 from panelwatch.queries import panels as P
@@ -174,6 +177,46 @@ def feature_table_append(spark, sf):
     )
 
 
+@query(
+    "driver_texts",
+    with_(Q.SCORES_SQL)
+    + f"\nSELECT series_key, {D}, CAST(place AS BIGINT) AS place, feature, {r6_sql('weight', 'weight')} FROM drivers",
+)
+def driver_texts(spark, sf):
+    """Top drivers stored as two JSON texts and read back, as older score tables hold them."""
+    path = scratch_path(spark, "drivers")
+    names, weights = K.drivers_to_text(F.col("top_drivers"))
+    G.attribute(scored(spark, sf), S.FEATURES).select("series_key", "date", names.alias("names"), weights.alias("weights")).write.parquet(path)
+    read = spark.read.parquet(path).withColumn("d", K.drivers_from_text(F.col("names"), F.col("weights")))
+    return read.select("series_key", text(), F.posexplode("d").alias("at", "d")).select(
+        "series_key", "date", (F.col("at") + 1).cast("long").alias("place"), "d.feature", r6(F.col("d.weight"), "weight")
+    )
+
+
+LATE = "2001-12-20"
+
+
+@query(
+    "findings_stored",
+    with_(P.ORD)
+    + f"""
+SELECT series_key, 'CRITICAL' AS severity, 'GAP' AS "check",
+       'GAP: last date is ' || max(date) || ', expected {LATE}' AS message
+FROM ord GROUP BY 1 HAVING datediff('day', max(date), DATE '{LATE}') > 1""",
+)
+def findings_stored(spark, sf):
+    """Critical findings of a halted gate, read back from where they were kept."""
+    path = scratch_path(spark, "findings")
+    panel = P.ord_(spark, sf).withColumn("series_key", F.col("series_key").cast("string"))
+    found = Quality.findings(settle(panel), datetime.date.fromisoformat(LATE), True, expected=["series_key", "date", "value"])
+    try:
+        Quality.enforce(found.filter("check = 'GAP'"), path)
+    except Quality.GateFailed:
+        pass
+    schema = "series_key string, severity string, `check` string, message string, position int"
+    return L.read_parquet(spark, path, T.StructType.fromDDL(schema)).select("series_key", "severity", "check", "message")
+
+
 LAST_OLD = "2001-05-17"
 
 

@@ -48,7 +48,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(named)
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.split("[")[0] != "local":  # local-cluster has executors of its own
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="panelwatch-"))
     return spark.sparkContext.getCheckpointDir()

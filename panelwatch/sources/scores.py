@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,6 +77,21 @@ def upsert_scores(
     write_partitions(merge(touched_months(table, new), new, keys, order), path, MONTH)
 
 
+def drivers_to_text(drivers: Column) -> tuple[Column, Column]:
+    """The two JSON texts of older tables: driver names, and their weights."""
+    return F.to_json(drivers["feature"]), F.to_json(drivers["weight"])
+
+
+def drivers_from_text(names: Column, weights: Column) -> Column:
+    """Drivers of older tables as an array; null or unreadable text gives no drivers.
+
+    A name without a weight has a null weight.
+    """
+    n, w = F.from_json(names, "array<string>"), F.from_json(weights, "array<double>")
+    pairs = F.transform(n, lambda x, i: F.struct(x.alias("feature"), F.get(w, i).alias("weight")))
+    return F.coalesce(pairs, F.array().cast("array<struct<feature: string, weight: double>>"))
+
+
 def read_scores(spark: SparkSession, path: str, schema: T.StructType = S.SCORE_TABLE) -> DataFrame:
     return read_parquet(spark, path, _with_month(schema)).drop(MONTH)
 

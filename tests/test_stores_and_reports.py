@@ -224,3 +224,10 @@ def test_history_and_log(scores):
         ("2021-02-03", "399.0", "Inflation pressure (75%) · x (25%)"),
         ("2021-02-02", "398.0", ""),
     ]
+
+
+def test_driver_texts_that_cannot_be_read_give_no_drivers(spark):
+    rows = [('["a","b"]', "[0.5, 0.25]"), (None, "[1.0]"), ("not json", "[1.0]"), ('["a"]', None)]
+    df = spark.createDataFrame(rows, "n string, w string").select(K.drivers_from_text(F.col("n"), F.col("w")).alias("d"))
+    got = [[tuple(x) for x in r.d] for r in df.collect()]
+    assert got == [[("a", 0.5), ("b", 0.25)], [], [], [("a", None)]]
