@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check_oracles import compare, connect
+from panelwatch.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,7 +14,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     result, _ = compare(spark, con, name, SF)
     assert result.startswith(("ok", "rows only")), result
@@ -24,9 +25,14 @@ def test_entry(spark):
 
 
 def test_most_queries_have_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {
+    assert set(QUERIES) - set(ORACLES) == {
         "changepoints",
         "iforest_scores",
         "iforest_attribution",
         "risk_scores",
     }
+
+
+def test_entry_lists_all_queries():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+    assert not entry._present("no_such_module")
