@@ -13,7 +13,7 @@ import time
 
 from panelwatch.queries import QUERIES
 from panelwatch.queries.registry import forget_staged
-from panelwatch.session import build_session
+from panelwatch.session import build_session, clear_scratch
 
 HEADLINE = [
     "zscore_anomalies",
@@ -49,6 +49,7 @@ def main() -> None:
             start = time.perf_counter()
             QUERIES[name](spark, sf).write.format("noop").mode("overwrite").save()
             times[name] = round(time.perf_counter() - start, 3)
+            clear_scratch(spark)
     print(
         json.dumps(
             {

@@ -54,9 +54,26 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no earlier run has used."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables of this application, when no frame on them is needed any more.
+
+    Only paths that ``scratch_path`` has given out go; the number of them is returned.
+    """
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return len(paths)
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -155,3 +155,13 @@ def test_empty_macro(spark, full):
     before = L.read_features(spark, t.features).count()
     daily.update_features(spark, t, str(day(N)))
     assert L.read_features(spark, t.features).count() == before
+
+
+def test_scratch_tables_can_be_cleared(spark, tmp_path, monkeypatch):
+    from panelwatch import session
+
+    monkeypatch.setattr(session, "_SCRATCH", {})
+    path = session.scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert session.clear_scratch(spark) == 1 and session.clear_scratch(spark) == 0
+    assert L.read_parquet(spark, path, spark.range(0).schema).count() == 0
