@@ -7,6 +7,7 @@ forest of at most ``trees * (2 * sample - 1)`` nodes.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -45,11 +46,16 @@ class Forest:
 
 def _waiting(ids: Sequence[str], weight: Column, *salt: Column) -> Column:
     """-ln(u)/w with u a hash of the row's identity: the smallest k are a weighted sample."""
-    h = F.shiftrightunsigned(F.xxhash64(*salt, *[F.col(c) for c in ids]), 11)
-    u = (h.cast("double") + F.lit(0.5)) / F.lit(float(2**53))
+    h = F.substring(F.md5(F.concat_ws("|", *salt, *[F.col(c) for c in ids]).cast("binary")), 1, 13)
+    u = (F.conv(h, 16, 10).cast("double") + F.lit(0.5)) / F.lit(float(2**52))
     return F.try_divide(-F.ln(u), weight)
 
 
+def _draw(*of) -> float:
+    """The number in (0, 1) that a text stands for, as ``_waiting`` hashes rows."""
+    return (int(hashlib.md5("|".join(map(str, of)).encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+
+
 def _wait_limit(df: DataFrame, weight: str | None, n: int, sample: int) -> float | None:
     """A waiting time below which every tree is certain to find ``sample`` rows.
 
@@ -116,12 +122,16 @@ def tree_samples(
 # -- growing ------------------------------------------------------------------
 
 
-def _grow(x: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple]:
-    """Random splits until rows are alone, equal, or the depth limit is reached."""
+def _grow(x: np.ndarray, seed: int, tree: int, limit: int) -> list[tuple]:
+    """Random splits until rows are alone, equal, or the depth limit is reached.
+
+    Draws hash the node's place (the root is 1, the children of k are 2k and 2k + 1), so
+    any engine with md5 grows the same tree.
+    """
     nodes: list[list] = []
-    stack = [(np.arange(len(x)), 0, None, None)]
+    stack = [(np.arange(len(x)), 0, 1, None, None)]
     while stack:
-        rows, depth, parent, side = stack.pop()
+        rows, depth, place, parent, side = stack.pop()
         me = len(nodes)
         nodes.append([me, -1, 0.0, -1, -1, len(rows), depth])
         if parent is not None:
@@ -132,15 +142,14 @@ def _grow(x: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple]:
         usable = np.flatnonzero(hi > lo)
         if not len(usable):
             continue
-        f = int(rng.choice(usable))
-        split = float(rng.uniform(lo[f], hi[f]))
-        go_left = x[rows, f] <= split
-        if go_left.all():  # the draw hit the maximum exactly
+        f = int(usable[int(_draw(seed, tree, place, "feature") * len(usable))])
+        split = float(lo[f] + _draw(seed, tree, place, "split") * (hi[f] - lo[f]))
+        if split >= hi[f]:  # the draw hit the maximum exactly
             split = float(lo[f])
-            go_left = x[rows, f] <= split
+        go_left = x[rows, f] <= split
         nodes[me][1:3] = [f, split]
-        stack.append((rows[~go_left], depth + 1, me, 4))
-        stack.append((rows[go_left], depth + 1, me, 3))
+        stack.append((rows[~go_left], depth + 1, 2 * place + 1, me, 4))
+        stack.append((rows[go_left], depth + 1, 2 * place, me, 3))
     return [tuple(v) for v in nodes]
 
 
@@ -160,7 +169,7 @@ def fit_forest(
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree_id"].iloc[0])
         x = pdf.sort_values("__rn")[features].to_numpy(dtype=float)
-        rows = _grow(x, np.random.default_rng([seed, tree]), limit)
+        rows = _grow(x, seed, tree, limit)
         out = pd.DataFrame(rows, columns=["node_id", "feature", "split", "left", "right", "n", "depth"])
         out.insert(0, "tree_id", tree)
         return out

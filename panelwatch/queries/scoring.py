@@ -206,6 +206,41 @@ def iforest_attribution(spark, sf):
     )
 
 
+def small_forest(rows):
+    forest = fit_forest(rows, S.FEATURES, trees=Q.TREES, sample=Q.SAMPLE)
+    forest.nodes = settle(forest.nodes)
+    return forest
+
+
+@query(
+    "iforest_small",
+    with_(Q.FOREST_SQL)
+    + f"""
+SELECT series_key, {D}, {r6_sql('raw', 'raw')}, {r6_sql('(raw - min(raw) OVER ()) / nullif(stddev_pop(raw) OVER (), 0)', 'scores_if')}
+FROM forest_raw""",
+)
+def iforest_small(spark, sf):
+    """A forest of few small trees over all rows, which SQL can draw, grow and read too."""
+    rows = settle(train(spark, sf))
+    raw = settle(score_forest(rows, small_forest(rows), "raw"))
+    return A.normalise_scores(raw, "raw", "scores_if").select("series_key", text(), r6("raw"), r6("scores_if"))
+
+
+@query(
+    "iforest_small_attribution",
+    with_(Q.SHAPLEY_SQL)
+    + f"\nSELECT series_key, {D}, CAST(place AS BIGINT) AS place, feature, {r6_sql('weight', 'weight')} FROM forest_drivers WHERE place <= 5",
+)
+def iforest_small_attribution(spark, sf):
+    """The small forest's Shapley values and the z weights together: top five drivers of every row."""
+    rows = settle(_signal(spark, sf).df)
+    wide, shap = forest_attribution(rows, small_forest(rows))
+    top = G.attribute(wide, S.FEATURES, shap)
+    return top.select("series_key", text(), F.posexplode("top_drivers").alias("at", "d")).select(
+        "series_key", "date", (F.col("at") + 1).cast("long").alias("place"), "d.feature", r6(F.col("d.weight"), "weight")
+    )
+
+
 @query("risk_scores")
 def risk_scores(spark, sf):
     """The whole scoring chain with the real forest and change points."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from panelwatch import schemas as S
 from panelwatch.queries.panels import AS_OF, FLOOR, MARKET
 
@@ -189,3 +191,124 @@ drivers AS (
   JOIN scores s ON r.series_key = s.series_key AND r.date = s.date WHERE r.place <= 5
 )"""
 )
+
+
+# A small forest drawn, grown and read by SQL: the same hashes, hence the same trees.
+TREES, SAMPLE = 6, 16
+_ENOUGH = SAMPLE + 8 * math.sqrt(SAMPLE) + 16  # the table must have more rows than this
+_DEPTH = math.ceil(math.log2(SAMPLE))
+
+
+def draw(*of: str) -> str:
+    return f"(CAST('0x' || substr(md5(concat_ws('|', {', '.join(of)})), 1, 13) AS UBIGINT)::DOUBLE + 0.5::DOUBLE) / {2**52}.0::DOUBLE"
+
+
+def path_length(n: str) -> str:
+    long = f"2.0::DOUBLE * (ln({n} - 1.0::DOUBLE) + 0.5772156649015329::DOUBLE) - 2.0::DOUBLE * ({n} - 1.0::DOUBLE) / {n}"
+    return f"CASE WHEN {n} > 2 THEN {long} WHEN {n} = 2 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END"
+
+
+def _level(d: int) -> str:
+    """Splits of the nodes of depth ``d``, and the rows of the next depth."""
+    at = [str(S.FOREST_SEED), "tree", "heap"]
+    return f"""
+extent{d} AS (SELECT tree, heap, f, min(x[f]) AS lo, max(x[f]) AS hi FROM at{d}, range(1, {len(S.FEATURES) + 1}) r(f) GROUP BY 1, 2, 3),
+usable{d} AS (SELECT tree, heap, list({{'f': f, 'lo': lo, 'hi': hi}} ORDER BY f) AS u FROM extent{d} WHERE hi > lo GROUP BY 1, 2),
+picked{d} AS (SELECT tree, heap, u[1 + CAST(floor({draw(*at, "'feature'")} * len(u)) AS BIGINT)] AS p, {draw(*at, "'split'")} AS v FROM usable{d}),
+split{d} AS (SELECT tree, heap, p.f AS f, CASE WHEN p.lo + v * (p.hi - p.lo) >= p.hi THEN p.lo ELSE p.lo + v * (p.hi - p.lo) END AS split FROM picked{d}),
+at{d + 1} AS MATERIALIZED (SELECT tree, 2 * heap + (x[f] > split)::INT AS heap, x FROM at{d} JOIN split{d} USING (tree, heap)),"""
+
+
+FOREST_SQL = (
+    SIGNAL_SQL
+    + f""",
+points AS MATERIALIZED (SELECT series_key, date, [{", ".join(S.FEATURES)}]::DOUBLE[] AS x FROM train),
+bound AS (SELECT -ln(1.0::DOUBLE - {_ENOUGH}::DOUBLE / count(*)) AS most FROM points),
+firsts AS (SELECT series_key, date, x, most, -ln({draw(str(S.FOREST_SEED), "series_key", "date")}) AS wait FROM points, bound),
+starts AS (SELECT *, least(floor(wait / most)::BIGINT, {TREES - 1}) AS start FROM firsts WHERE wait < most * {TREES}),
+waits AS (
+  SELECT series_key, date, x, tree, most,
+         CASE WHEN tree = start THEN wait - start * most ELSE -ln({draw(str(S.FOREST_SEED), "tree", "series_key", "date")}) END AS wait
+  FROM starts, range({TREES}) r(tree) WHERE tree >= start
+),
+at0 AS MATERIALIZED (
+  SELECT tree, 1::BIGINT AS heap, x FROM waits WHERE wait < most
+  QUALIFY row_number() OVER (PARTITION BY tree ORDER BY wait, series_key, date) <= {SAMPLE}
+),{"".join(_level(d) for d in range(_DEPTH))}
+nodes AS MATERIALIZED ("""
+    + " UNION ALL ".join(
+        f"\n  SELECT tree, heap, {d} AS depth, count(*)::DOUBLE AS n, "
+        + (f"any_value(f) AS f, any_value(split) AS split FROM at{d} LEFT JOIN split{d} USING (tree, heap)" if d < _DEPTH else f"NULL, NULL FROM at{d}")
+        + " GROUP BY 1, 2"
+        for d in range(_DEPTH + 1)
+    )
+    + f"""),
+leaves AS (SELECT tree, heap, depth, depth + {path_length("n")} AS length FROM nodes WHERE f IS NULL),
+step0 AS (SELECT series_key, date, x, tree, 1::BIGINT AS heap FROM points, range({TREES}) r(tree)),"""
+    + "".join(
+        f"""
+step{d + 1} AS (SELECT series_key, date, x, tree, CASE WHEN f IS NULL THEN heap ELSE 2 * heap + (x[f] > split)::INT END AS heap
+  FROM step{d} JOIN nodes USING (tree, heap)),"""
+        for d in range(_DEPTH)
+    )
+    + f"""
+forest_raw AS (
+  SELECT series_key, date, pow(2.0::DOUBLE, -avg(length) / ({path_length(str(SAMPLE))})) AS raw
+  FROM step{_DEPTH} JOIN leaves USING (tree, heap) GROUP BY 1, 2
+)"""
+)
+
+# Shapley values by their definition: a leaf's game knows some features of its path and
+# weighs the branches of the others by their rows.
+SHAPLEY_SQL = (
+    FOREST_SQL
+    + f""",
+steps AS (
+  SELECT l.tree, l.heap AS leaf, p.f, p.split, ((l.heap >> k) % 2 = 0) AS goes_left, c.n / p.n AS share
+  FROM leaves l, range({_DEPTH}) r(k)
+  JOIN nodes c ON c.tree = l.tree AND c.heap = l.heap >> k
+  JOIN nodes p ON p.tree = l.tree AND p.heap = l.heap >> (k + 1)
+  WHERE k < l.depth
+),
+players AS MATERIALIZED (
+  SELECT tree, leaf, f, product(share) AS share, row_number() OVER (PARTITION BY tree, leaf ORDER BY f) - 1 AS pos,
+         count(*) OVER (PARTITION BY tree, leaf) AS d
+  FROM steps GROUP BY tree, leaf, f
+),
+game AS (
+  SELECT p.tree, p.leaf, p.d, pattern, known, any_value(length) * product(
+           CASE WHEN (known >> pos) % 2 = 0 THEN share WHEN (pattern >> pos) % 2 = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS v
+  FROM players p JOIN leaves l ON l.tree = p.tree AND l.heap = p.leaf, range({SAMPLE}) a(pattern), range({SAMPLE}) b(known)
+  WHERE pattern < 1 << p.d AND known < 1 << p.d GROUP BY 1, 2, 3, 4, 5
+),
+worth AS MATERIALIZED (
+  SELECT p.tree, p.leaf, p.f, a.pattern,
+         sum((b.v - a.v) * factorial(bit_count(a.known)::INT) * factorial((p.d - 1 - bit_count(a.known))::INT) / factorial(p.d::INT)) AS phi
+  FROM players p JOIN game a USING (tree, leaf)
+  JOIN game b ON b.tree = a.tree AND b.leaf = a.leaf AND b.pattern = a.pattern AND b.known = a.known + (1 << p.pos)
+  WHERE (a.known >> p.pos) % 2 = 0 GROUP BY 1, 2, 3, 4
+),
+met AS (
+  SELECT series_key, date, s.tree, s.leaf, f, bool_and((x[f] <= split) = goes_left) AS hit FROM points, steps s GROUP BY 1, 2, 3, 4, 5
+),
+seen AS (
+  SELECT series_key, date, m.tree, m.leaf, sum(hit::BIGINT << pos)::BIGINT AS pattern
+  FROM met m JOIN players p ON m.tree = p.tree AND m.leaf = p.leaf AND m.f = p.f GROUP BY 1, 2, 3, 4
+),
+phis AS (
+  SELECT series_key, date, f, abs(sum(phi) / {TREES}.0::DOUBLE) AS phi
+  FROM seen s JOIN worth w ON s.tree = w.tree AND s.leaf = w.leaf AND s.pattern = w.pattern GROUP BY 1, 2, 3
+),
+names AS (SELECT generate_subscripts(l, 1) AS f, unnest(l) AS feature FROM (SELECT [{", ".join(f"'{f}'" for f in S.FEATURES)}] AS l)),
+budget AS (SELECT series_key, date, sum(phi) AS total FROM phis GROUP BY 1, 2),
+zparts AS ({WEIGHTS_SQL}),
+summed AS (
+  SELECT z.series_key, z.date, z.feature, z.weight + coalesce(phi / nullif(total, 0) * 0.4::DOUBLE, 0.0::DOUBLE) AS weight
+  FROM zparts z JOIN names n ON z.feature = n.feature
+  LEFT JOIN phis p ON z.series_key = p.series_key AND z.date = p.date AND n.f = p.f
+  LEFT JOIN budget b ON z.series_key = b.series_key AND z.date = b.date
+),
+forest_drivers AS (
+  SELECT *, row_number() OVER (PARTITION BY series_key, date ORDER BY round(weight * 1e10) DESC, feature) AS place FROM summed
+)"""
+)
