@@ -53,6 +53,10 @@ def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip().rstrip(",") for c in ctes)
 
 
+def recursive(*ctes: str) -> str:
+    return with_(*ctes).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 def r6(c: Column | str, name: str | None = None) -> Column:
     """Rounded for comparison across engines, without a negative zero."""
     out = F.round(F.col(c) if isinstance(c, str) else c, 6) + F.lit(0.0)

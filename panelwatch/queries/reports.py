@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelwatch import schemas as S
@@ -9,6 +10,7 @@ from panelwatch.plans import reports as R
 from panelwatch.queries import sqltext as Q
 from panelwatch.queries.registry import query, r6, r6_sql, text, with_
 from panelwatch.queries.stores import kept_scores
+from panelwatch.session import settle
 
 D = "CAST(date AS VARCHAR) AS date"
 KEY = "CAST(series_key AS VARCHAR) AS series_key"
@@ -52,29 +54,43 @@ def report_percentiles(spark, sf):
 
 _BAND = """WHEN threshold_pct - pct <= threshold_pct * 0.1::DOUBLE THEN 'orange'
   WHEN threshold_pct - pct <= threshold_pct * 0.3::DOUBLE THEN 'yellow' ELSE 'green' END"""
-
-
-@query(
-    "report_severity",
-    with_(
-        Q.SCORES_SQL,
-        NEWEST,
-        STATUS_SQL,
-        RANKS_SQL,
-        """breach AS (SELECT series_key, coalesce(string_agg(win, ', ' ORDER BY
+SEVERITY_SQL = with_(
+    NEWEST,
+    STATUS_SQL,
+    RANKS_SQL,
+    """breach AS (SELECT series_key, coalesce(string_agg(win, ', ' ORDER BY
   CASE win WHEN 'Quarter' THEN 1 WHEN '1-year' THEN 2 WHEN '5-year' THEN 3 ELSE 4 END) FILTER (flagged), '') AS breached
   FROM status GROUP BY 1)""",
-    )
-    + f"""
+).removeprefix("WITH ")
+SEVERITY = f"""
 SELECT CAST(r.series_key AS VARCHAR) AS series_key, r.win AS "window", {r6_sql('pct', 'pct')}, {r6_sql('threshold_pct', 'threshold_pct')},
        flagged, CASE WHEN pct >= threshold_pct THEN 'red' {_BAND} AS gauge, CASE WHEN flagged THEN 'red' {_BAND} AS tab, breached
-FROM ranks r JOIN status s ON r.series_key = s.series_key AND r.win = s.win JOIN breach b ON r.series_key = b.series_key""",
-)
+FROM ranks r JOIN status s ON r.series_key = s.series_key AND r.win = s.win JOIN breach b ON r.series_key = b.series_key"""
+SEVERITY_COLUMNS = ["flagged", "gauge", "tab", "breached"]
+
+
+@query("report_severity", with_(Q.SCORES_SQL, SEVERITY_SQL) + SEVERITY)
 def report_severity(spark, sf):
     out = R.severities(kept_scores(spark, sf))
-    return out.select(
-        "series_key", "window", r6("pct"), r6("threshold_pct"), "flagged", "gauge", "tab", "breached"
-    )
+    return out.select("series_key", "window", r6("pct"), r6("threshold_pct"), *SEVERITY_COLUMNS)
+
+
+# Each key's history ends on the day of one of its highest scores: the first, the 151st, ...
+CUT = """ordered AS (SELECT *, row_number() OVER (PARTITION BY series_key ORDER BY risk_score DESC, date) AS place FROM scores),
+ends_at AS (SELECT series_key, date AS stop FROM ordered WHERE place = 1 + 150 * series_key),
+cut AS (SELECT s.* FROM scores s JOIN ends_at e ON s.series_key = e.series_key AND s.date <= e.stop)"""
+
+
+@query("report_severity_bands", with_(Q.SCORES_SQL, CUT, SEVERITY_SQL.replace("FROM scores", "FROM cut")) + SEVERITY)
+def report_severity_bands(spark, sf):
+    """The severities as of days with high scores, so that every band occurs."""
+    scores = kept_scores(spark, sf)
+    high = W.partitionBy("series_key").orderBy(F.desc("risk_score"), "date")
+    stops = scores.select("series_key", "risk_score", "date").withColumn("at", F.row_number().over(high))
+    stops = stops.filter(F.col("at") == 1 + 150 * F.col("series_key").cast("int")).select("series_key", F.col("date").alias("stop"))
+    cut = scores.join(settle(stops), "series_key").filter(F.col("date") <= F.col("stop")).drop("stop")
+    out = R.severities(settle(cut))
+    return out.select("series_key", "window", r6("pct"), r6("threshold_pct"), *SEVERITY_COLUMNS)
 
 
 LABELS = "labels_(code, label) AS (VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in S.FEATURE_LABELS.items()) + ")"

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import functions as F
 
 from panelwatch import schemas as S
@@ -16,7 +14,7 @@ from panelwatch.operators.series import Series
 from panelwatch.plans import daily
 from panelwatch.queries import panels as P
 from panelwatch.queries import sqltext as Q
-from panelwatch.queries.registry import query, r6, r6_sql, staged, text, with_
+from panelwatch.queries.registry import query, r6, r6_sql, recursive, staged, text, with_
 from panelwatch.queries.shapes import features
 from panelwatch.session import settle
 
@@ -28,19 +26,14 @@ def train(spark, sf):
     return features(spark, sf).dropna(subset=list(S.FEATURES))
 
 
-PAIRS_SQL = " UNION ALL ".join(
-    f"SELECT '{a}' AS a, '{b}' AS b, abs(corr({a}, {b})) AS corr FROM train" for a, b in combinations(S.FEATURES, 2)
-)
-
-
-@query("corr_pairs", with_(Q.TRAIN_SQL, f"pairs AS ({PAIRS_SQL})") + f"\nSELECT a, b, {r6_sql('corr', 'corr')} FROM pairs")
+@query("corr_pairs", with_(Q.TRAIN_SQL, f"pairs AS ({Q.PAIRS_SQL})") + f"\nSELECT a, b, {r6_sql('corr', 'corr')} FROM pairs")
 def corr_pairs(spark, sf):
     return A.correlations(train(spark, sf), S.FEATURES).select("a", "b", r6("corr"))
 
 
 @query(
     "feature_prune",
-    with_(Q.TRAIN_SQL, f"pairs AS ({PAIRS_SQL})", "names AS (SELECT a AS feature FROM pairs UNION SELECT b FROM pairs)")
+    with_(Q.TRAIN_SQL, f"pairs AS ({Q.PAIRS_SQL})", "names AS (SELECT a AS feature FROM pairs UNION SELECT b FROM pairs)")
     + "\nSELECT feature FROM names WHERE feature NOT IN (SELECT b FROM pairs WHERE corr > 0.3)",
 )
 def feature_prune(spark, sf):
@@ -180,12 +173,18 @@ def change_density(spark, sf):
     return changepoint_density(daily_, points, len(S.FEATURES)).select("series_key", text(), r6("scores_cp"))
 
 
-@query("changepoints")
+@query(
+    "changepoints",
+    recursive(Q.TRAIN_SQL, Q.CHANGES_SQL) + "\nSELECT series_key, feature, CAST(CAST(week_end AS DATE) AS VARCHAR) AS week_end FROM changes",
+)
 def changepoints_(spark, sf):
     return changepoints(train(spark, sf)).select("series_key", "feature", text("week_end"))
 
 
-@query("iforest_scores")
+@query(
+    "iforest_scores",
+    with_(Q.FOREST_SQL) + f"\nSELECT series_key, {D}, {r6_sql('raw', 'raw')}, {r6_sql('scores_if', 'scores_if')} FROM forest_scores",
+)
 def iforest_scores(spark, sf):
     rows = settle(train(spark, sf))
     names = A.prune_features(rows, S.FEATURES)
@@ -214,7 +213,7 @@ def small_forest(rows):
 
 @query(
     "iforest_small",
-    with_(Q.FOREST_SQL)
+    with_(Q.SMALL_FOREST_SQL)
     + f"""
 SELECT series_key, {D}, {r6_sql('raw', 'raw')}, {r6_sql('(raw - min(raw) OVER ()) / nullif(stddev_pop(raw) OVER (), 0)', 'scores_if')}
 FROM forest_raw""",
@@ -241,7 +240,14 @@ def iforest_small_attribution(spark, sf):
     )
 
 
-@query("risk_scores")
+@query(
+    "risk_scores",
+    recursive(Q.FOREST_SQL, Q.CHANGES_SQL, Q.RISK_SQL)
+    + f"""
+SELECT series_key, {D}, {', '.join(r6_sql(c, c) for c in ('risk_score', 'scores_if', 'scores_z', 'scores_cp'))},
+       {', '.join(r6_sql(f'threshold_{k}', f'threshold_{k}') for k in S.THRESHOLD_NAMES)},
+       {', '.join(f'coalesce(risk_score > threshold_{k}, false) AS anomaly_{k}' for k in S.THRESHOLD_NAMES)} FROM limits""",
+)
 def risk_scores(spark, sf):
     """The whole scoring chain with the real forest and change points."""
     out, _, _ = daily.score(train(spark, sf))

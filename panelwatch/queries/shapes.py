@@ -235,6 +235,23 @@ def complete_cases(spark, sf):
     )
 
 
+_GAPPED = {"dxy_zscore": ("<=", 1.0), "xle_brent_ratio": (">", 0.05)}
+
+
+@query(
+    "complete_cases_gaps",
+    with_(Q.FEATURES_SQL)
+    + f"\nSELECT series_key, {D}, {', '.join(r6_sql(f, f) for f in S.FEATURES)} FROM features WHERE "
+    + " AND ".join([f"{f} IS NOT NULL" for f in S.FEATURES] + [f"{f} {op} {v}" for f, (op, v) in _GAPPED.items()]),
+)
+def complete_cases_gaps(spark, sf):
+    """Features that are missing on some days: these days are not complete."""
+    gaps = {f: F.when(F.expr(f"{f} {op} {v}"), F.col(f)) for f, (op, v) in _GAPPED.items()}
+    return features(spark, sf).withColumns(gaps).dropna(subset=list(S.FEATURES)).select(
+        "series_key", text(), *[r6(f) for f in S.FEATURES]
+    )
+
+
 RECENT = "recent AS (SELECT *, row_number() OVER (PARTITION BY series_key ORDER BY date DESC) AS rn FROM features)"
 
 
@@ -284,24 +301,24 @@ _CHANGED = {
     **{c: f"CASE WHEN {_LATE} THEN {c} END" for c in ("ng_ret_1d", "brent_ret_1d", "wti_ret_1d")},
     "gpr_days_stale": "gpr_days_stale + series_key * 4",
 }
-_WATCHED = [c for c in (*S.FEATURES, *S.STATUS_COLUMNS) if c != "cpi_yoy"]
-_WARN_NULLS = " UNION ALL ".join(
-    f"""SELECT series_key, 'WARNING' AS severity, 'NULLS' AS "check",
+def gate_sql(changed: dict[str, str], where: str, missing: str | None) -> str:
+    """The findings of a changed feature table that may lack one column."""
+    watched = [c for c in (*S.FEATURES, *S.STATUS_COLUMNS) if c != missing]
+    nulls = " UNION ALL ".join(
+        f"""SELECT series_key, 'WARNING' AS severity, 'NULLS' AS "check",
   'NULLS: {c} is ' || CAST(CAST(round_even(avg(({c} IS NULL)::INT) * 100, 0) AS BIGINT) AS VARCHAR) || '% null in last 60 rows' AS message, {10 + i} AS position
   FROM recent WHERE rn <= 60 GROUP BY 1 HAVING avg(({c} IS NULL)::INT) > 0.05"""
-    for i, c in enumerate(_WATCHED)
-)
-GATE_SQL = (
-    Q.FEATURES_SQL
-    + f""",
-gate AS (
-  SELECT series_key, date, {", ".join(f"{_CHANGED.get(c, c)} AS {c}" for c in _WATCHED)} FROM features
-  WHERE series_key <> 4 OR date <= DATE '2001-11-01'
-),
+        for i, c in enumerate(watched)
+    )
+    return (
+        Q.FEATURES_SQL
+        + f""",
+gate AS (SELECT series_key, date, {", ".join(f"{changed.get(c, c)} AS {c}" for c in watched)} FROM features WHERE {where}),
 recent AS (SELECT *, row_number() OVER (PARTITION BY series_key ORDER BY date DESC) AS rn FROM gate),
 last AS (SELECT * FROM recent WHERE rn = 1),
 found AS (
-  SELECT series_key, 'CRITICAL' AS severity, 'SCHEMA' AS "check", 'SCHEMA: missing columns [''cpi_yoy'']' AS message, 0 AS position FROM last
+  SELECT series_key, 'CRITICAL' AS severity, 'SCHEMA' AS "check", 'SCHEMA: missing columns [''{missing}'']' AS message, 0 AS position
+  FROM last WHERE {str(missing is not None).lower()}
   UNION ALL
   SELECT series_key, 'CRITICAL', 'GAP', 'GAP: last date is ' || CAST(date AS VARCHAR) || ', expected {PREV}', 1
   FROM last WHERE datediff('day', date, DATE '{PREV}') > 1
@@ -312,12 +329,15 @@ found AS (
   UNION ALL
   SELECT series_key, 'WARNING', 'GPR_STALE', 'GPR_STALE: ' || CAST(gpr_days_stale AS VARCHAR) || ' days stale — OVX fallback active', 3
   FROM last WHERE gpr_days_stale > 10
-  UNION ALL {_WARN_NULLS}
+  UNION ALL {nulls}
   UNION ALL
   SELECT series_key, 'WARNING', 'SOURCE_MISSING', 'SOURCE_MISSING: all price features null today', 99
   FROM last WHERE brent_ret_1d IS NULL AND wti_ret_1d IS NULL AND ng_ret_1d IS NULL
 )"""
-)
+    )
+
+
+GATE_SQL = gate_sql(_CHANGED, "series_key <> 4 OR date <= DATE '2001-11-01'", "cpi_yoy")
 
 
 def _previous(spark):
@@ -332,6 +352,28 @@ def quality_findings(spark, sf):
     return found.select("series_key", "severity", "check", "message")
 
 
+# The last move large for some keys, calm or not; one day in ten, or in thirty, without a value.
+_MOVED = {
+    "brent_ret_1d": "CASE WHEN series_key <> 0 THEN 0.11 + series_key / 1000.0 ELSE 0.09 END",
+    "ovx_zscore": "CASE WHEN series_key <> 1 THEN 0.5 ELSE 1.5 END",
+    "vix_zscore": "CASE WHEN series_key <> 2 THEN -0.5 END",
+    "hy_spread": "CASE WHEN datediff(DATE '2002-01-01', date) % 10 <> series_key THEN hy_spread END",
+    "fed_rate": "CASE WHEN datediff(DATE '2002-01-01', date) % 30 <> 0 THEN fed_rate END",
+}
+
+
+@query(
+    "quality_findings_moves",
+    with_(gate_sql({c: x.replace("datediff(DATE '2002-01-01', date)", "datediff('day', date, DATE '2002-01-01')") + "::DOUBLE" for c, x in _MOVED.items()}, "true", None))
+    + '\nSELECT series_key, severity, "check", message FROM found',
+)
+def quality_findings_moves(spark, sf):
+    """Large moves beside calm, lively and missing volatility; columns with many and with few nulls."""
+    frame = features(spark, sf).withColumns({c: F.expr(x).cast("double") for c, x in _MOVED.items()})
+    found = G.findings(settle(frame), _previous(spark), True)
+    return found.select("series_key", "severity", "check", "message")
+
+
 @query(
     "quality_stamp",
     with_(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from itertools import combinations
 
 from panelwatch import schemas as S
 from panelwatch.queries.panels import AS_OF, FLOOR, MARKET
@@ -193,10 +194,8 @@ drivers AS (
 )
 
 
-# A small forest drawn, grown and read by SQL: the same hashes, hence the same trees.
-TREES, SAMPLE = 6, 16
-_ENOUGH = SAMPLE + 8 * math.sqrt(SAMPLE) + 16  # the table must have more rows than this
-_DEPTH = math.ceil(math.log2(SAMPLE))
+# Forests that SQL draws, grows and reads: the same hashes, hence the same trees.
+TREES, SAMPLE = 6, 16  # the small one
 
 
 def draw(*of: str) -> str:
@@ -212,60 +211,83 @@ def _level(d: int) -> str:
     """Splits of the nodes of depth ``d``, and the rows of the next depth."""
     at = [str(S.FOREST_SEED), "tree", "heap"]
     return f"""
-extent{d} AS (SELECT tree, heap, f, min(x[f]) AS lo, max(x[f]) AS hi FROM at{d}, range(1, {len(S.FEATURES) + 1}) r(f) GROUP BY 1, 2, 3),
+extent{d} AS (SELECT tree, heap, f, min(x[f]) AS lo, max(x[f]) AS hi FROM at{d}, kept GROUP BY 1, 2, 3),
 usable{d} AS (SELECT tree, heap, list({{'f': f, 'lo': lo, 'hi': hi}} ORDER BY f) AS u FROM extent{d} WHERE hi > lo GROUP BY 1, 2),
 picked{d} AS (SELECT tree, heap, u[1 + CAST(floor({draw(*at, "'feature'")} * len(u)) AS BIGINT)] AS p, {draw(*at, "'split'")} AS v FROM usable{d}),
-split{d} AS (SELECT tree, heap, p.f AS f, CASE WHEN p.lo + v * (p.hi - p.lo) >= p.hi THEN p.lo ELSE p.lo + v * (p.hi - p.lo) END AS split FROM picked{d}),
+split{d} AS MATERIALIZED (SELECT tree, heap, p.f AS f, CASE WHEN p.lo + v * (p.hi - p.lo) >= p.hi THEN p.lo ELSE p.lo + v * (p.hi - p.lo) END AS split FROM picked{d}),
 at{d + 1} AS MATERIALIZED (SELECT tree, 2 * heap + (x[f] > split)::INT AS heap, x FROM at{d} JOIN split{d} USING (tree, heap)),"""
 
 
-FOREST_SQL = (
-    SIGNAL_SQL
-    + f""",
+def forest_sql(trees: int, sample: int, kept: str) -> str:
+    """The steps from ``signal`` to ``forest_raw``; the table must have more rows than ``enough``.
+
+    ``kept`` selects the positions of the features that the forest sees.
+    """
+    enough, depth = sample + 8 * math.sqrt(sample) + 16, math.ceil(math.log2(sample))
+    nodes = [
+        f"""
+  SELECT tree, heap, {d} AS depth, count(*)::DOUBLE AS n, any_value(f) AS f, any_value(split) AS split
+  FROM at{d} LEFT JOIN split{d} USING (tree, heap) GROUP BY 1, 2"""
+        for d in range(depth)
+    ]
+    last = f"\n  SELECT tree, heap, {depth} AS depth, count(*)::DOUBLE AS n, NULL, NULL FROM at{depth} GROUP BY 1, 2"
+    steps = [
+        f"""
+step{d + 1} AS (SELECT series_key, date, x, tree, CASE WHEN f IS NULL THEN heap ELSE 2 * heap + (x[f] > split)::INT END AS heap
+  FROM step{d} JOIN nodes USING (tree, heap)),"""
+        for d in range(depth)
+    ]
+    return f"""
 points AS MATERIALIZED (SELECT series_key, date, [{", ".join(S.FEATURES)}]::DOUBLE[] AS x FROM train),
-bound AS (SELECT -ln(1.0::DOUBLE - {_ENOUGH}::DOUBLE / count(*)) AS most FROM points),
+kept AS MATERIALIZED ({kept}),
+bound AS (SELECT -ln(1.0::DOUBLE - {enough}::DOUBLE / count(*)) AS most FROM points),
 firsts AS (SELECT series_key, date, x, most, -ln({draw(str(S.FOREST_SEED), "series_key", "date")}) AS wait FROM points, bound),
-starts AS (SELECT *, least(floor(wait / most)::BIGINT, {TREES - 1}) AS start FROM firsts WHERE wait < most * {TREES}),
+starts AS (SELECT *, least(floor(wait / most)::BIGINT, {trees - 1}) AS start FROM firsts WHERE wait < most * {trees}),
 waits AS (
   SELECT series_key, date, x, tree, most,
          CASE WHEN tree = start THEN wait - start * most ELSE -ln({draw(str(S.FOREST_SEED), "tree", "series_key", "date")}) END AS wait
-  FROM starts, range({TREES}) r(tree) WHERE tree >= start
+  FROM starts, range({trees}) r(tree) WHERE tree >= start
 ),
 at0 AS MATERIALIZED (
   SELECT tree, 1::BIGINT AS heap, x FROM waits WHERE wait < most
-  QUALIFY row_number() OVER (PARTITION BY tree ORDER BY wait, series_key, date) <= {SAMPLE}
-),{"".join(_level(d) for d in range(_DEPTH))}
-nodes AS MATERIALIZED ("""
-    + " UNION ALL ".join(
-        f"\n  SELECT tree, heap, {d} AS depth, count(*)::DOUBLE AS n, "
-        + (f"any_value(f) AS f, any_value(split) AS split FROM at{d} LEFT JOIN split{d} USING (tree, heap)" if d < _DEPTH else f"NULL, NULL FROM at{d}")
-        + " GROUP BY 1, 2"
-        for d in range(_DEPTH + 1)
-    )
-    + f"""),
+  QUALIFY row_number() OVER (PARTITION BY tree ORDER BY wait, series_key, date) <= {sample}
+),{"".join(_level(d) for d in range(depth))}
+nodes AS MATERIALIZED ({" UNION ALL ".join([*nodes, last])}),
 leaves AS (SELECT tree, heap, depth, depth + {path_length("n")} AS length FROM nodes WHERE f IS NULL),
-step0 AS (SELECT series_key, date, x, tree, 1::BIGINT AS heap FROM points, range({TREES}) r(tree)),"""
-    + "".join(
-        f"""
-step{d + 1} AS (SELECT series_key, date, x, tree, CASE WHEN f IS NULL THEN heap ELSE 2 * heap + (x[f] > split)::INT END AS heap
-  FROM step{d} JOIN nodes USING (tree, heap)),"""
-        for d in range(_DEPTH)
-    )
-    + f"""
+step0 AS (SELECT series_key, date, x, tree, 1::BIGINT AS heap FROM points, range({trees}) r(tree)),{"".join(steps)}
 forest_raw AS (
-  SELECT series_key, date, pow(2.0::DOUBLE, -avg(length) / ({path_length(str(SAMPLE))})) AS raw
-  FROM step{_DEPTH} JOIN leaves USING (tree, heap) GROUP BY 1, 2
+  SELECT series_key, date, pow(2.0::DOUBLE, -avg(length) / ({path_length(str(sample))})) AS raw
+  FROM step{depth} JOIN leaves USING (tree, heap) GROUP BY 1, 2
 )"""
+
+
+NAMES_SQL = f"""
+names AS (SELECT generate_subscripts(l, 1) AS f, unnest(l) AS feature FROM (SELECT [{", ".join(f"'{f}'" for f in S.FEATURES)}] AS l))"""
+PAIRS_SQL = " UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, abs(corr({a}, {b})) AS corr FROM train" for a, b in combinations(S.FEATURES, 2)
+)
+
+SMALL_FOREST_SQL = f"{SIGNAL_SQL},{NAMES_SQL},{forest_sql(TREES, SAMPLE, 'SELECT f FROM names')}"
+# The daily job's forest, on the features that correlation leaves.
+FOREST_SQL = (
+    f"{SIGNAL_SQL},{NAMES_SQL},\npairs AS ({PAIRS_SQL}),"
+    + forest_sql(
+        S.FOREST_TREES,
+        S.FOREST_SAMPLE,
+        f"SELECT f FROM names WHERE feature NOT IN (SELECT b FROM pairs WHERE corr > {S.CORR_LIMIT})",
+    )
+    + """,
+forest_scores AS (SELECT *, (raw - min(raw) OVER ()) / nullif(stddev_pop(raw) OVER (), 0) AS scores_if FROM forest_raw)"""
 )
 
 # Shapley values by their definition: a leaf's game knows some features of its path and
 # weighs the branches of the others by their rows.
 SHAPLEY_SQL = (
-    FOREST_SQL
+    SMALL_FOREST_SQL
     + f""",
 steps AS (
   SELECT l.tree, l.heap AS leaf, p.f, p.split, ((l.heap >> k) % 2 = 0) AS goes_left, c.n / p.n AS share
-  FROM leaves l, range({_DEPTH}) r(k)
+  FROM leaves l, range({math.ceil(math.log2(SAMPLE))}) r(k)
   JOIN nodes c ON c.tree = l.tree AND c.heap = l.heap >> k
   JOIN nodes p ON p.tree = l.tree AND p.heap = l.heap >> (k + 1)
   WHERE k < l.depth
@@ -299,7 +321,6 @@ phis AS (
   SELECT series_key, date, f, abs(sum(phi) / {TREES}.0::DOUBLE) AS phi
   FROM seen s JOIN worth w ON s.tree = w.tree AND s.leaf = w.leaf AND s.pattern = w.pattern GROUP BY 1, 2, 3
 ),
-names AS (SELECT generate_subscripts(l, 1) AS f, unnest(l) AS feature FROM (SELECT [{", ".join(f"'{f}'" for f in S.FEATURES)}] AS l)),
 budget AS (SELECT series_key, date, sum(phi) AS total FROM phis GROUP BY 1, 2),
 zparts AS ({WEIGHTS_SQL}),
 summed AS (
@@ -312,3 +333,67 @@ forest_drivers AS (
   SELECT *, row_number() OVER (PARTITION BY series_key, date ORDER BY round(weight * 1e10) DESC, feature) AS place FROM summed
 )"""
 )
+
+
+# Change points: the least cost of cutting a weekly series at multiples of the step, all cuts tried.
+_LONG = " UNION ALL ".join(f"SELECT series_key, week_end, '{f}' AS feature, {f} AS v FROM weekly" for f in S.FEATURES)
+CHANGES_SQL = f"""
+weekly AS MATERIALIZED (
+  SELECT series_key, CAST(date_trunc('week', date) AS DATE) + 6 AS week_end, {", ".join(f"arg_max({f}, date) AS {f}" for f in S.FEATURES)}
+  FROM train GROUP BY 1, 2
+),
+long AS MATERIALIZED (
+  SELECT *, row_number() OVER s - 1 AS i, count(*) OVER (PARTITION BY series_key, feature) AS n FROM ({_LONG})
+  WINDOW s AS (PARTITION BY series_key, feature ORDER BY week_end)
+),
+apart AS (
+  SELECT p.series_key, p.feature, p.i // {S.CP_STEP} AS bi, q.i // {S.CP_STEP} AS bj, (p.v - q.v) * (p.v - q.v) AS d2
+  FROM long p JOIN long q ON p.series_key = q.series_key AND p.feature = q.feature AND p.i < q.i
+),
+widths AS (SELECT series_key, feature, coalesce(1.0::DOUBLE / nullif(median(d2), 0), 1.0::DOUBLE) AS gamma FROM apart GROUP BY 1, 2),
+blocks AS (
+  SELECT series_key, feature, bi, bj, sum(exp(-least(greatest(d2 * gamma, 0.01::DOUBLE), 100.0::DOUBLE))) AS g
+  FROM apart JOIN widths USING (series_key, feature) GROUP BY 1, 2, 3, 4
+),
+grid AS (
+  SELECT series_key, feature, n, a, e, least(e * {S.CP_STEP}, n) - a * {S.CP_STEP} AS rows
+  FROM (SELECT DISTINCT series_key, feature, n FROM long), range(1000) x(a), range(1, 1001) y(e)
+  WHERE a < e AND (e - 1) * {S.CP_STEP} < n AND n >= {S.CP_MIN_SIZE}
+),
+cumulated AS (
+  SELECT g.*, sum(coalesce(b.g, 0.0::DOUBLE)) OVER (PARTITION BY g.series_key, g.feature, a ORDER BY e) AS part
+  FROM grid g LEFT JOIN blocks b ON g.series_key = b.series_key AND g.feature = b.feature AND bi = a AND bj = e - 1
+),
+summed_up AS (SELECT *, sum(part) OVER (PARTITION BY series_key, feature, e ORDER BY a DESC) AS inside FROM cumulated),
+costs AS MATERIALIZED (
+  SELECT series_key, feature, e, max(n) AS n,
+         list(CASE WHEN rows >= {S.CP_MIN_SIZE} THEN rows - (rows + 2 * inside) / rows + {S.CP_PENALTY}::DOUBLE ELSE 'inf'::DOUBLE END ORDER BY a) AS c
+  FROM summed_up GROUP BY 1, 2, 3
+),
+best AS (
+  SELECT DISTINCT series_key, feature, 0::BIGINT AS e, [0.0::DOUBLE] AS least_, []::BIGINT[] AS past FROM costs
+  UNION ALL
+  SELECT series_key, feature, e, list_append(least_, list_min(t)), list_append(past, list_position(t, list_min(t))::BIGINT - 1)
+  FROM (SELECT b.series_key, b.feature, k.e, least_, past, list_transform(list_zip(least_, c), lambda z: z[1] + z[2]) AS t
+        FROM best b JOIN costs k ON b.series_key = k.series_key AND b.feature = k.feature AND k.e = b.e + 1)
+),
+cuts AS (
+  SELECT series_key, feature, past, past[e] AS a FROM (SELECT * FROM best WHERE e > 0 QUALIFY row_number() OVER (PARTITION BY series_key, feature ORDER BY e DESC) = 1)
+  UNION ALL
+  SELECT series_key, feature, past, past[a] FROM cuts WHERE a > 0
+),
+changes AS (
+  SELECT c.series_key, c.feature, l.week_end FROM cuts c
+  JOIN long l ON c.series_key = l.series_key AND c.feature = l.feature AND l.i = c.a * {S.CP_STEP} WHERE c.a > 0
+)"""
+
+_THRESHOLDS = ", ".join(f"{quantile('risk_score', n)} AS threshold_{k}" for k, n in S.ROLLING_WINDOWS.items())
+RISK_SQL = f"""
+density AS (SELECT series_key, week_end AS date, count(*)::DOUBLE / {len(S.FEATURES)}.0::DOUBLE AS scores_cp FROM changes GROUP BY 1, 2),
+parts AS (
+  SELECT f.series_key, f.date, scores_if, scores_z, coalesce(scores_cp, 0.0::DOUBLE) AS scores_cp
+  FROM forest_scores f JOIN signal s ON f.series_key = s.series_key AND f.date = s.date
+  LEFT JOIN density d ON f.series_key = d.series_key AND f.date = d.date
+),
+risk AS (SELECT *, 0.4::DOUBLE * scores_if + 0.35::DOUBLE * coalesce(scores_z, 0) + 0.25::DOUBLE * scores_cp AS risk_score FROM parts),
+limits AS (SELECT *, {S.STATIC_THRESHOLD}::DOUBLE AS threshold_static, {_THRESHOLDS} FROM risk)"""

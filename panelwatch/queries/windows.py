@@ -140,6 +140,21 @@ def rolling_z_floor(spark, sf):
     return X.rolling_zscores(s, ["capped"], ["z"], floor=S.SIGMA_FLOOR).body().select(*EVENT_ID, r6("z"))
 
 
+FLAT = "f AS (SELECT *, least(value, 1.0::DOUBLE) + (event_id // 500 % 2) * (event_id % 2) * 1e-7::DOUBLE AS flat FROM evt)"
+
+
+@query(
+    "rolling_z_floor_flat",
+    with_(EVT, FLAT) + f"\nSELECT series_key, event_id, {r6_sql(Q.zscore('flat', 60, '1e-6', **EVT_ORDER), 'z')} FROM f",
+)
+def rolling_z_floor_flat(spark, sf):
+    """Values that hardly move: most frames are constant or spread less than the floor."""
+    flat = F.expr("least(value, 1.0d) + (floor(event_id / 500) % 2) * (event_id % 2) * 1e-7d")
+    s = events(spark, sf, 59)
+    s = s._with(s.df.withColumn("flat", flat))
+    return X.rolling_zscores(s, ["flat"], ["z"], floor=S.SIGMA_FLOOR).body().select(*EVENT_ID, r6("z"))
+
+
 @query(
     "rolling_q95",
     with_(EVT)
