@@ -221,7 +221,38 @@ def rolling_zscores(
     return s.map_arrow(zscores, columns, names)
 
 
-def _zscore(x: np.ndarray, window: int, floor: float | None) -> np.ndarray:
+def rolling_moments(s: Series, wanted: dict[str, tuple[str, str, int, str | None]]) -> Series:
+    """Rolling z-scores ("z") and sample deviations ("std") of several sources in one pass.
+
+    ``wanted`` names (column, moment, rows, source flag); frames hold the rows of that
+    source only, all rows without a flag, and a null in a frame leaves its result null.
+    """
+    columns = dict.fromkeys(c for column, _, _, flag in wanted.values() for c in (column, flag) if c)
+
+    def moments(x):
+        out = pd.DataFrame(index=x.index)
+        for name, (column, moment, rows, flag) in wanted.items():
+            own = np.ones(len(x), bool) if flag is None else x[flag].to_numpy(dtype=bool)
+            v = np.full(len(x), np.nan)
+            v[own] = (_zscore if moment == "z" else _deviation)(x[column].to_numpy(dtype=float)[own], rows)
+            out[name] = v
+        return out
+
+    return s.map_arrow(moments, list(columns), list(wanted))
+
+
+def _deviation(x: np.ndarray, window: int) -> np.ndarray:
+    """Two-pass sample deviation of each full frame."""
+    out = np.full(len(x), np.nan)
+    if len(x) >= window:
+        frames = np.lib.stride_tricks.sliding_window_view(x, window)
+        for start in range(0, len(frames), 8192):
+            f = frames[start : start + 8192]
+            out[start + window - 1 : start + window - 1 + len(f)] = (f - f[:, -1:]).std(axis=1, ddof=1)
+    return out
+
+
+def _zscore(x: np.ndarray, window: int, floor: float | None = None) -> np.ndarray:
     """Two-pass z-score of each full frame, on distances from the frame's last row.
 
     Distances keep a constant frame at exactly 0 and lose no digits when a large

@@ -1,7 +1,7 @@
 """The three feature sets and their alignment.
 
 Inputs are wide daily panels keyed by (series_key, date).  Every feature is a
-window expression on one key, so ``build_features`` stacks the sources, shuffles
+window on one key, so ``build_features`` stacks the sources, shuffles
 once by key, folds them to one row per date, and runs all windows in that same
 stage.  A source's windows must see its own rows only: they partition by the key
 *and* by whether the row belongs to the source, which needs a sort but no shuffle.
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from panelwatch import schemas as S
 from panelwatch.functions import rolling as R
 from panelwatch.functions import scalar as C
-from panelwatch.operators.series import non_null_window
+from panelwatch.operators.series import Series, non_null_window, rolling_moments
 from panelwatch.operators.spine import reindex
 from panelwatch.session import task_count
 
@@ -33,7 +33,7 @@ def _price_inputs(prices: DataFrame, on: Sequence[str]) -> DataFrame:
 
 
 def _with_price_features(df: DataFrame, w: WindowSpec) -> DataFrame:
-    """Adds the 10 price features; ``m_brent`` is the macro Brent on price dates.
+    """Adds the price features without rolling moments; ``m_brent`` is the macro Brent on price dates.
 
     Brent takes the futures close and falls back to the macro series, which was
     matched to price dates before it is filled: a macro value on a date without
@@ -42,7 +42,7 @@ def _with_price_features(df: DataFrame, w: WindowSpec) -> DataFrame:
     df = df.withColumns({n: C.clip_lower(n) for n in _PRICE.values()})
     fallback = C.clip_lower(R.ffill("m_brent", w))
     df = df.withColumn("p_brent", F.coalesce(C.keep_above("p_brent"), fallback))
-    df = df.withColumns(
+    return df.withColumns(
         {
             "brent_ret_1d": R.log_return("p_brent", 1, w),
             "brent_ret_5d": R.log_return("p_brent", 5, w),
@@ -51,44 +51,54 @@ def _with_price_features(df: DataFrame, w: WindowSpec) -> DataFrame:
             "ng_ret_1d": R.log_return("p_ng", 1, w),
             "xle_ret_1d": R.log_return("p_xle", 1, w),
             "xle_brent_ratio": C.ratio("p_xle", "p_brent"),
-            "ovx_zscore": R.rolling_z("p_ovx", S.Z_WINDOW, w),
-            "vix_zscore": R.rolling_z("p_vix", S.Z_WINDOW, w),
         }
     )
-    return df.withColumn("brent_vol_20d", R.rolling_std("brent_ret_1d", 20, w))
 
 
 def _with_macro_features(df: DataFrame, w: WindowSpec, keys: Sequence[str], order: str) -> DataFrame:
-    """Adds the 7 macro features.
+    """Adds the macro features without rolling moments.
 
     Changes count all rows of the source; inflation and the dollar use their own
-    non-null rows and are carried forward from there.
+    non-null rows and are to be carried forward from there.
     """
-    df = df.withColumns(
+    return df.withColumns(
         {
             "yield_curve_chg_20d": R.diff("yield_curve", 20, w),
             "hy_spread_chg_5d": R.diff("hy_spread", 5, w),
             "cpi_yoy": R.pct_change("cpi", 12, non_null_window("cpi", keys, order)),
-            "dxy_zscore": R.rolling_z("dxy", S.Z_WINDOW, non_null_window("dxy", keys, order)),
+            "has_dxy": F.col("dxy").isNotNull(),
         }
     )
-    return df.withColumns({c: R.ffill(c, w) for c in ("cpi_yoy", "dxy_zscore")})
 
 
-def _with_geo_features(df: DataFrame, w: WindowSpec) -> DataFrame:
-    """Adds the 2 geopolitical features.
+def _with_geo_signal(df: DataFrame) -> DataFrame:
+    """Adds the geopolitical signal.
 
     The weight follows the key's present staleness and applies to all its rows.
     The volatility z-score is the one of that very date, so a missing one leaves
     the signal missing even at weight 1.
     """
     weight = C.staleness_weight("gpr_days_stale")
-    return df.withColumns(
-        {
-            "geo_signal": C.decayed_signal("GPR_AI", "ovx_zscore", weight),
-            "gpr_oil_zscore": R.rolling_z("GPR_OIL", S.Z_WINDOW, w),
-        }
-    )
+    return df.withColumn("geo_signal", C.decayed_signal("GPR_AI", "ovx_zscore", weight))
+
+
+# Features that are rolling moments: (column, moment, rows); frames hold the source's rows.
+PRICE_MOMENTS = {
+    "ovx_zscore": ("p_ovx", "z", S.Z_WINDOW),
+    "vix_zscore": ("p_vix", "z", S.Z_WINDOW),
+    "brent_vol_20d": ("brent_ret_1d", "std", 20),
+}
+DOLLAR_MOMENTS = {"dxy_zscore": ("dxy", "z", S.Z_WINDOW)}
+GEO_MOMENTS = {"gpr_oil_zscore": ("GPR_OIL", "z", S.Z_WINDOW)}
+
+
+def _flagged(moments: dict[str, tuple], flag: str | None) -> dict[str, tuple]:
+    return {name: (*m, flag) for name, m in moments.items()}
+
+
+def _moments(df: DataFrame, wanted: dict[str, tuple], keys: Sequence[str], order: str) -> DataFrame:
+    """One Arrow pass for all rolling moments; rows are already together by key."""
+    return rolling_moments(Series(df, keys, order, keys, False), wanted).df
 
 
 def price_features(prices: DataFrame, macro: DataFrame, keys=KEYS, order: str = "date") -> DataFrame:
@@ -96,13 +106,16 @@ def price_features(prices: DataFrame, macro: DataFrame, keys=KEYS, order: str =
     on = [*keys, order]
     both = reindex(_price_inputs(prices, on), macro.select(*on, F.col("brent").alias("m_brent")), keys, order)
     w = W.partitionBy(*keys).orderBy(order)
-    return _with_price_features(both, w).select(*on, *S.PRICE_BLOCK)
+    rows = _moments(_with_price_features(both, w), _flagged(PRICE_MOMENTS, None), keys, order)
+    return rows.select(*on, *S.PRICE_BLOCK)
 
 
 def macro_features(macro: DataFrame, keys=KEYS, order: str = "date") -> DataFrame:
     """(keys, order) and the 7 macro features on the macro dates."""
     w = W.partitionBy(*keys).orderBy(order)
-    return _with_macro_features(macro, w, keys, order).select(*keys, order, *S.MACRO_BLOCK)
+    rows = _moments(_with_macro_features(macro, w, keys, order), _flagged(DOLLAR_MOMENTS, "has_dxy"), keys, order)
+    rows = rows.withColumns({c: R.ffill(c, w) for c in ("cpi_yoy", "dxy_zscore")})
+    return rows.select(*keys, order, *S.MACRO_BLOCK)
 
 
 def geo_features(geo: DataFrame, ovx: DataFrame, keys=KEYS, order: str = "date") -> DataFrame:
@@ -112,8 +125,8 @@ def geo_features(geo: DataFrame, ovx: DataFrame, keys=KEYS, order: str = "date")
     """
     on = [*keys, order]
     both = reindex(geo, ovx.select(*on, "ovx_zscore"), keys, order)
-    w = W.partitionBy(*keys).orderBy(order)
-    return _with_geo_features(both, w).select(*on, *S.GEO_BLOCK)
+    rows = _moments(_with_geo_signal(both), _flagged(GEO_MOMENTS, None), keys, order)
+    return rows.select(*on, *S.GEO_BLOCK)
 
 
 def stack(sources: dict[str, DataFrame], keys=KEYS, order: str = "date") -> DataFrame:
@@ -155,11 +168,12 @@ def build_features(
         keys,
         order,
     )
-    within = {s: W.partitionBy(*keys, f"in_{s}").orderBy(order) for s in ("price", "macro", "geo")}
+    within = {s: W.partitionBy(*keys, f"in_{s}").orderBy(order) for s in ("price", "macro")}
     rows = rows.withColumn("m_brent", F.when(F.col("in_price"), F.col("m_brent")))
     rows = _with_price_features(rows, within["price"])
     rows = _with_macro_features(rows, within["macro"], keys, order)
-    rows = _with_geo_features(rows, within["geo"])
+    rolled = _flagged(PRICE_MOMENTS, "in_price") | _flagged(DOLLAR_MOMENTS, "has_dxy") | _flagged(GEO_MOMENTS, "in_geo")
+    rows = _with_geo_signal(_moments(rows, rolled, keys, order))
     w = W.partitionBy(*keys).orderBy(order)
     whole_key = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     stale = {c: F.max(c).over(whole_key) for c in ("gpr_is_stale", "gpr_days_stale")}
