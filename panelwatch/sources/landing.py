@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 from panelwatch import schemas as S
 from panelwatch.functions.scalar import nan_to_null
 from panelwatch.operators.aggregates import staleness
-from panelwatch.operators.spine import append_new
 from panelwatch.session import settle
 
 RUN = "ingest_date"
@@ -45,6 +44,11 @@ def write_partitions(df: DataFrame, path: str, *parts: str) -> None:
     )
 
 
+def append_partitions(df: DataFrame, path: str, *parts: str) -> None:
+    """Add rows to partitions without touching what they hold; the caller knows the rows are new."""
+    df.hint("rebalance", *parts).write.mode("append").partitionBy(*parts).parquet(path)
+
+
 def _with_run(schema: T.StructType) -> T.StructType:
     return T.StructType(schema.fields + [T.StructField(RUN, T.DateType())])
 
@@ -189,10 +193,14 @@ def write_features(df: DataFrame, path: str, order: str = "date") -> None:
 def touched_months(table: DataFrame, new: DataFrame) -> DataFrame:
     """The table's rows in the months ``new`` has; the scan reads those partitions only.
 
-    The list of months is bounded by the calendar.  ``new`` should be a stored table.
+    ``new`` should be a stored table.
     """
-    months = [r[MONTH] for r in new.select(MONTH).distinct().collect()]
-    return table.filter(F.col(MONTH).isin(months)).select(*new.columns)
+    return table.filter(F.col(MONTH).isin(months_in(new))).select(*new.columns)
+
+
+def months_in(df: DataFrame) -> list[str]:
+    """The months of a frame with a month column; bounded by the calendar."""
+    return [r[MONTH] for r in df.select(MONTH).distinct().collect()]
 
 
 def append_features(
@@ -203,8 +211,12 @@ def append_features(
     keys: Sequence[str] = ("series_key",),
     order: str = "date",
 ) -> None:
-    """Add the dates the table lacks; only the months concerned are rewritten."""
-    table = read_parquet(spark, path, _with_month(schema))
-    fresh = df.select(*schema.names).join(table.select(*keys, order), [*keys, order], "left_anti")
-    fresh = settle(fresh.withColumn(MONTH, month_of(order)))
-    write_partitions(append_new(touched_months(table, fresh), fresh, keys, order), path, MONTH)
+    """Add the dates the table lacks; nothing stored is rewritten.
+
+    Only keys and dates are read, of the months that ``df``, a stored table, has.  A run that
+    was cut short is completed by the next: what it added counts as there.
+    """
+    new = df.select(*schema.names).withColumn(MONTH, month_of(order))
+    there = touched_months(read_parquet(spark, path, _with_month(schema)), new)
+    fresh = new.join(there.select(*keys, order), [*keys, order], "left_anti")
+    append_partitions(fresh, path, MONTH)

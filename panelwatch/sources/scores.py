@@ -14,7 +14,9 @@ from panelwatch.session import settle
 from panelwatch.sources.landing import (
     MONTH,
     _with_month,
+    append_partitions,
     month_of,
+    months_in,
     read_parquet,
     touched_months,
     write_partitions,
@@ -62,8 +64,10 @@ def upsert_scores(
     keys: Sequence[str] = KEYS,
     order: str = "date",
 ) -> None:
-    """Merge ``new`` into the table: only the months it touches are read and rewritten.
+    """Merge ``new`` into the table.
 
+    Months in which it replaces stored rows are rewritten; elsewhere its rows are added and
+    nothing stored is touched, so a daily run writes one day's rows.
     Files written under an older schema read back with nulls in later columns.
     Rerunning the same batch leaves the same table.  Of several rows of one (keys,
     order) in a batch the greatest, column by column, is stored.
@@ -74,7 +78,12 @@ def upsert_scores(
     one = one.select(*[c if c in (*keys, order) else F.col("__row")[c].alias(c) for c in new.columns])
     new = settle(one.withColumn(MONTH, month_of(order)))
     table = read_parquet(spark, path, _with_month(schema))
-    write_partitions(merge(touched_months(table, new), new, keys, order), path, MONTH)
+    there = touched_months(table, new)
+    replaced = months_in(new.join(there.select(*keys, order), [*keys, order], "left_semi"))
+    again = F.col(MONTH).isin(replaced)
+    if replaced:
+        write_partitions(merge(there.filter(again), new.filter(again), keys, order), path, MONTH)
+    append_partitions(new.filter(~again), path, MONTH)
 
 
 def drivers_to_text(drivers: Column) -> tuple[Column, Column]:

@@ -231,3 +231,20 @@ def test_driver_texts_that_cannot_be_read_give_no_drivers(spark):
     df = spark.createDataFrame(rows, "n string, w string").select(K.drivers_from_text(F.col("n"), F.col("w")).alias("d"))
     got = [[tuple(x) for x in r.d] for r in df.collect()]
     assert got == [[("a", 0.5), ("b", 0.25)], [], [], [("a", None)]]
+
+
+def test_new_days_are_added_and_stored_files_stay(spark, tmp_path):
+    path = str(tmp_path / "scores")
+
+    def day(d, score):
+        rows = [(k, datetime.date(2020, 1, d), score) for k in "ab"]
+        return spark.createDataFrame(rows, "series_key string, date date, risk_score double")
+
+    files = lambda: {f for f in tmp_path.rglob("*.parquet")}
+    K.upsert_scores(spark, path, day(1, 1.0))
+    first = files()
+    K.upsert_scores(spark, path, day(2, 2.0))
+    assert first < files()
+    K.upsert_scores(spark, path, day(2, 3.0).unionByName(day(3, 4.0)))  # a revised day beside a new one
+    got = sorted((r.series_key, r.date.day, r.risk_score) for r in K.read_scores(spark, path).collect())
+    assert got == [(k, d, s) for k in "ab" for d, s in ((1, 1.0), (2, 3.0), (3, 4.0))]
