@@ -18,7 +18,6 @@ from panelwatch.sources.landing import (
     month_of,
     months_in,
     read_parquet,
-    touched_months,
     write_partitions,
 )
 
@@ -78,12 +77,14 @@ def upsert_scores(
     one = one.select(*[c if c in (*keys, order) else F.col("__row")[c].alias(c) for c in new.columns])
     new = settle(one.withColumn(MONTH, month_of(order)))
     table = read_parquet(spark, path, _with_month(schema))
-    there = touched_months(table, new)
+    months = months_in(new)
+    there = table.filter(F.col(MONTH).isin(months)).select(*new.columns)
     replaced = months_in(new.join(there.select(*keys, order), [*keys, order], "left_semi"))
     again = F.col(MONTH).isin(replaced)
     if replaced:
         write_partitions(merge(there.filter(again), new.filter(again), keys, order), path, MONTH)
-    append_partitions(new.filter(~again), path, MONTH)
+    if set(months) - set(replaced):
+        append_partitions(new.filter(~again), path, MONTH)
 
 
 def drivers_to_text(drivers: Column) -> tuple[Column, Column]:
