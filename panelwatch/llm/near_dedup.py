@@ -12,13 +12,15 @@
    blocks, each pair in the first list that both share; a task gives back no more links
    than it has members.
 
-At a similarity of 0.85 a pair misses the ``MATCHES`` of 64 coordinates with a chance of
-about 1 in 40,000, at 0.9 of 1 in 10^8.
+``MATCHES`` follow from the percentage (``matches_at``): a pair just at it misses them with
+a chance of at most ``MISS``.  At 0.85 these are 42 of 64 coordinates (1 in 33,000; 1 in
+4 * 10^7 at 0.9), at 0.80 they are 37 (1 in 71,000).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +32,9 @@ from panelwatch.llm.components import components
 from panelwatch.llm.steps import deal, settle, slices, tasks
 
 COORDINATES = 64
-MATCHES = 42
 PERCENT = 85
+#: Greatest chance that a pair just at the percentage agrees in too few coordinates.
+MISS = 1 / 30_000
 #: Members of a posting list that one task compares with as many others.
 BLOCK = 512
 PAIRS_PER_LEADER_TASK = 256
@@ -42,6 +45,16 @@ _FLIP = _RNG.integers(0, 2**64, COORDINATES, dtype=np.uint64)
 _SCALE = _RNG.integers(0, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def matches_at(percent: int) -> int:
+    """The most agreements that a pair at ``percent`` misses with a chance of at most ``MISS``."""
+    p, missed = percent / 100, 0.0
+    for k in range(COORDINATES):
+        missed += comb(COORDINATES, k) * p**k * (1 - p) ** (COORDINATES - k)
+        if missed > MISS:
+            return max(1, k)
+    return COORDINATES
+
+
 def _sets(b: pa.RecordBatch, powers: scan.Powers) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Row range, shingle sets end to end, and their offsets."""
     data, offsets = scan.column(b, "text")
@@ -322,7 +335,7 @@ def posting_lists(classes: DataFrame, matches: int) -> DataFrame:
     return settle(posts.join(leaders.filter("members > 1"), "pair").select("pair", "node", "prefix", "leader"))
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, matches: int = MATCHES) -> DataFrame:
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, matches: int | None = None) -> DataFrame:
     """One row per document row: rid, the id, n_shingles, component_id (smallest id of the group), kept, stays.
 
     ``rid`` is ``xxhash64`` of id and text, to join back to the rows.  Null and empty texts
@@ -330,8 +343,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     class; a null id never names a group that has another id, and a group of null ids only
     has a null component and is kept.  ``stays`` marks one row of each group also where ids
     repeat or are null (all rows of its ``rid``, if whole rows repeat).  An empty table gives an empty table; columns other
-    than the two named are not read.
+    than the two named are not read.  Without ``matches`` these follow from ``percent``.
     """
+    matches = matches_at(percent) if matches is None else matches
     rid = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)).alias("rid")
     texts = docs.select(rid, F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     signed = settle(texts.mapInArrow(signatures, "rid long, id long, n long, node long, check long, sig binary"))

@@ -90,6 +90,25 @@ def test_groups_of_odd_rows(docs, odd):
     assert near_dedup.near_groups(docs([])).count() == 0
 
 
+def test_pipeline_links_pairs_from_80_percent_on(spark, docs):
+    rng = np.random.default_rng(9)
+    rows = []
+    for k in range(24):  # 4 words apart: 0.815 of the shingles; 5: 0.774
+        base = [f"w{rng.integers(0, 10**9)}" for _ in range(200)]
+        other = list(base)
+        for at in range(10, 10 + 30 * (4 if k % 4 else 5), 30):
+            other[at] = f"new{rng.integers(0, 10**9)}"
+        rows += [(2 * k, " ".join(base), "en", "a"), (2 * k + 1, " ".join(other), "en", "a")]
+    roots, _ = plain_groups([r[1] for r in rows], percent=80)
+    assert len(set(roots)) == 30 < len(set(plain_groups([r[1] for r in rows])[0])) == 48
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs(rows), SF).collect()}
+    assert len(kept) == 30 and {roots[i] for i in kept} == set(roots)
+
+
+def test_matches_follow_from_the_percentage():
+    assert [near_dedup.matches_at(p) for p in (80, 85, 100)] == [37, 42, 64]
+
+
 def test_components_of_paths_and_hubs(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(1000, 1000 + k) for k in range(1, 60)] + [(2000, 2000), (1000, 1001)]
     got = dict(map(tuple, components.components(spark.createDataFrame(pairs, "a long, b long")).collect()))
