@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,17 +49,65 @@ HALO_DAYS = 600  # first guess of how far back HALO_ROWS reach
 HALO_ROWS = 120  # values of a series that windows may look back on: 60 rows over differences of up to 20, doubled
 
 
-def _halo(rows: DataFrame, ids: list[str], value: str, since: str) -> DataFrame:
-    """Rows from ``since`` on, and of each series the newest HALO_ROWS values before it."""
-    day = F.to_date(F.lit(since))
-    old = rows.filter((F.col("date") < day) & F.col(value).isNotNull())
-    return rows.filter(F.col("date") >= day).unionByName(last_rows(old, HALO_ROWS, ids))
+START, VALUES = "__start", "__values"
+#: Sources with their schema, the columns of a row, those of a series, and the value columns.
+SOURCES = {
+    "prices": (S.PRICES_RAW, ["series_key", "date", "ticker"], ["series_key", "ticker"], ["close"]),
+    "macro": (S.MACRO_RAW, ["series_key", "date", "series"], ["series_key", "series"], ["value"]),
+    "geo": (StructType(S.GEO_RAW.fields[:4]), ["series_key", "date"], ["series_key"], ["GPR_AI", "GPR_OIL"]),
+}
 
 
-def _reaches(rows: DataFrame, ids: list[str], value: str, since: str) -> bool:
-    """Whether every series has HALO_ROWS values before ``since``."""
-    old = rows.filter(F.col("date") < F.to_date(F.lit(since))).groupBy(*ids).agg(F.count(value).alias("n"))
-    return old.filter(F.col("n") < HALO_ROWS).isEmpty() and not old.isEmpty()
+def _starts(rows: DataFrame, ids: list[str], value: str, since: str) -> DataFrame:
+    """Each series with rows before ``since``: its values there, HALO_ROWS at most, and the date of the oldest of these.
+
+    A series with fewer values starts at its first row.
+    """
+    old = rows.filter(F.col("date") < F.to_date(F.lit(since)))
+    newest = last_rows(old.filter(F.col(value).isNotNull()), HALO_ROWS, ids)
+    marks = newest.select(*ids, "date", F.lit(1).alias("__n"))
+    marks = marks.unionByName(old.groupBy(*ids).agg(F.min("date").alias("date")).withColumn("__n", F.lit(0)))
+    found = marks.groupBy(*ids).agg(F.sum("__n").alias(VALUES), F.min(F.when(F.col("__n") == 1, F.col("date"))).alias("__oldest"), F.min("date").alias(START))
+    return found.withColumn(START, F.when(F.col(VALUES) == HALO_ROWS, F.col("__oldest")).otherwise(F.col(START))).drop("__oldest")
+
+
+def _reaches(found: DataFrame, series: DataFrame, ids: list[str]) -> bool:
+    """Whether each of ``series`` has HALO_ROWS values in ``found``; one that is missing there has none."""
+    every = found.select(*ids, VALUES).unionByName(series.select(*ids, F.lit(0).alias(VALUES)))
+    return every.groupBy(*ids).agg(F.sum(VALUES).alias("n")).filter(F.col("n") < HALO_ROWS).isEmpty()
+
+
+def _halo(rows: DataFrame, starts: DataFrame, since: str) -> DataFrame:
+    """Every row, null ones too, from ``since`` on or from the start of its key."""
+    joined = rows.join(starts.withColumnRenamed("series_key", "__of"), F.col("series_key").eqNullSafe(F.col("__of")), "left")
+    return joined.filter((F.col("date") >= F.to_date(F.lit(since))) | (F.col("date") >= F.col(START))).select(*rows.columns)
+
+
+def _histories(spark: SparkSession, t: Tables, as_of: str, since: str | None, halo_days: int) -> list[DataFrame]:
+    """The landed rows of each source that dates from ``since`` on may look back on."""
+
+    def read(source, start=None):
+        schema, row, _, _ = SOURCES[source]
+        return L.read_history(spark, t.landed, source, schema, row, as_of, start)
+
+    def starts(source, rows):
+        _, _, ids, values = SOURCES[source]
+        return [settle(_starts(rows, ids, v, since)) for v in values]
+
+    if since is None:
+        return [read(s) for s in SOURCES]
+    start = F.date_sub(F.to_date(F.lit(since)), halo_days)
+    rows = {s: settle(read(s, start).filter(F.col("date") >= start)) for s in SOURCES}
+    found = {s: starts(s, rows[s]) for s in SOURCES}
+    for source, (schema, _, ids, _) in SOURCES.items():
+        series = L.landed_series(spark, t.landed, source, schema, ids, as_of, since)
+        if not all(_reaches(f, series, ids) for f in found[source]):
+            rows = {s: settle(read(s)) for s in SOURCES}
+            found = {s: starts(s, rows[s]) for s in SOURCES}
+            break
+    all_starts = reduce(DataFrame.unionByName, [f.select("series_key", START) for s in SOURCES for f in found[s]])
+    key_starts = settle(all_starts.groupBy("series_key").agg(F.min(START).alias(START)))
+    return [_halo(rows[s], key_starts, since) for s in SOURCES]
 
 
 def update_features(
@@ -72,23 +121,13 @@ def update_features(
     """Add the dates the feature table lacks, from landed history.
 
     Without ``since`` the whole history is read.  With it only dates from ``since`` are
-    added, and every series brings the HALO_ROWS values before them, however many days
-    these take, so that a daily run equals a backfill.  ``halo_days`` only saves reading:
-    if some series has too few values in them, the whole history is read.
+    added, and every key brings all its rows, null ones too, from the day on which each of
+    its series, in any source, has HALO_ROWS values before ``since``, however many days
+    these take and however long a series has been silent, so that a daily run equals a
+    backfill.  ``halo_days`` only saves reading: if some landed series has too few values in
+    them, the whole history is read.
     """
-
-    def history(source, schema, ids, value, series):
-        whole = L.read_history(spark, t.landed, source, schema, ids, as_of)
-        if since is None:
-            return whole
-        start = F.date_sub(F.to_date(F.lit(since)), halo_days)
-        near = L.read_history(spark, t.landed, source, schema, ids, as_of, start).filter(F.col("date") >= start)
-        near = settle(near)
-        return _halo(near if _reaches(near, series, value, since) else whole, series, value, since)
-
-    bars = history("prices", S.PRICES_RAW, ["series_key", "date", "ticker"], "close", ["series_key", "ticker"])
-    macro = history("macro", S.MACRO_RAW, ["series_key", "date", "series"], "value", ["series_key", "series"])
-    geo = history("geo", StructType(S.GEO_RAW.fields[:4]), ["series_key", "date"], "GPR_OIL", ["series_key"])
+    bars, macro, geo = _histories(spark, t, as_of, since, halo_days)
     table = L.read_features(spark, t.features)
     if Q.on_empty_source(macro, table) is not None:
         return

@@ -93,6 +93,15 @@ def read_history(
     return no_nan(rows)
 
 
+def landed_series(
+    spark: SparkSession, root: str, source: str, schema: T.StructType, ids: Sequence[str], until: str, before: str
+) -> DataFrame:
+    """The distinct ``ids`` of all rows landed by ``until`` and dated before ``before``."""
+    landed = read_parquet(spark, f"{root}/{source}", _with_run(schema))
+    known = (F.col(RUN) <= F.to_date(F.lit(until))) & (F.col("date") < F.to_date(F.lit(before)))
+    return landed.filter(known).select(*ids).distinct()
+
+
 def no_nan(df: DataFrame) -> DataFrame:
     """NaN in any double is a missing value: null."""
     doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]

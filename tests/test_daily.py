@@ -125,6 +125,40 @@ def test_incremental_equals_full_with_a_sparse_source(spark, tmp_path):
     assert built["full"].exceptAll(built["steps"]).count() == 0
 
 
+def _silent_and_null(cut, n):
+    """Daily sources; OVX and XLE are silent long before ``cut``, GPR_OIL is null in a row 30 days before it."""
+    rng = np.random.default_rng(2)
+    walk = np.exp(rng.normal(0, 0.02, size=(n, len(S.TICKERS))).cumsum(axis=0)) * 50
+    silent = {"^OVX": 300, "XLE": 330}
+    bars = [("k", day(i), c, float(walk[i, j])) for i in range(n) for j, c in enumerate(S.TICKERS) if i < silent.get(c, n)]
+    macro = [("k", day(i), c, float(rng.normal(100, 1))) for i in range(n) for c in S.MACRO_SERIES]
+    oil = [None if cut - 90 <= i < cut - 62 or i == cut - 30 else float(rng.normal(100, 20)) for i in range(n)]
+    index = [("k", day(i), float(rng.normal(100, 20)), oil[i]) for i in range(n)]
+    return bars, macro, index
+
+
+@pytest.mark.parametrize("null_closes", [False, True])
+def test_incremental_equals_full_with_a_silent_ticker_and_null_rows(spark, tmp_path, null_closes):
+    n, cut = 760, 752
+    bars, macro, index = _silent_and_null(cut, n)
+    if null_closes:  # days on which no ticker has a price
+        bars = [(k, d, c, None if d in (day(cut - 10), day(cut - 20)) else v) for k, d, c, v in bars]
+    geo = S.T.StructType(S.GEO_RAW.fields[:4])
+    sources = {"prices": (bars, S.PRICES_RAW), "macro": (macro, S.MACRO_RAW), "geo": (index, geo)}
+    built = {}
+    for name, runs in {"full": [(n, None)], "steps": [(cut, None), (n, str(day(cut)))]}.items():
+        t = daily.Tables(str(tmp_path / name))
+        for upto, since in runs:
+            for source, (rows, schema) in sources.items():
+                L.write_snapshot(spark.createDataFrame([r for r in rows if r[1] < day(upto)], schema), t.landed, source, str(day(upto)))
+            daily.update_features(spark, t, str(day(upto)), since=since, halo_days=200)
+        new = L.read_features(spark, t.features).filter(F.col("date") >= str(day(cut)))
+        built[name] = {r.date: r for r in new.select("date", *[F.round(c, 9).alias(c) for c in S.FEATURES]).collect()}
+    assert len(built["full"]) == n - cut
+    assert built["full"] == built["steps"]
+    assert all(r.ovx_zscore is not None and r.xle_brent_ratio is not None for r in built["full"].values())
+
+
 def test_gate_writes_one_row_and_leaves_the_features(spark, sessions, full):
     stamps = spark.read.parquet(full.stamps)
     assert stamps.count() == 1
