@@ -6,13 +6,17 @@ longest matches of unmarked tokens, found by running Karp-Rabin hashes of fallin
 are marked until none of ``SEED`` tokens is left.  The share of the item's tokens under
 tiles, wherever in the document and in whatever order they lie, decides.
 
-Tokens are runs of ASCII letters and digits and of bytes beyond ASCII, in lower case.  The
+Tokens are runs of ASCII letters and digits and of characters beyond ASCII, in lower case
+(A-Z).  Unicode punctuation and blanks and full-width ASCII marks end a token, and each
+character of a script without spaces (Chinese, Japanese, Thai and others) is a token.  An
+item of fewer than ``SEED`` tokens has all of them as its seed.  The
 benchmark is a query set: it is taken in blocks of about ``BLOCK_BYTES`` of text, one pass
 over the documents for each, so what is broadcast stays bounded.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -33,11 +37,54 @@ _APART[[c for c in range(128) if chr(c).isalnum()]] = False
 _APART[128:] = False
 _STEP = 0x9E3779B97F4A7C15
 
+_WORD, _GAP, _SINGLE = 0, 1, 2
+#: Code points of scripts that are written without spaces between words, by first and last.
+_UNSPACED = [
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F), (0x2E80, 0x2FDF),  # Thai, Lao, Burmese, Khmer, ...
+    (0x3005, 0x3007), (0x3021, 0x3029), (0x3031, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF),  # Kana, Bopomofo, Han
+    (0xA000, 0xA48F), (0xA980, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1AFF0, 0x1B16F), (0x20000, 0x323AF),
+]
+
+
+def _kinds() -> tuple[np.ndarray, np.ndarray]:
+    """Where the kind of the code points changes, and the kind from there on."""
+    kind = np.zeros(0x110000, np.uint8)
+    for first, last in _UNSPACED:
+        kind[first : last + 1] = _SINGLE
+    kind[[c for c in range(128, 0x20000) if unicodedata.category(chr(c))[0] in "PZ"]] = _GAP
+    kind[[c for c in range(0xFF01, 0xFF5F) if not chr(c - 0xFEE0).isalnum()]] = _GAP
+    edges = np.append(0, np.flatnonzero(np.diff(kind)) + 1)
+    return edges, kind[edges]
+
+
+_EDGES, _KINDS = _kinds()
+
+
+def _wide(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place, bytes and code point of all characters beyond ASCII; bytes that are not UTF-8 are left out."""
+    at = np.flatnonzero(data >= 0xC2)
+    lead = data[at].astype(np.int64)
+    n = 2 + (lead >= 0xE0) + (lead >= 0xF0)
+    point, ok = lead & (0xFF >> (n + 1)), at + n <= len(data)
+    for k in (1, 2, 3):
+        byte = data[np.minimum(at + k, len(data) - 1)].astype(np.int64)
+        ok &= (n <= k) | (byte & 0xC0 == 0x80)
+        point = np.where(n > k, point << 6 | byte & 0x3F, point)
+    return at[ok], n[ok], point[ok]
+
 
 def tokens(data: np.ndarray, offsets: np.ndarray, powers: scan.Powers) -> tuple[np.ndarray, np.ndarray]:
     """Token hashes of all texts and the first token of each."""
     data = scan.lower(data)
-    starts, ends, firsts = scan.word_spans(data, offsets, _APART)
+    apart, edge = _APART[data], np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    at, n, point = _wide(data)
+    kind = _KINDS[np.searchsorted(_EDGES, point, "right") - 1]
+    for k in range(4):
+        apart[at[(kind == _GAP) & (n > k)] + k] = True
+    alone = kind == _SINGLE
+    edge[at[alone]] = edge[(at + n)[alone]] = True
+    starts, ends, firsts = scan.spans(apart, edge, offsets)
     return scan.word_hashes(data, starts, ends, powers), firsts
 
 
@@ -116,23 +163,32 @@ def _left(scan_for, s: int) -> Iterator[int]:
 
 
 def block_arrays(ids: list, texts: list[str], seed: int) -> tuple:
-    """What is broadcast of a part of the benchmark: plain arrays of its tokens and sorted seeds."""
+    """What is broadcast of a part of the benchmark: plain arrays of its tokens and, by length, sorted seeds.
+
+    An item of fewer than ``seed`` tokens has one seed, all of it.
+    """
     raw = [(t or "").encode() for t in texts]
     offsets = np.append(0, np.cumsum([len(r) for r in raw])).astype(np.int64)
     words, firsts = tokens(np.frombuffer(b"".join(raw), np.uint8), offsets, scan.Powers())
-    grams = scan.window_hashes(words, seed)
-    at = np.flatnonzero(scan.inside(firsts, seed, len(grams)))
-    owner = np.searchsorted(firsts, at, "right") - 1
-    order = np.argsort(grams[at], kind="stable")
-    return ids, words, firsts, grams[at][order], owner[order]
-
-
-class Block:
-    """Part of the benchmark, on an executor: its items' tokens and the way from seeds to items."""
-
-    def __init__(self, ids: list, words: np.ndarray, firsts: np.ndarray, seeds: np.ndarray, owner: np.ndarray) -> None:
-        self.ids, self.seeds, self.owner = ids, seeds, owner
-        self.items = [words[a:b] for a, b in zip(firsts[:-1], firsts[1:])]
+    sizes, seeds = np.diff(firsts), []
+    for k in range(1, seed + 1):
+        grams = scan.window_hashes(words, k)
+        at = np.flatnonzero(scan.inside(firsts, k, len(grams)))
+        owner = np.searchsorted(firsts, at, "right") - 1
+        if k < seed:
+            own = sizes[owner] == k
+            at, owner = at[own], owner[own]
+        if len(at):
+            order = np.argsort(grams[at], kind="stable")
+            seeds.append((k, grams[at][order], owner[order]))
+    return ids, words, firsts, seeds
+
+
+class Seeds:
+    """The seeds of one length, on an executor, and the way from them to items."""
+
+    def __init__(self, length: int, seeds: np.ndarray, owner: np.ndarray) -> None:
+        self.length, self.seeds, self.owner = length, seeds, owner
         self.known = np.zeros(1 << 20, bool)
         self.known[(seeds >> np.uint64(44)).astype(np.int64)] = True
 
@@ -145,6 +201,15 @@ class Block:
         return np.repeat(at, n), self.owner[place]
 
 
+class Block:
+    """Part of the benchmark, on an executor: its items' tokens and their seeds."""
+
+    def __init__(self, ids: list, words: np.ndarray, firsts: np.ndarray, seeds: list[tuple]) -> None:
+        self.ids = ids
+        self.items = [words[a:b] for a, b in zip(firsts[:-1], firsts[1:])]
+        self.seeds = [Seeds(*s) for s in seeds]
+
+
 _HIT = "rid long, item_id {kind}, covered int, item_tokens int, tiles array<struct<doc_start: int, item_start: int, length: int>>"
 
 
@@ -160,25 +225,28 @@ def find_tiles(block, seed: int, coverage: float):
             out: list[list] = [[], [], [], [], []]
             for i, j in scan.runs(offsets):
                 words, firsts = tokens(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], powers)
-                grams = scan.window_hashes(words, seed)
-                at, item = b.shared(grams) if len(grams) else (np.empty(0, np.int64),) * 2
-                doc = np.searchsorted(firsts, at, "right") - 1
-                ok = at + seed <= firsts[doc + 1]
-                at, item, doc = at[ok], item[ok], doc[ok]
-                order = np.lexsort((at, item, doc))
-                at, item, doc = at[order], item[order], doc[order]
-                cuts = np.flatnonzero((np.diff(item) != 0) | (np.diff(doc) != 0)) + 1
-                for a, z in zip([0, *cuts], [*cuts, len(at)]) if len(at) else ():
-                    pattern = b.items[item[a]]
-                    cover = np.zeros(len(pattern) + 1, bool)
-                    tiles = _tiles(words, np.unique(at[a:z]), pattern, seed, powers, int(firsts[doc[a]]))
-                    for _, p, k in tiles:
-                        cover[p : p + k] = True
-                    covered = int(cover.sum())
-                    if covered >= coverage * len(pattern):
-                        row = (rid[i + int(doc[a])].as_py(), b.ids[item[a]], covered, len(pattern), [{"doc_start": t, "item_start": p, "length": k} for t, p, k in tiles])
-                        for c, v in zip(out, row):
-                            c.append(v)
+                for seeds in b.seeds:
+                    k = seeds.length
+                    grams = scan.window_hashes(words, k)
+                    at, item = seeds.shared(grams) if len(grams) else (np.empty(0, np.int64),) * 2
+                    doc = np.searchsorted(firsts, at, "right") - 1
+                    ok = at + k <= firsts[doc + 1]
+                    at, item, doc = at[ok], item[ok], doc[ok]
+                    order = np.lexsort((at, item, doc))
+                    at, item, doc = at[order], item[order], doc[order]
+                    cuts = np.flatnonzero((np.diff(item) != 0) | (np.diff(doc) != 0)) + 1
+                    for a, z in zip([0, *cuts], [*cuts, len(at)]) if len(at) else ():
+                        pattern = b.items[item[a]]
+                        cover = np.zeros(len(pattern) + 1, bool)
+                        places = np.unique(at[a:z]) if k == seed else at[a : a + 1]  # the first place of a short item holds all of it
+                        tiles = _tiles(words, places, pattern, k, powers, int(firsts[doc[a]]))
+                        for _, p, n in tiles:
+                            cover[p : p + n] = True
+                        covered = int(cover.sum())
+                        if covered >= coverage * len(pattern):
+                            row = (rid[i + int(doc[a])].as_py(), b.ids[item[a]], covered, len(pattern), [{"doc_start": t, "item_start": p, "length": n} for t, p, n in tiles])
+                            for c, v in zip(out, row):
+                                c.append(v)
             if out[0]:
                 columns = [pa.array(out[0], pa.int64()), pa.array(out[1]), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int32()), pa.array(out[4], tile_type)]
                 yield pa.RecordBatch.from_arrays(columns, names=["rid", "item_id", "covered", "item_tokens", "tiles"])
@@ -203,8 +271,8 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     """(rid, item, covered, item_tokens, tiles) of every document row and every item it covers.
 
     ``rid`` is ``xxhash64`` of id and text, ``tiles`` count in tokens of the text and of the
-    item.  Null and empty texts, on either side, and items of fewer than ``seed`` tokens
-    match nothing.  Equal items are reported each; repeated rows have equal hits (once for
+    item.  Null and empty texts, on either side, and items without a token match nothing; an
+    item of fewer than ``seed`` tokens matches where a text has all of them in a row.  Equal items are reported each; repeated rows have equal hits (once for
     each row).  Empty tables give an empty table; other columns are not read.
     """
     spark = docs.sparkSession

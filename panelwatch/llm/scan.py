@@ -92,12 +92,16 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, apart: np.ndarray = _SPACE
 
     ``apart`` tells for each byte value whether it separates words; white space if not given.
     """
-    space = apart[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
-    before = np.ones(len(data), bool)
+    return spans(apart[data], edge, offsets)
+
+
+def spans(space: np.ndarray, edge: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words as in ``word_spans``, from the bytes that separate words and the places where a word begins or ends anyway."""
+    before = np.ones(len(space), bool)
     before[1:] = space[:-1]
-    after = np.ones(len(data), bool)
+    after = np.ones(len(space), bool)
     after[:-1] = space[1:]
     starts = np.flatnonzero(~space & (before | edge[:-1]))
     ends = np.flatnonzero(~space & (after | edge[1:])) + 1

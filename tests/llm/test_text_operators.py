@@ -256,6 +256,35 @@ def test_contaminated_documents_are_found(docs, odd, spark, monkeypatch):
     assert decontamination.marked(df, items.limit(0)).filter("contaminated").count() == 0
 
 
+def test_tokens_of_scripts_without_spaces():
+    powers = scan.Powers()
+
+    def counted(*texts):
+        raw = [t.encode() for t in texts]
+        words, firsts = decontamination.tokens(np.frombuffer(b"".join(raw), np.uint8), np.append(0, np.cumsum([len(r) for r in raw])), powers)
+        return [words[a:b].tolist() for a, b in zip(firsts, firsts[1:])]
+
+    got = counted("中国的首都是北京。", "中国、的首都（是）北京", "ภาษาไทย", "カタカナ・かな", "Москва—столица “России”", "naïve über 한국어 문장", "𠀀𠀁 ab𠀀", "中", "")
+    assert [len(w) for w in got] == [8, 8, 7, 6, 3, 4, 4, 1, 0]
+    assert got[0] == got[1] and got[7] == got[0][:1] and got[6][0] == got[6][3]
+    assert counted("x" * 3, "é\u3000ü") == counted("xxx", "é ü")
+    bad = np.array([0xE4, 0xB8, 0x61, 0xFF, 0xC2], np.uint8)  # not UTF-8: bytes of a word
+    assert len(decontamination.tokens(bad, np.array([0, 5]), powers)[0]) == 1
+
+
+def test_leaks_without_spaces_and_of_short_items_are_found(docs, spark):
+    capital = "中华人民共和国的首都是哪一个城市？请选择正确的答案。"
+    items = [(1, capital), (2, "two words"), (3, "北京"), (4, "。！"), (5, "one two three four"), (6, None)]
+    texts = {
+        1: "以下是题目：" + capital + "答案是上海", 2: "中华人民共和国的首都是哪一个城市", 3: "just TWO, words here", 4: "two other words", 5: "我住在北京市",
+        6: "one two three", 7: "so one two three four one two three four", 8: "。！", 9: "words two",
+    }
+    df, benchmark = docs([(i, t, "en", "a") for i, t in texts.items()]), spark.createDataFrame(items, "item_id long, text string")
+    got = decontamination.marked(df, benchmark).filter("contaminated").collect()
+    assert {r.doc_id: r.item_id for r in got} == {1: 1, 2: 1, 3: 2, 5: 3, 7: 5}
+    assert {r.doc_id: [(t.doc_start, t.item_start, t.length) for t in r.tiles] for r in got if r.item_id != 1} == {3: [(1, 0, 2)], 5: [(3, 0, 2)], 7: [(1, 0, 4)]}
+
+
 def test_kept_bytes_of_a_plain_text(spark):
     df = spark.sql("select 'abcdef' as text, array(named_struct('start', 1L, 'end', 3L), named_struct('start', 5L, 'end', 6L)) as spans")
     assert bytes(df.select(suffix_dedup.kept_bytes()).first()[0]) == b"ade"
