@@ -6,7 +6,7 @@ text gets the language whose codeword has the least logistic loss under the bits
 Two codewords of nearly equal loss make the text ambiguous.
 
 The classifiers are fitted on at most ``PER_LANGUAGE`` rows of each language (those with
-the smallest hashed ids) and at most ``TRAIN_ROWS`` in all.
+the smallest hashed ids) and at most ``TRAIN_ROWS`` in all, of the rows whose text has a letter.
 """
 
 from __future__ import annotations
@@ -153,9 +153,14 @@ def apply(model: Model, carry: bool):
     return run
 
 
+def lettered(text_col: str) -> Column:
+    """Whether a text is there and has a letter."""
+    return F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
-    """A model of the rows with a language and a text; none if there are no such rows."""
-    known = docs.filter(F.col(lang_col).isNotNull())
+    """A model of the rows with a language and a text with a letter; none if there are no such rows."""
+    known = docs.filter(F.col(lang_col).isNotNull() & lettered(text_col))
     rows = known.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).alias("lang"))
     counts = settle(rows.groupBy("lang").count())
     n = counts.count()
@@ -169,7 +174,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     # at most TRAIN_ROWS languages, checked above
     few = rows.withColumn("h", F.xxhash64("id")).join(F.broadcast(counts), "lang").filter(F.col("h") <= low)
     chosen = few.withColumn("rank", rank).filter(F.col("rank") <= each).select("id", "lang").distinct()
-    texts = known.filter(F.col(text_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    texts = known.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     # at most TRAIN_ROWS short rows, by the rank above
     sample = texts.join(F.broadcast(chosen), ["id", "lang"]).select("lang", "text").mapInArrow(vectors, "lang string, shares binary")
     got = sample.limit(2 * each * n).toPandas().sort_values(["lang", "shares"])
@@ -192,9 +197,8 @@ def with_language(docs: DataFrame, model: Model | None, text_col: str = "text",
     if model is None:
         out = docs.withColumns(dict(zip(FOUND, (F.lit(UNKNOWN), F.lit(0.0), F.lit(False)))))
         return out if carry else out.drop(text_col)
-    lettered: Column = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
     others = [c for c in docs.columns if c != text_col]
-    rows = docs.select(*others, F.col(text_col).alias("text"), lettered.alias("_lettered"))
+    rows = docs.select(*others, F.col(text_col).alias("text"), lettered(text_col).alias("_lettered"))
     kept = T.StructType([f for f in rows.schema.fields if f.name != "_lettered" and (carry or f.name != "text")])
     schema = kept.add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean")
     out = rows.mapInArrow(apply(model, carry), schema)

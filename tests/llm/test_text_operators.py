@@ -140,6 +140,15 @@ def test_language_of_odd_rows(docs, odd):
     assert language.with_language(docs(odd), None).filter("lang_pred != 'und'").count() == 0
 
 
+def test_training_rows_are_those_with_a_letter(docs, monkeypatch):
+    """A language whose rows mostly have no usable text brings all those that are usable."""
+    monkeypatch.setattr(language, "fit", lambda languages, shares, which: Counter(languages[k] for k in which))
+    rows = [(k, "the cat", "en", "s") for k in range(30)] + [(1000 + k, None if k % 2 else "12 ..", "de", "s") for k in range(4000)]
+    rows += [(9000 + k, "der hund", "de", "s") for k in range(20)] + [(9500, "", "fr", "s"), (9501, None, "fr", "s")]
+    assert language.train(docs(rows)) == {"en": 30, "de": 20}
+    assert language.train(docs(rows[-2:])) is None
+
+
 # --- token counts and packing
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
