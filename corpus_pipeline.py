@@ -16,8 +16,14 @@ from panelwatch.llm.steps import settle
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, and those between two languages, go."""
-    found = language.with_language(docs, language.train(docs))
+    """Documents without a letter, and those between two languages, go.
+
+    If no document with a letter has a ``lang``, there is no model: only those without a letter go.
+    """
+    model = language.train(docs)
+    if model is None:
+        return docs.filter(language.lettered("text"))
+    found = language.with_language(docs, model)
     return found.filter((F.col("lang_pred") != language.UNKNOWN) & ~F.col("ambiguous")).select(docs.columns)
 
 

@@ -268,3 +268,11 @@ def test_pipeline_stages_do_what_their_operators_say(spark, odd, docs):
             target = plain_targets(sizes)
             assert all(abs(taken[s] - target[s]) < 1 for s in sizes)
     assert kept.count() > 0 and corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_pipeline_keeps_documents_when_no_language_is_labelled(docs):
+    texts = {1: "a clean text", 2: None, 3: "", 4: "12 ..", 5: "ещё один"}
+    for labels in ({}, {2: "en", 4: "de"}):
+        df = docs([(i, t, labels.get(i), "a") for i, t in texts.items()])
+        kept = corpus_pipeline.identify_language(df.sparkSession, df, SF)
+        assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [1, 5]
