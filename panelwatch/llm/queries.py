@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwatch.llm import chat, decontamination, language, mixing, near_dedup, packing, quality, sharding, sql, suffix_dedup, token_counts
+from panelwatch.llm import chat, clustering, decontamination, language, mixing, near_dedup, packing, quality, sharding, sql, suffix_dedup, token_counts
 from panelwatch.llm.steps import settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,10 @@ def sized(docs: DataFrame) -> DataFrame:
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     docs = settle(sized(table(spark, sf, "documents")).select("doc_id", "source", "size", "key"))
     return mixing.with_taken(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op13_centroid_clusters", sql.CLUSTERS)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    out = clustering.clustered(table(spark, sf, "embeddings"))
+    digest = F.sha2(F.array_join(F.transform("centroid", lambda x: x.cast("string")), ","), 256)
+    return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))

@@ -99,3 +99,36 @@ WITH RECURSIVE hexed AS (
 SELECT doc_id, size, text_crc32, 'rows' AS law, (p % 16)::INT AS shard, (p // 16)::BIGINT AS slot, NULL::INT AS grown_shard
 FROM walk WHERE steps > 0 AND p < n
 """
+
+
+def _clusters(rounds: int) -> str:
+    ctes = """kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS c, v AS w FROM kept ORDER BY c LIMIT 16
+)"""
+    for i in range(rounds + 1):
+        ctes += f""", a{i} AS MATERIALIZED (
+  SELECT rid, min(struct_pack(d := list_sum(list_transform(list_zip(v, w), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT, c := c)) AS best
+  FROM kept, c{i} GROUP BY rid
+)"""
+        if i < rounds:
+            ctes += f""", s{i} AS (
+  SELECT best.c AS c, pos, sum(x) AS s, count(*) AS n
+  FROM (SELECT rid, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM kept) JOIN a{i} USING (rid) GROUP BY best.c, pos
+), c{i + 1} AS MATERIALIZED (
+  SELECT c, coalesce(m.w, c{i}.w) AS w
+  FROM c{i} LEFT JOIN (SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY pos) AS w FROM s{i} GROUP BY c) m USING (c)
+)"""
+    return f"""
+WITH {ctes}
+SELECT vec_id, best.c::INT AS cluster, best.d AS distance,
+  sum(best.d) OVER (PARTITION BY best.c)::BIGINT AS cluster_inertia, sum(best.d) OVER ()::BIGINT AS inertia,
+  sha256(array_to_string(w, ',')) AS centroid_sha256
+FROM kept JOIN a{rounds} USING (rid) JOIN c{rounds} ON best.c = c
+"""
+
+
+CLUSTERS = _clusters(3)
