@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwatch.llm import chat, clustering, decontamination, language, mixing, near_dedup, packing, quality, sharding, sql, suffix_dedup, token_counts
+from panelwatch.llm import chat, clustering, decontamination, interpolation, language, mixing, near_dedup, packing, quality, sharding, sql, suffix_dedup, token_counts
 from panelwatch.llm.steps import settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +148,14 @@ def op13(spark: SparkSession, sf: str) -> DataFrame:
     out = clustering.clustered(table(spark, sf, "embeddings"))
     digest = F.sha2(F.array_join(F.transform("centroid", lambda x: x.cast("string")), ","), 256)
     return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+
+
+def unlearned(id_col: str = "doc_id"):
+    """Documents that the scoring model does not learn from."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 7 == 2, F.lit(False))
+
+
+@query("op12_interpolated_scores")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    scores = interpolation.scores(interpolation.train(table(spark, sf, "documents"), ~unlearned())).withColumnRenamed("id", "doc_id")
+    return scores.select("doc_id", unlearned().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

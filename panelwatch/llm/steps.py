@@ -11,21 +11,26 @@ from pyspark.sql import functions as F
 from panelwatch import session
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, batch_rows: int | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The shuffle files of the step go once its table is there; later steps read the
-    table, also when executors were lost meanwhile.
+    table, also when executors were lost meanwhile.  ``batch_rows`` limits the rows that
+    Python steps get at once, for rows that hold whole blocks.
     """
     conf = df.sparkSession.conf
-    before = conf.get(CLEANUP, "false")
-    conf.set(CLEANUP, "true")
+    wanted = {CLEANUP: "true"} | ({BATCH: str(batch_rows)} if batch_rows else {})
+    before = {k: conf.get(k, "false" if k == CLEANUP else "10000") for k in wanted}
+    for k, v in wanted.items():
+        conf.set(k, v)
     try:
         return session.settle(df)
     finally:
-        conf.set(CLEANUP, before)
+        for k, v in before.items():
+            conf.set(k, v)
 
 
 def tasks(df: DataFrame, rows_each: int) -> int:
