@@ -18,7 +18,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwatch.llm import scan
@@ -27,8 +27,8 @@ from panelwatch.session import task_count
 
 BLOCK_TOKENS = 1 << 18
 KEYS_PER_PART = 1 << 20
-#: Rows that Python gets at once: of blocks, and of requests or answers.
-BLOCKS_AT_ONCE, REQUESTS_AT_ONCE = 4, 256
+#: What a Python step gets at once.
+BATCH_BYTES = 16 << 20
 MOST_TASKS = 50_000
 
 START, END = np.uint64(0x6A09E667F3BCC908), np.uint64(0xBB67AE8584CAA73B)
@@ -101,7 +101,7 @@ def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def encoded(docs: DataFrame) -> DataFrame:
     """The settled blocks of (id long, kind int, text string) rows."""
-    return settle(docs.select("id", "kind", "text").mapInArrow(encode, BLOCKS))
+    return settle(docs.select("id", "kind", "text").mapInArrow(encode, BLOCKS), BATCH_BYTES, "zstd")
 
 
 class Block:
@@ -206,28 +206,43 @@ def answer(train: tuple[int, ...], retain: tuple[int, ...], both: tuple[int, ...
 _ANSWERED = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("fresh", pa.int64()), ("trained", pa.binary()), ("retained", pa.binary())])
 
 
+def tasks(spark: SparkSession, n_tokens: int) -> int:
+    """Partitions for steps over the keys of so many tokens."""
+    return min(MOST_TASKS, max(task_count(spark), -(-n_tokens // (4 * KEYS_PER_PART))))
+
+
 def answered(blocks: DataFrame, keys_of: Callable[[Block], tuple[np.ndarray, np.ndarray]], n_tokens: int, train: tuple[int, ...],
              retain: tuple[int, ...] = (), both: tuple[int, ...] = ()) -> DataFrame:
     """The settled answers to what every block asks."""
-    parts = max(1, -(-n_tokens // KEYS_PER_PART))
-    n = min(MOST_TASKS, max(task_count(blocks.sparkSession), -(-parts // 4)))
-    requests = blocks.mapInArrow(ask(keys_of, parts), REQUESTS)
-    # each task of requests reads blocks of several MB, each task of answers requests of some KB
-    asked = requests.repartition(n, "part").sortWithinPartitions("part")
-    return settle(asked.mapInArrow(answer(train, retain, both), ANSWERS), BLOCKS_AT_ONCE * 8)
-
-
-def with_answers(blocks: DataFrame, answers: list[DataFrame]) -> DataFrame:
-    """Block rows with ``asked``, their answers in the order of the list, then of the parts."""
-    rows = None
-    for level, a in enumerate(answers):
-        one = a.select("block", F.lit(level).alias("level"), "part", "trained", "retained")
-        rows = one if rows is None else rows.unionByName(one)
-    asked = rows.groupBy("block").agg(F.collect_list(F.struct("level", "part", "trained", "retained")).alias("asked"))
-    return blocks.join(asked, "block")
-
-
-def sums(row: dict, level: int, column: str) -> np.ndarray:
-    """The sums of one level in the order of the block's keys."""
-    own = sorted((a["part"], a[column]) for a in row["asked"] if a["level"] == level)
-    return np.concatenate([unsmall(raw) for _, raw in own]) if own else np.empty(0, np.int64)
+    requests = blocks.mapInArrow(ask(keys_of, max(1, -(-n_tokens // KEYS_PER_PART))), REQUESTS)
+    asked = requests.repartition(tasks(blocks.sparkSession, n_tokens), "part").sortWithinPartitions("part")
+    return settle(asked.mapInArrow(answer(train, retain, both), ANSWERS), BATCH_BYTES, "zstd")
+
+
+def with_answers(blocks: DataFrame, answers: list[DataFrame], column: str, n_tokens: int) -> DataFrame:
+    """Block rows (``level`` 0) and, behind each, the answers to it, by level and part."""
+    empty = lambda **has: [has.get(f, F.lit(None)).cast(t).alias(f) for f, t in _VISITED.items()]
+    rows = blocks.select(*empty(**{f: F.col(f) for f in blocks.columns if f in _VISITED}, level=F.lit(0)))
+    for k, a in enumerate(answers):
+        one = a.filter(F.col(column).isNotNull())
+        rows = rows.unionByName(one.select(*empty(block=F.col("block"), level=F.lit(k + 1), part=F.col("part"), sums=F.col(column))))
+    return rows.repartition(tasks(blocks.sparkSession, n_tokens), "block").sortWithinPartitions("block", "level", "part")
+
+
+_VISITED = {"block": "long", "level": "int", "part": "int", "kind": "int", "ids": "array<long>", "lengths": "binary", "words": "binary",
+            "tokens": "binary", "sums": "binary"}
+
+
+def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Block, list[np.ndarray]]]:
+    """Each block of ``with_answers``, with its sums by level in the order of its keys."""
+    block, sums = None, {}
+    for b in batches:
+        for r in b.to_pylist():
+            if r["level"] == 0:
+                if block is not None:
+                    yield block, [np.concatenate(sums[k]) for k in sorted(sums)]
+                block, sums = Block(r), {}
+            elif block is not None and r["block"] == block.block:
+                sums.setdefault(r["level"], []).append(unsmall(r["sums"]))
+    if block is not None:
+        yield block, [np.concatenate(sums[k]) for k in sorted(sums)]

@@ -70,21 +70,19 @@ def allowed(order: int) -> np.ndarray:
     return np.stack([n >= 0] + [n // BUCKETS**k % BUCKETS > 0 for k in range(order)], axis=1)
 
 
-def per_token(row: dict, block: bl.Block, order: int, column: str) -> list[np.ndarray]:
-    return [bl.sums(row, k, column)[block.grams(k + 1)[1]] for k in range(order)]
+def per_token(block: bl.Block, sums: list[np.ndarray]) -> list[np.ndarray]:
+    return [s[block.grams(k + 1)[1]] for k, s in enumerate(sums)]
 
 
-def held_estimates(order: int, t: Totals):
+def held_estimates(t: Totals):
     """Arrow function: blocks of deleted documents to their tokens' buckets and estimates from the retained rest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for row in b.to_pylist():
-                block = bl.Block(row)
-                own, f = estimates(block, per_token(row, block, order, "retained"), t.retained_tokens, t.retained_docs, t.distinct)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([own.astype(np.uint32).tobytes()], pa.binary()), pa.array([f.tobytes()], pa.binary())], names=["bucket", "estimates"]
-                )
+        for block, sums in bl.visits(batches):
+            own, f = estimates(block, per_token(block, sums), t.retained_tokens, t.retained_docs, t.distinct)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([own.astype(np.uint32).tobytes()], pa.binary()), pa.array([f.tobytes()], pa.binary())], names=["bucket", "estimates"]
+            )
 
     return run
 
@@ -146,23 +144,21 @@ def learn_weights(held: DataFrame, order: int) -> np.ndarray:
     return rounded / rounded.sum(axis=1, keepdims=True)
 
 
-def score(order: int, t: Totals, weights: np.ndarray):
+def score(t: Totals, weights: np.ndarray):
     """Arrow function: block rows with answers to one row per document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for row in b.to_pylist():
-                block = bl.Block(row)
-                counts = per_token(row, block, order, "trained")
-                own, f = estimates(block, counts, t.tokens, t.docs, t.distinct)
-                logs = np.log10((weights[own] * f).sum(axis=1))
-                base = np.log10((counts[0] + 1) / (t.tokens + 1 * (t.distinct + 1)))
-                known = np.add.reduceat((counts[0] > 0).astype(np.int64), block.firsts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(block.ids, pa.int64()), pa.array(block.lengths), pa.array(known), pa.array(np.add.reduceat(base, block.firsts)),
-                     pa.array(np.add.reduceat(logs, block.firsts))],
-                    names=["id", "n_tokens", "n_known", "base_score", "score"],
-                )
+        for block, sums in bl.visits(batches):
+            counts = per_token(block, sums)
+            own, f = estimates(block, counts, t.tokens, t.docs, t.distinct)
+            logs = np.log10((weights[own] * f).sum(axis=1))
+            base = np.log10((counts[0] + 1) / (t.tokens + 1 * (t.distinct + 1)))
+            known = np.add.reduceat((counts[0] > 0).astype(np.int64), block.firsts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(block.ids, pa.int64()), pa.array(block.lengths), pa.array(known), pa.array(np.add.reduceat(base, block.firsts)),
+                 pa.array(np.add.reduceat(logs, block.firsts))],
+                names=["id", "n_tokens", "n_known", "base_score", "score"],
+            )
 
     return run
 
@@ -175,7 +171,7 @@ class Model:
     answers: list[DataFrame]
     totals: Totals
     weights: np.ndarray
-    order: int
+    n_tokens: int
 
 
 def train(docs: DataFrame, learns: Column, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> Model:
@@ -191,9 +187,9 @@ def train(docs: DataFrame, learns: Column, id_col: str = "doc_id", text_col: str
     answers = [bl.answered(blocks, gram_counts(k), everything, (KEPT, HELD), (KEPT,), (HELD,)) for k in range(1, order + 1)]
     distinct = answers[0].agg(F.sum("fresh").alias("n")).first()["n"] or 0
     totals = Totals(of("tokens", KEPT, HELD), of("docs", KEPT, HELD), of("tokens", KEPT), of("docs", KEPT), distinct)
-    held = bl.with_answers(blocks.filter(F.col("kind") == HELD), [a.filter("retained is not null") for a in answers])
-    held = settle(held.mapInArrow(held_estimates(order, totals), "bucket binary, estimates binary"), bl.BLOCKS_AT_ONCE)
-    return Model(blocks, answers, totals, learn_weights(held, order), order)
+    held = bl.with_answers(blocks.filter(F.col("kind") == HELD), answers, "retained", of("tokens", HELD))
+    held = settle(held.mapInArrow(held_estimates(totals), "bucket binary, estimates binary"), bl.BATCH_BYTES)
+    return Model(blocks, answers, totals, learn_weights(held, order), everything)
 
 
 def gram_counts(k: int):
@@ -214,7 +210,7 @@ def scores(model: Model) -> DataFrame:
     documents both scores are 0.  An empty table gives an empty table; other columns are not read.
     Words and n-grams are equal if their 64-bit hashes are.
     """
-    rows = bl.with_answers(model.blocks, model.answers)
-    out = rows.mapInArrow(score(model.order, model.totals, model.weights), "id long, n_tokens long, n_known long, base_score double, score double")
-    out = settle(out, bl.BLOCKS_AT_ONCE)
+    rows = bl.with_answers(model.blocks, model.answers, "trained", model.n_tokens)
+    out = rows.mapInArrow(score(model.totals, model.weights), "id long, n_tokens long, n_known long, base_score double, score double")
+    out = settle(out, bl.BATCH_BYTES)
     return out.withColumn("train_tokens", F.lit(model.totals.tokens).cast("long"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwatch.llm import chat, clustering, decontamination, interpolation, language, mixing, near_dedup, packing, quality, sharding, sql, suffix_dedup, token_counts
+from panelwatch.llm import chat, clustering, decontamination, interpolation, language, mixing, near_dedup, packing, phrases, quality, sharding, sql, suffix_dedup, token_counts
 from panelwatch.llm.steps import settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +159,8 @@ def unlearned(id_col: str = "doc_id"):
 def op12(spark: SparkSession, sf: str) -> DataFrame:
     scores = interpolation.scores(interpolation.train(table(spark, sf, "documents"), ~unlearned())).withColumnRenamed("id", "doc_id")
     return scores.select("doc_id", unlearned().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op11_phrase_collocations", sql.PHRASES)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf, "documents"))

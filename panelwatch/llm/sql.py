@@ -132,3 +132,36 @@ FROM kept JOIN a{rounds} USING (rid) JOIN c{rounds} ON best.c = c
 
 
 CLUSTERS = _clusters(3)
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+PHRASES = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), split AS MATERIALIZED (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), f AS MATERIALIZED (
+  SELECT lang, p, count(*) AS f FROM (
+    SELECT lang, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS p FROM split, range(1, 5) t(k)
+  ) GROUP BY lang, p
+), total AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM f WHERE len(p) = 1 GROUP BY lang
+), candidates AS MATERIALIZED (
+  SELECT lang, p, f AS a FROM f WHERE len(p) >= 2 AND f >= 30
+), cuts AS (
+  SELECT c.lang, c.p, c.a, min(struct_pack(score := 2000000::HUGEINT * c.a // (x.f + y.f), k := k, l := x.f, r := y.f)) AS best
+  FROM candidates c JOIN range(1, 4) t(k) ON k < len(c.p)
+  JOIN f x ON x.lang = c.lang AND x.p = c.p[1:k] JOIN f y ON y.lang = c.lang AND y.p = c.p[k + 1:]
+  GROUP BY c.lang, c.p, c.a
+), longer AS (
+  SELECT lang, p[i:i + k - 1] AS p, max(a) AS a FROM candidates, range(2, 4) s(k), range(1, 4) t(i)
+  WHERE len(p) > k AND i + k - 1 <= len(p) GROUP BY ALL
+), ranked AS (
+  SELECT cuts.lang, array_to_string(cuts.p, ' ') AS phrase, cuts.a, best.l AS l, best.r AS r, best.score::BIGINT AS score
+  FROM cuts LEFT JOIN longer USING (lang, p) WHERE longer.a IS NULL OR 100 * longer.a < 80 * cuts.a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM ranked
+) JOIN total USING (lang) WHERE rank <= 2000
+"""

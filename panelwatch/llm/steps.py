@@ -11,26 +11,30 @@ from pyspark.sql import functions as F
 from panelwatch import session
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def settle(df: DataFrame, batch_rows: int | None = None) -> DataFrame:
+def settle(df: DataFrame, batch_bytes: int | None = None, compression: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The shuffle files of the step go once its table is there; later steps read the
-    table, also when executors were lost meanwhile.  ``batch_rows`` limits the rows that
+    table, also when executors were lost meanwhile.  ``batch_bytes`` limits what
     Python steps get at once, for rows that hold whole blocks.
     """
     conf = df.sparkSession.conf
-    wanted = {CLEANUP: "true"} | ({BATCH: str(batch_rows)} if batch_rows else {})
-    before = {k: conf.get(k, "false" if k == CLEANUP else "10000") for k in wanted}
+    wanted = {CLEANUP: "true"}
+    if batch_bytes:
+        wanted[BATCH] = str(batch_bytes)
+    if compression:
+        wanted["spark.sql.parquet.compression.codec"] = compression
+    before = {k: conf.get(k, "false" if k == CLEANUP else None) for k in wanted}
     for k, v in wanted.items():
         conf.set(k, v)
     try:
         return session.settle(df)
     finally:
         for k, v in before.items():
-            conf.set(k, v)
+            conf.unset(k) if v is None else conf.set(k, v)
 
 
 def tasks(df: DataFrame, rows_each: int) -> int:
