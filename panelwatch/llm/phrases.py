@@ -32,7 +32,7 @@ SCALE = 2_000_000
 PERCENT = 80
 BEST = 2000
 #: Suffixes of a group: what one task sorts in memory.
-GROUP_SUFFIXES = 1 << 22
+GROUP_SUFFIXES = 1 << 19
 #: A prefix with more than this share of all words is kept in tables that every task gets.
 HEAVY_SHARE = 1 << 16
 
@@ -200,9 +200,21 @@ def next_of(w: np.ndarray) -> np.ndarray:
     return np.concatenate((w[1:], np.zeros(1, w.dtype)))
 
 
-def suffixes(block: bl.Block, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def number_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow function: blocks with their words' numbers to one row of token numbers each."""
+    for block, (numbers,) in bl.visits(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([planes(numbers[block.tokens])], pa.binary())], names=["tokens"])
+
+
+def token_numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    for b in batches:
+        for raw in b.column(0).to_pylist():
+            yield unplanes(raw)
+
+
+def suffixes(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct suffixes of a block as two numbers of two words each (0: no word), sorted, and their counts."""
-    w = [numbers.astype(np.uint64)[block.tokens]]
+    w = [tokens]
     for _ in range(DEPTH - 1):
         w.append(np.where(w[-1] > 0, next_of(w[-1]), 0).astype(np.uint64))
     w = [x[w[0] > 0] for x in w]
@@ -262,8 +274,8 @@ def prefix_counts(level: int, known: Prefixes):
     """Arrow function: prefixes of ``level`` + 1 words under heavy ones of ``level`` words, per block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, (numbers,) in bl.visits(batches):
-            hi, lo, n = suffixes(block, numbers)
+        for tokens in token_numbers(batches):
+            hi, lo, n = suffixes(tokens)
             up = known.heavy(hi, lo)[level - 1]
             key = hi if level == 1 else third(up, lo)
             own, place = np.unique(key[up >= 0], return_inverse=True)
@@ -292,7 +304,7 @@ def slot_sums(level: int, known: Prefixes):
     return run
 
 
-def partitioned(visited: DataFrame, words: DataFrame, total: int) -> Prefixes:
+def partitioned(tokens: DataFrame, words: DataFrame, total: int) -> Prefixes:
     """Prefixes split where they are heavy, dealt to slots, and slots packed into groups.
 
     At most ``HEAVY_SHARE`` prefixes of each length are heavy, for their counts add up to ``total`` at most.
@@ -304,7 +316,7 @@ def partitioned(visited: DataFrame, words: DataFrame, total: int) -> Prefixes:
         if level:
             if not len(known.keys[level - 1]):
                 break
-            tables.append(settle(visited.mapInArrow(prefix_counts(level, known), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), bl.BATCH_BYTES))
+            tables.append(settle(tokens.mapInArrow(prefix_counts(level, known), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), bl.BATCH_BYTES))
         rows = tables[level].filter(F.col("n") > budget).collect()  # total / budget rows at most
         rows = sorted((r["key"] & (2**64 - 1), r["n"]) for r in rows)
         known.keys[level] = np.array([k for k, _ in rows], np.uint64)
@@ -335,12 +347,12 @@ DEALT = "part int, w1 binary, w2 binary, w3 binary, w4 binary, counts binary"
 
 
 def deal_suffixes(known: Prefixes):
-    """Arrow function: blocks with word numbers to one row per group: its suffixes and their counts."""
+    """Arrow function: blocks of token numbers to one row per group: its suffixes and their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low = np.uint64(0xFFFFFFFF)
-        for block, (numbers,) in bl.visits(batches):
-            hi, lo, n = suffixes(block, numbers)
+        for tokens in token_numbers(batches):
+            hi, lo, n = suffixes(tokens)
             group = known.groups[known.slots(hi, lo)]
             order = np.argsort(group, kind="stable")
             hi, lo, n, group = hi[order], lo[order], n[order], group[order]
@@ -431,9 +443,10 @@ def counted(docs: DataFrame, lang_col: str, text_col: str, least: int) -> tuple[
     numbered = settle(asked.mapInArrow(number_words(parts, least), NUMBERED), bl.BATCH_BYTES, "zstd")
     words = numbered.filter("id is not null").select("id", "n", "lang", "word")
     visited = bl.with_answers(blocks, [numbered.filter("id is null")], "numbers", total)
-    known = partitioned(visited, words, total)
+    tokens = settle(visited.mapInArrow(number_tokens, "tokens binary"), bl.BATCH_BYTES, "zstd")
+    known = partitioned(tokens, words, total)
     groups = int(known.groups.max()) + 1
-    dealt = visited.mapInArrow(deal_suffixes(known), DEALT).repartition(max(groups, 1), "part").sortWithinPartitions("part")
+    dealt = tokens.mapInArrow(deal_suffixes(known), DEALT).repartition(max(groups, 1), "part").sortWithinPartitions("part")
     nodes = settle(dealt.mapInArrow(build_subtrees(known, least), NODES), bl.BATCH_BYTES)
     more = heavy_nodes(known, least)
     if more:

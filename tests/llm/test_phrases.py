@@ -85,8 +85,8 @@ def test_prefixes_are_split_within_the_budget(spark, monkeypatch):
     seen = {}
     real = phrases.partitioned
 
-    def spy(visited, words, total):
-        seen["known"] = real(visited, words, total)
+    def spy(tokens, words, total):
+        seen["known"] = real(tokens, words, total)
         return seen["known"]
 
     monkeypatch.setattr(phrases, "partitioned", spy)
