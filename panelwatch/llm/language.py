@@ -159,10 +159,16 @@ def lettered(text_col: str) -> Column:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
-    """A model of the rows with a language and a text with a letter; none if there are no such rows."""
-    known = docs.filter(F.col(lang_col).isNotNull() & lettered(text_col))
-    rows = known.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).alias("lang"))
-    counts = settle(rows.groupBy("lang").count())
+    """A model of the rows with a language and a text with a letter; none if there are no such rows.
+
+    At most ``PER_LANGUAGE`` rows of a language are learnt from, those with the smallest hashes of id
+    and text; rows that repeat count once, rows of one id with other texts each.
+    """
+    known = docs.filter(F.col(lang_col).isNotNull() & lettered(text_col)).select(
+        F.col(id_col).cast("string").alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
+    )
+    known = known.withColumn("h", F.xxhash64("id", "text"))
+    counts = settle(known.groupBy("lang").agg(F.approx_count_distinct("h").alias("count")))
     n = counts.count()
     if not n:
         return None
@@ -170,14 +176,13 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         raise ValueError(f"{n} languages; at most {TRAIN_ROWS} can be learnt")
     each = max(1, min(PER_LANGUAGE, TRAIN_ROWS // n))
     low = (F.lit(LOW * each) / F.col("count") - 0.5) * 2.0**64  # hashes below hold about LOW times as many rows as are wanted
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     # at most TRAIN_ROWS languages, checked above
-    few = rows.withColumn("h", F.xxhash64("id")).join(F.broadcast(counts), "lang").filter(F.col("h") <= low)
-    chosen = few.withColumn("rank", rank).filter(F.col("rank") <= each).select("id", "lang").distinct()
-    texts = known.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    few = known.select("lang", "h").join(F.broadcast(counts), "lang").filter(F.col("h") <= low).select("lang", "h").distinct()
+    chosen = few.withColumn("rank", rank).filter(F.col("rank") <= each).select("lang", "h")
     # at most TRAIN_ROWS short rows, by the rank above
-    sample = texts.join(F.broadcast(chosen), ["id", "lang"]).select("lang", "text").mapInArrow(vectors, "lang string, shares binary")
-    got = sample.limit(2 * each * n).toPandas().sort_values(["lang", "shares"])
+    sample = known.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.first("text").alias("text"))
+    got = sample.select("lang", "text").mapInArrow(vectors, "lang string, shares binary").toPandas().sort_values(["lang", "shares"])
     if got.empty:
         return None
     languages = sorted(got["lang"].unique())

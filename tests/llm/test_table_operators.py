@@ -254,7 +254,7 @@ def test_pipeline_stages_do_what_their_operators_say(spark, odd, docs):
             assert kept.count() > 0.95 * before.filter(F.col("text").rlike(r"\p{L}")).count()
         if name == "near_duplicates":
             rows = [r for r in before.collect() if WORD.search(r.text or "")]
-            roots, _ = plain_groups([r.text for r in rows])
+            roots, _ = plain_groups([r.text for r in rows], percent=corpus_pipeline.NEAR_PERCENT)
             assert kept.count() == len(set(roots))
         if name == "benchmark_leaks":
             leaks = corpus_pipeline.decontamination.marked(before, spark.read.parquet(f"{SF}/benchmark.parquet"))
@@ -276,3 +276,45 @@ def test_pipeline_keeps_documents_when_no_language_is_labelled(docs):
         df = docs([(i, t, labels.get(i), "a") for i, t in texts.items()])
         kept = corpus_pipeline.identify_language(df.sparkSession, df, SF)
         assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [1, 5]
+
+
+OWN = ["rid", "size", "key", "score", "target", "taken", "lang_pred", "ambiguous", "source_size", "n_shingles", "stays", "item_id", "_left", "text_crc32"]
+
+
+def test_pipeline_keeps_columns_named_like_its_own(spark, odd, docs):
+    """Every row that a stage keeps has the values it came with, whatever its columns are called."""
+    plain = docs(odd).drop("score", "size", "spans").unionByName(spark.read.parquet(f"{SF}/documents.parquet").limit(60))
+    tag = F.concat_ws("-", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.md5(F.coalesce("text", F.lit(""))))
+    named = plain.withColumns({c: F.concat(F.lit(f"{c}:"), tag) for c in OWN})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        given, kept = stage(spark, plain, SF), stage(spark, named, SF)
+        assert kept.schema == named.schema, name
+        assert Counter(map(tuple, kept.select(plain.columns).collect())) == Counter(map(tuple, given.collect())), name
+        for r in kept.collect():
+            first = r.rid.removeprefix("rid:")
+            assert first.startswith(f"{'null' if r.doc_id is None else r.doc_id}-"), name
+            assert all(r[c] == f"{c}:{first}" for c in OWN), name
+
+
+def test_pipeline_on_an_empty_table(spark, docs):
+    kept = docs([])
+    for _, stage in corpus_pipeline.STAGES:
+        kept = corpus_pipeline.settle(stage(spark, kept, SF))
+        assert kept.count() == 0
+
+
+def test_language_learns_from_the_documented_number_of_rows(spark, docs, monkeypatch):
+    """Many rows of few ids, and rows that repeat."""
+    from panelwatch.llm import language
+
+    monkeypatch.setattr(language, "PER_LANGUAGE", 50)
+    seen = []
+    real = language.fit
+    monkeypatch.setattr(language, "fit", lambda names, shares, place: seen.append((names, shares, place)) or real(names, shares, place))
+    rows = [(k % 5, f"{'der die das' if k % 2 else 'the a of'} {k // 2 % 900} wort{k % 7}", ["en", "de"][k % 2], "a") for k in range(4000)]
+    rows += [(9, "le mot", "fr", "a")] * 3000
+    for _ in range(2):
+        language.train(docs(rows).repartition(7))
+    (names, shares, place), (_, shares2, place2) = seen
+    assert names == ["de", "en", "fr"] and np.bincount(place).tolist() == [50, 50, 1]
+    assert (shares == shares2).all() and (place == place2).all()
