@@ -15,6 +15,19 @@ from panelwatch.llm.queries import packed, sized, table
 from panelwatch.llm.steps import settle
 
 
+REST = "__rest"
+
+
+def set_aside(docs: DataFrame, *used: str) -> DataFrame:
+    """``used`` columns, and all others as one, so that no operator's own columns meet theirs."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in used]
+    return docs.select(*used, F.struct(*rest, F.lit(0).alias(REST)).alias(REST))
+
+
+def put_back(rows: DataFrame, columns: list[str], *used: str) -> DataFrame:
+    return rows.select(*[F.col(c) if c in used else F.col(REST)[c].alias(c) for c in columns])
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, and those between two languages, go.
 
@@ -23,8 +36,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     model = language.train(docs)
     if model is None:
         return docs.filter(language.lettered("text"))
-    found = language.with_language(docs, model)
-    return found.filter((F.col("lang_pred") != language.UNKNOWN) & ~F.col("ambiguous")).select(docs.columns)
+    found = language.with_language(set_aside(docs, "text"), model)
+    return put_back(found.filter((F.col("lang_pred") != language.UNKNOWN) & ~F.col("ambiguous")), docs.columns, "text")
 
 
 #: Similarity of word shingles, in percent, from which documents are near duplicates here; op9 alone has 85.
@@ -36,27 +49,28 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     groups = near_dedup.near_groups(docs, percent=NEAR_PERCENT)
     gone = settle(groups.filter(~F.col("stays")).select("rid").distinct())
     again = settle(groups.filter("stays and n_shingles > 0").groupBy("rid").count().filter("count > 1").select("rid"))
-    rows = docs.withColumn("rid", F.xxhash64(F.col("doc_id").cast("string"), "text")).join(gone, "rid", "left_anti")
+    rows = set_aside(docs, "doc_id", "text").withColumn("rid", F.xxhash64(F.col("doc_id").cast("string"), "text")).join(gone, "rid", "left_anti")
     if not again.isEmpty():  # whole rows that repeat
         rows = rows.join(again, "rid", "left_anti").unionByName(rows.join(again, "rid", "left_semi").dropDuplicates(["rid"]))
-    return rows.select(docs.columns)
+    return put_back(rows, docs.columns, "doc_id", "text")
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that cover a benchmark item go."""
     leaks = settle(decontamination.contaminations(docs, table(spark, sf_dir, "benchmark")).select("rid").distinct())
-    rows = docs.withColumn("rid", F.xxhash64(F.col("doc_id").cast("string"), "text"))
-    return rows.join(leaks, "rid", "left_anti").select(docs.columns)
+    rows = set_aside(docs, "doc_id", "text").withColumn("rid", F.xxhash64(F.col("doc_id").cast("string"), "text"))
+    return put_back(rows.join(leaks, "rid", "left_anti"), docs.columns, "doc_id", "text")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources in their target shares: documents repeat, go, or end where a budget ends."""
-    wide = sized(docs)
+    used = ("doc_id", "text", "source")
+    wide = sized(set_aside(docs, *used))
     narrow = settle(wide.select("source", "size", "key"))
-    mixed = mixing.copies(mixing.with_taken(wide, narrow=narrow))
+    mixed = put_back(mixing.copies(mixing.with_taken(wide, narrow=narrow)), docs.columns, *used)
     if "n_chars" in docs.columns:
         mixed = mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return mixed.select(docs.columns)
+    return mixed
 
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
