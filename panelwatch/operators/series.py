@@ -40,6 +40,11 @@ def _join_same(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
     return left.join(renamed, reduce(and_, same), how).drop(*[f"__same_{c}" for c in on])
 
 
+def without_same(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The rows of ``left`` that ``right`` lacks by ``on``; nulls equal each other."""
+    return _join_same(left, right.select(*on), on, "left_anti")
+
+
 class Series:
     def __init__(
         self,

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwatch import schemas as S
-from panelwatch.operators.series import Series, forward_fill
+from panelwatch.operators.series import Series, forward_fill, without_same
 
 KEYS = ("series_key",)
 
@@ -44,14 +44,14 @@ def align(
 
 
 def append_new(existing: DataFrame, new: DataFrame, keys=KEYS, order: str = "date") -> DataFrame:
-    """Existing rows untouched, plus the rows of ``new`` on dates not yet present."""
-    fresh = new.join(existing.select(*keys, order), [*keys, order], "left_anti")
+    """Existing rows untouched, plus the rows of ``new`` on dates not yet present; null keys and dates equal each other."""
+    fresh = without_same(new, existing, [*keys, order])
     return existing.unionByName(fresh, allowMissingColumns=True)
 
 
 def new_keys(new: DataFrame, existing: DataFrame, keys=KEYS, order: str = "date") -> DataFrame:
-    """(keys, order) present in ``new`` only."""
-    return new.select(*keys, order).join(existing.select(*keys, order), [*keys, order], "left_anti")
+    """(keys, order) present in ``new`` only; nulls equal each other."""
+    return without_same(new.select(*keys, order), existing, [*keys, order])
 
 
 def mark_sessions(df: DataFrame, sessions: DataFrame, order: str = "date") -> DataFrame:

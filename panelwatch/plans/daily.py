@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +19,9 @@ from panelwatch.operators import quality as Q
 from panelwatch.operators import signals as G
 from panelwatch.operators.changepoint import changepoint_density, changepoints
 from panelwatch.operators.forest import fit_forest, forest_attribution, score_forest
-from panelwatch.operators.series import Series, forward_fill, last_rows, latest_row
+from panelwatch.operators.series import Series, forward_fill, latest_row
 from panelwatch.operators.spine import is_session, previous_session
+from panelwatch.plans import lookback
 from panelwatch.plans.features import build_features
 from panelwatch.session import settle
 from panelwatch.sources import landing as L
@@ -39,104 +39,42 @@ class Tables:
     runs: str = field(init=False)
     findings: str = field(init=False)
     stamps: str = field(init=False)
+    lookback: str = field(init=False)
 
     def __post_init__(self):
-        for name in ("landed", "features", "scores", "runs", "findings", "stamps"):
+        for name in ("landed", "features", "scores", "runs", "findings", "stamps", "lookback"):
             setattr(self, name, f"{self.root}/{name}")
 
 
-HALO_DAYS = 600  # first guess of how far back HALO_ROWS reach
-HALO_ROWS = 120  # values of a series that windows may look back on: 60 rows over differences of up to 20, doubled
-
-
-START, VALUES = "__start", "__values"
-#: Sources with their schema, the columns of a row, those of a series, and the value columns.
-SOURCES = {
-    "prices": (S.PRICES_RAW, ["series_key", "date", "ticker"], ["series_key", "ticker"], ["close"]),
-    "macro": (S.MACRO_RAW, ["series_key", "date", "series"], ["series_key", "series"], ["value"]),
-    "geo": (StructType(S.GEO_RAW.fields[:4]), ["series_key", "date"], ["series_key"], ["GPR_AI", "GPR_OIL"]),
-}
-
-
-def _starts(rows: DataFrame, ids: list[str], value: str, since: str) -> DataFrame:
-    """Each series with rows before ``since``: its values there, HALO_ROWS at most, and the date of the oldest of these.
-
-    A series with fewer values starts at its first row.
-    """
-    old = rows.filter(F.col("date") < F.to_date(F.lit(since)))
-    newest = last_rows(old.filter(F.col(value).isNotNull()), HALO_ROWS, ids)
-    marks = newest.select(*ids, "date", F.lit(1).alias("__n"))
-    marks = marks.unionByName(old.groupBy(*ids).agg(F.min("date").alias("date")).withColumn("__n", F.lit(0)))
-    found = marks.groupBy(*ids).agg(F.sum("__n").alias(VALUES), F.min(F.when(F.col("__n") == 1, F.col("date"))).alias("__oldest"), F.min("date").alias(START))
-    return found.withColumn(START, F.when(F.col(VALUES) == HALO_ROWS, F.col("__oldest")).otherwise(F.col(START))).drop("__oldest")
-
-
-def _reaches(found: DataFrame, series: DataFrame, ids: list[str]) -> bool:
-    """Whether each of ``series`` has HALO_ROWS values in ``found``; one that is missing there has none."""
-    every = found.select(*ids, VALUES).unionByName(series.select(*ids, F.lit(0).alias(VALUES)))
-    return every.groupBy(*ids).agg(F.sum(VALUES).alias("n")).filter(F.col("n") < HALO_ROWS).isEmpty()
-
-
-def _halo(rows: DataFrame, starts: DataFrame, since: str) -> DataFrame:
-    """Every row, null ones too, from ``since`` on or from the start of its key."""
-    joined = rows.join(starts.withColumnRenamed("series_key", "__of"), F.col("series_key").eqNullSafe(F.col("__of")), "left")
-    return joined.filter((F.col("date") >= F.to_date(F.lit(since))) | (F.col("date") >= F.col(START))).select(*rows.columns)
-
-
-def _histories(spark: SparkSession, t: Tables, as_of: str, since: str | None, halo_days: int) -> list[DataFrame]:
-    """The landed rows of each source that dates from ``since`` on may look back on."""
-
-    def read(source, start=None):
-        schema, row, _, _ = SOURCES[source]
-        return L.read_history(spark, t.landed, source, schema, row, as_of, start)
-
-    def starts(source, rows):
-        _, _, ids, values = SOURCES[source]
-        return [settle(_starts(rows, ids, v, since)) for v in values]
-
-    if since is None:
-        return [read(s) for s in SOURCES]
-    start = F.date_sub(F.to_date(F.lit(since)), halo_days)
-    rows = {s: settle(read(s, start).filter(F.col("date") >= start)) for s in SOURCES}
-    found = {s: starts(s, rows[s]) for s in SOURCES}
-    for source, (schema, _, ids, _) in SOURCES.items():
-        series = L.landed_series(spark, t.landed, source, schema, ids, as_of, since)
-        if not all(_reaches(f, series, ids) for f in found[source]):
-            rows = {s: settle(read(s)) for s in SOURCES}
-            found = {s: starts(s, rows[s]) for s in SOURCES}
-            break
-    all_starts = reduce(DataFrame.unionByName, [f.select("series_key", START) for s in SOURCES for f in found[s]])
-    key_starts = settle(all_starts.groupBy("series_key").agg(F.min(START).alias(START)))
-    return [_halo(rows[s], key_starts, since) for s in SOURCES]
-
-
 def update_features(
     spark: SparkSession,
     t: Tables,
     as_of: str,
     floor: str | None = S.DATE_FLOOR,
     since: str | None = None,
-    halo_days: int = HALO_DAYS,
+    halo_days: int = lookback.ZONE_DAYS,
 ) -> None:
-    """Add the dates the feature table lacks, from landed history.
-
-    Without ``since`` the whole history is read.  With it only dates from ``since`` are
-    added, and every key brings all its rows, null ones too, from the day on which each of
-    its series, in any source, has HALO_ROWS values before ``since``, however many days
-    these take and however long a series has been silent, so that a daily run equals a
-    backfill.  ``halo_days`` only saves reading: if some landed series has too few values in
-    them, the whole history is read.
+    """Add the dates the feature table lacks, from landed values, and leave a state for the next run.
+
+    Without ``since`` the whole landed history is read.  With it only dates from ``since`` are
+    added, from the newest state of an earlier run date (``plans.lookback``) and the snapshots landed
+    after it, and they equal those of a backfill.  The whole history is read if there is no
+    such state, if ``since`` is ``halo_days`` before that state's run date or more, or if a
+    newly landed snapshot changes a value as old as that.  A snapshot replaced under a run date
+    that a state has already counted needs a run without ``since``.
     """
-    bars, macro, geo = _histories(spark, t, as_of, since, halo_days)
+    values, seeds = lookback.history(spark, t.landed, t.lookback, as_of, since)
+    bars, macro, geo = lookback.sources_of(values)
     table = L.read_features(spark, t.features)
     if Q.on_empty_source(macro, table) is not None:
         return
     if bars.isEmpty() or geo.isEmpty():
         raise Q.GateFailed("no landed prices or geopolitical data")
-    built = build_features(
-        L.wide_prices(bars), L.wide_macro(macro), L.with_staleness(geo, as_of), since or floor
-    )
-    L.append_features(spark, settle(built), t.features)
+    wide = L.wide_prices(bars), L.wide_macro(macro), L.with_staleness(geo, as_of)
+    built = settle(build_features(*wide, None, seeds=seeds, carry=True))
+    first = since or floor
+    L.append_features(spark, built if first is None else built.filter(F.col("date") >= F.to_date(F.lit(first))), t.features)
+    lookback.write_state(values, built, t.lookback, as_of, halo_days)
 
 
 AS_OF = "as_of"
@@ -209,7 +147,10 @@ def train_and_score(
 ) -> str:
     """Fit on the whole feature table, weighted by data quality, and upsert the due rows of the score table."""
     run_id = run_id or uuid.uuid4().hex
-    last_session = str(previous_session(sessions, as_of))
+    last = previous_session(sessions, as_of)
+    if last is None:
+        raise ValueError(f"the calendar has no session before {as_of}")
+    last_session = str(last)
     features = stamped_features(spark, t)
     settings = {"weight": "data_quality_score"} | settings
     scored, reduced, forest = score(training_rows(features), **settings)

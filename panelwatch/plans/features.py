@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from panelwatch import schemas as S
 from panelwatch.functions import rolling as R
 from panelwatch.functions import scalar as C
-from panelwatch.operators.series import Series, non_null_window, rolling_moments
+from panelwatch.operators.series import Series, _join_same, non_null_window, rolling_moments
 from panelwatch.operators.spine import reindex
 from panelwatch.session import task_count
 
@@ -145,6 +145,22 @@ def stack(sources: dict[str, DataFrame], keys=KEYS, order: str = "date") -> Data
     return rows.fillna(False, [f"in_{name}" for name in sources])
 
 
+# The two parts of the last geopolitical signal, and the day up to which a key's seeds stand for its rows.
+CARRIED = ("last_gpr", "last_ovx")
+ZONE = "zone"
+
+
+def _seeded(rows: DataFrame, seeds: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """Features up to a key's zone give way to its seeds, ``__seed_<name>``, which later days carry forward."""
+    names = [*S.FEATURES, *CARRIED]
+    given = seeds.select(*keys, ZONE, *[F.col(c).alias(f"__seed_{c}") for c in names])
+    rows = _join_same(rows, given, keys, "left")
+    weight = C.staleness_weight("gpr_days_stale")
+    signal = C.decayed_signal("__seed_last_gpr", "__seed_last_ovx", weight)
+    known = F.col(ZONE).isNull() | (F.col(order) > F.col(ZONE))
+    return rows.withColumns({c: F.when(known, F.col(c)) for c in names} | {"__seed_geo_signal": signal})
+
+
 def build_features(
     prices: DataFrame,
     macro: DataFrame,
@@ -152,10 +168,14 @@ def build_features(
     floor: str | None = S.DATE_FLOOR,
     keys=KEYS,
     order: str = "date",
+    seeds: DataFrame | None = None,
+    carry: bool = False,
 ) -> DataFrame:
     """All 19 features on the union of dates, plus the status columns.
 
-    ``geo`` carries its staleness (``sources.landing.with_staleness``).
+    ``geo`` carries its staleness (``sources.landing.with_staleness``).  With ``seeds`` (keys,
+    ``ZONE``, features, ``CARRIED``) the rows up to a key's zone serve windows only, and what the
+    days after it carry forward from there are the seeds.  ``carry`` adds the ``CARRIED`` columns.
     """
     on = [*keys, order]
     macro_cols = [c for c in S.MACRO_SERIES if c != "brent"]
@@ -174,16 +194,26 @@ def build_features(
     rows = _with_macro_features(rows, within["macro"], keys, order)
     rolled = _flagged(PRICE_MOMENTS, "in_price") | _flagged(DOLLAR_MOMENTS, "has_dxy") | _flagged(GEO_MOMENTS, "in_geo")
     rows = _with_geo_signal(_moments(rows, rolled, keys, order))
+    if seeds is not None or carry:
+        signal = F.col("geo_signal").isNotNull()
+        rows = rows.withColumns(dict(zip(CARRIED, (F.when(signal, F.col("GPR_AI")), F.when(signal, F.col("ovx_zscore"))))))
+    if seeds is not None:
+        # every row of a key has its staleness before the seeds need it
+        key_rows = W.partitionBy(*keys)
+        rows = rows.withColumn("gpr_days_stale", F.max("gpr_days_stale").over(key_rows))
+        rows = _seeded(rows, seeds, keys, order)
     w = W.partitionBy(*keys).orderBy(order)
     whole_key = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     stale = {c: F.max(c).over(whole_key) for c in ("gpr_is_stale", "gpr_days_stale")}
+    filled = lambda c: R.ffill(c, w) if seeds is None else F.coalesce(R.ffill(c, w), F.col(f"__seed_{c}"))
     rows = rows.select(
         *on,
-        *[R.ffill(f, w).alias(f) for f in S.FEATURES],
+        *[filled(f).alias(f) for f in S.FEATURES],
         F.lit(True).alias("is_trading_day"),
         F.lit(1.0).alias("data_quality_score"),
         F.lit("").alias("data_quality_flags"),
         *[c.alias(n) for n, c in stale.items()],
+        *[filled(c).alias(c) for c in CARRIED if carry],
     )
     # The floor comes after the fill, so that older values seed the first rows.
     return rows if floor is None else rows.filter(F.col(order) >= F.to_date(F.lit(floor)))

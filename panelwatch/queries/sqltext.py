@@ -397,3 +397,16 @@ parts AS (
 ),
 risk AS (SELECT *, 0.4::DOUBLE * scores_if + 0.35::DOUBLE * coalesce(scores_z, 0) + 0.25::DOUBLE * scores_cp AS risk_score FROM parts),
 limits AS (SELECT *, {S.STATIC_THRESHOLD}::DOUBLE AS threshold_static, {_THRESHOLDS} FROM risk)"""
+
+
+QUIET = "1999-06-01"
+# The features of a market whose ^OVX falls silent and whose cpi has one value a month.
+SPARSE_FEATURES_SQL = FEATURES_SQL.replace(
+    MARKET.strip(),
+    MARKET.strip().replace("shipments AS (", "shipments_all AS (").replace("macro AS (", "macro_all AS (")
+    + f""",
+shipments AS (SELECT * REPLACE (CASE WHEN date < DATE '{QUIET}' THEN ovx END AS ovx) FROM shipments_all),
+macro AS (
+  SELECT * REPLACE (CASE WHEN date = min(date) OVER (PARTITION BY series_key, date_trunc('month', date)) THEN cpi END AS cpi) FROM macro_all
+)""",
+)

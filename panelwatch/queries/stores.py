@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -220,19 +221,8 @@ def findings_stored(spark, sf):
 LAST_OLD = "2001-05-17"
 
 
-@query(
-    "incremental_features",
-    with_(Q.FEATURES_SQL)
-    + f"""
-SELECT CAST(series_key AS VARCHAR) AS series_key, {D}, {', '.join(r6_sql(f, f) for f in S.FEATURES if f != 'geo_signal')},
-       CASE WHEN date > DATE '{LAST_OLD}' THEN round(geo_signal, 6) + 0.0 END AS geo_signal FROM features""",
-)
-def incremental_features(spark, sf):
-    """The feature table built up to a date, then the later dates added from their halo.
-
-    Stored days keep the staleness weight of their own run, so their geo signal is not compared.
-    """
-    t = daily.Tables(scratch_path(spark, "job"))
+def landed_sources(spark, sf):
+    """The regional market as the three long sources."""
     shipped, orders = settle(P.shipments(spark, sf)), settle(P.macro(spark, sf))
     key = F.col("series_key").cast("string").alias("series_key")
 
@@ -240,13 +230,29 @@ def incremental_features(spark, sf):
         cells = F.explode(F.array(*[F.struct(F.lit(n).alias(name), F.col(f"`{n}`").cast("double").alias(value)) for n in names]))
         return wide.select(key, "date", cells.alias("c")).select("series_key", "date", f"c.{name}", f"c.{value}")
 
-    sources = {
+    return {
         "prices": long(shipped, S.TICKERS, "ticker", "close"),
         "macro": long(orders, S.MACRO_SERIES, "series", "value"),
         "geo": shipped.filter(F.col("GPR_AI").isNotNull()).select(
             key, "date", F.col("GPR_AI").cast("double"), F.col("GPR_OIL").cast("double")
         ),
     }
+
+
+@query(
+    "incremental_features",
+    with_(Q.FEATURES_SQL)
+    + f"""
+SELECT CAST(series_key AS VARCHAR) AS series_key, {D}, {', '.join(r6_sql(f, f) for f in S.FEATURES if f != 'geo_signal')},
+       CASE WHEN date > DATE '{LAST_OLD}' THEN round(geo_signal, 6) + 0.0 END AS geo_signal FROM features""",
+)
+def incremental_features(spark, sf):
+    """The feature table built up to a date, then the later dates added from their halo.
+
+    Stored days keep the staleness weight of their own run, so their geo signal is not compared.
+    """
+    t = daily.Tables(scratch_path(spark, "job"))
+    sources = landed_sources(spark, sf)
     for run, since in ((LAST_OLD, None), (P.AS_OF, "2001-05-18")):
         for name, rows in sources.items():
             known = rows if since else rows.filter(F.col("date") <= run)
@@ -261,6 +267,46 @@ def incremental_features(spark, sf):
     )
 
 
+STEPS = ((LAST_OLD, None), ("2001-07-01", "2001-05-18"), (P.AS_OF, "2001-07-02"))
+
+
+@query(
+    "incremental_features_sparse",
+    with_(Q.SPARSE_FEATURES_SQL)
+    + f"""
+SELECT CAST(series_key AS VARCHAR) AS series_key, {D}, {', '.join(r6_sql(f, f) for f in S.FEATURES if f != 'geo_signal')},
+       CASE WHEN date >= DATE '{STEPS[-1][1]}' THEN round(geo_signal, 6) + 0.0 END AS geo_signal FROM features""",
+)
+def incremental_features_sparse(spark, sf):
+    """A backfill, then two runs that open their state and the newest snapshot, which has five days before it too.
+
+    One ticker has been silent for two years and cpi has a value a month, so most of what the new days
+    need of them is long past.
+    """
+    t = daily.Tables(scratch_path(spark, "job"))
+    sources = landed_sources(spark, sf)
+    sources["prices"] = sources["prices"].filter((F.col("ticker") != "^OVX") | (F.col("date") < Q.QUIET))
+    monthly = F.col("date") == F.min("date").over(W.partitionBy("series_key", "series", F.trunc("date", "month")))
+    sources["macro"] = sources["macro"].withColumn("__first", monthly).filter((F.col("series") != "cpi") | F.col("__first")).drop("__first")
+    sources = {name: settle(rows) for name, rows in sources.items()}
+    before = None
+    for run, since in STEPS:
+        for name, rows in sources.items():
+            known = rows.filter(F.col("date") <= run)
+            if before is not None:
+                known = known.filter(F.col("date") > F.date_sub(F.to_date(F.lit(before)), S.LOOKBACK_DAYS))
+            L.write_snapshot(known, t.landed, name, run)
+        daily.update_features(spark, t, run, P.FLOOR, since)
+        before = run
+    new = F.col("date") >= STEPS[-1][1]
+    return L.read_features(spark, t.features).select(
+        "series_key",
+        text(),
+        *[r6(f) for f in S.FEATURES if f != "geo_signal"],
+        F.when(new, r6("geo_signal")).alias("geo_signal"),
+    )
+
+
 @query(
     "run_record",
     with_(Q.SCORES_SQL)

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from panelwatch import schemas as S
 from panelwatch.functions.scalar import nan_to_null
 from panelwatch.operators.aggregates import staleness
+from panelwatch.operators.series import without_same
 from panelwatch.session import settle
 
 RUN = "ingest_date"
@@ -93,13 +94,22 @@ def read_history(
     return no_nan(rows)
 
 
-def landed_series(
-    spark: SparkSession, root: str, source: str, schema: T.StructType, ids: Sequence[str], until: str, before: str
-) -> DataFrame:
-    """The distinct ``ids`` of all rows landed by ``until`` and dated before ``before``."""
-    landed = read_parquet(spark, f"{root}/{source}", _with_run(schema))
-    known = (F.col(RUN) <= F.to_date(F.lit(until))) & (F.col("date") < F.to_date(F.lit(before)))
-    return landed.filter(known).select(*ids).distinct()
+def partitions(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The values of a partition column at ``path``, from the names of its folders alone."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(root)]
+    return sorted(n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}="))
+
+
+def read_runs(spark: SparkSession, root: str, source: str, schema: T.StructType, runs: Sequence[str]) -> DataFrame:
+    """The snapshots of these run dates, with their run date; no other is opened or listed."""
+    if not runs:
+        return spark.createDataFrame([], _with_run(schema))
+    base = f"{root}/{source}"
+    return spark.read.schema(_with_run(schema)).option("basePath", base).parquet(*[f"{base}/{RUN}={r}" for r in runs])
 
 
 def no_nan(df: DataFrame) -> DataFrame:
@@ -204,10 +214,16 @@ def touched_months(table: DataFrame, new: DataFrame) -> DataFrame:
 
     ``new`` should be a stored table.
     """
-    return table.filter(F.col(MONTH).isin(months_in(new))).select(*new.columns)
+    return table.filter(in_months(months_in(new))).select(*new.columns)
+
+
+def in_months(months: Sequence[str | None]) -> Column:
+    """Whether a row's month is one of these; the month of a null date is null."""
+    known = F.coalesce(F.col(MONTH).isin([m for m in months if m is not None]), F.lit(False))
+    return known | F.col(MONTH).isNull() if None in months else known
 
 
-def months_in(df: DataFrame) -> list[str]:
+def months_in(df: DataFrame) -> list[str | None]:
     """The months of a frame with a month column; bounded by the calendar."""
     return [r[MONTH] for r in df.select(MONTH).distinct().collect()]
 
@@ -227,5 +243,4 @@ def append_features(
     """
     new = df.select(*schema.names).withColumn(MONTH, month_of(order))
     there = touched_months(read_parquet(spark, path, _with_month(schema)), new)
-    fresh = new.join(there.select(*keys, order), [*keys, order], "left_anti")
-    append_partitions(fresh, path, MONTH)
+    append_partitions(without_same(new, there, [*keys, order]), path, MONTH)

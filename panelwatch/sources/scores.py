@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelwatch import schemas as S
+from panelwatch.operators.series import _join_same, without_same
 from panelwatch.operators.spine import score_date
 from panelwatch.session import settle
 from panelwatch.sources.landing import (
     MONTH,
     _with_month,
     append_partitions,
+    in_months,
     month_of,
     months_in,
     read_parquet,
@@ -50,8 +52,8 @@ def narrow(df: DataFrame, schema: T.StructType = S.SCORE_TABLE) -> DataFrame:
 
 
 def merge(existing: DataFrame, new: DataFrame, keys: Sequence[str] = KEYS, order: str = "date") -> DataFrame:
-    """Insert or replace by (keys, order); either side may lack columns of the other."""
-    kept = existing.join(new.select(*keys, order), [*keys, order], "left_anti")
+    """Insert or replace by (keys, order), nulls being equal; either side may lack columns of the other."""
+    kept = without_same(existing, new, [*keys, order])
     return kept.unionByName(new, allowMissingColumns=True)
 
 
@@ -69,7 +71,8 @@ def upsert_scores(
     nothing stored is touched, so a daily run writes one day's rows.
     Files written under an older schema read back with nulls in later columns.
     Rerunning the same batch leaves the same table.  Of several rows of one (keys,
-    order) in a batch the greatest, column by column, is stored.
+    order) in a batch the greatest, column by column, is stored.  Null keys and dates
+    are values like others, equal to each other; rows without a date lie in a month of their own.
     """
     new = narrow(new, schema)
     rest = [c for c in new.columns if c not in (*keys, order)]
@@ -78,9 +81,9 @@ def upsert_scores(
     new = settle(one.withColumn(MONTH, month_of(order)))
     table = read_parquet(spark, path, _with_month(schema))
     months = months_in(new)
-    there = table.filter(F.col(MONTH).isin(months)).select(*new.columns)
-    replaced = months_in(new.join(there.select(*keys, order), [*keys, order], "left_semi"))
-    again = F.col(MONTH).isin(replaced)
+    there = table.filter(in_months(months)).select(*new.columns)
+    replaced = months_in(_join_same(new, there.select(*keys, order), [*keys, order], "left_semi"))
+    again = in_months(replaced)
     if replaced:
         write_partitions(merge(there.filter(again), new.filter(again), keys, order), path, MONTH)
     if set(months) - set(replaced):

@@ -159,6 +159,72 @@ def test_incremental_equals_full_with_a_silent_ticker_and_null_rows(spark, tmp_p
     assert all(r.ovx_zscore is not None and r.xle_brent_ratio is not None for r in built["full"].values())
 
 
+def _spoil(spark, t, run):
+    """Make the snapshots of a run unreadable."""
+    import pathlib
+
+    for f in pathlib.Path(t.landed).glob(f"*/ingest_date={run}/*"):
+        f.write_bytes(b"not parquet") if f.suffix == ".parquet" else f.unlink()
+
+
+def _market(n, seed=4):
+    """Two keys: daily prices, one ticker silent from day 300 on, a monthly cpi, an index with gaps."""
+    rng = np.random.default_rng(seed)
+    bars, macro, index = [], [], []
+    for key in ("k", "other"):
+        walk = np.exp(rng.normal(0, 0.02, size=(n, len(S.TICKERS))).cumsum(axis=0)) * 50
+        bars += [(key, day(i), c, float(walk[i, j])) for i in range(n) for j, c in enumerate(S.TICKERS) if c != "^OVX" or i < 300]
+        macro += [(key, day(i), c, float(rng.normal(100, 1))) for i in range(n) for c in S.MACRO_SERIES if c != "cpi" or day(i).day == 1]
+        index += [(key, day(i), float(rng.normal(100, 20)), None if i % 9 == 0 else float(rng.normal(100, 20))) for i in range(n) if i % 5 < 3]
+    return {"prices": (bars, S.PRICES_RAW), "macro": (macro, S.MACRO_RAW), "geo": (index, S.T.StructType(S.GEO_RAW.fields[:4]))}
+
+
+def _build(spark, root, market, runs, spoil=False, revised=None):
+    """Features of all days, ``runs`` being (days known, days before that are landed again or None, since)."""
+    t = daily.Tables(str(root))
+    done = []
+    for upto, again, since in runs:
+        for source, (rows, schema) in market.items():
+            rows = [r for r in rows if r[1] < day(upto) and (again is None or r[1] >= day(again))]
+            if revised and upto == revised[0]:
+                rows = [(*r[:3], r[3] * 1.01) if source == "prices" and r[1] == day(revised[1]) and r[2] == "CL=F" else r for r in rows]
+                if source == "prices" and again > revised[1]:
+                    old = [r for r in market[source][0] if r[1] == day(revised[1]) and r[2] == "CL=F"]
+                    rows += [(*r[:3], r[3] * 1.01) for r in old]
+            L.write_snapshot(spark.createDataFrame(rows, schema), t.landed, source, str(day(upto)))
+        if spoil:
+            for run in done:
+                _spoil(spark, t, str(day(run)))
+        daily.update_features(spark, t, str(day(upto)), since=since and str(day(since)))
+        done.append(upto)
+    rows = L.read_features(spark, t.features).select("series_key", "date", *[F.round(c, 9).alias(c) for c in S.FEATURES]).collect()
+    return {(r.series_key, r.date): r for r in rows}
+
+
+def test_daily_runs_open_only_the_state_and_new_snapshots(spark, tmp_path):
+    """Three daily runs, all snapshots of earlier runs unreadable: the days equal those of a backfill."""
+    n, market = 700, _market(700)
+    steps = [(n - 3, None, None), (n - 2, n - 8, n - 3), (n - 1, n - 7, n - 2), (n, n - 6, n - 1)]
+    whole = _build(spark, tmp_path / "whole", market, [(n, None, None)])
+    built = _build(spark, tmp_path / "steps", market, steps, spoil=True)
+    assert built.keys() == whole.keys() and ("other", day(n - 1)) in whole
+    last = [k for k in whole if k[1] == day(n - 1)]
+    assert all(built[k] == whole[k] for k in last)
+    for k in whole:  # a day keeps the staleness weight of its own run
+        assert built[k].asDict() | {"geo_signal": 0} == whole[k].asDict() | {"geo_signal": 0}
+    assert all(whole[k].cpi_yoy is not None and whole[k].ovx_zscore is not None for k in last)
+
+
+@pytest.mark.parametrize("back", [4, 60])
+def test_revised_days_count_however_old(spark, tmp_path, back):
+    """A close of 4 days ago lies in the state's zone; one of 60 days ago needs the whole history."""
+    n, market = 500, _market(500, 6)
+    runs = [(n - 1, None, None), (n, n - 6, n - 1)]
+    built = _build(spark, tmp_path / "steps", market, runs, revised=(n, n - back))
+    whole = _build(spark, tmp_path / "whole", market, [(n - 1, None, None), (n, n - 6, None)], revised=(n, n - back))
+    assert built[("k", day(n - 1))] == whole[("k", day(n - 1))]
+
+
 def test_gate_writes_one_row_and_leaves_the_features(spark, sessions, full):
     stamps = spark.read.parquet(full.stamps)
     assert stamps.count() == 1
@@ -199,3 +265,8 @@ def test_scratch_tables_can_be_cleared(spark, tmp_path, monkeypatch):
     spark.range(3).write.parquet(path)
     assert session.clear_scratch(spark) == 1 and session.clear_scratch(spark) == 0
     assert L.read_parquet(spark, path, spark.range(0).schema).count() == 0
+
+
+def test_an_empty_calendar_is_an_error(spark, sessions, full):
+    with pytest.raises(ValueError, match="no session before"):
+        daily.train_and_score(spark, full, sessions.limit(0), str(day(N)), run_id="r3", **SMALL)
