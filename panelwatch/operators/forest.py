@@ -15,12 +15,16 @@ from itertools import groupby
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelwatch import schemas as S
+from panelwatch import session
+from panelwatch.operators.series import _join_same
+from panelwatch.session import settle
 
 SMALL_TASK, LARGE_TASK = 2_000, 200_000  # rows per attribution task: worth a start; enough
 NODES = "tree_id int, node_id int, feature int, split double, left int, right int, n int, depth int"
@@ -119,10 +123,55 @@ def tree_samples(
     return drawn.select("tree_id", "__rn", *features), min(n, sample)
 
 
+def _limits(df: DataFrame, by: Sequence[str], weight: str | None, sample: int) -> DataFrame:
+    """Per ``by`` its rows ``__n`` and ``_wait_limit`` as ``__limit`` (null: none), in grouped sums."""
+    enough = sample + 8 * math.sqrt(sample) + 16
+    n = F.count(F.lit(1)).alias("__n")
+    if weight is None:
+        sizes = df.groupBy(*by).agg(n)
+        return settle(sizes.withColumn("__limit", F.when(F.col("__n") > enough, -F.log1p(-F.lit(enough) / F.col("__n")))))
+    totals = settle(df.groupBy(*by).agg(n, (F.lit(enough) / F.sum(weight)).alias("__base")))
+    w, steps = F.col(weight), [4.0**k for k in range(32)]
+    below = [F.sum(F.lit(1.0) - F.exp(-w * F.col("__base") * t)) for t in steps]
+    met = _join_same(df.select(*by, weight), totals, by).groupBy(*by).agg(
+        F.first("__n").alias("__n"), F.first("__base").alias("__base"), F.array(*below).alias("__below")
+    )
+    first = F.array_position(F.transform("__below", lambda x: x >= enough), F.lit(True))
+    step = F.when(first > 0, F.col("__base") * F.pow(F.lit(4.0), first - 1))
+    return settle(met.select(*by, "__n", F.when(F.col("__n") > enough, step).alias("__limit")))
+
+
+def tree_samples_by(
+    df: DataFrame, features: Sequence[str], by: Sequence[str], ids: Sequence[str], trees: int, sample: int, seed: int, weight: str | None = None
+) -> DataFrame:
+    """(by, tree_id, __n, __rn, features): ``tree_samples`` of each group of rows with equal ``by``.
+
+    A row hashes as it does for one forest; only the limit is its group's.
+    """
+    extra = [c for c in by if c not in ids]
+    df = df.select(*ids, *extra, *[f for f in features if f not in (*ids, *extra)], *([weight] if weight else []))
+    w = F.lit(1.0)
+    if weight:
+        w = F.col(weight)
+        df = df.filter(w > 0)
+    rows = _join_same(df.withColumn("__first", _waiting(ids, w, F.lit(seed))), _limits(df, by, weight, sample), by)
+    limit, last = F.col("__limit"), F.lit(trees - 1)
+    rows = rows.filter(limit.isNull() | (F.col("__first") < limit * trees))
+    rows = rows.withColumn("__from", F.when(limit.isNull(), 0).otherwise(F.least(F.floor(F.col("__first") / limit).cast("int"), last)))
+    wait = F.when(limit.isNull(), F.col("__first")).otherwise(F.col("__first") - F.col("__from") * limit)
+    drawn = rows.withColumn("tree_id", F.explode(F.sequence("__from", last)))
+    later = _waiting(ids, w, F.lit(seed), F.col("tree_id"))
+    drawn = drawn.withColumn("__wait", F.when(F.col("tree_id") == F.col("__from"), wait).otherwise(later))
+    drawn = drawn.filter(limit.isNull() | (F.col("__wait") < limit))
+    first = W.partitionBy(*by, "tree_id").orderBy("__wait", *ids)
+    drawn = drawn.withColumn("__rn", F.row_number().over(first)).filter(F.col("__rn") <= sample)
+    return drawn.select(*by, "tree_id", "__n", "__rn", *[f for f in features if f not in by])
+
+
 # -- growing ------------------------------------------------------------------
 
 
-def _grow(x: np.ndarray, seed: int, tree: int, limit: int) -> list[tuple]:
+def _grow(x: np.ndarray, seed: int | str, tree: int, limit: int) -> list[tuple]:
     """Random splits until rows are alone, equal, or the depth limit is reached.
 
     Draws hash the node's place (the root is 1, the children of k are 2k and 2k + 1), so
@@ -320,6 +369,135 @@ def score_forest(df: DataFrame, forest: Forest, name: str = "scores_if") -> Data
     return df.withColumn(name, score(*[F.col(f) for f in forest.features]))
 
 
+# -- one forest per group -----------------------------------------------------
+
+GROUP_ROWS = 50_000  # rows of one group that a task scores beside a copy of the group's forest
+MODEL, PART = "__model", "__part"
+
+
+@dataclass
+class Forests:
+    models: DataFrame  # one row per group: ``by``, __n rows, ``__model``
+    by: list[str]
+    features: list[str]
+
+
+def fit_forests(
+    df: DataFrame,
+    features: Sequence[str],
+    by: Sequence[str] = ("series_key",),
+    ids: Sequence[str] = ("series_key", "date"),
+    trees: int = S.FOREST_TREES,
+    sample: int = S.FOREST_SAMPLE,
+    seed: int = S.FOREST_SEED,
+    weight: str | None = None,
+    kept: DataFrame | None = None,
+) -> Forests:
+    """A forest for each group of rows with equal ``by``; nulls make a group too.
+
+    ``kept`` (by, kept) lists the features that a group's forest sees, all of ``features`` if not
+    given.  The draws of a group's trees hash the group's values too.  A group without rows of
+    positive weight has no forest.
+    """
+    features, by = list(features), list(by)
+    drawn = tree_samples_by(df, features, by, ids, trees, sample, seed, weight)
+    every = F.array(*[F.lit(f) for f in features])
+    drawn = drawn.withColumn("kept", every) if kept is None else _join_same(drawn, kept.select(*by, "kept"), by, "left")
+    drawn = drawn.withColumn("kept", F.coalesce("kept", every))
+
+    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
+        first = pdf.iloc[0]
+        tree, own = int(first["tree_id"]), [features.index(f) for f in first["kept"]]
+        x = pdf.sort_values("__rn")[features].to_numpy(dtype=float)[:, own]
+        salt = "|".join([str(seed), *[str(first[c]) for c in by if not pd.isna(first[c])]])
+        rows = _grow(x, salt, tree, max(1, math.ceil(math.log2(max(min(int(first["__n"]), sample), 2)))))
+        out = pd.DataFrame(rows, columns=["node_id", "feature", "split", "left", "right", "n", "depth"])
+        out["feature"] = [own[f] if f >= 0 else -1 for f in out["feature"]]
+        out["tree_id"] = tree
+        return pd.DataFrame([[*[first[c] for c in by], int(first["__n"]), out[[c.split()[0] for c in NODES.split(", ")]].to_numpy(float).tobytes()]])
+
+    keys = T.StructType([df.schema[c] for c in by]).add("__n", "long")
+    shape = T.StructType(list(keys.fields)).add("nodes", "binary")
+    drawn = drawn.repartition(session.task_count(df.sparkSession), *by, "tree_id")
+    grown = drawn.groupBy(*by, "tree_id").applyInPandas(lambda pdf: grow(pdf).set_axis(shape.names, axis=1), shape)
+    # trees x (2 sample - 1) nodes of a group
+    models = grown.groupBy(*by).agg(F.first("__n").alias("__n"), F.sort_array(F.collect_list("nodes")).alias(MODEL))
+    return Forests(settle(models), by, features)
+
+
+def _unpacked(model: list[bytes]) -> pd.DataFrame:
+    names = [c.split()[0] for c in NODES.split(", ")]
+    cells = np.concatenate([np.frombuffer(t).reshape(-1, len(names)) for t in model])
+    whole = {n: int for n in names if n != "split"}
+    return pd.DataFrame(cells, columns=names).astype(whole)
+
+
+def _beside(df: DataFrame, forests: Forests, new: Sequence[str], make, group_rows: int) -> DataFrame:
+    """``df`` with double columns that ``make(model, n)``, a function of a matrix, gives for each group's rows.
+
+    A group's rows are dealt to parts of about ``group_rows``, each headed by a copy of the group's
+    forest, so a hot group is spread; a task holds one forest and one batch.  Rows of a
+    group without a forest get nulls.
+    """
+    columns, by, features = df.columns, forests.by, forests.features
+    parts = F.greatest(F.lit(1), F.ceil(F.col("__n") / group_rows)).cast("int").alias("__parts")
+    sizes = settle(df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).select(*by, parts))
+    spread = F.pmod(F.xxhash64(*columns), F.col("__parts")).cast("int")
+    rows = _join_same(df, sizes, by).withColumn(PART, spread).drop("__parts")
+    heads = _join_same(forests.models, sizes, by).withColumn(PART, F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)))
+    both = rows.unionByName(heads.select(*by, "__n", MODEL, PART), allowMissingColumns=True)
+    n = session.task_count(df.sparkSession)
+    both = both.repartition(n, *by, PART).sortWithinPartitions(*by, PART, F.col(MODEL).isNull())
+    schema = T.StructType([*df.schema.fields, *[T.StructField(c, T.DoubleType()) for c in new]])
+    at = [columns.index(f) for f in features]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = fn = None
+        for b in batches:
+            keys = list(zip(*[b.column(columns.index(c)).to_pylist() for c in by], b.column(b.schema.get_field_index(PART)).to_pylist()))
+            model = b.column(b.schema.get_field_index(MODEL))
+            cut = [0, *[i for i in range(1, len(keys)) if keys[i] != keys[i - 1] or model[i - 1].is_valid], len(keys)]
+            for i, j in zip(cut, cut[1:]):
+                if i == j:
+                    continue
+                if model[i].is_valid:
+                    group, fn = keys[i], make(_Trees(_unpacked(model[i].as_py())), b.column(b.schema.get_field_index("__n"))[i].as_py())
+                    continue
+                own = [b.column(k).slice(i, j - i) for k in range(len(columns))]
+                if keys[i] == group:
+                    x = np.column_stack([own[k].to_numpy(zero_copy_only=False).astype(float) for k in at])
+                    out = fn(x).reshape(j - i, len(new))
+                else:
+                    out = np.full((j - i, len(new)), np.nan)
+                cells = [pa.array(c, pa.float64(), from_pandas=True) for c in out.T]
+                yield pa.RecordBatch.from_arrays([*own, *cells], names=[*columns, *new])
+
+    return both.mapInArrow(run, schema)
+
+
+def score_forests(
+    df: DataFrame, forests: Forests, name: str = "scores_if", sample: int = S.FOREST_SAMPLE, group_rows: int = GROUP_ROWS
+) -> DataFrame:
+    """Adds each row's raw anomaly score by its own group's forest."""
+
+    def make(trees: _Trees, n: int):
+        scale = float(average_path(max(min(n, sample), 2)))
+        return lambda x: np.power(2.0, -trees.path_lengths(x) / scale)
+
+    return _beside(df, forests, [name], make, group_rows)
+
+
+def forests_attribution(df: DataFrame, forests: Forests, prefix: str = "shap_", group_rows: int = SMALL_TASK) -> tuple[DataFrame, list[str]]:
+    """Adds one column per feature: the absolute Shapley value by the row's own group's forest."""
+    names = [prefix + f for f in forests.features]
+
+    def make(trees: _Trees, n: int):
+        tables = trees.leaf_tables()
+        return lambda x: np.abs(trees.shapley(x, tables))
+
+    return _beside(df, forests, names, make, group_rows), names
+
+
 def forest_attribution(
     df: DataFrame, forest: Forest, ids: Sequence[str] = ("series_key", "date"), prefix: str = "shap_"
 ) -> tuple[DataFrame, list[str]]:

@@ -7,6 +7,7 @@ table), so a lost run restarts at the step it lost.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +19,17 @@ from panelwatch.operators import aggregates as A
 from panelwatch.operators import quality as Q
 from panelwatch.operators import signals as G
 from panelwatch.operators.changepoint import changepoint_density, changepoints
-from panelwatch.operators.forest import fit_forest, forest_attribution, score_forest
-from panelwatch.operators.series import Series, forward_fill, latest_row
+from panelwatch.operators.forest import (
+    Forest,
+    Forests,
+    fit_forest,
+    fit_forests,
+    forest_attribution,
+    forests_attribution,
+    score_forest,
+    score_forests,
+)
+from panelwatch.operators.series import Series, _join_same, forward_fill, latest_row
 from panelwatch.operators.spine import is_session, previous_session
 from panelwatch.plans import lookback
 from panelwatch.plans.features import build_features
@@ -117,17 +127,27 @@ def score(
     static: float = S.STATIC_THRESHOLD,
     windows=S.ROLLING_WINDOWS,
     weight: str | None = None,
-) -> tuple[DataFrame, list[str], object]:
+    by: Sequence[str] = (),
+) -> tuple[DataFrame, list[str] | DataFrame, Forest | Forests]:
     """Scores, thresholds and flags for complete rows; (frame, pruned features, forest).
 
-    The z and forest columns stay on the frame for the attribution.
+    The z and forest columns stay on the frame for the attribution.  With ``by`` (some of
+    ``keys``) each group of series has a pruning, a forest and score statistics of its own, as
+    if scored alone; the features come as (by, kept).  A group without rows of positive
+    weight has no forest, and null scores.
     """
     train = settle(train)
-    reduced = A.prune_features(train, names)
-    forest = fit_forest(train, reduced, [*keys, "date"], trees, sample, weight=weight)
-    forest.nodes = settle(forest.nodes)
-    raw = settle(score_forest(train, forest, "__raw"))
-    scored = A.normalise_scores(raw, "__raw", "scores_if").drop("__raw")
+    ids = [*keys, "date"]
+    if by:
+        reduced = settle(A.prune_by(train, names, by))
+        forest = fit_forests(train, names, by, ids, trees, sample, weight=weight, kept=reduced)
+        raw = settle(score_forests(train, forest, "__raw", sample))
+    else:
+        reduced = A.prune_features(train, names)
+        forest = fit_forest(train, reduced, ids, trees, sample, weight=weight)
+        forest.nodes = settle(forest.nodes)
+        raw = settle(score_forest(train, forest, "__raw"))
+    scored = A.normalise_scores(raw, "__raw", "scores_if", by).drop("__raw")
     points = changepoints(train, names, keys=keys)
     scored = changepoint_density(scored, points, len(names), keys)
     z = G.zscore_signal(Series.of(scored, keys), blocks)
@@ -136,6 +156,17 @@ def score(
     return flagged.df, reduced, forest
 
 
+def drivers_of(due: DataFrame, reduced: list[str] | DataFrame, forest: Forest | Forests) -> DataFrame:
+    """Rows with ``top_drivers``, from the features that their own forest saw."""
+    if isinstance(forest, Forest):
+        wide, shap = forest_attribution(due, forest)
+        return G.attribute(wide, reduced, shap)
+    wide, shap = forests_attribution(due, forest)
+    wide = _join_same(wide, reduced.withColumnRenamed("kept", "__kept"), forest.by, "left")
+    own = {G.zname(f): F.when(F.array_contains("__kept", f), F.col(G.zname(f))) for f in forest.features}
+    return G.attribute(wide.withColumns(own), forest.features, shap).drop("__kept")
+
+
 def train_and_score(
     spark: SparkSession,
     t: Tables,
@@ -145,7 +176,10 @@ def train_and_score(
     run_id: str | None = None,
     **settings,
 ) -> str:
-    """Fit on the whole feature table, weighted by data quality, and upsert the due rows of the score table."""
+    """Fit on the whole feature table, weighted by data quality, and upsert the due rows of the score table.
+
+    ``by=["series_key"]`` among the settings gives each series set a model of its own.
+    """
     run_id = run_id or uuid.uuid4().hex
     last = previous_session(sessions, as_of)
     if last is None:
@@ -156,8 +190,9 @@ def train_and_score(
     scored, reduced, forest = score(training_rows(features), **settings)
     scored = settle(scored.withColumn("model_version", F.lit(run_id)))
     due = T.rows_to_write(scored, last_session, backfill)
-    with_shap, shap = forest_attribution(due, forest)  # only for rows that are stored
-    drivers = G.attribute(with_shap, reduced, shap)
-    T.upsert_scores(spark, t.scores, drivers)
+    T.upsert_scores(spark, t.scores, drivers_of(due, reduced, forest))  # only rows that are stored are attributed
+    if isinstance(reduced, DataFrame):  # features that some group keeps
+        some = {r["f"] for r in reduced.select(F.explode("kept").alias("f")).distinct().collect()}
+        reduced = [f for f in forest.features if f in some]
     T.log_run(T.run_record(scored, run_id, reduced), t.runs)
     return run_id

@@ -9,7 +9,7 @@ from panelwatch.functions import scalar as C
 from panelwatch.operators import aggregates as A
 from panelwatch.operators import signals as G
 from panelwatch.operators.changepoint import changepoint_density, changepoints
-from panelwatch.operators.forest import fit_forest, forest_attribution, score_forest
+from panelwatch.operators.forest import fit_forest, fit_forests, forest_attribution, score_forest, score_forests
 from panelwatch.operators.series import Series
 from panelwatch.plans import daily
 from panelwatch.queries import panels as P
@@ -42,6 +42,19 @@ def feature_prune(spark, sf):
     return spark.createDataFrame([(f,) for f in kept], "feature string")
 
 
+@query(
+    "feature_prune_by_key",
+    with_(Q.TRAIN_SQL, f"pairs AS ({Q.KEYED_PAIRS_SQL})", "names AS (SELECT series_key, a AS feature FROM pairs UNION SELECT series_key, b FROM pairs)")
+    + """
+SELECT n.series_key, feature FROM names n
+WHERE NOT EXISTS (SELECT 1 FROM pairs p WHERE p.series_key = n.series_key AND p.b = n.feature AND corr > 0.3)""",
+)
+def feature_prune_by_key(spark, sf):
+    """Every series set keeps features of its own."""
+    kept = A.prune_by(train(spark, sf), S.FEATURES, limit=0.3)
+    return kept.select("series_key", F.explode("kept").alias("feature"))
+
+
 WEEK = "CAST(date_trunc('week', date) AS DATE) + 6"
 
 
@@ -225,6 +238,23 @@ def iforest_small(spark, sf):
     return A.normalise_scores(raw, "raw", "scores_if").select("series_key", text(), r6("raw"), r6("scores_if"))
 
 
+@query(
+    "iforest_small_by_key",
+    with_(Q.KEYED_FOREST_SQL)
+    + f"""
+SELECT series_key, {D}, {r6_sql('raw', 'raw')},
+       {r6_sql('(raw - min(raw) OVER (PARTITION BY series_key)) / nullif(stddev_pop(raw) OVER (PARTITION BY series_key), 0)', 'scores_if')}
+FROM forest_raw""",
+)
+def iforest_small_by_key(spark, sf):
+    """A small forest for each series set, whose rows are scored beside it."""
+    rows = settle(train(spark, sf))
+    forests = fit_forests(rows, S.FEATURES, trees=Q.TREES, sample=Q.SAMPLE)
+    raw = settle(score_forests(rows, forests, "raw", sample=Q.SAMPLE))
+    out = A.normalise_scores(raw, "raw", "scores_if", ["series_key"])
+    return out.select("series_key", text(), r6("raw"), r6("scores_if"))
+
+
 @query(
     "iforest_small_attribution",
     with_(Q.SHAPLEY_SQL)

@@ -207,41 +207,42 @@ def path_length(n: str) -> str:
     return f"CASE WHEN {n} > 2 THEN {long} WHEN {n} = 2 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END"
 
 
-def _level(d: int) -> str:
-    """Splits of the nodes of depth ``d``, and the rows of the next depth."""
-    at = [str(S.FOREST_SEED), "tree", "heap"]
+def _level(d: int, by: str = "") -> str:
+    """Splits of the nodes of depth ``d``, and the rows of the next depth; ``by`` is empty or a key and a comma."""
+    at = [str(S.FOREST_SEED), *[c for c in by.split(", ") if c], "tree", "heap"]
     return f"""
-extent{d} AS (SELECT tree, heap, f, min(x[f]) AS lo, max(x[f]) AS hi FROM at{d}, kept GROUP BY 1, 2, 3),
-usable{d} AS (SELECT tree, heap, list({{'f': f, 'lo': lo, 'hi': hi}} ORDER BY f) AS u FROM extent{d} WHERE hi > lo GROUP BY 1, 2),
-picked{d} AS (SELECT tree, heap, u[1 + CAST(floor({draw(*at, "'feature'")} * len(u)) AS BIGINT)] AS p, {draw(*at, "'split'")} AS v FROM usable{d}),
-split{d} AS MATERIALIZED (SELECT tree, heap, p.f AS f, CASE WHEN p.lo + v * (p.hi - p.lo) >= p.hi THEN p.lo ELSE p.lo + v * (p.hi - p.lo) END AS split FROM picked{d}),
-at{d + 1} AS MATERIALIZED (SELECT tree, 2 * heap + (x[f] > split)::INT AS heap, x FROM at{d} JOIN split{d} USING (tree, heap)),"""
+extent{d} AS (SELECT {by}tree, heap, f, min(x[f]) AS lo, max(x[f]) AS hi FROM at{d}, kept GROUP BY ALL),
+usable{d} AS (SELECT {by}tree, heap, list({{'f': f, 'lo': lo, 'hi': hi}} ORDER BY f) AS u FROM extent{d} WHERE hi > lo GROUP BY ALL),
+picked{d} AS (SELECT {by}tree, heap, u[1 + CAST(floor({draw(*at, "'feature'")} * len(u)) AS BIGINT)] AS p, {draw(*at, "'split'")} AS v FROM usable{d}),
+split{d} AS MATERIALIZED (SELECT {by}tree, heap, p.f AS f, CASE WHEN p.lo + v * (p.hi - p.lo) >= p.hi THEN p.lo ELSE p.lo + v * (p.hi - p.lo) END AS split FROM picked{d}),
+at{d + 1} AS MATERIALIZED (SELECT {by}tree, 2 * heap + (x[f] > split)::INT AS heap, x FROM at{d} JOIN split{d} USING ({by}tree, heap)),"""
 
 
-def forest_sql(trees: int, sample: int, kept: str) -> str:
+def forest_sql(trees: int, sample: int, kept: str, by: str = "") -> str:
     """The steps from ``signal`` to ``forest_raw``; the table must have more rows than ``enough``.
 
-    ``kept`` selects the positions of the features that the forest sees.
+    ``kept`` selects the positions of the features that the forest sees.  With ``by`` (a column and
+    a comma) there is a forest for each of its values.
     """
     enough, depth = sample + 8 * math.sqrt(sample) + 16, math.ceil(math.log2(sample))
     nodes = [
         f"""
-  SELECT tree, heap, {d} AS depth, count(*)::DOUBLE AS n, any_value(f) AS f, any_value(split) AS split
-  FROM at{d} LEFT JOIN split{d} USING (tree, heap) GROUP BY 1, 2"""
+  SELECT {by}tree, heap, {d} AS depth, count(*)::DOUBLE AS n, any_value(f) AS f, any_value(split) AS split
+  FROM at{d} LEFT JOIN split{d} USING ({by}tree, heap) GROUP BY {by}tree, heap"""
         for d in range(depth)
     ]
-    last = f"\n  SELECT tree, heap, {depth} AS depth, count(*)::DOUBLE AS n, NULL, NULL FROM at{depth} GROUP BY 1, 2"
+    last = f"\n  SELECT {by}tree, heap, {depth} AS depth, count(*)::DOUBLE AS n, NULL, NULL FROM at{depth} GROUP BY {by}tree, heap"
     steps = [
         f"""
 step{d + 1} AS (SELECT series_key, date, x, tree, CASE WHEN f IS NULL THEN heap ELSE 2 * heap + (x[f] > split)::INT END AS heap
-  FROM step{d} JOIN nodes USING (tree, heap)),"""
+  FROM step{d} JOIN nodes USING ({by}tree, heap)),"""
         for d in range(depth)
     ]
     return f"""
 points AS MATERIALIZED (SELECT series_key, date, [{", ".join(S.FEATURES)}]::DOUBLE[] AS x FROM train),
 kept AS MATERIALIZED ({kept}),
-bound AS (SELECT -ln(1.0::DOUBLE - {enough}::DOUBLE / count(*)) AS most FROM points),
-firsts AS (SELECT series_key, date, x, most, -ln({draw(str(S.FOREST_SEED), "series_key", "date")}) AS wait FROM points, bound),
+bound AS (SELECT {by}-ln(1.0::DOUBLE - {enough}::DOUBLE / count(*)) AS most FROM points {'GROUP BY ' + by[:-2] if by else ''}),
+firsts AS (SELECT series_key, date, x, most, -ln({draw(str(S.FOREST_SEED), "series_key", "date")}) AS wait FROM points {'JOIN bound USING (' + by[:-2] + ')' if by else ', bound'}),
 starts AS (SELECT *, least(floor(wait / most)::BIGINT, {trees - 1}) AS start FROM firsts WHERE wait < most * {trees}),
 waits AS (
   SELECT series_key, date, x, tree, most,
@@ -249,15 +250,15 @@ waits AS (
   FROM starts, range({trees}) r(tree) WHERE tree >= start
 ),
 at0 AS MATERIALIZED (
-  SELECT tree, 1::BIGINT AS heap, x FROM waits WHERE wait < most
-  QUALIFY row_number() OVER (PARTITION BY tree ORDER BY wait, series_key, date) <= {sample}
-),{"".join(_level(d) for d in range(depth))}
+  SELECT {by}tree, 1::BIGINT AS heap, x FROM waits WHERE wait < most
+  QUALIFY row_number() OVER (PARTITION BY {by}tree ORDER BY wait, series_key, date) <= {sample}
+),{"".join(_level(d, by) for d in range(depth))}
 nodes AS MATERIALIZED ({" UNION ALL ".join([*nodes, last])}),
-leaves AS (SELECT tree, heap, depth, depth + {path_length("n")} AS length FROM nodes WHERE f IS NULL),
+leaves AS (SELECT {by}tree, heap, depth, depth + {path_length("n")} AS length FROM nodes WHERE f IS NULL),
 step0 AS (SELECT series_key, date, x, tree, 1::BIGINT AS heap FROM points, range({trees}) r(tree)),{"".join(steps)}
 forest_raw AS (
   SELECT series_key, date, pow(2.0::DOUBLE, -avg(length) / ({path_length(str(sample))})) AS raw
-  FROM step{depth} JOIN leaves USING (tree, heap) GROUP BY 1, 2
+  FROM step{depth} JOIN leaves USING ({by}tree, heap) GROUP BY series_key, date
 )"""
 
 
@@ -268,6 +269,11 @@ PAIRS_SQL = " UNION ALL ".join(
 )
 
 SMALL_FOREST_SQL = f"{SIGNAL_SQL},{NAMES_SQL},{forest_sql(TREES, SAMPLE, 'SELECT f FROM names')}"
+# A forest of its own for each series set.
+KEYED_FOREST_SQL = f"{SIGNAL_SQL},{NAMES_SQL},{forest_sql(TREES, SAMPLE, 'SELECT f FROM names', 'series_key, ')}"
+KEYED_PAIRS_SQL = " UNION ALL ".join(
+    f"SELECT series_key, '{a}' AS a, '{b}' AS b, abs(corr({a}, {b})) AS corr FROM train GROUP BY series_key" for a, b in combinations(S.FEATURES, 2)
+)
 # The daily job's forest, on the features that correlation leaves.
 FOREST_SQL = (
     f"{SIGNAL_SQL},{NAMES_SQL},\npairs AS ({PAIRS_SQL}),"

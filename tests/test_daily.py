@@ -270,3 +270,21 @@ def test_scratch_tables_can_be_cleared(spark, tmp_path, monkeypatch):
 def test_an_empty_calendar_is_an_error(spark, sessions, full):
     with pytest.raises(ValueError, match="no session before"):
         daily.train_and_score(spark, full, sessions.limit(0), str(day(N)), run_id="r3", **SMALL)
+
+
+def test_a_model_for_each_series_set(spark, sessions, full):
+    """Two keys of the same values under a model of their own each score alike; a third key changes neither."""
+    one = L.read_features(spark, full.features)
+    other = one.withColumns({f: F.col(f) * 3 for f in S.FEATURES}).withColumn("series_key", F.lit("z"))
+    t = daily.Tables(scratch_path(spark, "job"))
+    t.stamps = full.stamps
+    L.write_features(one.unionByName(other), t.features)
+    daily.train_and_score(spark, t, sessions, str(day(N)), backfill=True, run_id="r4", by=["series_key"], **SMALL)
+    alone = daily.Tables(scratch_path(spark, "job"))
+    alone.stamps, alone.features = full.stamps, full.features
+    daily.train_and_score(spark, alone, sessions, str(day(N)), backfill=True, run_id="r4", by=["series_key"], **SMALL)
+    cols = ["date", "risk_score", "scores_if", "top_drivers"]
+    both = K.read_scores(spark, t.scores).filter("series_key = 'k'").orderBy("date").select(cols).collect()
+    assert both == K.read_scores(spark, alone.scores).orderBy("date").select(cols).collect() and len(both) > 100
+    assert K.read_scores(spark, t.scores).filter("series_key = 'z'").count() == len(both)
+    assert L.read_parquet(spark, t.runs, K.RUN_LOG).first().features_if

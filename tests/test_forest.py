@@ -8,11 +8,16 @@ from pyspark.sql import functions as F
 
 from panelwatch.operators import aggregates as A
 from panelwatch.operators.forest import (
+    NODES,
+    _grow,
     _Trees,
     average_path,
     fit_forest,
+    fit_forests,
     forest_attribution,
+    forests_attribution,
     score_forest,
+    score_forests,
     tree_samples,
 )
 
@@ -142,3 +147,73 @@ def test_single_feature(rows):
     assert score_forest(rows, f, "raw").filter("raw > 0").count() == 2000
     wide, _ = forest_attribution(rows, f, ["id"])
     assert wide.filter("shap_f0 >= 0").count() == 2000
+
+
+@pytest.fixture(scope="module")
+def groups(spark):
+    """A hot group of two thirds of the rows, a small one, one without weight, one of null."""
+    rng = np.random.default_rng(8)
+    sizes = {"hot": 1500, "small": 30, "none": 40, None: 400, "other": 250}
+    rows = []
+    for key, n in sizes.items():
+        x = rng.normal(size=(n, 4)) * rng.uniform(1, 50)
+        rows += [(key, i, *map(float, v), 0.0 if key == "none" else float(rng.integers(1, 4)), "own") for i, v in enumerate(x)]
+    return spark.createDataFrame(rows, "series_key string, date long, f0 double, f1 double, f2 double, f3 double, w double, parts string").repartition(5)
+
+
+def one_by_one(groups, trees, sample, kept, weight):
+    """Scores and attributions with a forest grown from each group's own table."""
+    out = {}
+    for (key,) in groups.select("series_key").distinct().collect():
+        df = groups.filter(F.col("series_key").eqNullSafe(F.lit(key)))
+        if weight and key == "none":
+            continue
+        drawn, used = tree_samples(df, FEATURES, ["series_key", "date"], trees, sample, 42, weight)
+        own = [FEATURES.index(f) for f in kept.get(key, FEATURES)]
+        nodes = []
+        for tree, pdf in drawn.toPandas().groupby("tree_id"):
+            salt = "42" if key is None else f"42|{key}"
+            rows = _grow(pdf.sort_values("__rn")[FEATURES].to_numpy(float)[:, own], salt, tree, max(1, math.ceil(math.log2(max(used, 2)))))
+            nodes += [(tree, r[0], own[r[1]] if r[1] >= 0 else -1, *r[2:]) for r in rows]
+        made = _Trees(pd.DataFrame(nodes, columns=[c.split()[0] for c in NODES.split(", ")]))
+        pdf = df.toPandas()
+        x = pdf[FEATURES].to_numpy(float)
+        raw = 2.0 ** (-made.path_lengths(x) / float(average_path(max(used, 2))))
+        shap = np.abs(made.shapley(x, made.leaf_tables()))
+        out |= {(key, d): (r, *s) for d, r, s in zip(pdf.date, raw, shap)}
+    return out
+
+
+@pytest.mark.parametrize("weight", [None, "w"])
+def test_a_forest_for_each_group(spark, groups, weight):
+    kept = {"hot": ["f1", "f3"], None: ["f0"]}
+    table = spark.createDataFrame(list(kept.items()), "series_key string, kept array<string>")
+    forests = fit_forests(groups, FEATURES, trees=8, sample=32, weight=weight, kept=table)
+    want = one_by_one(groups, 8, 32, kept, weight)
+    for group_rows in (100, 10**6):  # the hot group in 15 parts, or in one
+        wide, names = forests_attribution(score_forests(groups, forests, "raw", 32, group_rows), forests, group_rows=group_rows)
+        assert wide.columns == [*groups.columns, "raw", *names] and wide.count() == groups.count()
+        got = {(r.series_key, r.date): (r.raw, *[r[n] for n in names]) for r in wide.collect()}
+        assert {k for k, v in got.items() if v[0] is None} == got.keys() - want.keys()
+        for k, v in want.items():
+            np.testing.assert_allclose(got[k], v, rtol=1e-9, atol=1e-12)
+
+
+def test_forests_of_an_empty_table(groups):
+    none = groups.limit(0)
+    forests = fit_forests(none, FEATURES, trees=3, sample=16)
+    assert forests.models.count() == 0 and score_forests(none, forests, "raw").count() == 0
+    assert score_forests(groups, forests, "raw").filter("raw is null").count() == groups.count()
+
+
+def test_pruning_for_each_group(spark, groups):
+    near = groups.withColumn("f2", F.when(F.col("series_key") == "hot", F.col("f0") * 3 + F.col("f1") * 0.01).otherwise(F.col("f2")))
+    near = near.withColumn("f3", F.when(F.col("series_key") == "small", F.lit(0.1)).when(F.col("date") == 3, F.lit(None)).otherwise(F.col("f3")))
+    near = near.withColumn("f1", F.when(F.col("series_key").isNull(), -F.col("f0")).otherwise(F.col("f1")))
+    got = {r.series_key: r.kept for r in A.prune_by(near, FEATURES).collect()}
+    for (key,) in groups.select("series_key").distinct().collect():
+        own = near.filter(F.col("series_key").eqNullSafe(F.lit(key)))
+        assert got[key] == A.prune_features(own, FEATURES), key
+    assert got["hot"] == ["f0", "f1", "f3"] and got[None] == ["f0", "f2", "f3"]
+    assert A.prune_by(near.limit(0), FEATURES).count() == 0
+    assert A.prune_by(near.withColumn("f0", F.lit(None).cast("double")), FEATURES).count() == 0
