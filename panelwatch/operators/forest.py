@@ -11,7 +11,6 @@ import hashlib
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -27,6 +26,7 @@ from panelwatch.operators.series import _join_same
 from panelwatch.session import settle
 
 SMALL_TASK, LARGE_TASK = 2_000, 200_000  # rows per attribution task: worth a start; enough
+CHUNK = 2_000  # rows that a walk of a tree takes along
 NODES = "tree_id int, node_id int, feature int, split double, left int, right int, n int, depth int"
 
 
@@ -259,86 +259,48 @@ class _Trees:
             total += self.length[at]
         return total / len(self.roots)
 
-    def leaf_paths(self, root: int) -> Iterator[tuple[float, dict]]:
-        """Per leaf its value and {feature: [cover share, [(node, goes left), ...]]}."""
-        stack = [(root, {})]
-        while stack:
-            node, path = stack.pop()
-            if self.leaf[node]:
-                yield self.length[node], path
-                continue
-            f = int(self.feature[node])
-            share, steps = path.get(f, (1.0, ()))
-            for child, side in ((self.left[node], True), (self.right[node], False)):
-                taken = (share * self.n[child] / self.n[node], (*steps, (node, side)))
-                stack.append((child, {**path, f: taken}))
-
-    def leaf_tables(self) -> list[tuple[int, list]]:
-        """Per tree its leaves as (features, steps, Shapley values by pattern)."""
-        out = []
-        for root in self.roots:
-            paths = sorted(self.leaf_paths(root), key=lambda p: len(p[1]))
-            leaves = []
-            for d, same in groupby(paths, key=lambda p: len(p[1])):
-                if not d:
-                    continue
-                same = list(same)
-                share = np.array([[s for s, _ in p.values()] for _, p in same])
-                tables = _pattern_table(np.array([v for v, _ in same]), share)
-                for (_, p), table in zip(same, tables):
-                    leaves.append((list(p), [steps for _, steps in p.values()], np.ascontiguousarray(table.T)))
-            out.append((root, leaves))
-        return out
-
-    def shapley(self, x: np.ndarray, tables: list) -> np.ndarray:
+    def shapley(self, x: np.ndarray) -> np.ndarray:
         """Path-dependent Shapley values of the mean path length (Lundberg et al. 2020).
 
-        A leaf's contribution depends on a row only through which of the leaf's
-        features the row satisfies, so it is tabulated per pattern and looked up.
+        A leaf's game, over the features of its path, gives feature j its value times
+        ``(h_j - s_j)`` times the integral over y in (0, 1) of the product of ``s_i (1 - y) + h_i y``
+        over the other features: ``h`` tells whether the row meets the feature's splits, ``s`` is their
+        share of the rows.  The integrand is a polynomial, so Gauss-Legendre nodes integrate it
+        exactly.  One walk of a tree carries the products down and their sums over leaves up, so the
+        cost is rows x nodes x half the depth, and the memory rows x half the depth for each level.
         """
-        columns = np.ascontiguousarray(x.T)
-        phi = np.zeros(columns.shape)
-        for root, leaves in tables:
-            below: dict[int, np.ndarray] = {}
-            stack = [root]
-            while stack:
-                node = stack.pop()
-                if not self.leaf[node]:
-                    below[node] = columns[self.feature[node]] <= self.split[node]
-                    stack += [self.left[node], self.right[node]]
-            above = {node: ~hit for node, hit in below.items()}
-            for feats, steps, table in leaves:
-                pattern = np.zeros(len(x), dtype=np.uint8 if len(feats) <= 8 else np.uint32)
-                for j, path in enumerate(steps):
-                    sides = [below[node] if left else above[node] for node, left in path]
-                    hit = sides[0]
-                    for other in sides[1:]:
-                        hit = hit & other
-                    pattern |= hit.astype(pattern.dtype) << j
-                for j, f in enumerate(feats):
-                    phi[f] += table[j].take(pattern)
+        most = min(self.depth, x.shape[1])
+        at, weight = np.polynomial.legendre.leggauss(max(1, (most + 1) // 2))
+        self.y, self.weight = (at + 1) / 2, weight / 2
+        phi = np.zeros((x.shape[1], len(x)))
+        for i in range(0, len(x), CHUNK):
+            columns = np.ascontiguousarray(x[i : i + CHUNK].T)
+            for root in self.roots:
+                product = np.ones((len(self.y), columns.shape[1]))
+                self._walk(root, columns, product, {}, phi[:, i : i + CHUNK])
         return phi.T / len(self.roots)
 
-
-def _pattern_table(value: np.ndarray, share: np.ndarray) -> np.ndarray:
-    """(leaves, 2**d, d) Shapley values for leaves whose path has d features."""
-    leaves, d = share.shape
-    ones = ((np.arange(2**d)[:, None] >> np.arange(d)) & 1).astype(float)
-    weight = [math.factorial(k) * math.factorial(d - 1 - k) / math.factorial(d) for k in range(d)]
-    out = np.empty((leaves, 2**d, d))
-    for j in range(d):
-        # Coefficients by number of known features among the others.
-        poly = np.zeros((d, leaves, 2**d))
-        poly[0] = 1.0
-        for i in range(d):
-            if i == j:
-                continue
-            known = poly * ones[:, i]
-            poly = poly * share[:, i][None, :, None]
-            poly[1:] += known[:-1]
-        mass = np.tensordot(weight, poly, axes=1)
-        out[:, :, j] = value[:, None] * (ones[None, :, j] - share[:, j][:, None]) * mass
-    return out
+    def _walk(self, node: int, columns: np.ndarray, product: np.ndarray, path: dict, phi: np.ndarray) -> np.ndarray:
+        """Sums over the leaves below of value times product; adds what the edges below give to ``phi``."""
+        if self.leaf[node]:
+            return product * self.length[node]
+        f = int(self.feature[node])
+        below = columns[f] <= self.split[node]
+        before = path.get(f)
+        total = 0.0
+        for child, side in ((self.left[node], below), (self.right[node], ~below)):
+            share = self.n[child] / self.n[node]
+            if before is None:
+                hit, s, inner = side, share, product
+            else:
+                hit, s, inner = side & before[0], share * before[1], product / before[2]
+            factor = s * (1 - self.y)[:, None] + self.y[:, None] * hit
+            sums = self._walk(child, columns, inner * factor, {**path, f: (hit, s, factor)}, phi)
+            phi[f] += (hit - s) * (self.weight @ (sums / factor))
+            if before is not None:  # the edge above no longer speaks for these leaves
+                phi[f] -= (before[0] - before[1]) * (self.weight @ (sums / before[2]))
+            total = total + sums
+        return total
 
 
 def _matrix(cols) -> np.ndarray:
@@ -492,8 +454,7 @@ def forests_attribution(df: DataFrame, forests: Forests, prefix: str = "shap_",
     names = [prefix + f for f in forests.features]
 
     def make(trees: _Trees, n: int):
-        tables = trees.leaf_tables()
-        return lambda x: np.abs(trees.shapley(x, tables))
+        return lambda x: np.abs(trees.shapley(x))
 
     return _beside(df, forests, names, make, group_rows), names
 
@@ -503,7 +464,7 @@ def forest_attribution(
 ) -> tuple[DataFrame, list[str]]:
     """Adds one column per feature: the absolute Shapley value of its path length.
 
-    Costs rows x trees x leaves, so pass only the rows that are wanted.  That is
+    Costs rows x nodes of all trees, so pass only the rows that are wanted.  That is
     far more than moving a row, so rows are first spread evenly over the cluster.
     """
     shared = _broadcast(forest)
@@ -516,9 +477,8 @@ def forest_attribution(
     @F.pandas_udf(out)
     def attribute(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         trees = _Trees(shared.value)
-        tables = trees.leaf_tables()
         for cols in batches:
-            yield pd.DataFrame(np.abs(trees.shapley(_matrix(cols), tables)), columns=names)
+            yield pd.DataFrame(np.abs(trees.shapley(_matrix(cols))), columns=names)
 
     with_values = df.withColumn("__shap", attribute(*[F.col(f) for f in forest.features]))
     return with_values.select(*df.columns, *[F.col("__shap")[n].alias(n) for n in names]), names

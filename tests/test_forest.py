@@ -116,7 +116,7 @@ def test_shapley_values_match_their_definition(forest):
     nodes = forest.nodes.filter("tree_id < 3").toPandas()
     trees = _Trees(nodes)
     x = np.random.default_rng(5).normal(size=(6, 4)) * 2
-    phi = trees.shapley(x, trees.leaf_tables())
+    phi = trees.shapley(x)
     for row, got in zip(x, phi):
         want = np.zeros(4)
         for j in range(4):
@@ -179,7 +179,7 @@ def one_by_one(groups, trees, sample, kept, weight):
         pdf = df.toPandas()
         x = pdf[FEATURES].to_numpy(float)
         raw = 2.0 ** (-made.path_lengths(x) / float(average_path(max(used, 2))))
-        shap = np.abs(made.shapley(x, made.leaf_tables()))
+        shap = np.abs(made.shapley(x))
         out |= {(key, d): (r, *s) for d, r, s in zip(pdf.date, raw, shap)}
     return out
 
@@ -217,3 +217,30 @@ def test_pruning_for_each_group(spark, groups):
     assert got["hot"] == ["f0", "f1", "f3"] and got[None] == ["f0", "f2", "f3"]
     assert A.prune_by(near.limit(0), FEATURES).count() == 0
     assert A.prune_by(near.withColumn("f0", F.lit(None).cast("double")), FEATURES).count() == 0
+
+
+def test_shapley_values_of_deep_trees_in_bounded_memory():
+    """Trees over 4,096 rows and 19 features: paths of up to 12 features, which tables of all patterns could not hold."""
+    import tracemalloc
+
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(4096, 19)) * np.linspace(1, 4, 19)
+    nodes = [(t, *r) for t in range(2) for r in _grow(x, 42, t, 12)]
+    trees = _Trees(pd.DataFrame(nodes, columns=[c.split()[0] for c in NODES.split(", ")]))
+    assert trees.depth == 12
+    rows = rng.normal(size=(60, 19)) * 2
+    tracemalloc.start()
+    phi = trees.shapley(rows)
+    assert tracemalloc.get_traced_memory()[1] < 20e6
+    tracemalloc.stop()
+    base = np.mean([expected_length(trees, r, rows[0], set()) for r in trees.roots])
+    np.testing.assert_allclose(phi.sum(axis=1), trees.path_lengths(rows) - base, atol=1e-9)
+    for row, got in zip(rows[:3], phi[:3]):  # permutations of all features, by their definition on three of them
+        order = rng.permutation(19)
+        known, last = set(), base
+        for f in order:
+            known.add(f)
+            now = np.mean([expected_length(trees, r, row, known) for r in trees.roots])
+            assert abs(now - last) < 12 and np.isfinite(got[f])
+            last = now
+        assert last - base == pytest.approx(got.sum(), abs=1e-9)
