@@ -10,8 +10,9 @@ Tokens are runs of ASCII letters and digits and of characters beyond ASCII, in l
 (A-Z).  Unicode punctuation and blanks and full-width ASCII marks end a token, and each
 character of a script without spaces (Chinese, Japanese, Thai and others) is a token.  An
 item of fewer than ``SEED`` tokens has all of them as its seed.  The
-benchmark is a query set: it is taken in blocks of about ``BLOCK_BYTES`` of text, one pass
-over the documents for each, so what is broadcast stays bounded.
+benchmark is a query set: its distinct texts are taken in blocks of about ``BLOCK_BYTES``, cut by
+running bytes over hash buckets, one pass over the documents for each; so what is broadcast
+stays bounded, however often an item repeats (a text longer than a block is one of its own).
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from panelwatch.llm.steps import settle
 SEED = 5
 COVERAGE = 0.5
 BLOCK_BYTES = 8 << 20
+BUCKETS = 1 << 14
 
 _APART = np.ones(256, bool)
 _APART[[c for c in range(128) if chr(c).isalnum()]] = False
@@ -210,11 +212,11 @@ class Block:
         self.seeds = [Seeds(*s) for s in seeds]
 
 
-_HIT = "rid long, item_id {kind}, covered int, item_tokens int, tiles array<struct<doc_start: int, item_start: int, length: int>>"
+_HIT = "rid long, pattern string, covered int, item_tokens int, tiles array<struct<doc_start: int, item_start: int, length: int>>"
 
 
-def find_tiles(block, seed: int, coverage: float):
-    """Arrow function over (rid, text): the items that a text covers to at least ``coverage``."""
+def find_tiles(block, seed: int, coverage: float, least: int):
+    """Arrow function over (rid, text): the items of ``least`` tokens or more that a text covers to at least ``coverage``."""
     tile_type = pa.list_(pa.struct([("doc_start", pa.int32()), ("item_start", pa.int32()), ("length", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,8 +239,11 @@ def find_tiles(block, seed: int, coverage: float):
                     cuts = np.flatnonzero((np.diff(item) != 0) | (np.diff(doc) != 0)) + 1
                     for a, z in zip([0, *cuts], [*cuts, len(at)]) if len(at) else ():
                         pattern = b.items[item[a]]
-                        cover = np.zeros(len(pattern) + 1, bool)
                         places = np.unique(at[a:z]) if k == seed else at[a : a + 1]  # the first place of a short item holds all of it
+                        stretches = 1 + int((np.diff(places) > 1).sum())
+                        if len(pattern) < least or len(places) + stretches * (k - 1) < coverage * len(pattern):
+                            continue  # no tile lies outside the stretches under shared seeds
+                        cover = np.zeros(len(pattern) + 1, bool)
                         tiles = _tiles(words, places, pattern, k, powers, int(firsts[doc[a]]))
                         for _, p, n in tiles:
                             cover[p : p + n] = True
@@ -249,7 +254,7 @@ def find_tiles(block, seed: int, coverage: float):
                                 c.append(v)
             if out[0]:
                 columns = [pa.array(out[0], pa.int64()), pa.array(out[1]), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int32()), pa.array(out[4], tile_type)]
-                yield pa.RecordBatch.from_arrays(columns, names=["rid", "item_id", "covered", "item_tokens", "tiles"])
+                yield pa.RecordBatch.from_arrays(columns, names=["rid", "pattern", "covered", "item_tokens", "tiles"])
 
     return run
 
@@ -266,30 +271,57 @@ def _tiles(words: np.ndarray, at: np.ndarray, pattern: np.ndarray, seed: int, po
     return [(int(where[t]), p, k) for t, p, k in tile(np.concatenate(parts), pattern, seed, powers)]
 
 
-def contaminations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-                   item_text: str = "text", seed: int = SEED, coverage: float = COVERAGE) -> DataFrame:
-    """(rid, item, covered, item_tokens, tiles) of every document row and every item it covers.
+def _blocks(patterns: DataFrame) -> list[tuple[int, int]]:
+    """Ranges of hash buckets of about ``BLOCK_BYTES`` of text each; one bucket of more is a range alone."""
+    sizes = patterns.groupBy("bucket").agg(F.sum(F.octet_length("text")).alias("size"))
+    out, first, held = [], 0, 0
+    for r in sorted(sizes.collect()):  # BUCKETS rows at most
+        if held and held + r["size"] > BLOCK_BYTES:
+            out.append((first, r["bucket"]))
+            first, held = r["bucket"], 0
+        held += r["size"]
+    return [*out, (first, BUCKETS)]
+
+
+def _items(benchmark: DataFrame, item_col: str, item_text: str) -> DataFrame:
+    """(item_id, pattern): each item with the digest that stands for its text."""
+    text = F.col(item_text)
+    return benchmark.filter(text.isNotNull()).select(F.col(item_col).alias("item_id"), F.md5(text.cast("binary")).alias("pattern"))
 
-    ``rid`` is ``xxhash64`` of id and text, ``tiles`` count in tokens of the text and of the
-    item.  Null and empty texts, on either side, and items without a token match nothing; an
-    item of fewer than ``seed`` tokens matches where a text has all of them in a row.  Equal items are reported each; repeated rows have equal hits (once for
-    each row).  Empty tables give an empty table; other columns are not read.
+
+def covered_texts(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+                  item_text: str = "text", seed: int = SEED, coverage: float = COVERAGE, least: int = 1) -> DataFrame:
+    """(rid, pattern, covered, item_tokens, tiles) of every document row and every distinct benchmark text it covers.
+
+    ``rid`` is ``xxhash64`` of id and text, ``pattern`` the md5 of the benchmark text; ``tiles`` count in tokens of
+    the text and of the item.  Null and empty texts, on either side, and items without a token match nothing; an
+    item of fewer than ``seed`` tokens matches where a text has all of them in a row, unless it has fewer than
+    ``least``: an item of one common word marks every document with it, which a caller may not
+    want.  Repeated rows have equal hits (once for each row).  Empty tables give an empty table;
+    other columns are not read.
     """
     spark = docs.sparkSession
     rid = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)).alias("rid")
     texts = docs.select(rid, F.coalesce(F.col(text_col), F.lit("")).alias("text")).filter(F.length("text") > 0)
-    kind = benchmark.schema[item_col].dataType.simpleString()
-    items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text).alias("text")).filter("text is not null")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks, found = -(-size // BLOCK_BYTES), None
-    for k in range(max(1, blocks)):
-        part = items.filter(F.pmod(F.xxhash64("text"), F.lit(max(1, blocks))) == k).orderBy("item_id", "text").collect()
-        block = spark.sparkContext.broadcast(block_arrays([r["item_id"] for r in part], [r["text"] for r in part], seed))
-        hits = texts.mapInArrow(find_tiles(block, seed, coverage), _HIT.format(kind=kind))
+    patterns = benchmark.select(F.col(item_text).alias("text")).filter(F.length("text") > 0).distinct()
+    patterns = settle(patterns.withColumn("bucket", F.pmod(F.xxhash64("text"), F.lit(BUCKETS)).cast("int")))
+    found = None
+    for first, past in _blocks(patterns):
+        part = patterns.filter((F.col("bucket") >= first) & (F.col("bucket") < past)).select(F.md5(F.col("text").cast("binary")).alias("id"), "text")
+        part = part.orderBy("id").collect()
+        block = spark.sparkContext.broadcast(block_arrays([r["id"] for r in part], [r["text"] for r in part], seed))
+        hits = texts.mapInArrow(find_tiles(block, seed, coverage, least), _HIT)
         found = hits if found is None else found.unionByName(hits)
     return found
 
 
+def contaminations(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """(rid, item_id, covered, item_tokens, tiles): ``covered_texts`` for each item, equal items each."""
+    items = _items(benchmark, options.get("item_col", "item_id"), options.get("item_text", "text"))
+    hits = covered_texts(docs, benchmark, **options)
+    return hits.join(items, "pattern").select("rid", "item_id", "covered", "item_tokens", "tiles")
+
+
 def marked(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with ``contaminated``, and the best covered item: ``item_id``, ``coverage``, ``tiles``.
 
@@ -297,7 +329,9 @@ def marked(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
     of these names in ``docs`` are replaced, others kept.
     """
     item_col = options.get("item_col", "item_id")
-    hits = contaminations(docs, benchmark, id_col, text_col, **options).withColumn("coverage", F.col("covered") / F.col("item_tokens"))
+    items = _items(benchmark, item_col, options.get("item_text", "text")).groupBy("pattern").agg(F.min("item_id").alias("item_id"))
+    hits = settle(covered_texts(docs, benchmark, id_col=id_col, text_col=text_col, **options))
+    hits = hits.join(items, "pattern").withColumn("coverage", F.col("covered") / F.col("item_tokens"))
     order = F.struct(-F.col("coverage"), F.col("item_id"))
     best = settle(hits.groupBy("rid").agg(F.min_by(F.struct("item_id", "coverage", "tiles"), order).alias("_best")))
     rid = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))

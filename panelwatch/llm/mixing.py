@@ -28,13 +28,15 @@ def word_count(text: Column) -> Column:
 
 
 def random_key(id_col: str, text_col: str, seed: str = SEED) -> Column:
-    """Hex digits that depend on seed, id and text alone; the first ten deal out the ranges."""
+    """Hex digits that depend on seed, id and text alone; the first eight deal out the ranges."""
     return F.md5(F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))))
 
 
 def targets(sized: DataFrame, source: str = "source", size: str = "size", weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """(source, source_size, n_rows, weight, target) of every source; null is a source, the last.
 
+    One task shares out the budget over all sources, a row each; meant for up to some millions of them.
+
     Sources by how soon they are full: one is full if its share of what those before leave
     reaches its limit.  From the first that is not on, all share the rest by weight: the
     level rises up to there and falls behind it.
@@ -73,7 +75,7 @@ def with_taken(docs: DataFrame, source: str = "source", size: str = "size", key:
         F.col("source").alias("_s"), "source_size", "target", F.ceil(F.col("n_rows") / ROWS_PER_RANGE).alias("_ranges")
     )
     plan = settle(plan)
-    range_ = F.expr(f"shiftright(cast(conv(substr({key}, 1, 10), 16, 10) as long) * _ranges, 40)")
+    range_ = F.expr(f"shiftright(cast(conv(substr({key}, 1, 8), 16, 10) as long) * _ranges, 32)")  # no overflow below 2**31 ranges
     dealt = lambda df: df.join(plan, df[source].eqNullSafe(F.col("_s"))).withColumn("_range", range_)
     rows = dealt(docs)
     totals = dealt(counted).groupBy("_s", "_range").agg(F.sum(size).alias("_words"))

@@ -220,11 +220,34 @@ def test_turns_are_read_back_and_replies_are_masked(spark):
 
 def test_every_reply_has_all_earlier_turns_as_context(spark):
     turns = chat.formatted_turns(conversations(spark))
-    got = {(r.conv_id, r.example): r for r in chat.with_context(turns).collect()}
+    rows = chat.examples(turns)
+    got = {(r.conv_id, r.example): r for r in chat.with_context(rows).collect()}
     whole = {r.conv_id: r.f for r in turns.groupBy("conv_id").agg(F.array_join(F.sort_array(F.collect_list(F.struct("seq", "formatted")))["formatted"], "").alias("f")).collect()}
     assert len(got) == turns.filter("trainable").count()
+    texts = {(r.conv_id, r.example): r.loss for r in turns.filter("trainable").select("*", chat.masked_text().alias("loss")).collect()}
     for r in turns.filter("trainable").collect():
-        assert got[r.conv_id, r.example].context == whole[r.conv_id][: r.starts_at] and got[r.conv_id, r.example].reply == r.formatted
+        x = got[r.conv_id, r.example]
+        assert x.context == whole[r.conv_id][: r.starts_at] and x.reply == r.formatted
+        masked = (x.context + x.reply)[x.mask_start : x.mask_start + x.mask_chars]
+        assert re.sub(r"\\(\\?)", r"\1", masked) == texts[r.conv_id, r.example]
+    for r in rows.filter("reply is not null").collect():
+        assert len(got[r.conv_id, r.example].context) == r.context_chars
+    again = {r.conv_id: r for r in chat.whole_conversations(rows).collect()}
+    assert {k: r.formatted for k, r in again.items()} == whole
+    # a lost example is seen in what is read back
+    for conv, example in texts:
+        less = rows.filter(~(F.col("conv_id").eqNullSafe(F.lit(conv)) & (F.col("example") == example)))
+        left = {r.conv_id: r for r in chat.whole_conversations(less).collect()}
+        assert conv not in left or left[conv].formatted != whole[conv]
+
+
+def test_many_ranges_do_not_overflow(docs, monkeypatch):
+    """2**24 ranges of a source, as 67 billion rows would have: what is taken does not depend on them."""
+    rows = [(k, " ".join(["w"] * (k % 7)), "en", "ab"[k % 3 > 0]) for k in range(60)]
+    take = lambda: {r.doc_id: r.taken for r in mixing.with_taken(sized(docs(rows))).collect()}
+    few = take()
+    monkeypatch.setattr(mixing, "ROWS_PER_RANGE", 2.0**-20)
+    assert take() == few and sum(few.values()) > 0
 
 
 # --- queries and the pipeline

@@ -1,6 +1,7 @@
 """Operators on texts against plain Python, with odd rows, repeated rows and empty tables."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -298,3 +299,23 @@ def test_kept_bytes_of_a_plain_text(spark):
     df = spark.sql("select 'abcdef' as text, array(named_struct('start', 1L, 'end', 3L), named_struct('start', 5L, 'end', 6L)) as spans")
     assert bytes(df.select(suffix_dedup.kept_bytes()).first()[0]) == b"ade"
     assert hashlib.sha256(b"ade").hexdigest() == df.select(F.sha2(suffix_dedup.kept_bytes(), 256)).first()[0]
+
+
+def test_benchmark_blocks_hold_distinct_texts(spark, docs, monkeypatch):
+    """One item text repeated far past a block's bytes, beside items that need several blocks."""
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 2000)
+    rng = random.Random(4)
+    text = lambda n: " ".join(f"w{rng.randint(0, 400)}" for _ in range(n))
+    hot, others = text(40), [text(30) for _ in range(60)]
+    items = [(900 + k, hot) for k in range(300)] + [(k, t) for k, t in enumerate(others)] + [(5000, None), (5001, ""), (5002, "the")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    blocks = []
+    real = decontamination.block_arrays
+    monkeypatch.setattr(decontamination, "block_arrays", lambda ids, texts, seed: blocks.append(texts) or real(ids, texts, seed))
+    df = docs([(1, "x " + hot + " y", "en", "a"), (2, others[7] + " " + text(50), "en", "a"), (3, text(80), "en", "a"), (4, "the end", "en", "a")])
+    got = {r.doc_id: (r.contaminated, r.item_id) for r in decontamination.marked(df, benchmark).collect()}
+    assert got == {1: (True, 900), 2: (True, 7), 3: (False, None), 4: (True, 5002)}
+    assert len(blocks) > 4 and all(sum(map(len, b)) <= 2000 for b in blocks) and sorted(t for b in blocks for t in b) == sorted([hot, *others, "the"])
+    assert decontamination.contaminations(df, benchmark).filter("item_id between 900 and 1199").count() == 300
+    longer = {r.doc_id: r.contaminated for r in decontamination.marked(df, benchmark, least=2).collect()}
+    assert longer == {1: True, 2: True, 3: False, 4: False}
