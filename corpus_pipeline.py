@@ -57,7 +57,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that cover a benchmark item go."""
-    leaks = settle(decontamination.contaminations(docs, table(spark, sf_dir, "benchmark")).select("rid").distinct())
+    leaks = settle(decontamination.covered_texts(docs, table(spark, sf_dir, "benchmark")).select("rid").distinct())
     rows = set_aside(docs, "doc_id", "text").withColumn("rid", F.xxhash64(F.col("doc_id").cast("string"), "text"))
     return put_back(rows.join(leaks, "rid", "left_anti"), docs.columns, "doc_id", "text")
 
