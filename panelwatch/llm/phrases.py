@@ -32,7 +32,8 @@ SCALE = 2_000_000
 PERCENT = 80
 BEST = 2000
 #: Suffixes of a group: what one task sorts in memory.
-GROUP_SUFFIXES = 1 << 19
+GROUP_SUFFIXES = 1 << 22
+HELD_PREFIXES = 1 << 21
 #: A prefix with more than this share of all words is kept in tables that every task gets.
 HEAVY_SHARE = 1 << 16
 
@@ -271,16 +272,32 @@ def third(two: np.ndarray, lo: np.ndarray) -> np.ndarray:
 
 
 def prefix_counts(level: int, known: Prefixes):
-    """Arrow function: prefixes of ``level`` + 1 words under heavy ones of ``level`` words, per block."""
+    """Arrow function: prefixes of ``level`` + 1 words under heavy ones of ``level`` words, summed over a task's blocks.
+
+    A task holds up to ``HELD_PREFIXES`` of them before it sends them on.
+    """
+
+    def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        key, n = (np.concatenate(x) for x in zip(*parts))
+        own, place = np.unique(key, return_inverse=True)
+        return own, np.bincount(place, n, len(own)).astype(np.int64)
+
+    def rows(own: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(n)], names=["key", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(np.empty(0, np.uint64), np.empty(0, np.int64))]
         for tokens in token_numbers(batches):
             hi, lo, n = suffixes(tokens)
             up = known.heavy(hi, lo)[level - 1]
             key = hi if level == 1 else third(up, lo)
-            own, place = np.unique(key[up >= 0], return_inverse=True)
-            total = np.bincount(place, n[up >= 0], len(own)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(total)], names=["key", "n"])
+            held.append((key[up >= 0], n[up >= 0]))
+            if sum(len(k) for k, _ in held) > HELD_PREFIXES:
+                held = [summed(held)]
+                if len(held[0][0]) > HELD_PREFIXES // 2:
+                    yield rows(*held.pop())
+                    held = [(np.empty(0, np.uint64), np.empty(0, np.int64))]
+        yield rows(*summed(held))
 
     return run
 

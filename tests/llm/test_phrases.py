@@ -62,6 +62,7 @@ def test_phrases_equal_plain_counts(spark, budget, monkeypatch):
     import random
 
     monkeypatch.setattr(phrases, "GROUP_SUFFIXES", budget)
+    monkeypatch.setattr(phrases, "HELD_PREFIXES", 500 if budget == 1 else 1 << 21)
     monkeypatch.setattr(phrases, "HEAVY_SHARE", 64 if budget == 40 else 1 << 16)
     monkeypatch.setattr(blocks, "BLOCK_TOKENS", 400)
     monkeypatch.setattr(blocks, "KEYS_PER_PART", 300)
