@@ -196,16 +196,19 @@ def stamp(df: DataFrame, found: DataFrame, session_day: bool, keys=KEYS) -> Data
     return with_stamps(df, settle(stamps(df, found, session_day, keys)), keys)
 
 
-def enforce(found: DataFrame, path: str | None = None) -> None:
+def enforce(found: DataFrame, path: str | None = None, as_of: str | None = None) -> None:
     """Raise if anything critical was found; call before any sink.
 
     With a ``path`` all findings are added to the table there first, so none is lost;
-    the error names their number and the first few.
+    the error names their number and the first few.  With ``as_of`` the day's findings, critical or not,
+    are kept under that date, and a rerun replaces them.
     """
+    if path is not None and as_of is not None:
+        found.write.mode("overwrite").parquet(f"{path}/as_of={as_of}")
     worst = found.filter(F.col("severity") == CRITICAL)
     if worst.isEmpty():
         return
-    if path is not None:
+    if path is not None and as_of is None:
         found.write.mode("append").parquet(path)
     n = worst.count()
     keys = [c for c in found.columns if c not in ("severity", "check", "message", "position")]

@@ -94,12 +94,12 @@ STAMP_TABLE = StructType([f for f in S.FEATURE_TABLE.fields if f.name in (*KEYS,
 def gate_features(spark: SparkSession, t: Tables, sessions: DataFrame, as_of: str) -> DataFrame:
     """Check the feature table, halt on anything critical, else store the keys' stamps of the day.
 
-    One row per key is written, however long the history; ``stamped_features`` joins it.
+    The day's findings are kept under its date, also where nothing is critical.  One row per key is written, however long the history; ``stamped_features`` joins it.
     """
     features = L.read_features(spark, t.features)
     session_day = is_session(sessions, as_of)
     found = settle(Q.findings(features, previous_session(sessions, as_of), session_day))
-    Q.enforce(found, t.findings)
+    Q.enforce(found, t.findings, as_of)
     stamps = Q.stamps(features, found, session_day).withColumn(AS_OF, F.to_date(F.lit(as_of)))
     L.write_partitions(stamps, t.stamps, AS_OF)
     return found

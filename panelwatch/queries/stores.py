@@ -267,6 +267,61 @@ def incremental_features(spark, sf):
     )
 
 
+NEVER = "2100-01-01"
+
+
+@query(
+    "quality_zero_rows",
+    with_(P.ORD)
+    + f"""
+SELECT CAST(NULL AS VARCHAR) AS series_key, 'CRITICAL' AS severity, 'SCHEMA' AS "check", 'SCHEMA: missing columns [''close'']' AS message
+UNION ALL SELECT NULL, 'CRITICAL', 'COMPLETENESS', 'COMPLETENESS: zero rows' WHERE NOT EXISTS (SELECT 1 FROM ord WHERE date > DATE '{NEVER}')""",
+)
+def quality_zero_rows(spark, sf):
+    """A table without rows: the checks of the whole frame speak under a null key."""
+    panel = P.ord_(spark, sf).withColumn("series_key", F.col("series_key").cast("string")).filter(F.col("date") > NEVER)
+    found = Quality.findings(settle(panel), datetime.date.fromisoformat(LATE), True, expected=["series_key", "date", "value", "close"])
+    return found.select("series_key", "severity", "check", "message")
+
+
+@query(
+    "empty_source_keeps",
+    with_(P.ORD) + f"\nSELECT 'empty' AS source, series_key, {D}, value FROM ord UNION ALL SELECT 'landed', series_key, {D}, value * 2 FROM ord",
+)
+def empty_source_keeps(spark, sf):
+    """The table stays if the source is empty, and gives way to a source with rows."""
+    old = settle(P.ord_(spark, sf))
+    sources = {"empty": old.filter(F.col("date") > NEVER), "landed": old.withColumn("value", F.col("value") * 2)}
+    kept = None
+    for name, source in sources.items():
+        stays = Quality.on_empty_source(source, old)
+        rows = (source if stays is None else stays).select(F.lit(name).alias("source"), "series_key", text(), "value")
+        kept = rows if kept is None else kept.unionByName(rows)
+    return kept
+
+
+@query(
+    "findings_by_day",
+    with_(P.ORD)
+    + """
+SELECT '2001-12-20' AS as_of, series_key, 'GAP' AS "check" FROM ord GROUP BY 2 HAVING datediff('day', max(date), DATE '2001-12-20') > 1
+UNION ALL
+SELECT '2002-06-03', series_key, 'GAP' FROM ord GROUP BY 2 HAVING datediff('day', max(date), DATE '2002-06-03') > 1""",
+)
+def findings_by_day(spark, sf):
+    """Findings of two halted days, one of them run twice, each under its date."""
+    path = scratch_path(spark, "findings")
+    panel = settle(P.ord_(spark, sf).withColumn("series_key", F.col("series_key").cast("string")))
+    for day in (LATE, "2002-06-03", LATE):
+        found = Quality.findings(panel, datetime.date.fromisoformat(day), True, expected=["series_key", "date", "value"])
+        try:
+            Quality.enforce(found.filter("check = 'GAP'"), path, day)
+        except Quality.GateFailed:
+            pass
+    schema = "series_key string, severity string, `check` string, message string, position int, as_of date"
+    return L.read_parquet(spark, path, T.StructType.fromDDL(schema)).select(text("as_of"), "series_key", "check")
+
+
 STEPS = ((LAST_OLD, None), ("2001-07-01", "2001-05-18"), (P.AS_OF, "2001-07-02"))
 
 
