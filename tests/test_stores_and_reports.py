@@ -248,3 +248,16 @@ def test_new_days_are_added_and_stored_files_stay(spark, tmp_path):
     K.upsert_scores(spark, path, day(2, 3.0).unionByName(day(3, 4.0)))  # a revised day beside a new one
     got = sorted((r.series_key, r.date.day, r.risk_score) for r in K.read_scores(spark, path).collect())
     assert got == [(k, d, s) for k in "ab" for d, s in ((1, 1.0), (2, 3.0), (3, 4.0))]
+
+
+def test_null_keys_and_dates_are_neither_lost_nor_doubled(spark):
+    path = scratch_path(spark, "t")
+    rows = lambda *r: K.narrow(spark.createDataFrame([(k, d and D(d), v) for k, d, v in r], "series_key string, date date, risk_score double"))
+    stored = lambda: sorted((r.series_key or "", str(r.date), r.risk_score) for r in K.read_scores(spark, path).collect())
+    K.upsert_scores(spark, path, rows(("a", "2020-01-01", 1.0)))
+    batch = rows(("a", "2020-01-01", 2.0), ("z", None, 3.0), (None, "2020-02-01", 4.0), (None, None, 5.0))
+    for _ in range(3):  # the first run replaces a month, and has rows of no month
+        K.upsert_scores(spark, path, batch)
+        assert stored() == [("", "2020-02-01", 4.0), ("", "None", 5.0), ("a", "2020-01-01", 2.0), ("z", "None", 3.0)]
+    K.upsert_scores(spark, path, rows(("z", None, 6.0)))
+    assert ("z", "None", 6.0) in stored() and ("", "None", 5.0) in stored() and len(stored()) == 4
