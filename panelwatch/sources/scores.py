@@ -12,16 +12,8 @@ from panelwatch import schemas as S
 from panelwatch.operators.series import _join_same, without_same
 from panelwatch.operators.spine import score_date
 from panelwatch.session import settle
-from panelwatch.sources.landing import (
-    MONTH,
-    _with_month,
-    append_partitions,
-    in_months,
-    month_of,
-    months_in,
-    read_parquet,
-    write_partitions,
-)
+from panelwatch.sources import commits
+from panelwatch.sources.landing import MONTH, in_months, month_of, months_in
 
 KEYS = ("series_key",)
 
@@ -67,8 +59,10 @@ def upsert_scores(
 ) -> None:
     """Merge ``new`` into the table.
 
-    Months in which it replaces stored rows are rewritten; elsewhere its rows are added and
-    nothing stored is touched, so a daily run writes one day's rows.
+    Months in which it replaces stored rows are written anew; elsewhere its rows are added,
+    so a daily run writes one day's rows.  All of the batch becomes visible in one step
+    (``commits``): a run that stops before it leaves the old table.  ``commits.Conflict`` is
+    raised, and nothing stored, if another batch came in between.
     Files written under an older schema read back with nulls in later columns.
     Rerunning the same batch leaves the same table.  Of several rows of one (keys,
     order) in a batch the greatest, column by column, is stored.  Null keys and dates
@@ -79,15 +73,15 @@ def upsert_scores(
     one = new.groupBy(*keys, order).agg(F.max(F.struct(*rest)).alias("__row"))
     one = one.select(*[c if c in (*keys, order) else F.col("__row")[c].alias(c) for c in new.columns])
     new = settle(one.withColumn(MONTH, month_of(order)))
-    table = read_parquet(spark, path, _with_month(schema))
     months = months_in(new)
-    there = table.filter(in_months(months)).select(*new.columns)
-    replaced = months_in(_join_same(new, there.select(*keys, order), [*keys, order], "left_semi"))
+    if not months:
+        return
+    base = commits.version(spark, path)
+    there = commits.read(spark, path, schema, commits.in_folders(base, months))
+    replaced = months_in(_join_same(new, there.select(*keys, order, MONTH), [*keys, order], "left_semi"))
     again = in_months(replaced)
-    if replaced:
-        write_partitions(merge(there.filter(again), new.filter(again), keys, order), path, MONTH)
-    if set(months) - set(replaced):
-        append_partitions(new.filter(~again), path, MONTH)
+    rows = merge(there.filter(again), new.filter(again), keys, order).unionByName(new.filter(~again)) if replaced else new
+    commits.write(rows, path, base, replaced)
 
 
 def drivers_to_text(drivers: Column) -> tuple[Column, Column]:
@@ -105,8 +99,12 @@ def drivers_from_text(names: Column, weights: Column) -> Column:
     return F.coalesce(pairs, F.array().cast("array<struct<feature: string, weight: double>>"))
 
 
-def read_scores(spark: SparkSession, path: str, schema: T.StructType = S.SCORE_TABLE) -> DataFrame:
-    return read_parquet(spark, path, _with_month(schema)).drop(MONTH)
+def read_scores(
+    spark: SparkSession, path: str, schema: T.StructType = S.SCORE_TABLE, number: int | None = None
+) -> DataFrame:
+    """The table, or an earlier version of it that has not been cleaned away."""
+    at = commits.version(spark, path, number)
+    return commits.read(spark, path, schema, at).drop(MONTH)
 
 
 def rows_to_write(

@@ -9,6 +9,7 @@ from panelwatch.operators import aggregates as A
 from panelwatch.operators import signals as G
 from panelwatch.plans import reports as R
 from panelwatch.session import scratch_path
+from panelwatch.sources import commits
 from panelwatch.sources import landing as L
 from panelwatch.sources import scores as K
 
@@ -261,3 +262,59 @@ def test_null_keys_and_dates_are_neither_lost_nor_doubled(spark):
         assert stored() == [("", "2020-02-01", 4.0), ("", "None", 5.0), ("a", "2020-01-01", 2.0), ("z", "None", 3.0)]
     K.upsert_scores(spark, path, rows(("z", None, 6.0)))
     assert ("z", "None", 6.0) in stored() and ("", "None", 5.0) in stored() and len(stored()) == 4
+
+
+def test_a_batch_is_seen_whole_or_not_at_all(spark, scores, monkeypatch):
+    path = scratch_path(spark, "t")
+    stored = lambda n=None: sorted((str(r.date), r.risk_score) for r in K.read_scores(spark, path, number=n).collect())
+    K.upsert_scores(spark, path, scores(range(3)))
+    before = stored()
+    batch = scores([9.0], "2020-01-02").unionByName(scores([8.0], "2020-02-01"))  # replaces in one month, adds in another
+
+    def stop(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(commits, "commit", stop)
+        with pytest.raises(RuntimeError, match="lost"):
+            K.upsert_scores(spark, path, batch)
+    assert stored() == before
+    K.upsert_scores(spark, path, batch)
+    after = [("2020-01-01", 0.0), ("2020-01-02", 9.0), ("2020-01-03", 2.0), ("2020-02-01", 8.0)]
+    assert stored() == after and stored(0) == before
+    assert commits.clean(spark, path, keep=1) == 3 and stored() == after  # the stopped run's two folders, the first month's old one
+    with pytest.raises(ValueError, match="version 0"):
+        stored(0)
+
+
+def test_a_stopped_first_batch_leaves_no_table(spark, scores, monkeypatch):
+    path = scratch_path(spark, "t")
+    with monkeypatch.context() as m:
+        m.setattr(commits, "commit", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            K.upsert_scores(spark, path, scores(range(3)))
+    assert K.read_scores(spark, path).isEmpty()
+    K.upsert_scores(spark, path, scores([5.0]))
+    assert [r.risk_score for r in K.read_scores(spark, path).collect()] == [5.0]
+
+
+def test_of_two_batches_on_one_version_the_second_is_refused(spark, scores):
+    path = scratch_path(spark, "t")
+    K.upsert_scores(spark, path, scores(range(3)))
+    base = commits.version(spark, path)
+    rows = scores([7.0], "2020-03-01").withColumn("month", F.lit("2020-03"))
+    commits.write(rows, path, base)
+    with pytest.raises(commits.Conflict):
+        commits.write(rows, path, base)
+    assert K.read_scores(spark, path).count() == 4
+
+
+def test_a_table_of_plain_month_folders_joins_the_first_batch(spark, scores):
+    path = scratch_path(spark, "t")
+    scores(range(40)).withColumn("month", L.month_of()).write.partitionBy("month").parquet(path)
+    assert K.read_scores(spark, path).count() == 40
+    K.upsert_scores(spark, path, scores([99.0], "2020-02-03").unionByName(scores([98.0], "2020-03-01")))
+    got = {str(r.date): r.risk_score for r in K.read_scores(spark, path).collect()}
+    assert len(got) == 41 and got["2020-01-01"] == 0 and got["2020-02-03"] == 99 and got["2020-02-04"] == 34
+    K.upsert_scores(spark, path, scores([], "2020-02-03"))
+    assert commits.versions(spark, path) == [0]
