@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +11,8 @@ from pyspark.sql import types as T
 
 from panelwatch import schemas as S
 from panelwatch.functions.scalar import percent_text
-from panelwatch.operators.series import last_rows
+from panelwatch.operators.series import _join_same, last_rows
+from panelwatch.operators.spine import PREVIOUS, SESSION_DAY
 from panelwatch.session import settle
 
 KEYS = ("series_key",)
@@ -44,7 +46,7 @@ def schema_findings(df: DataFrame, expected: Sequence[str] = S.EXPECTED_COLUMNS)
 
 def findings(
     df: DataFrame,
-    previous_session=None,
+    previous_session: datetime.date | DataFrame | None = None,
     session_day: bool = True,
     expected: Sequence[str] = S.EXPECTED_COLUMNS,
     keys=KEYS,
@@ -53,7 +55,9 @@ def findings(
     """(keys, severity, check, message, position) in rule order.
 
     All row checks come from one pass: the newest rows per key are cut before
-    the shuffle and aggregated to one row per key.
+    the shuffle and aggregated to one row per key.  The checks of a session day
+    know one calendar, or with a frame of ``spine.session_state`` that of each key;
+    a key that it lacks has no session.
     """
     keys = list(keys)
     spark = df.sparkSession
@@ -71,6 +75,13 @@ def findings(
         )
     )
 
+    if isinstance(previous_session, DataFrame):
+        state = previous_session.select(*keys, F.col(PREVIOUS).alias("__previous"), F.col(SESSION_DAY).alias("__day"))
+        per_key = _join_same(per_key, state, keys, "left")
+        on_day, want, session_day = F.coalesce("__day", F.lit(False)), F.col("__previous"), True
+    else:
+        on_day, want = F.lit(True), F.lit(previous_session).cast("date")
+
     def probe(c: str) -> Column:
         return F.abs(F.col("row")[c]) if c in have else F.lit(0.0)
 
@@ -78,12 +89,11 @@ def findings(
         _finding(CRITICAL, "SCHEMA", F.lit(True), F.lit(m)) for m in schema_findings(df, expected)
     ]
     if session_day and previous_session is not None:
-        want = F.lit(previous_session)
         rules.append(
             _finding(
                 CRITICAL,
                 "GAP",
-                F.datediff(want, "last") > 1,
+                on_day & (F.datediff(want, "last") > 1),
                 F.format_string(
                     "GAP: last date is %s, expected %s", F.col("last").cast("string"), want.cast("string")
                 ),
@@ -95,7 +105,7 @@ def findings(
             _finding(
                 CRITICAL,
                 "CROSS_SOURCE",
-                (probe(MOVE) > MOVE_LIMIT) & calm[0] & calm[1],
+                on_day & (probe(MOVE) > MOVE_LIMIT) & calm[0] & calm[1],
                 F.concat(
                     F.lit("CROSS_SOURCE: Brent moved "), percent_text(probe(MOVE), 1), F.lit(" but vol indices flat")
                 ),
@@ -163,18 +173,22 @@ def quality_scores(found: DataFrame, keys=KEYS) -> DataFrame:
 STAMPS = ("is_trading_day", "data_quality_score", "data_quality_flags")
 
 
-def stamps(df: DataFrame, found: DataFrame, session_day: bool, keys=KEYS) -> DataFrame:
-    """One row per key of ``df``: its present score and flags; clean keys have 1 and no flags."""
-    return (
-        df.select(*keys)
-        .distinct()
-        .join(quality_scores(found, keys), list(keys), "left")
-        .select(
-            *keys,
-            F.lit(session_day).alias("is_trading_day"),
-            F.coalesce("data_quality_score", F.lit(1.0)).alias("data_quality_score"),
-            F.coalesce("data_quality_flags", F.lit("")).alias("data_quality_flags"),
-        )
+def stamps(df: DataFrame, found: DataFrame, session_day: bool | DataFrame, keys=KEYS) -> DataFrame:
+    """One row per key of ``df``: its present score and flags; clean keys have 1 and no flags.
+
+    A frame of ``spine.session_state`` tells the session day of each key.
+    """
+    rows = df.select(*keys).distinct().join(quality_scores(found, keys), list(keys), "left")
+    if isinstance(session_day, DataFrame):
+        rows = _join_same(rows, session_day.select(*keys, F.col(SESSION_DAY).alias("__day")), keys, "left")
+        on_day = F.coalesce("__day", F.lit(False))
+    else:
+        on_day = F.lit(session_day)
+    return rows.select(
+        *keys,
+        on_day.alias("is_trading_day"),
+        F.coalesce("data_quality_score", F.lit(1.0)).alias("data_quality_score"),
+        F.coalesce("data_quality_flags", F.lit("")).alias("data_quality_flags"),
     )
 
 

@@ -6,10 +6,12 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelwatch import schemas as S
-from panelwatch.operators.series import Series, forward_fill, without_same
+from panelwatch.operators.series import Series, _join_same, forward_fill, without_same
+from panelwatch.session import settle
 
 KEYS = ("series_key",)
 
@@ -73,13 +75,55 @@ def previous_session(sessions: DataFrame, as_of: str):
     return sessions.filter(F.col("date") < F.to_date(F.lit(as_of))).agg(F.max("date")).first()[0]
 
 
-def score_date(scored: DataFrame, target: str, keys=KEYS, fallback: str = "last") -> DataFrame:
+PREVIOUS, SESSION_DAY = "previous_session", "session_day"
+
+
+def session_before(
+    df: DataFrame, sessions: DataFrame, by: Sequence[str] = (), order: str = "date", name: str = PREVIOUS
+) -> DataFrame:
+    """Every row with the last session strictly before its date, in the calendar that ``by`` names.
+
+    ``sessions`` has ``by`` and ``date``.  Rows keep all columns; the session is null for a null date, before a
+    calendar's first session, and for a calendar without sessions.  Null calendars equal each other.
+    Only the distinct dates per calendar are ordered, beside its sessions; both are bounded by the
+    days they span, so a hot key adds nothing to a window.
+    """
+    asked = df.select(*by, order).distinct().withColumn("__session", F.lit(None).cast("date"))
+    held = sessions.select(*by, F.col("date").alias(order), F.col("date").alias("__session")).dropna(subset=[order]).distinct()
+    before = W.partitionBy(*by).orderBy(F.col(order).asc_nulls_first(), F.col("__session").isNotNull())
+    last = F.last("__session", ignorenulls=True).over(before.rowsBetween(W.unboundedPreceding, -1))
+    found = asked.unionByName(held).withColumn(name, last).filter(F.col("__session").isNull()).drop("__session")
+    return _join_same(df, settle(found), [*by, order], "left")
+
+
+def session_state(sessions: DataFrame, as_of: str, calendars: DataFrame, keys=KEYS, calendar: str = "calendar") -> DataFrame:
+    """(keys, previous_session, session_day) of a date for each key, in the key's own calendar.
+
+    ``calendars`` has (keys, calendar), ``sessions`` (calendar, date).  A key whose calendar has no
+    session before the date has null, and no session day if the date is not in its calendar.
+    Of several calendars listed for one key the smallest counts.
+    """
+    day = F.to_date(F.lit(as_of))
+    state = sessions.groupBy(calendar).agg(
+        F.max(F.when(F.col("date") < day, F.col("date"))).alias(PREVIOUS), F.max(F.col("date") == day).alias(SESSION_DAY)
+    )
+    one = calendars.groupBy(*keys).agg(F.min(calendar).alias(calendar))
+    own = _join_same(one, state, [calendar], "left")
+    return own.select(*keys, PREVIOUS, F.coalesce(SESSION_DAY, F.lit(False)).alias(SESSION_DAY))
+
+
+def score_date(scored: DataFrame, target: str | DataFrame, keys=KEYS, fallback: str = "last") -> DataFrame:
     """Per key, ``target`` if scored, else a fallback date.
 
     ``last`` falls back to the key's last scored date, even a later one;
     ``previous`` to the last one not after the target.
+    The target is one date, or (keys, previous_session) with a date for each key; a key without one has no row.
     """
-    t = F.to_date(F.lit(target))
+    if isinstance(target, DataFrame):
+        due = target.select(*keys, F.col(PREVIOUS).alias("__target")).dropna(subset=["__target"])
+        scored, t = _join_same(scored.select(*keys, "date"), due, keys), F.col("__target")
+    else:
+        t = F.to_date(F.lit(target))
     if fallback == "previous":
         return scored.filter(F.col("date") <= t).groupBy(*keys).agg(F.max("date").alias("date"))
     if fallback != "last":

@@ -30,7 +30,7 @@ from panelwatch.operators.forest import (
     score_forests,
 )
 from panelwatch.operators.series import Series, _join_same, forward_fill, latest_row
-from panelwatch.operators.spine import is_session, previous_session
+from panelwatch.operators.spine import PREVIOUS, is_session, previous_session, session_state
 from panelwatch.plans import lookback
 from panelwatch.plans.features import build_features
 from panelwatch.session import settle
@@ -56,6 +56,12 @@ class Tables:
             setattr(self, name, f"{self.root}/{name}")
 
 
+def merge_sources(spark: SparkSession, t: Tables, as_of: str) -> None:
+    """Fold what has landed up to a run date into the sources' current tables, for later reads of the whole history."""
+    for source, (schema, ids, _, _) in lookback.SOURCES.items():
+        L.merge_landed(spark, t.landed, source, schema, ids, as_of)
+
+
 def update_features(
     spark: SparkSession,
     t: Tables,
@@ -91,14 +97,21 @@ AS_OF = "as_of"
 STAMP_TABLE = StructType([f for f in S.FEATURE_TABLE.fields if f.name in (*KEYS, *Q.STAMPS)] + [StructField(AS_OF, DateType())])
 
 
-def gate_features(spark: SparkSession, t: Tables, sessions: DataFrame, as_of: str) -> DataFrame:
+def gate_features(
+    spark: SparkSession, t: Tables, sessions: DataFrame, as_of: str, calendars: DataFrame | None = None
+) -> DataFrame:
     """Check the feature table, halt on anything critical, else store the keys' stamps of the day.
 
-    The day's findings are kept under its date, also where nothing is critical.  One row per key is written, however long the history; ``stamped_features`` joins it.
+    With ``calendars`` (series_key, calendar) each key is checked by its own, and ``sessions`` has
+    (calendar, date).  The day's findings are kept under its date, also where nothing is critical.  One row per key is written, however long the history; ``stamped_features`` joins it.
     """
     features = L.read_features(spark, t.features)
-    session_day = is_session(sessions, as_of)
-    found = settle(Q.findings(features, previous_session(sessions, as_of), session_day))
+    if calendars is None:
+        session_day = is_session(sessions, as_of)
+        found = settle(Q.findings(features, previous_session(sessions, as_of), session_day))
+    else:
+        session_day = settle(session_state(sessions, as_of, calendars))
+        found = settle(Q.findings(features, session_day))
     Q.enforce(found, t.findings, as_of)
     stamps = Q.stamps(features, found, session_day).withColumn(AS_OF, F.to_date(F.lit(as_of)))
     L.write_partitions(stamps, t.stamps, AS_OF)
@@ -174,17 +187,24 @@ def train_and_score(
     as_of: str,
     backfill: bool = False,
     run_id: str | None = None,
+    calendars: DataFrame | None = None,
     **settings,
 ) -> str:
     """Fit on the whole feature table, weighted by data quality, and upsert the due rows of the score table.
 
-    ``by=["series_key"]`` among the settings gives each series set a model of its own.
+    ``by=["series_key"]`` among the settings gives each series set a model of its own.  With ``calendars``
+    each key is due by its own last session; a key without one is scored but not due.
     """
     run_id = run_id or uuid.uuid4().hex
-    last = previous_session(sessions, as_of)
-    if last is None:
+    if calendars is None:
+        last = previous_session(sessions, as_of)
+        none = last is None
+        last_session = str(last)
+    else:
+        last_session = settle(session_state(sessions, as_of, calendars))
+        none = last_session.filter(F.col(PREVIOUS).isNotNull()).isEmpty()
+    if none:
         raise ValueError(f"the calendar has no session before {as_of}")
-    last_session = str(last)
     features = stamped_features(spark, t)
     settings = {"weight": "data_quality_score"} | settings
     scored, reduced, forest = score(training_rows(features), **settings)

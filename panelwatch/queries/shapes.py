@@ -189,6 +189,47 @@ def sessions(spark, sf):
     return orders.select(F.col("o_orderdate").cast("date").alias("date")).distinct()
 
 
+CALENDAR = "CASE WHEN series_key = 0 THEN 'none' WHEN series_key % 2 = 0 THEN '2-HIGH' ELSE '1-URGENT' END"
+
+
+@query(
+    "sessions_by_calendar",
+    with_(
+        P.SHIP,
+        f"keyed AS (SELECT *, {CALENDAR} AS calendar FROM ship)",
+        """sessions AS (SELECT DISTINCT o_orderpriority AS calendar, CAST(o_orderdate AS DATE) AS date FROM orders
+  WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND (dayofyear(CAST(o_orderdate AS DATE)) % 3) <> 0)""",
+        "asked AS (SELECT DISTINCT calendar, date FROM keyed)",
+        """before AS (SELECT a.calendar, a.date, max(s.date) AS previous FROM asked a
+  LEFT JOIN sessions s ON s.calendar = a.calendar AND s.date < a.date GROUP BY 1, 2)""",
+        """last AS (SELECT k.series_key, (SELECT max(s.date) FROM sessions s WHERE s.calendar = k.calendar AND s.date < DATE '2001-07-01') AS d
+  FROM (SELECT DISTINCT series_key, calendar FROM keyed) k)""",
+        """due AS (SELECT k.series_key, coalesce(max(CASE WHEN k.date = l.d THEN k.date END), max(k.date)) AS date
+  FROM keyed k JOIN last l ON k.series_key = l.series_key WHERE l.d IS NOT NULL GROUP BY 1)""",
+    )
+    + """
+SELECT k.series_key, CAST(k.date AS VARCHAR) AS date, k.calendar, CAST(b.previous AS VARCHAR) AS previous_session,
+       d.date IS NOT NULL AS is_due
+FROM keyed k JOIN before b ON b.calendar = k.calendar AND b.date = k.date
+LEFT JOIN due d ON d.series_key = k.series_key AND d.date = k.date""",
+)
+def sessions_by_calendar(spark, sf):
+    """Each shipping day with the last session before it in its nation's calendar, and the day due in 2001.
+
+    Two calendars miss every third day; the third has no session.
+    """
+    keyed = settle(P.ship(spark, sf).withColumn("calendar", F.expr(CALENDAR)))
+    orders = P.table(spark, sf, "orders").select(F.col("o_orderpriority").alias("calendar"), F.col("o_orderdate").cast("date").alias("date"))
+    held = F.col("calendar").isin("1-URGENT", "2-HIGH") & (F.dayofyear("date") % 3 != 0)
+    calendar = settle(orders.filter(held).distinct())
+    state = J.session_state(calendar, "2001-07-01", keyed)
+    due = J.score_date(keyed, state).withColumn("__due", F.lit(True))
+    rows = J.session_before(keyed, calendar, ["calendar"]).join(due, ["series_key", "date"], "left")
+    return rows.select(
+        "series_key", text(), "calendar", text("previous_session"), F.coalesce("__due", F.lit(False)).alias("is_due")
+    )
+
+
 @query(
     "sessions_prev",
     with_(

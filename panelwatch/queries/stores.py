@@ -34,10 +34,15 @@ PANEL = T.StructType(
     + f"""
 SELECT 'rerun' AS snapshot, series_key, {D}, value * 2 AS value FROM ord
 UNION ALL SELECT 'old', series_key, {D}, value FROM ord WHERE date < DATE '2000-01-01'
-UNION ALL SELECT 'newest', series_key, {D}, value * 2 FROM ord""",
+UNION ALL SELECT 'newest', series_key, {D}, value * 2 FROM ord
+UNION ALL SELECT 'merged', series_key, {D}, value * CASE WHEN date >= DATE '2001-01-01' THEN 3 ELSE 2 END FROM ord""",
 )
 def snapshot_roundtrip(spark, sf):
-    """Two run dates, the second landed twice; one snapshot, a missing one, and all as history."""
+    """Two run dates, the second landed twice; one snapshot, a missing one, and all as history.
+
+    Then the history through the current table: merged, a third run landed and merged, which
+    has the last months only.
+    """
     root = scratch_path(spark, "landed")
     orders = settle(P.ord_(spark, sf))
     L.write_snapshot(orders.filter(F.col("date") < "2000-01-01"), root, "orders", "2001-08-01")
@@ -51,12 +56,18 @@ def snapshot_roundtrip(spark, sf):
     def snap(day):
         return L.read_snapshot(spark, root, "orders", PANEL, day)
 
-    whole = L.read_history(spark, root, "orders", PANEL, ["series_key", "date"])
+    ids = ["series_key", "date"]
+    whole = settle(L.read_history(spark, root, "orders", PANEL, ids))
+    L.merge_landed(spark, root, "orders", PANEL, ids)
+    late = orders.filter(F.col("date") >= "2001-01-01").withColumn("value", F.col("value") * 3)
+    L.write_snapshot(late, root, "orders", "2001-08-04")
+    L.merge_landed(spark, root, "orders", PANEL, ids)
     return (
         one("rerun", snap("2001-08-02"))
         .unionByName(one("old", snap("2001-08-01")))
         .unionByName(one("missing", snap("2001-08-03")))
         .unionByName(one("newest", whole))
+        .unionByName(one("merged", L.read_history(spark, root, "orders", PANEL, ids)))
     )
 
 

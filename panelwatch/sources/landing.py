@@ -14,6 +14,7 @@ from panelwatch.functions.scalar import nan_to_null
 from panelwatch.operators.aggregates import staleness
 from panelwatch.operators.series import without_same
 from panelwatch.session import settle
+from panelwatch.sources import commits
 
 RUN = "ingest_date"
 MONTH = "month"
@@ -55,9 +56,16 @@ def _with_run(schema: T.StructType) -> T.StructType:
 
 
 def write_snapshot(df: DataFrame, root: str, source: str, run_date: str) -> bool:
-    """Land one snapshot per (source, run date); a rerun replaces it, no rows are skipped."""
+    """Land one snapshot per (source, run date); a rerun replaces it, no rows are skipped.
+
+    A current table that has counted this run date, or a later one, is emptied first; the next
+    ``merge_landed`` builds it anew.
+    """
     if df.isEmpty():
         return False
+    spark, merged = df.sparkSession, commits.version(df.sparkSession, current_path(root, source))
+    if merged.notes.get(RUN, "") >= run_date:
+        commits.commit(spark, current_path(root, source), commits.Version(merged.number + 1))
     write_partitions(df.withColumn(RUN, F.to_date(F.lit(run_date))), f"{root}/{source}", RUN)
     return True
 
@@ -70,6 +78,49 @@ def read_snapshot(
     return landed.filter(F.col(RUN) == F.to_date(F.lit(run_date))).drop(RUN)
 
 
+def current_path(root: str, source: str) -> str:
+    return f"{root}/{source}_current"
+
+
+def _newest(landed: DataFrame, schema: T.StructType, ids: Sequence[str]) -> DataFrame:
+    """Per identity the row landed last, with its run date."""
+    rest = [c for c in schema.names if c not in ids]
+    newest = landed.groupBy(*ids).agg(F.max_by(F.struct(*rest, RUN), F.col(RUN)).alias("__row"))
+    return newest.select(*[c if c in ids else F.col("__row")[c].alias(c) for c in (*schema.names, RUN)])
+
+
+def merge_landed(
+    spark: SparkSession,
+    root: str,
+    source: str,
+    schema: T.StructType,
+    ids: Sequence[str],
+    until: str | None = None,
+    order: str = "date",
+) -> list[str]:
+    """Fold the snapshots landed since the last merge (up to ``until``) into the source's current table; their run dates.
+
+    The table holds each identity's newest row with its run date, and notes the last run date it
+    has counted.  Only new snapshots are opened, and of the table the months in which they have
+    rows; those are written anew and become visible in one step.  ``order`` must be one of ``ids``,
+    so that an identity stays in its month.
+    """
+    if order not in ids:
+        raise ValueError(f"{order} is not among the ids {list(ids)}")
+    path = current_path(root, source)
+    base = commits.version(spark, path)
+    done = base.notes.get(RUN, "")
+    runs = [r for r in partitions(spark, f"{root}/{source}", RUN) if r > done and (until is None or r <= until)]
+    if not runs:
+        return []
+    new = settle(read_runs(spark, root, source, schema, runs).withColumn(MONTH, month_of(order)))
+    months = months_in(new)
+    there = commits.read(spark, path, _with_run(schema), commits.in_folders(base, months))
+    rows = _newest(there.drop(MONTH).unionByName(new.drop(MONTH)), schema, ids).withColumn(MONTH, month_of(order))
+    commits.write(rows, path, base, months, {RUN: runs[-1]})
+    return runs
+
+
 def read_history(
     spark: SparkSession,
     root: str,
@@ -81,17 +132,26 @@ def read_history(
 ) -> DataFrame:
     """All landed snapshots as one history: per identity the newest landed row.
 
+    Comes from the current table (``merge_landed``) and the snapshots it has not counted yet, so
+    a read does not grow with the number of runs.  Without such a table, if it has counted runs
+    after ``until``, or with a ``start`` it is made from the snapshots themselves.
     ``start`` leaves out runs before that date, which hold no later observation.
     """
-    landed = read_parquet(spark, f"{root}/{source}", _with_run(schema))
-    if until is not None:
-        landed = landed.filter(F.col(RUN) <= F.to_date(F.lit(until)))
-    if start is not None:
-        landed = landed.filter(F.col(RUN) >= start)
-    rest = [c for c in schema.names if c not in ids]
-    newest = landed.groupBy(*ids).agg(F.max_by(F.struct(*rest), F.col(RUN)).alias("__row"))
-    rows = newest.select(*[c if c in ids else F.col("__row")[c].alias(c) for c in schema.names])
-    return no_nan(rows)
+    merged = commits.version(spark, current_path(root, source))
+    done = merged.notes.get(RUN, "")
+    if done and start is None and (until is None or done <= until):
+        runs = [r for r in partitions(spark, f"{root}/{source}", RUN) if r > done and (until is None or r <= until)]
+        current = commits.read(spark, current_path(root, source), _with_run(schema), merged).drop(MONTH)
+        if not runs:
+            return no_nan(current.drop(RUN))
+        landed = current.unionByName(read_runs(spark, root, source, schema, runs))
+    else:
+        landed = read_parquet(spark, f"{root}/{source}", _with_run(schema))
+        if until is not None:
+            landed = landed.filter(F.col(RUN) <= F.to_date(F.lit(until)))
+        if start is not None:
+            landed = landed.filter(F.col(RUN) >= start)
+    return no_nan(_newest(landed, schema, ids).drop(RUN))
 
 
 def partitions(spark: SparkSession, path: str, column: str) -> list[str]:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from panelwatch import schemas as S
 from panelwatch.operators.series import _join_same, without_same
-from panelwatch.operators.spine import score_date
+from panelwatch.operators.spine import PREVIOUS, score_date
 from panelwatch.session import settle
 from panelwatch.sources import commits
 from panelwatch.sources.landing import MONTH, in_months, month_of, months_in
@@ -108,12 +108,18 @@ def read_scores(
 
 
 def rows_to_write(
-    scored: DataFrame, last_session: str, backfill: bool, keys: Sequence[str] = KEYS
+    scored: DataFrame, last_session: str | DataFrame, backfill: bool, keys: Sequence[str] = KEYS
 ) -> DataFrame:
-    """All rows up to the last session, or the one row per key that is due."""
-    if backfill:
-        return scored.filter(F.col("date") <= F.to_date(F.lit(last_session)))
-    return scored.join(score_date(scored, last_session, keys), [*keys, "date"], "left_semi")
+    """All rows up to the last session, or the one row per key that is due.
+
+    With (keys, previous_session) each key has a last session of its own; without one none of its rows is due.
+    """
+    if not backfill:
+        return scored.join(score_date(scored, last_session, keys), [*keys, "date"], "left_semi")
+    if isinstance(last_session, DataFrame):
+        last = last_session.select(*keys, F.col(PREVIOUS).alias("__last"))
+        return _join_same(scored, last, keys).filter(F.col("date") <= F.col("__last")).drop("__last")
+    return scored.filter(F.col("date") <= F.to_date(F.lit(last_session)))
 
 
 def run_record(

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from panelwatch import schemas as S
 from panelwatch.operators import quality as Q
-from panelwatch.plans import daily
+from panelwatch.plans import daily, lookback
 from panelwatch.plans import reports as R
-from panelwatch.session import scratch_path
+from panelwatch.session import scratch_path, settle
 from panelwatch.sources import landing as L
 from panelwatch.sources import scores as K
 
@@ -288,3 +288,38 @@ def test_a_model_for_each_series_set(spark, sessions, full):
     assert both == K.read_scores(spark, alone.scores).orderBy("date").select(cols).collect() and len(both) > 100
     assert K.read_scores(spark, t.scores).filter("series_key = 'z'").count() == len(both)
     assert L.read_parquet(spark, t.runs, K.RUN_LOG).first().features_if
+
+
+def test_merged_sources_give_the_history_of_all_landed_runs(spark):
+    t = daily.Tables(scratch_path(spark, "job"))
+    for upto in (60, 90):
+        land(spark, t, upto, str(day(upto)))
+    values = lambda: sorted(map(str, lookback.whole_history(spark, t.landed, str(day(90))).drop("run").collect()))
+    before = values()
+    daily.merge_sources(spark, t, str(day(60)))
+    assert values() == before
+    daily.merge_sources(spark, t, str(day(90)))
+    assert values() == before
+    files = lookback.whole_history(spark, t.landed, str(day(90))).inputFiles()
+    assert files and all("_current/" in f for f in files)
+
+
+def test_two_keys_with_calendars_of_their_own(spark):
+    t = daily.Tables(scratch_path(spark, "job"))
+    as_of = str(day(N))
+    land(spark, t, N, as_of)
+    for source in ("prices", "macro", "geo"):
+        rows = spark.read.parquet(f"{t.landed}/{source}").drop("ingest_date")
+        both = rows.unionByName(rows.withColumn("series_key", F.lit("z")))
+        L.write_snapshot(settle(both), t.landed, source, as_of)
+    daily.update_features(spark, t, as_of)
+    held = [("even", day(i)) for i in range(0, N + 10, 2)] + [("odd", day(i)) for i in range(1, N + 10, 2)]
+    sessions = spark.createDataFrame(held, "calendar string, date date")
+    calendars = spark.createDataFrame([("k", "even"), ("z", "odd")], "series_key string, calendar string")
+    daily.gate_features(spark, t, sessions, as_of, calendars)
+    stamped = daily.stamped_features(spark, t).groupBy("series_key").agg(F.min("is_trading_day").alias("a"), F.max("is_trading_day").alias("b"))
+    assert {r.series_key: (r.a, r.b) for r in stamped.collect()} == {"k": (True, True), "z": (False, False)}
+    daily.train_and_score(spark, t, sessions, as_of, calendars=calendars, **SMALL)
+    assert {r.series_key: r.date for r in K.read_scores(spark, t.scores).collect()} == {"k": day(N - 2), "z": day(N - 1)}
+    with pytest.raises(ValueError, match="no session"):
+        daily.train_and_score(spark, t, sessions.limit(0), as_of, calendars=calendars, **SMALL)

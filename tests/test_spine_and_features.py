@@ -5,8 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelwatch import schemas as S
+from panelwatch.operators import quality as Q
 from panelwatch.operators import spine as J
 from panelwatch.plans import features as X
+from panelwatch.sources import scores as K
 
 D = datetime.date.fromisoformat
 
@@ -125,3 +127,47 @@ def test_score_date_fallback(panel):
     assert due == {"has": "2010-01-03", "later": "2010-01-02"}
     with pytest.raises(ValueError):
         J.score_date(df, "2010-01-03", fallback="none")
+
+
+def calendars_of(spark):
+    sessions = [("x", "2010-01-01"), ("x", "2010-01-04"), ("x", "2010-01-04"), ("y", "2010-01-03"), (None, "2010-01-02"), ("x", None)]
+    held = spark.createDataFrame([(c, d and D(d)) for c, d in sessions], "calendar string, date date")
+    keys = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", "empty"), ("d", None), (None, "x")], "series_key string, calendar string")
+    return held, keys
+
+
+def test_last_session_before_each_row_in_its_own_calendar(spark):
+    held, _ = calendars_of(spark)
+    rows = [("x", "2010-01-01"), ("x", "2010-01-04"), ("x", "2010-01-05"), ("x", None), ("y", "2010-01-05"), (None, "2010-01-09"), ("empty", "2010-01-09"), ("x", "2010-01-05")]
+    df = spark.createDataFrame([(c, d and D(d), i) for i, (c, d) in enumerate(rows)], "calendar string, date date, __n int")
+    got = J.session_before(df, held, ["calendar"])
+    assert got.columns == ["calendar", "date", "__n", "previous_session"]
+    assert [str(r.previous_session) for r in got.orderBy("__n").collect()] == [
+        "None", "2010-01-01", "2010-01-04", "None", "2010-01-03", "2010-01-02", "None", "2010-01-04",
+    ]
+    assert {r.previous_session for r in J.session_before(df, held.limit(0), ["calendar"]).collect()} == {None}
+    assert J.session_before(df.limit(0), held, ["calendar"]).isEmpty()
+    one = J.session_before(df.filter("__n = 2"), held.filter("calendar = 'y'"))  # a single calendar
+    assert [str(r.previous_session) for r in one.collect()] == ["2010-01-03"]
+
+
+def test_each_key_is_due_by_its_own_calendar(spark, panel):
+    held, keys = calendars_of(spark)
+    state = J.session_state(held, "2010-01-04", keys)
+    got = {r.series_key: (r.previous_session and str(r.previous_session), r.session_day) for r in state.collect()}
+    assert got == {"a": ("2010-01-01", True), "b": ("2010-01-03", False), "c": (None, False), "d": ("2010-01-02", False), None: ("2010-01-01", True)}
+    df = panel({k: range(6) for k in ("a", "b", "c", "unlisted")})
+    due = {r.series_key: str(r.date) for r in K.rows_to_write(df, state, False).collect()}
+    assert due == {"a": "2010-01-01", "b": "2010-01-03"}
+    assert {(r.series_key, r["count"]) for r in K.rows_to_write(df, state, True).groupBy("series_key").count().collect()} == {("a", 1), ("b", 3)}
+    twice = J.session_state(held, "2010-01-04", keys.unionByName(keys))
+    assert twice.count() == keys.count()
+
+
+def test_the_gate_knows_each_keys_calendar(spark, panel):
+    held, keys = calendars_of(spark)
+    df = panel({"a": [1.0], "b": [1.0], "c": [1.0]}, start="2009-12-01")
+    state = J.session_state(held, "2010-01-04", keys)
+    found = Q.findings(df, state, expected=["series_key", "date", "x"])
+    assert [(r.series_key, r.check, r.message) for r in found.collect()] == [("a", "GAP", "GAP: last date is 2009-12-01, expected 2010-01-01")]
+    assert {r.series_key: r.is_trading_day for r in Q.stamps(df, found, state).collect()} == {"a": True, "b": False, "c": False}

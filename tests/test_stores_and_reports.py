@@ -318,3 +318,48 @@ def test_a_table_of_plain_month_folders_joins_the_first_batch(spark, scores):
     assert len(got) == 41 and got["2020-01-01"] == 0 and got["2020-02-03"] == 99 and got["2020-02-04"] == 34
     K.upsert_scores(spark, path, scores([], "2020-02-03"))
     assert commits.versions(spark, path) == [0]
+
+
+def test_the_current_table_equals_the_history_of_all_runs(spark, panel):
+    ids, root, plain = ["series_key", "date"], scratch_path(spark, "landed"), scratch_path(spark, "landed")
+    whole = panel({"a": range(100), "b": [None, 1.0] + [2.0] * 80})
+    schema = whole.schema
+    odd = spark.createDataFrame([(None, D("2010-02-01"), 1.0), ("a", None, 2.0), ("b", D("2010-01-02"), None)], schema)
+    runs = {
+        "2020-01-01": whole,
+        "2020-01-02": odd,
+        "2020-01-03": whole.filter("date > '2010-03-25'").withColumn("x", F.col("x") + 10),
+        "2020-01-04": panel({"b": [float("nan"), 7.0]}),
+    }
+    stored = lambda at, until=None: sorted((str(r.series_key), str(r.date), str(r.x)) for r in L.read_history(spark, at, "s", schema, ids, until).collect())
+    for run, df in runs.items():
+        for at in (root, plain):
+            L.write_snapshot(df, at, "s", run)
+        assert stored(root) == stored(plain)  # a run not merged yet counts too
+        assert L.merge_landed(spark, root, "s", schema, ids) == [run] and L.merge_landed(spark, root, "s", schema, ids) == []
+        assert stored(root) == stored(plain)
+    assert stored(root, "2020-01-02") == stored(plain, "2020-01-02") != stored(root)
+    opened = L.read_history(spark, root, "s", schema, ids).inputFiles()
+    assert opened and all("/s_current/" in f for f in opened)
+    for at in (root, plain):  # a run that was counted lands again, with fewer rows
+        L.write_snapshot(odd.limit(1), at, "s", "2020-01-02")
+    assert stored(root) == stored(plain)
+    assert L.merge_landed(spark, root, "s", schema, ids) == list(runs) and stored(root) == stored(plain)
+
+
+def test_a_merge_opens_new_runs_and_their_months_only(spark, panel):
+    ids, root = ["series_key", "date"], scratch_path(spark, "landed")
+    schema = panel({"a": [1]}).schema
+    L.write_snapshot(panel({"a": range(200)}), root, "s", "2020-01-01")
+    L.merge_landed(spark, root, "s", schema, ids)
+    path = L.current_path(root, "s")
+    before = set(commits.version(spark, path).folders)
+    L.write_snapshot(panel({"a": [5, 6]}, "2010-07-19"), root, "s", "2020-01-02")
+    L.merge_landed(spark, root, "s", schema, ids)
+    after = set(commits.version(spark, path).folders)
+    assert {f.split("/")[0] for f in before ^ after} == {"month=2010-07"}
+    assert L.read_history(spark, root, "s", schema, ids).count() == 201  # one day revised, one new
+    L.write_snapshot(panel({"a": [1]}, "2010-07-30"), root, "s", "2020-01-09")
+    assert L.merge_landed(spark, root, "s", schema, ids, until="2020-01-08") == []
+    with pytest.raises(ValueError, match="date"):
+        L.merge_landed(spark, root, "s", schema, ["series_key"])
