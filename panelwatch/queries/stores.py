@@ -97,6 +97,48 @@ def csv_source(spark, sf):
     )
 
 
+BAD_DAYS = """g AS (SELECT date, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS v, count(*) AS n FROM ord GROUP BY 1),
+cells AS (SELECT CASE WHEN extract('day' FROM date) = 31 THEN 'day ' || CAST(date AS VARCHAR) ELSE CAST(date AS VARCHAR) END AS "Date",
+  CASE WHEN extract('day' FROM date) IN (7, 31) THEN 'n/a' WHEN extract('day' FROM date) = 8 THEN 'NaN' ELSE 'v' END AS kind,
+  CASE WHEN extract('day' FROM date) = 9 THEN NULL ELSE n END AS n, v, extract('day' FROM date) AS d FROM g)"""
+
+
+@query(
+    "csv_rejects",
+    with_(P.ORD, BAD_DAYS)
+    + """
+SELECT 'kept' AS part, "Date" AS date, CASE WHEN kind = 'v' THEN round(v, 2) + 0.0 END AS "GPR_AI", CAST(n AS DOUBLE) AS "GPR_OIL", NULL AS reasons
+FROM cells WHERE d NOT IN (7, 31)
+UNION ALL
+SELECT 'rejected', "Date", NULL, CAST(n AS DOUBLE), CASE WHEN d = 31 THEN 'Date,GPR_AI' ELSE 'GPR_AI' END
+FROM cells WHERE d IN (7, 31)""",
+)
+def csv_rejects(spark, sf):
+    """A daily index as CSV with bad dates and numbers, NaN and empty cells: the rows that are read, and those that are kept aside."""
+    path, aside = scratch_path(spark, "geo"), scratch_path(spark, "rejects")
+    day = F.dayofmonth("date")
+    daily = P.ord_(spark, sf).groupBy("date").agg(F.sum(F.col("value").cast("decimal(18,2)")).alias("v"), F.count(F.lit(1)).alias("n"))
+    daily.select(
+        F.when(day == 31, F.concat(F.lit("day "), text())).otherwise(text()).alias("Date"),
+        F.when(day.isin(7, 31), "n/a").when(day == 8, "NaN").otherwise(F.col("v").cast("string")).alias("GPR_AI"),
+        F.when(day != 9, F.col("n").cast("string")).alias("GPR_OIL"),
+    ).write.option("header", True).csv(path)
+    kept = L.read_geo_csv(spark, path, "2001-08-20", rejects=aside, limit=0.2)
+    rejected = L.read_rejects(spark, aside)
+    number = F.lit(None).cast("double")
+    return kept.select(
+        F.lit("kept").alias("part"), text(), r6(F.round("GPR_AI", 2), "GPR_AI"), "GPR_OIL", F.lit(None).cast("string").alias("reasons")
+    ).unionByName(
+        rejected.select(
+            F.lit("rejected").alias("part"),
+            F.col("Date").alias("date"),
+            number.alias("GPR_AI"),
+            F.col("GPR_OIL").cast("double").alias("GPR_OIL"),
+            F.array_join("__faults", ",").alias("reasons"),
+        )
+    )
+
+
 def stored_scores(spark, sf):
     """The scored panel after a trip through the score table."""
     rows = G.attribute(scored(spark, sf), S.FEATURES)

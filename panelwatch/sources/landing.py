@@ -17,6 +17,7 @@ from panelwatch.session import settle
 from panelwatch.sources import commits
 
 RUN = "ingest_date"
+AS_OF = "as_of"
 MONTH = "month"
 
 
@@ -191,26 +192,71 @@ def as_date(c: Column | str, zone: str | None = None) -> Column:
     return c.cast("timestamp_ntz").cast("date")
 
 
-def read_geo_csv(spark: SparkSession, path: str, as_of: str, series_key: str = "all") -> DataFrame:
+class TooManyRejects(Exception):
+    """More rows of a source could not be read than its caller allows."""
+
+
+FAULTS = "__faults"
+
+
+def read_geo_csv(
+    spark: SparkSession,
+    path: str,
+    as_of: str,
+    series_key: str = "all",
+    rejects: str | None = None,
+    limit: float = 0.01,
+) -> DataFrame:
     """The geopolitical index file with its staleness as of a date.
 
     Columns are taken by the names in the header, wherever they stand; others are left
-    out.  A missing column or a value that is not a number fails the read.
+    out.  A missing column fails the read.  So does a value that is not a number or a date, unless
+    ``rejects`` names a table: then rows with such a value, or without a date, go there under ``as_of``
+    (a rerun replaces them) with all their cells as text, their ``__file`` and the columns at fault (``__faults``), and the
+    read fails only if their share of the rows is above ``limit``.  The file is read once.
     """
     raw = spark.read.option("header", True).csv(path)
     missing = [n for n in S.GEO_CSV.names if n not in raw.columns]
     if missing:
         raise ValueError(f"{path} has no column {', '.join(missing)}")
-    number = lambda n: nan_to_null(F.trim(F.col(n)).cast("double")).alias(n)  # noqa: E731  (ANSI casts fail on other text)
-    geo = raw.select(
-        F.lit(series_key).alias("series_key"),
-        as_date("Date").alias("date"),
-        number("GPR_AI"),
-        number("GPR_OIL"),
-    )
+    numbers = [n for n in S.GEO_CSV.names if n != "Date"]
+    if rejects is None:
+        number = lambda n: nan_to_null(F.trim(F.col(n)).cast("double")).alias(n)  # noqa: E731  (ANSI casts fail on other text)
+        geo = raw.select(F.lit(series_key).alias("series_key"), as_date("Date").alias("date"), *[number(n) for n in numbers])
+    else:
+        geo = _without_rejects(raw, numbers, f"{rejects}/{AS_OF}={as_of}", limit).select(
+            F.lit(series_key).alias("series_key"), F.col("__Date").alias("date"), *[F.col(f"__{n}").alias(n) for n in numbers]
+        )
     return with_staleness(geo, as_of)
 
 
+def _without_rejects(raw: DataFrame, numbers: Sequence[str], rejects: str, limit: float) -> DataFrame:
+    """The readable rows, values under ``__name``; the others are stored at ``rejects``."""
+    text = {n: F.trim(F.col(n)) for n in numbers}
+    value = {"Date": F.trim("Date").try_cast("timestamp_ntz").cast("date"), **{n: t.try_cast("double") for n, t in text.items()}}
+    wrong = [F.when(value["Date"].isNull(), F.lit("Date")), *[F.when((text[n] != "") & value[n].isNull(), F.lit(n)) for n in numbers]]
+    cells = F.struct(*[F.col(f"`{c}`") for c in raw.columns]).alias("__cells")
+    split = settle(
+        raw.select(
+            cells,
+            F.col("_metadata.file_path").alias("__file"),
+            F.array_compact(F.array(*wrong)).alias(FAULTS),
+            *[(c if n == "Date" else nan_to_null(c)).alias(f"__{n}") for n, c in value.items()],
+        )
+    )
+    bad = F.size(FAULTS) > 0
+    rows, lost = split.agg(F.count(F.lit(1)), F.count_if(bad)).first()
+    split.filter(bad).select("__cells.*", "__file", FAULTS).write.mode("overwrite").parquet(rejects)
+    if lost > limit * rows:
+        raise TooManyRejects(f"{lost} of {rows} rows cannot be read, kept in {rejects}")
+    return split.filter(~bad)
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """All stored rejects: cells as text, file, the columns at fault, and the date of the read."""
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
 def with_staleness(geo: DataFrame, as_of: str, keys: Sequence[str] = ("series_key",)) -> DataFrame:
     """Every row with its key's staleness; the one row per key is stored for its size."""
     return geo.join(settle(staleness(geo, as_of, keys)), list(keys))

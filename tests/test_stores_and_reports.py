@@ -363,3 +363,20 @@ def test_a_merge_opens_new_runs_and_their_months_only(spark, panel):
     assert L.merge_landed(spark, root, "s", schema, ids, until="2020-01-08") == []
     with pytest.raises(ValueError, match="date"):
         L.merge_landed(spark, root, "s", schema, ["series_key"])
+
+
+def test_rows_that_cannot_be_read_are_kept_aside(spark, tmp_path):
+    path, aside = str(tmp_path / "a.csv"), str(tmp_path / "rejects")
+    lines = ["Note,GPR_OIL,Date,GPR_AI,reasons", "x,1.5,2020-01-01,2,q", "y,NaN, 2020-01-02 ,", "z,1e,never,3", "w,1,,4", "v,,2020-01-03,1x", "u,,2020-01-04,"]
+    (tmp_path / "a.csv").write_text("\n".join(line for line in lines))
+    with pytest.raises(L.TooManyRejects, match="3 of 6"):
+        L.read_geo_csv(spark, path, "2020-01-05", rejects=aside, limit=0.4)
+    for _ in range(2):  # a rerun replaces the day's rejects
+        rows = L.read_geo_csv(spark, path, "2020-01-05", rejects=aside, limit=0.5).orderBy("date").collect()
+        assert [(str(r.date), r.GPR_AI, r.GPR_OIL, r.gpr_days_stale) for r in rows] == [
+            ("2020-01-01", 2.0, 1.5, 1), ("2020-01-02", None, None, 1), ("2020-01-04", None, None, 1),
+        ]
+    kept = {r.Note: (r.Date, r.GPR_AI, r.GPR_OIL, list(r["__faults"])) for r in L.read_rejects(spark, aside).collect()}
+    assert kept == {"z": ("never", "3", "1e", ["Date", "GPR_OIL"]), "w": (None, "4", "1", ["Date"]), "v": ("2020-01-03", "1x", None, ["GPR_AI"])}
+    (tmp_path / "c.csv").write_text("Date,GPR_AI,GPR_OIL\n")
+    assert L.read_geo_csv(spark, str(tmp_path / "c.csv"), "2020-01-05", rejects=aside).isEmpty()
