@@ -5,7 +5,9 @@ A byte goes if a string of ``window`` bytes that covers it also starts anywhere
 1. Every window has one anchor: the smallest-hashed ``ANCHOR``-byte gram in it.  Equal
    windows have equal anchors, so a stretch of windows that share an anchor occurrence
    (a passage, at most 2 * window bytes) is compared only with passages of the same
-   anchor.  An anchor met once proves its windows unique.
+   anchor.  An anchor met once proves its windows unique.  In a text that repeats with a short
+   period (rules of dashes, padding) equal passages follow each other: the first two of a run stand
+   for it, and the windows of the others repeat without a comparison.
 2. Equal passages are counted before anything else moves: all their windows repeat.
 3. Unequal passages of one anchor go to a shard.  A shard sorts its suffixes by
    Larsson-Sadakane refinement and gets the common prefixes of neighbours by Kasai's
@@ -37,7 +39,8 @@ ROWS_PER_TASK = 250_000
 #: Anchors with more occurrences would fill a task alone; Spark's partial sums count them.
 OFTEN = ROWS_PER_TASK
 
-_PLACE = np.uint64((1 << 28) - 1)
+_PLACE = np.uint64((1 << 31) - 1)  # positions: no text has more bytes
+_MOST = 255  # windows in one place
 _MARK, _PASSAGE, _WINDOWS = 0, 1, 2
 _RUNS = "key long, content long, rid long, at long"
 _FOUND = "kind int, rid long, at long, key long, sub int, shards int, single boolean"
@@ -82,8 +85,25 @@ def passages(data: np.ndarray, offsets: np.ndarray, window: int, powers: scan.Po
     return grams[anchor], scan.mix(roll.of(first, past + window - 1)), first, past
 
 
+def fold_runs(key: np.ndarray, content: np.ndarray, first: np.ndarray, past: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which passages to compare, and the other windows: first window and number of windows of each place.
+
+    From the third on, equal passages in a row are left out: each of their windows equals one of the second's.
+    """
+    same = np.zeros(len(key), bool)
+    same[1:] = (key[1:] == key[:-1]) & (content[1:] == content[:-1]) & (first[1:] == past[:-1]) & (np.diff(past) == np.diff(first))
+    spare = same.copy()
+    spare[1:] &= same[:-1]
+    edge = np.diff(np.concatenate([[False], spare, [False]]).astype(np.int8))
+    start, end = first[np.flatnonzero(edge == 1)], past[np.flatnonzero(edge == -1) - 1]
+    pieces = -(-(end - start) // _MOST)
+    nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    at = np.repeat(start, pieces) + nth * _MOST
+    return ~spare, at, np.minimum(np.repeat(end, pieces) - at, _MOST)
+
+
 def anchor_runs(window: int):
-    """Arrow function: rows (rid, tag, text) to their passages."""
+    """Arrow function: rows (rid, tag, text) to their passages; places that repeat by themselves have no key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = scan.Powers()
@@ -95,12 +115,14 @@ def anchor_runs(window: int):
                 key, content, first, past = passages(data[offsets[i] : offsets[j]], at, window, powers)
                 if not len(key):
                     continue
-                doc = np.searchsorted(at, first, "right") - 1
-                where = place(first - at[doc], past - first, tag[i:j][doc])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(content.view(np.int64)), pa.array(rid[i:j][doc]), pa.array(where)],
-                    names=["key", "content", "rid", "at"],
-                )
+                keep, again, count = fold_runs(key, content, first, past)
+                key, content, first, past = key[keep], content[keep], first[keep], past[keep]
+                start = np.concatenate([first, again])
+                doc = np.searchsorted(at, start, "right") - 1
+                where = place(start - at[doc], np.concatenate([past - first, count]), tag[i:j][doc])
+                none = pa.nulls(len(again), pa.int64())
+                columns = [pa.concat_arrays([pa.array(c.view(np.int64)), none]) for c in (key, content)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(rid[i:j][doc]), pa.array(where)], names=["key", "content", "rid", "at"])
 
     return run
 
@@ -445,10 +467,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError(f"window must lie between {ANCHOR} and {256 + ANCHOR}")
     named = docs.drop("spans")
     keyed = named.select(*row_key(id_col, text_col), F.col(text_col).alias("text")).filter(F.octet_length("text") >= window)
-    found = settle(keyed.mapInArrow(anchor_runs(window), _RUNS))
+    runs = settle(keyed.mapInArrow(anchor_runs(window), _RUNS))
+    found, alone = runs.filter("key IS NOT NULL"), runs.filter("key IS NULL").select("rid", "at")
     often_keys = settle(found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > often).select("key"))
     few = found.join(often_keys, "key", "left_anti")
-    few = few.repartition(tasks(found, ROWS_PER_TASK), "key").mapInArrow(compare_passages(shard_passages), _FOUND)
+    few = few.repartition(tasks(runs, ROWS_PER_TASK), "key").mapInArrow(compare_passages(shard_passages), _FOUND)
     many = compare_often(found.join(often_keys, "key"), shard_passages)
     first = settle(few.unionByName(many))
 
@@ -463,7 +486,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     merged = sharded.filter(F.col("kind") == _WINDOWS).select("key", "bucket", "digests", "rids", "ats")
     merged = deal(merged, n, "key", "bucket").mapInArrow(merge_shards, "rid long, at long")
-    marks = first.filter(F.col("kind") == _MARK).select("rid", "at")
+    marks = first.filter(F.col("kind") == _MARK).select("rid", "at").unionByName(alone)
     marks = marks.unionByName(sharded.filter(F.col("kind") == _MARK).select("rid", "at")).unionByName(merged)
     by_row = marks.withColumn("tag", F.col("at").bitwiseAND(F.lit(0xFFFFFF))).groupBy("rid", "tag").agg(F.collect_set("at").alias("marks"))
     spans = by_row.mapInArrow(join_spans(window), "rid long, tag long, spans array<struct<start: long, end: long>>")

@@ -7,6 +7,8 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from panelwatch.llm import decontamination, language, packing, quality, scan, suffix_dedup, token_counts
@@ -50,6 +52,29 @@ def test_repeated_spans_match_brute_force(docs, odd, options):
     assert Counter((r.doc_id, r.text, str([(s.start, s.end) for s in r.spans]), bytes(r.kept)) for r in got) == want
 
 
+def test_monotone_text_has_a_bounded_number_of_passages(docs):
+    texts = ["-" * 300_000, "abcde" * 9_000 + "end of it", "-" * 200, "x" * 199, "-" * 199 + "y", "tail " + "-" * 201 + " then abcde", "abcde" * 41]
+    keyed = docs([(i, t, None, None) for i, t in enumerate(texts)])
+    rows = keyed.selectExpr("doc_id AS rid", "0L AS tag", "text").mapInArrow(suffix_dedup.anchor_runs(200), suffix_dedup._RUNS)
+    assert rows.filter("key IS NOT NULL").count() < 1_500 and rows.count() < 3_000
+    for options in ({}, {"shard_passages": 2, "often": 3}):
+        got = {r.doc_id: [(s.start, s.end) for s in r.spans] for r in suffix_dedup.repeated_spans(keyed, **options).collect()}
+        assert got == {i: spans for i, (spans, _) in enumerate(spans_of(texts, 200))}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.binary(min_size=1, max_size=6), st.integers(1, 60)), min_size=1, max_size=8))
+def test_folded_runs_cover_what_they_leave_out(parts):
+    data = np.frombuffer(b"".join(p * n for p, n in parts).ljust(60, b"."), np.uint8)
+    found = suffix_dedup.passages(data, np.array([0, len(data)]), 50, scan.Powers())
+    keep, at, count = suffix_dedup.fold_runs(*found)
+    raw, windows = data.tobytes(), [data[i : i + 50].tobytes() for i in range(len(data) - 49)]
+    covered = {w for a, b in zip(found[2][keep], found[3][keep]) for w in range(a, b)}
+    folded = [w for a, n in zip(at, count) for w in range(a, a + n)]
+    assert len(folded) == len(set(folded)) and not covered & set(folded) and covered | set(folded) == set(range(len(windows)))
+    assert all(raw.count(windows[w]) > 0 and sum(windows[c] == windows[w] for c in covered) >= 2 for w in folded)
+
+
 def test_repeated_spans_of_nothing(docs):
     assert suffix_dedup.repeated_spans(docs([])).count() == 0
 
