@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from test_table_operators import plain_groups
 from test_text_operators import base_of, plain_tiles, spans_of
 
-from panelwatch.llm import decontamination
+from panelwatch.llm import decontamination, quality
 from panelwatch.llm.queries import QUERIES, TOKEN_LIMIT, tokenizer
 
 SF = "/root/testdata/sf0.001"
@@ -68,6 +68,18 @@ def test_quality_scores_tell_good_from_bad(spark):
         assert (good[:, None] > bad[None]).mean() + 0.5 * (good[:, None] == bad[None]).mean() > 0.8
 
 
+def test_quality_of_documents_whose_label_was_kept_back(spark):
+    """Trees grown on one half of the labels, held against the other."""
+    sf = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").filter("quality is not null").withColumn("half", F.expr("crc32(cast(doc_id as string)) % 2"))
+    judged = quality.judged(spark.read.parquet(f"{sf}/documents.parquet"), labels.filter("half = 0")).filter("not base_failed")
+    rows = judged.select("doc_id", "score", "kept").join(labels.filter("half = 1"), "doc_id").toPandas()
+    good, bad = (rows[rows.quality == q] for q in (1, 0))
+    assert len(good) > 50 and len(bad) > 5
+    assert (good.score.to_numpy()[:, None] > bad.score.to_numpy()[None]).mean() > 0.95
+    assert good.kept.mean() > 0.9 and bad.kept.mean() < 0.3
+
+
 def test_held_out_languages(spark):
     """Languages of documents that no classifier saw."""
     sf = "/root/testdata/sf0.01"
