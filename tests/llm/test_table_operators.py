@@ -241,6 +241,46 @@ def test_every_reply_has_all_earlier_turns_as_context(spark):
         assert conv not in left or left[conv].formatted != whole[conv]
 
 
+@pytest.mark.parametrize("block", [256, 103, 7, 1])
+def test_what_is_read_back_comes_from_spelled_out_examples(spark, tmp_path, monkeypatch, block):
+    monkeypatch.setattr(chat, "BLOCK_EXAMPLES", block)
+    rows = [(1, k, "assistant" if k % 3 == 2 else "user", f"t{k} </s>[INST] \\ é🙂") for k in range(310)]
+    rows += [(2, 0, "user", "only"), (3, 0, "assistant", "first"), (3, 1, "assistant", "second"), (3, 2, "tool", None)]
+    given = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    turns = chat.formatted_turns(given)
+    of = defaultdict(list)
+    for r in turns.collect():
+        of[r.conv_id].append(r)
+    want = {}
+    for conv, all_turns in of.items():
+        all_turns.sort(key=lambda r: r.seq)
+        ends = [k for k, r in enumerate(all_turns) if r.trainable]
+        text = lambda k, turns=all_turns: "".join(r.formatted for r in turns[:k])
+        for n in range(len(ends) + (not all_turns[-1].trainable)):
+            first = n - n % block
+            start = len(text(ends[first - 1] + 1)) if first else 0
+            reply = all_turns[ends[n]].formatted if n < len(ends) else None
+            want[conv, n] = (start, text(ends[n] if n < len(ends) else None)[start:], reply)
+    examples = chat.examples(turns)
+    assert {(r.conv_id, r.example): (r.context_from, r.context, r.reply) for r in chat.spelled_out(examples).collect()} == want
+    if block == 256:
+        assert not any(start for start, _, _ in want.values())
+
+    read = lambda x: {r.conv_id: r for r in chat.whole_conversations(x).collect()}
+    whole = read(examples)
+    assert {c: r.loss for c, r in whole.items()} == {c: "".join(t for i, _, role, t in rows if i == c and role == "assistant") for c in (1, 2, 3)}
+    # a context that ends elsewhere moves its example's loss mask
+    moved = read(examples.withColumn("context_chars", F.col("context_chars") - F.when(F.col("example") == 1, 1).otherwise(0)))
+    assert {c for c in whole if moved[c].loss != whole[c].loss} == {1, 3}
+
+    given.write.parquet(f"{tmp_path}/conversations.parquet")
+    op2 = lambda: {r.conv_id: r for r in QUERIES["op2_prefix_targets"](spark, str(tmp_path)).collect()}
+    right, spelled = op2(), chat.spelled_out
+    assert {c: right[c].formatted_chars for c in whole} == {c: len(r.formatted) for c, r in whole.items()}
+    monkeypatch.setattr(chat, "spelled_out", lambda *a: spelled(*a).withColumn("context", F.lit("")))
+    assert {c for c, r in op2().items() if r == right[c]} == set()
+
+
 def test_many_ranges_do_not_overflow(docs, monkeypatch):
     """2**24 ranges of a source, as 67 billion rows would have: what is taken does not depend on them."""
     rows = [(k, " ".join(["w"] * (k % 7)), "en", "ab"[k % 3 > 0]) for k in range(60)]
